@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import exact_dedup, mixing, near_dedup, quality_rules
+import corpus_pipeline
+from tarnworks.llm import chat, cotraining, exact_dedup, lm_scoring, mixing, near_dedup, pieces, pii, quality_rules, token_counts
 
-MODULES = [exact_dedup, mixing, quality_rules, near_dedup]
+MODULES = [exact_dedup, lm_scoring, pii, cotraining, chat, mixing, token_counts, quality_rules, pieces, near_dedup]
 
 
 def queries() -> dict:
-    return {m.QUERY: m.query for m in MODULES}
+    return {**{m.QUERY: m.query for m in MODULES}, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {m.QUERY: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
+    sql = {m.QUERY: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
