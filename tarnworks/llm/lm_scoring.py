@@ -1,21 +1,28 @@
 """Language-model scoring by subword lattices.
 
-A text is a sequence of words and one end. The model gives a word that was seen in
-training its discounted relative frequency, and shares the discounted mass among
+A text is a sequence of words and one end. The model is a mixture over languages:
+the probability of a text is the sum over languages of the language's share times
+the text's probability in it. In a language, a word that was seen in its training
+documents has its discounted relative frequency, and the discounted mass is shared among
 all words by a subword model: pieces of an existing vocabulary, then a stop. The
 probability of a word's spelling is the sum over all its segmentations, by a
 forward recursion in log space over the lattice of pieces; a character without a
 piece is spelled in byte pieces. The weights of pieces start from the vocabulary's
-own scores (a piece of rank r weighs 1 / (r + 10)) and are re-estimated on the
-distinct training words by expected counts.
+own scores (a piece of rank r weighs 1 / (r + 10)) and are re-estimated for each
+language on its distinct training words by expected counts.
+
+Languages are the values of ``lang`` in the training documents; beyond the most
+frequent ``LANGUAGES - 1``, all others together are one. A text's own ``lang`` is
+not looked at when it is scored.
 
 Words are counted in blocks of documents of about ``BLOCK_POINTS`` code points: a block gives a
 row for each distinct word, the corpus counts are sums of these, and each block
 gets back the scores of its own words only. So no table that grows with the corpus
-is broadcast or collected; piece counts (one number a piece) are all the driver sees.
+is broadcast or collected; piece counts (a number for each piece and language) are
+all that the driver sees.
 
 Defined results: null text is empty, and has its end as the only token; a null
-doc_id counts as the empty text for the choice of training documents. Repeated
+doc_id counts as the empty text for the choice of training documents; null ``lang`` is a language. Repeated
 rows count and are scored one by one. With no training document, the subword model
 alone, with its first weights, is the model. An empty table gives an empty result.
 """
@@ -28,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.llm.text import documents
@@ -37,69 +44,85 @@ from tarnworks.session import staged
 
 QUERY = "op2_lm_scoring"
 
-BLOCK_POINTS = 16_000_000
-EM_ROUNDS = 2
+BLOCK_POINTS = 24_000_000
+EM_ROUNDS = 3
+LANGUAGES = 12
 #: Weight of the vocabulary's own scores beside the expected counts, in pieces.
 PRIOR = 1000.0
-STOP = ""
+
+
+#: Places of the byte pieces and the stop behind the pieces in a list of weights.
+BYTES, TAIL = 256, 257
 
 
 class Lattice:
-    """Log weights (natural) of pieces, bytes and the stop, with the recursions over a word."""
+    """The pieces that can lie in a word, with the recursions over a word for lists of natural log weights."""
 
-    def __init__(self, pieces: dict[str, float], single: list[float], stop: float):
-        self.pieces, self.single, self.stop = pieces, single, stop
+    def __init__(self, vocabulary: Vocabulary):
+        # the word mark stands at a word's start alone
+        self.ranks = {t: -s for t, (_, s) in vocabulary.pieces.items() if " " not in t[1:]}
+        self.pieces = {t: k for k, t in enumerate(self.ranks)}
+        self.size = len(self.pieces) + TAIL
         # every prefix of a piece, so that a scan ends where no piece goes on
-        self.step: dict[str, float | None] = {}
-        for text in pieces:
+        self.step: dict[str, int | None] = {}
+        for text in self.pieces:
             for k in range(1, len(text)):
                 self.step.setdefault(text[:k], None)
-            self.step[text] = pieces[text]
+        self.step |= self.pieces
 
-    def arcs(self, word: str) -> list[list[tuple[int, float]]]:
-        """For each position of the word with its mark: (end, weight) of the pieces that start there."""
+    def weights(self, counts: np.ndarray | None = None) -> list[float]:
+        """Logs of expected counts plus ``PRIOR`` times the weights from the vocabulary's scores."""
+        prior = np.array([1 / (r + 10) for r in self.ranks.values()] + [1 / (len(self.ranks) + 10)] * BYTES)
+        prior = np.append(0.75 * prior / prior.sum(), 0.25)
+        seen = np.zeros(self.size) if counts is None else counts
+        return np.log((seen + PRIOR * prior) / (seen.sum() + PRIOR)).tolist()
+
+    def arcs(self, word: str) -> list[list[tuple[int, int | tuple[int, ...]]]]:
+        """For each position of the word with its mark: (end, piece) of the pieces that start there; a tuple is byte pieces."""
         text, step, out = " " + word, self.step, []
+        first_byte = len(self.pieces)
         for i in range(len(text)):
             here, j = [], i + 1
             while j <= len(text) and (piece := text[i:j]) in step:
-                if (weight := step[piece]) is not None:
-                    here.append((j, weight))
+                if (k := step[piece]) is not None and (i == 0 or text[i] != " "):
+                    here.append((j, k))
                 j += 1
             if not here or here[0][0] != i + 1:
-                here.append((i + 1, sum(self.single[b] for b in text[i].encode("utf-8", "surrogatepass"))))
+                here.append((i + 1, tuple(first_byte + b for b in text[i].encode("utf-8", "surrogatepass"))))
             out.append(here)
         return out
 
-    def marginal(self, word: str) -> float:
-        """Log probability of the word, summed over its segmentations."""
+    @staticmethod
+    def weigh(arcs, weights: list[float]) -> list[list[tuple[int, float]]]:
+        return [[(j, weights[k] if k.__class__ is int else sum([weights[b] for b in k])) for j, k in here] for here in arcs]
+
+    def marginals(self, word: str, models: list[list[float]]) -> list[float]:
+        """Log probability of the word, summed over its segmentations, under each list of weights."""
         arcs = self.arcs(word)
-        return _forward(arcs)[len(arcs)] + self.stop
+        return [_forward(self.weigh(arcs, w))[-1] + w[-1] for w in models]
 
-    def expected(self, word: str, counts: dict[str, float]) -> None:
-        """Add the expected count of each piece in the word's segmentations."""
+    def expect(self, word: str, weights: list[float], counts: np.ndarray) -> None:
+        """Add the expected count of each piece in the word's segmentations, and of the stop."""
         arcs = self.arcs(word)
-        n, ahead = len(arcs), _forward(arcs)
+        weighed = self.weigh(arcs, weights)
+        n, ahead = len(arcs), _forward(weighed)
         back = [0.0] * (n + 1)
         for i in range(n - 1, -1, -1):
-            back[i] = _log_sum([w + back[j] for j, w in arcs[i]])
-        text = " " + word
+            back[i] = _log_sum([w + back[j] for j, w in weighed[i]])
         for i in range(n):
-            for j, w in arcs[i]:
-                p = math.exp(ahead[i] + w + back[j] - ahead[n])
-                if (piece := text[i:j]) in self.pieces:
-                    counts[piece] = counts.get(piece, 0.0) + p
-                else:
-                    for b in piece.encode("utf-8", "surrogatepass"):
-                        key = f"\0{b}"
-                        counts[key] = counts.get(key, 0.0) + p
-        counts[STOP] = counts.get(STOP, 0.0) + 1.0
+            start = ahead[i] - ahead[n]
+            for (j, k), (_, w) in zip(arcs[i], weighed[i]):
+                p = math.exp(start + w + back[j])
+                for piece in (k,) if k.__class__ is int else k:
+                    counts[piece] += p
+        counts[-1] += 1.0
 
 
 def _log_sum(values: list[float]) -> float:
     if len(values) == 1:
         return values[0]
     top = max(values)
-    return top + math.log(sum(math.exp(v - top) for v in values))
+    return top + math.log(sum([math.exp(v - top) for v in values]))
 
 
 def _forward(arcs: list[list[tuple[int, float]]]) -> list[float]:
@@ -119,126 +142,143 @@ def _forward(arcs: list[list[tuple[int, float]]]) -> list[float]:
     return score
 
 
-def _word_pieces(vocabulary: Vocabulary) -> dict[str, float]:
-    """Pieces that can lie in a marked word, with the rank that their score stands for."""
-    return {t: -s for t, (_, s) in vocabulary.pieces.items() if " " not in t[1:]}
-
-
-def weighted(vocabulary: Vocabulary, counts: dict[str, float] | None = None) -> Lattice:
-    """The lattice whose weights are expected counts plus ``PRIOR`` times the weights from the vocabulary's scores."""
-    ranks = _word_pieces(vocabulary)
-    keys = [*ranks, *(f"\0{b}" for b in range(256)), STOP]
-    prior = np.array([1 / (r + 10) for r in ranks.values()] + [1 / (len(ranks) + 10)] * 256 + [0.0])
-    prior /= prior.sum()
-    prior *= 0.75
-    prior[-1] = 0.25
-    seen = np.array([counts.get(k, 0.0) for k in keys]) if counts else np.zeros(len(keys))
-    weights = np.log((seen + PRIOR * prior) / (seen.sum() + PRIOR)).tolist()
-    return Lattice(dict(zip(ranks, weights)), weights[len(ranks) : -1], weights[-1])
-
-
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, text, held_out, block."""
+    """doc_id, text, lang, held_out, block."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), (F.crc32(key) % 7 == 2).alias("held_out"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "lang", (F.crc32(key) % 7 == 2).alias("held_out"))
     points = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-points // BLOCK_POINTS)))))
 
 
-def block_words(rows: DataFrame) -> DataFrame:
-    """block, word, count: a row for each distinct word of a block, with its count in training documents."""
+def language_places(training: DataFrame) -> tuple[Column, list[int]]:
+    """The place of a row's language among those of the model, and the training documents of each."""
+    found = training.groupBy("lang").count().orderBy(F.desc("count"), F.asc_nulls_last("lang")).limit(LANGUAGES - 1).collect()
+    named = [r["lang"] for r in found]
+    place = F.lit(len(named))
+    for k, lang in enumerate(named):
+        place = F.when(F.col("lang").eqNullSafe(F.lit(lang)), k).otherwise(place)
+    documents_of = [r["count"] for r in found]
+    others = training.count() - sum(documents_of)
+    return place.cast("int"), documents_of + [others] * (others > 0) or [0]
+
+
+def block_words(rows: DataFrame, languages: int) -> DataFrame:
+    """block, word, c0, c1, ...: a row for each distinct word of a block, with its counts in training documents by language."""
 
     def count(table: pa.Table) -> pa.Table:
-        known, every = Counter(), set()
-        for text, held_out in zip(table.column("text"), table.column("held_out")):
+        known, every = [Counter() for _ in range(languages)], set()
+        for text, held_out, place in zip(table.column("text"), table.column("held_out"), table.column("place")):
             words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-            every.update(words) if held_out.as_py() else known.update(words)
-        every.difference_update(known)
-        words = [*known, *every]
-        counts = np.zeros(len(words), np.int64)
-        counts[: len(known)] = list(known.values())
+            every.update(words)
+            if not held_out.as_py():
+                known[place.as_py()].update(words)
+        words = list(every)
+        counts = [pa.array(np.fromiter((c.get(w, 0) for w in words), np.int64, len(words))) for c in known]
         block = pa.array(np.full(len(words), table.column("block")[0].as_py(), np.int64))
-        return pa.table([block, pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts)], ["block", "word", "count"])
-
-    return rows.select("block", "text", "held_out").groupBy("block").applyInArrow(count, "block bigint, word string, count bigint")
-
+        return pa.table([block, pa.array(words, pa.binary()).cast(pa.string()), *counts], ["block", "word", *_counts(languages)])
 
-def expected_counts(words: DataFrame, lattice: Lattice) -> dict[str, float]:
-    """Expected counts of pieces over the given words, each once."""
+    schema = "block bigint, word string, " + ", ".join(f"{c} bigint" for c in _counts(languages))
+    return rows.select("block", "text", "held_out", "place").groupBy("block").applyInArrow(count, schema)
 
-    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, float] = {}
-        for batch in batches:
-            for word in batch.column(0):
-                lattice.expected(word.as_py(), counts)
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.float64())], names=["piece", "n"])
 
-    sums = words.select("word").mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-    return {r.piece: r.n for r in sums.collect()}  # one row a piece of the vocabulary at most
+def _counts(languages: int) -> list[str]:
+    return [f"c{k}" for k in range(languages)]
 
 
-def with_marginals(words: DataFrame, lattice: Lattice) -> DataFrame:
-    """word, count, spelled: the natural log probability of the word's spelling."""
+def expected_counts(words: DataFrame, lattice: Lattice, models: list[list[float]]) -> list[np.ndarray]:
+    """Expected counts of pieces over the training words of each language, each word once."""
+    names = _counts(len(models))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(models), lattice.size))
         for batch in batches:
-            spelled = [lattice.marginal(w.as_py()) for w in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelled, pa.float64())], names=["word", "count", "spelled"])
+            seen = [batch.column(1 + k).to_numpy() > 0 for k in range(len(models))]
+            for row, word in enumerate(batch.column(0).to_pylist()):
+                for k, model in enumerate(models):
+                    if seen[k][row]:
+                        lattice.expect(word, model, counts[k])
+        model, piece = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(model), pa.array(piece), pa.array(counts[model, piece])], names=["model", "piece", "n"])
 
-    return words.select("word", "count").mapInArrow(score, "word string, count bigint, spelled double")
+    sums = words.select("word", *names).mapInArrow(expect, "model bigint, piece bigint, n double").groupBy("model", "piece").agg(F.sum("n").alias("n"))
+    out = [np.zeros(lattice.size) for _ in models]
+    for r in sums.collect():  # a row for each piece and language at most
+        out[r.model][r.piece] = r.n
+    return out
 
 
 def lm_scores(docs: DataFrame, vocabulary_path: str = PIECES) -> DataFrame:
     """A row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    vocabulary = read_pieces(vocabulary_path)
+    lattice = Lattice(read_pieces(vocabulary_path))
     rows = in_blocks(docs)
-    in_block = staged(block_words(rows), "lm-block-words")
-    words = staged(in_block.groupBy("word").agg(F.sum("count").alias("count")), "lm-words")
-    total, distinct, ones, twos = words.agg(F.sum("count"), F.count_if(F.col("count") > 0), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)).first()
-    ends = rows.where(~F.col("held_out")).count()
-    n_all, n_distinct = (total or 0) + ends, distinct + (ends > 0)
-    discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-    lattice = weighted(vocabulary)
-    seen = words.where("count > 0")
-    for _ in range(EM_ROUNDS if distinct else 0):
-        lattice = weighted(vocabulary, expected_counts(seen, lattice))
-    spelled = staged(with_marginals(words, lattice), "lm-spelled").withColumnRenamed("word", "s_word").drop("count")
-    counts = words.select(F.col("word").alias("c_word"), F.col("count").alias("all_count"))
-    scored = in_block.select("block", "word").join(counts, F.col("word") == F.col("c_word")).join(spelled, F.col("word") == F.col("s_word"))
-    scored = scored.select(F.col("block").alias("w_block"), "word", F.col("all_count").alias("count"), "spelled")
-
-    share = discount * n_distinct / n_all if n_all else 1.0
+    place, ends = language_places(rows.where(~F.col("held_out")))
+    languages, n_ends = len(ends), sum(ends)
+    rows = rows.withColumn("place", place)
+    names = _counts(languages)
+    in_block = staged(block_words(rows, languages), "lm-block-words")
+    words = staged(in_block.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]), "lm-words")
+    count = sum((F.col(c) for c in names), F.lit(0))
+    sizes = [(F.sum(c), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2)) for c in (count, *map(F.col, names))]
+    found = words.agg(*[x for size in sizes for x in size]).first()
+    n_all, n_distinct = (found[0] or 0) + n_ends, (found[1] or 0) + (n_ends > 0)
     base_all = n_all + n_distinct + 1
-
-    def token(count: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        seen_part = np.maximum(count - discount, 0.0) / max(n_all, 1)
-        # in logs, as the spelling of a very long word is too small for a number of its own
+    totals, discounts, shares = np.ones(languages), np.zeros(languages), np.ones(languages)
+    for k in range(languages):
+        tokens, distinct, ones, twos = found[4 * k + 4 : 4 * k + 8]
+        if ends[k]:
+            totals[k] = (tokens or 0) + ends[k]
+            discounts[k] = ones / (ones + 2 * twos) if ones and twos else 0.5
+            shares[k] = discounts[k] * (distinct + 1) / totals[k]
+    models = [lattice.weights() for _ in range(languages)]
+    for _ in range(EM_ROUNDS if n_ends else 0):
+        models = [lattice.weights(c) for c in expected_counts(words.where(count > 0), lattice, models)]
+    log10 = math.log(10)
+
+    def token(counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """log10 probabilities of tokens by language, in logs as the spelling of a very long word is too small for a number of its own."""
         with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(seen_part), math.log(share) + spelled) / math.log(10)
+            return np.logaddexp(np.log(np.maximum(counts - discounts, 0.0) / totals), np.log(shares) + spelled) / log10
 
-    end = float(token(np.array([ends], float), np.array([lattice.stop]))[0])
-    end_base = math.log10((ends + 1) / base_all)
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.array([c.to_numpy() for c in batch.columns[1:]], float).reshape(languages, -1).T
+            spelled = np.array([lattice.marginals(w, models) for w in batch.column(0).to_pylist()], float).reshape(-1, languages)
+            logs = token(counts, spelled).astype(np.float32).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.sum(axis=1).astype(np.int64)), *map(pa.array, logs)], names=["s_word", "count", *logs_of])
+
+    logs_of = [f"p{k}" for k in range(languages)]
+    schema = "s_word string, count bigint, " + ", ".join(f"{p} float" for p in logs_of)
+    weighed = staged(words.select("word", *names).mapInArrow(weigh, schema), "lm-weighed")
+    scored = in_block.select(F.col("block").alias("w_block"), "word").join(weighed, F.col("word") == F.col("s_word")).drop("s_word")
+    end = token(np.array([ends], float), np.array([[m[-1] for m in models]]))[0]
+    prior = np.log10((np.array(ends) + 1) / (n_ends + languages))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = {w.as_py().encode("utf-8", "surrogatepass"): k for k, w in enumerate(right.column("word"))}
-        count = right.column("count").to_numpy().astype(float)
-        model, base = token(count, right.column("spelled").to_numpy()), np.log10((count + 1) / base_all)
+        at_word = {w.encode("utf-8", "surrogatepass"): k for k, w in enumerate(right.column("word").to_pylist())}
+        counts = right.column("count").to_numpy()
+        logs = np.array([right.column(p).to_numpy() for p in logs_of], float).reshape(languages, -1)
+        base = np.log10((counts + 1) / base_all)
         out = []
         for text in left.column("text"):
             tokens = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-            at = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
-            out.append((len(tokens) + 1, int((count[at] > 0).sum()) + (ends > 0), float(base[at].sum()) + end_base, float(model[at].sum()) + end))
+            at = np.fromiter(map(at_word.__getitem__, tokens), np.int64, len(tokens))
+            by_language = prior + end + logs[:, at].sum(axis=1)
+            top = by_language.max()
+            model = float(top + np.log10((10.0 ** (by_language - top)).sum()))
+            out.append((len(tokens) + 1, int((counts[at] > 0).sum()) + (n_ends > 0), float(base[at].sum()) + math.log10((n_ends + 1) / base_all), model))
         columns = [np.array(c) for c in zip(*out)]
-        return pa.table(
-            [left.column("doc_id"), left.column("held_out"), pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array(np.full(len(out), n_all, np.int64)), pa.array(columns[2]), pa.array(columns[3])],
-            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
+        whole = [pa.array(c.astype(np.int64)) for c in (*columns[:2], np.full(len(out), n_all))]
+        return pa.table([left.column("doc_id"), left.column("held_out"), *whole, pa.array(columns[2]), pa.array(columns[3])], _SCORES)
 
+    # a block without a word has no rows on the right, and its tokens are ends alone
+    none = pa.table([pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.int64()), *[pa.array([], pa.float32())] * languages], ["w_block", "word", "count", *logs_of])
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    # a block without a word has no rows on the right, so its tokens are ends alone
-    none = pa.table([pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["w_block", "word", "count", "spelled"])
+    rows = rows.select("block", "doc_id", "text", "held_out")
     return rows.groupBy("block").cogroup(scored.groupBy("w_block")).applyInArrow(lambda a, b: score(a, b if b.num_rows else none), schema)
 
 
+_SCORES = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(documents(spark, sf_dir))

@@ -70,34 +70,36 @@ def test_personal_data_odd_rows(spark):
 # ---- language model
 
 
-def brute_marginal(lattice, word):
+def brute_marginal(lattice, weights, word):
     text, total = " " + word, 0.0
 
     def walk(i, p):
         nonlocal total
         if i == len(text):
-            total += p * math.exp(lattice.stop)
+            total += p * math.exp(weights[-1])
             return
         ends = set()
         for j in range(i + 1, len(text) + 1):
             if text[i:j] in lattice.pieces:
                 ends.add(j)
-                walk(j, p * math.exp(lattice.pieces[text[i:j]]))
+                walk(j, p * math.exp(weights[lattice.pieces[text[i:j]]]))
         if i + 1 not in ends:
-            walk(i + 1, p * math.exp(sum(lattice.single[b] for b in text[i].encode())))
+            walk(i + 1, p * math.exp(sum(weights[len(lattice.pieces) + b] for b in text[i].encode())))
 
     walk(0, 1.0)
     return math.log(total)
 
 
 def test_lattice_sums_all_segmentations():
-    lattice = lm_scoring.weighted(read_pieces())
+    lattice = lm_scoring.Lattice(read_pieces())
+    weights = lattice.weights()
+    assert sum(map(math.exp, weights)) == pytest.approx(1)
     for word in ("the", "nation", "thntblere", "漢字", "a▁b", "", "éx9"):
-        assert lattice.marginal(word) == pytest.approx(brute_marginal(lattice, word))
-    counts = {}
-    lattice.expected("nation", counts)
-    assert sum(len(p) * n for p, n in counts.items()) == pytest.approx(len(" nation"))
-    assert math.isfinite(lattice.marginal("x" * 50_000))
+        assert lattice.marginals(word, [weights])[0] == pytest.approx(brute_marginal(lattice, weights, word))
+    counts = np.zeros(lattice.size)
+    lattice.expect("nation", weights, counts)
+    assert sum(len(p) * counts[k] for p, k in lattice.pieces.items()) == pytest.approx(len(" nation"))
+    assert math.isfinite(lattice.marginals("x" * 50_000, [weights])[0])
 
 
 def test_lm_base_and_score(spark):
