@@ -11,12 +11,16 @@ the candidates:
   sketch that leaves fewer than that many values. Values held by one set alone
   cannot match, so most documents drop out here, and passages that many
   documents share are not looked up unless they make up much of the document.
-* First, each list's members are paired with one leader of the list. Verified
-  links join them into components; then only pairs that lie in different
-  components are left to compare, so large groups of near copies do not make
-  all their pairs.
-* The union's sketch (the K smallest of both) estimates the similarity of a pair;
-  clearly lower ones go. What remains is verified on the full sets.
+* First, each list's members are paired with one leader of the list, the member
+  whose values are the most common ones, so that the middle of a large group of
+  near copies leads it. The union's sketch (the K smallest of both) estimates the
+  similarity of a pair; clearly lower ones go, and what remains is verified on the
+  full sets. Verified links join the members into components.
+* Lists that hold several components then are unsettled. Their members meet once
+  more by their full sets, exactly: with shingles ordered rarest first, a pair of
+  the wanted similarity shares one among the first few of each, at places that
+  leave room for the overlap it needs. Pairs of one component are settled, so a
+  group of near copies does not make all its pairs. These are verified as well.
 
 Defined results: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; a text of fewer words than a shingle has its whole
@@ -61,17 +65,14 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(hashes))
                 digests.append(digest16(hashes))
                 sketches.append(_ordered(hashes)[:K])
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
-            values = np.concatenate([*sketches, np.empty(0, np.int64)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["doc_id", "n_shingles", "set_digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(sketches)], names=["doc_id", "n_shingles", "set_digest", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_digest binary, sketch array<bigint>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, set_digest, members (the set's hashes, sorted, as bytes)."""
+    """doc_id, set_digest, members (the set's hashes in ascending order)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,9 +80,14 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 found = [shingle_hashes(x.as_py(), words, width) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(digest16, found), pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["doc_id", "set_digest", "members"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(digest16, found), pa.binary()), _lists([_ordered(x) for x in found])], names=["doc_id", "set_digest", "members"])
 
-    return docs.mapInArrow(sets, "doc_id bigint, set_digest binary, members binary")
+    return docs.mapInArrow(sets, "doc_id bigint, set_digest binary, members array<bigint>")
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
 
 
 def shared_least(n: Column) -> Column:
@@ -94,13 +100,36 @@ def _sizes_fit(a: str, b: str) -> Column:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """value, rep, n: the values under which a representative is looked up."""
+    """value, rep, n, weight: the values under which a representative is looked up, and how common its values are."""
     every = reps.select("rep", "n", F.explode("sketch").alias("value"))
     lists = every.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumnRenamed("value", "l_value")
     common = every.join(lists, F.col("value") == F.col("l_value")).select("rep", "n", "value", "df")
     own = Window.partitionBy("rep")
-    ranked = common.withColumns({"have": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("df", "value"))})
-    return ranked.where(F.col("place") <= F.col("have") - shared_least(F.col("n")) + 1).select("value", "rep", "n")
+    ranked = common.withColumns({"have": F.count(F.lit(1)).over(own), "weight": F.sum("df").over(own), "place": F.row_number().over(own.orderBy("df", "value"))})
+    return ranked.where(F.col("place") <= F.col("have") - shared_least(F.col("n")) + 1).select("value", "rep", "n", "weight")
+
+
+def unsettled_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may have the similarity, none left out; sets: rep, component, members.
+
+    The smaller of two sets with 9 * overlap >= 4 * (both sizes) shares one of its
+    first n - ceil(8n/9) + 1 shingles with the first n - ceil(8n/10) + 1 of the larger.
+    """
+    every = sets.select("rep", "component", F.size("members").cast("bigint").alias("n"), F.explode("members").alias("value"))
+    often = every.groupBy("value").agg(F.count(F.lit(1)).alias("df")).withColumnRenamed("value", "o_value")
+    ranked = every.join(often, F.col("value") == F.col("o_value")).withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("df", "value")).cast("bigint"))
+    first = ranked.where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * 8 / 10 - 1e-9) + 1))
+    first = staged(first.select("value", "rep", "n", "component", "place"), "near-first")
+    small = first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 8 / 9 - 1e-9) + 1)
+    small = small.select(*[F.col(c).alias(f"s_{c}") for c in first.columns])
+    room = F.least(F.col("n") - F.col("place"), F.col("s_n") - F.col("s_place")) + 1
+    met = small.join(
+        first,
+        (F.col("s_value") == F.col("value")) & (F.col("s_component") != F.col("component"))
+        & ((F.col("s_n") < F.col("n")) | ((F.col("s_n") == F.col("n")) & (F.col("s_rep") < F.col("rep"))))
+        & (100 * F.col("s_n") >= 80 * F.col("n")) & (9 * room >= 4 * (F.col("n") + F.col("s_n"))),
+    )
+    return met.select(F.least("s_rep", "rep").alias("a"), F.greatest("s_rep", "rep").alias("b")).distinct()
 
 
 def _close_sketches(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -122,7 +151,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             mask = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                one, two = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                one, two = x.values.to_numpy(), y.values.to_numpy()
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 mask.append(100 * common >= 80 * (len(one) + len(two) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(mask, pa.bool_()))
@@ -147,31 +176,25 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     reps = staged(classes, "near-classes")
     lists = staged(postings(reps), "near-postings")
 
-    leader = lists.groupBy("value").agg(F.min(F.struct("n", "rep")).alias("top"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    leader = leader.select(F.col("value").alias("l_value"), F.col("top.rep").alias("leader"))
+    top = F.max(F.struct("weight", (-F.col("rep")).alias("back"))).alias("top")
+    leader = lists.groupBy("value").agg(top, F.count(F.lit(1)).alias("held")).where("held > 1")
+    leader = leader.select(F.col("value").alias("l_value"), (-F.col("top.back")).alias("leader"))
     led = lists.join(leader, F.col("value") == F.col("l_value"))
     pairs = led.where(F.col("rep") != F.col("leader")).select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
     close = staged(_close_sketches(pairs, reps), "near-close")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets_of = lambda ids: _sets(texts, ids, reps, width)
-    links = staged(_verified(close, sets_of(close)), "near-links")
+    wanted = close.select(F.col("a").alias("w")).union(close.select("b")).distinct()
+    links = staged(_verified(close, _sets(texts, wanted, reps, width)), "near-links")
 
-    groups = components(links)
-    member = groups.select(F.col("node").alias("g_node"), "component")
-    placed = led.join(member, F.col("rep") == F.col("g_node"), "left").select("value", "rep", "n", "leader", F.coalesce("component", "rep").alias("component"))
+    member = components(links).select(F.col("node").alias("g_node"), "component")
+    placed = led.join(member, F.col("rep") == F.col("g_node"), "left").select("value", "rep", F.coalesce("component", "rep").alias("component"))
     placed = staged(placed, "near-placed")
-    lead = placed.where(F.col("rep") == F.col("leader")).select(F.col("value").alias("l_value"), F.col("component").alias("lead_component"))
-    placed = placed.join(lead, F.col("value") == F.col("l_value")).select("value", "rep", "n", "leader", "component", (F.col("component") != F.col("lead_component")).alias("apart"))
-    other = placed.where("apart").select(F.col("value").alias("o_value"), F.col("rep").alias("o_rep"), F.col("n").alias("o_n"), F.col("component").alias("o_component"))
-    # Pairs of one component, and those with the leader, are settled.
-    rest = other.join(
-        placed,
-        (F.col("o_value") == F.col("value")) & (F.col("o_component") != F.col("component")) & (F.col("rep") != F.col("leader"))
-        & _sizes_fit("n", "o_n") & (~F.col("apart") | (F.col("o_rep") < F.col("rep"))),
-    )
-    rest = rest.select(F.least("o_rep", "rep").alias("a"), F.greatest("o_rep", "rep").alias("b")).distinct()
-    rest = staged(_close_sketches(rest, reps), "near-rest")
-    links = links.unionByName(_verified(rest, sets_of(rest)))
+    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(F.col("value").alias("m_value"))
+    open_reps = placed.join(mixed, F.col("value") == F.col("m_value")).select(F.col("rep").alias("w"), "component").distinct()
+    open_reps = staged(open_reps, "near-open")
+    sets = _sets(texts, open_reps.select("w"), reps, width)
+    rest = unsettled_pairs(sets.join(open_reps, F.col("rep") == F.col("w")))
+    links = links.unionByName(_verified(staged(_close_sketches(rest, reps), "near-rest"), sets))
     groups = components(staged(links, "near-all-links"))
 
     member = groups.select(F.col("node").alias("g_node"), "component")
@@ -185,13 +208,13 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     return known.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _sets(texts: DataFrame, pairs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """rep, members for the representatives in ``pairs``."""
-    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
+def _sets(texts: DataFrame, wanted: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """rep, members for the representatives in ``wanted`` (one column w)."""
     found = full_sets(texts.join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), width)
     names = reps.join(wanted, F.col("rep") == F.col("w"), "left_semi").select(F.col("rep"), F.col("set_digest").alias("r_digest"))
-    sets = found.join(names, (F.col("doc_id") == F.col("rep")) & (F.col("set_digest") == F.col("r_digest"))).select("rep", "members")
-    return staged(sets.dropDuplicates(["rep"]), "near-sets")
+    # a doc_id may stand on several rows; those with the representative's set are alike
+    sets = found.join(names, (F.col("doc_id") == F.col("rep")) & (F.col("set_digest") == F.col("r_digest")))
+    return staged(sets.groupBy("rep").agg(F.first("members").alias("members")), "near-sets")
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
