@@ -163,3 +163,35 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epoch
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS o
+  FROM documents),
+w AS (
+  SELECT *, 3.0 * source_size AS cap, CASE (k - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source)),
+v(i, level) AS (
+  SELECT 0, (SELECT sum(source_size) / sum(weight) FROM w)
+  UNION ALL
+  SELECT i + 1, (SELECT (sum(source_size) - coalesce(sum(cap) FILTER (cap < v.level * weight), 0)) / nullif(sum(weight) FILTER (cap >= v.level * weight), 0) FROM w)
+  FROM v WHERE i < 40 AND level IS NOT NULL),
+t AS (SELECT source, source_size, cap, least(cap, (SELECT max(level) FROM v) * weight) AS target FROM w),
+b AS (
+  SELECT source, source_size, coalesce(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low, target, sum(target) OVER () AS total
+  FROM t WHERE target > 0),
+z AS (SELECT CAST(greatest(1, ceil(sum(size) / {SLOTS})) AS BIGINT) AS words, CAST(sum(size) AS BIGINT) AS total FROM d),
+p AS (SELECT j, (j + 0.5) * CAST({PHI} AS DOUBLE) AS u FROM (SELECT unnest(range((total + words - 1) // words)) AS j FROM z)),
+r AS (
+  SELECT b.source, (source_size + words - 1) // words AS blocks, row_number() OVER (PARTITION BY b.source ORDER BY j) - 1 AS rank
+  FROM p JOIN b ON u - floor(u) >= low / b.total AND u - floor(u) < (low + target) / b.total, z),
+a AS (SELECT source, rank % blocks AS block, count(*) AS reads FROM r WHERE rank // blocks < 3 GROUP BY 1, 2),
+s AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY CAST('0x' || substr(o, 1, 4) AS BIGINT) % {RUNS}, o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d),
+f AS (
+  SELECT s.source, s.start, sum((least(start + size, (block + 1) * words) - greatest(start, block * words)) * reads) AS taken
+  FROM s JOIN a ON s.source IS NOT DISTINCT FROM a.source, z
+  WHERE size > 0 AND block * words < start + size AND (block + 1) * words > start GROUP BY 1, 2)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, t.source_size, round(t.target, 6) AS target, CAST(coalesce(f.taken, 0) AS BIGINT) AS taken
+FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN f ON s.source IS NOT DISTINCT FROM f.source AND s.start = f.start AND s.size > 0
+"""
