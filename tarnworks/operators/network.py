@@ -122,12 +122,16 @@ def _contracted(table: DataFrame, at: DataFrame) -> DataFrame:
     return staged(out.select("n", F.col("t_at").alias("to"), F.col("s_area").alias("area"), F.col("s_members").alias("members")), "contracted")
 
 
-def aggregate_to_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
-    """unit, to_unit, area, members: every line joins the first of the given outlets, or the terminal, downstream of it."""
+def placed_at_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
+    """n, at: the first of the given outlets, or the terminal, downstream of each line."""
     marks = outlets.select(F.col(outlets.columns[0]).alias("m_n"), F.lit(True).alias("mark")).distinct()
     moving = flowpaths.join(marks, F.col("n") == F.col("m_n"), "left").withColumn("moves", F.col("mark").isNull() & F.col("to").isNotNull())
-    at = staged(_destinations(moving.select("n", "to", "moves")), "outlets-at")
-    out = _contracted(flowpaths.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), at)
+    return staged(_destinations(moving.select("n", "to", "moves")), "outlets-at")
+
+
+def aggregate_to_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
+    """unit, to_unit, area, members: every line joins the outlet or terminal that it is placed at."""
+    out = _contracted(flowpaths.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), placed_at_outlets(flowpaths, outlets))
     return out.select(F.col("n").alias("unit"), F.col("to").alias("to_unit"), "area", "members")
 
 
@@ -136,5 +140,5 @@ def model_network(flowlines: DataFrame, units: DataFrame, placed: DataFrame) ->
 
     flowlines: n, area; placed: n, at (the unit of each line); units: unit, to_unit.
     """
-    rows = flowlines.join(placed.select(F.col("n").alias("p_n"), "at"), F.col("n") == F.col("p_n")).join(units, F.col("at") == F.col("unit"))
+    rows = flowlines.join(placed.select(F.col("n").alias("p_n"), "at"), F.col("n") == F.col("p_n")).join(units.select("unit", "to_unit"), F.col("at") == F.col("unit"))
     return rows.select(F.col("n").cast("string").alias("reference_id"), typed("fp", F.col("unit")).alias("flowpath_id"), typed("cat", F.col("unit")).alias("divide_id"), typed("fp", F.col("to_unit")).alias("flowpath_toid"), F.col("area").alias("areasqkm"))

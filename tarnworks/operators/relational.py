@@ -38,6 +38,8 @@ def corrected(table: DataFrame, corrections: DataFrame, key: str, order: str) ->
     """
     patch_key = corrections.columns[0]
     columns = [c for c in corrections.columns if c in table.columns and c not in (key, order, patch_key)]
+    if not columns:
+        return table
     last = corrections.groupBy(F.col(patch_key).alias("_key")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_new_{c}") for c in columns]
     )

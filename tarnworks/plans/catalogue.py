@@ -16,6 +16,8 @@ from tarnworks.functions import display, geometry
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
 from tarnworks.operators import aggregates, attributes, graph, network, pointers, raster, relational
 from tarnworks.operators.subset import subset_lakes
+from tarnworks.plans import preparation as plan
+from tarnworks.sources.layers import catalog, read_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -587,3 +589,93 @@ def aggregate_to_outlets(spark, sf_dir):
     return network.aggregate_to_outlets(lines, lines.where("n % 11 = 0").select("n"))
 
 
+
+
+# ---- attributes and whole steps
+
+
+@query(
+    "WITH c AS (SELECT l_partkey AS d, CASE l_linenumber % 3 WHEN 0 THEN 'soil' WHEN 1 THEN 'vegetation' ELSE 'impervious' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem), "
+    "t AS (SELECT d, name, v, sum(w) AS w FROM c GROUP BY 1, 2, 3), m AS (SELECT d, name, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), "
+    "i AS (SELECT d, round(sum(v * w) / sum(w), 6) AS v FROM c WHERE name = 'impervious' GROUP BY 1), k AS (SELECT DISTINCT d FROM c) "
+    'SELECT k.d AS divide_id, s.v AS "mode.soil", g.v AS "mode.vegetation", i.v AS "mean.impervious" FROM k LEFT JOIN (FROM m WHERE name = \'soil\') s ON s.d = k.d '
+    "LEFT JOIN (FROM m WHERE name = 'vegetation') g ON g.d = k.d LEFT JOIN i ON i.d = k.d"
+)
+def minimal_attributes(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    name = F.element_at(F.array(F.lit("soil"), F.lit("vegetation"), F.lit("impervious")), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    covered = lines.select(F.col("l_partkey").alias("divide_id"), name.alias("name"), F.floor("l_quantity").cast("double").alias("value"), F.col("l_linenumber").alias("coverage"))
+    walk = lines.select(F.col("l_orderkey").cast("string").alias("reference_id"), F.col("l_partkey").alias("divide_id"))
+    basins = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ComID"), F.lit(1.0).alias("Coeff"), F.lit(1.0).alias("Area_sqkm"), F.lit(1.0).alias("Zmax"), F.lit(1.0).alias("Expon"))
+    found = attributes.minimal_divide_attributes(covered, walk, basins)
+    return found.select("divide_id", "`mode.soil`", "`mode.vegetation`", F.round("`mean.impervious`", 6).alias("mean.impervious"))
+
+
+@query(
+    "WITH c AS (SELECT l_partkey AS d, l_linenumber AS k, CASE WHEN l_suppkey % 2 = 0 THEN 'bexp' ELSE 'smcmax' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem WHERE l_linenumber <= 4), "
+    "t AS (SELECT d, k, v, sum(w) AS w FROM c WHERE name = 'bexp' GROUP BY 1, 2, 3), m AS (SELECT d, k, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), a AS (SELECT d, k, round(avg(v), 6) AS v FROM c WHERE name = 'smcmax' GROUP BY 1, 2) "
+    "SELECT d AS divide_id, " + ", ".join(f"any_value(v) FILTER (n = 'b{k}') AS \"mode.bexp_{k}\", any_value(v) FILTER (n = 's{k}') AS \"mean.smcmax_{k}\"" for k in (1, 2, 3, 4))
+    + " FROM (SELECT d, 'b' || k AS n, v FROM m UNION ALL SELECT d, 's' || k, v FROM a) GROUP BY 1"
+)
+def soil_attributes(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 4")
+    name = F.when(F.col("l_suppkey") % 2 == 0, F.lit("bexp")).otherwise(F.lit("smcmax"))
+    covered = lines.select(F.col("l_partkey").alias("divide_id"), name.alias("name"), F.col("l_linenumber").alias("layer"), F.floor("l_quantity").cast("double").alias("value"), F.col("l_linenumber").alias("coverage"))
+    found = attributes.soils(covered, {"bexp": "mode", "smcmax": "mean"})
+    return found.select("divide_id", *[F.round(f"`{c}`", 6).alias(c) for c in found.columns if c != "divide_id"])
+
+
+@query(
+    f"WITH RECURSIVE {_LINES}, d(n, z) AS (SELECT n, n FROM t UNION ALL SELECT d.n, t.o FROM d JOIN t ON t.n = d.z WHERE d.z % 11 <> 0 AND t.o IS NOT NULL), f AS (SELECT d.n, d.z FROM d JOIN t ON t.n = d.z WHERE d.z % 11 = 0 OR t.o IS NULL) "
+    "SELECT CAST(f.n AS VARCHAR) AS reference_id, 'fp-' || f.z AS flowpath_id, 'cat-' || f.z AS divide_id, 'fp-' || g.z AS flowpath_toid, t.area AS areasqkm FROM f JOIN t ON t.n = f.n JOIN t k ON k.n = f.z LEFT JOIN f g ON g.n = k.o"
+)
+def model_network(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    outlets = lines.where("n % 11 = 0").select("n")
+    return network.model_network(lines, network.aggregate_to_outlets(lines, outlets), network.placed_at_outlets(lines, outlets))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (3, 7, 11) UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey < 600")
+def read_by_ids(spark, sf_dir):
+    path = f"{sf_dir}/orders.parquet"
+    few, more = read_ids(spark, path, "o_orderkey", [3, 7, 11]), read_ids(spark, path, "o_orderkey", list(range(0, 600, 10)))
+    return few.unionByName(more).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT 'nation' AS table_name, 'attributes' AS data_type, count(*) AS feature_count, NULL::DOUBLE AS minx, NULL::DOUBLE AS maxy FROM nation UNION ALL SELECT 'customer', 'features', count(*), min(c_acctbal), CAST(max(c_nationkey) AS DOUBLE) FROM customer")
+def container_catalog(spark, sf_dir):
+    points = table(spark, sf_dir, "customer").select("c_custkey", geometry.point("c_acctbal", F.col("c_nationkey").cast("double")).alias("geom"))
+    return catalog({"nation": table(spark, sf_dir, "nation"), "customer": points}).select("table_name", "data_type", "feature_count", "minx", "maxy")
+
+
+@query(
+    "SELECT n_regionkey, '{\"type\":\"FeatureCollection\",\"features\":[' || string_agg('{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || n_nationkey || '.0,' || n_regionkey || '.5]},\"properties\":{\"n_name\":\"' || n_name || '\"}}', ',' ORDER BY n_nationkey) || ']}' AS collection, "
+    "CAST(min(n_nationkey) AS DOUBLE) AS minx, CAST(max(n_nationkey) AS DOUBLE) AS maxx FROM nation GROUP BY 1"
+)
+def feature_collection(spark, sf_dir):
+    shape = geometry.geojson(geometry.point(F.col("n_nationkey").cast("double"), F.col("n_regionkey") + F.lit(0.5)), project=False)
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", shape.alias("s"), F.to_json(F.struct("n_name")).alias("p")).where("s.json IS NOT NULL")
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("s.json"), F.lit(',"properties":'), F.col("p"), F.lit("}"))
+    # an export for display: the features of one region are few
+    lists = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", feature.alias("f")))).alias("fs"), F.min("s.minx").alias("minx"), F.max("s.maxx").alias("maxx"))
+    joined = F.array_join(F.transform("fs", lambda x: x["f"]), ",")
+    return lists.select("n_regionkey", F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}")).alias("collection"), "minx", "maxx")
+
+
+@query(
+    "SELECT 'cat-' || p_partkey AS divide_id, 'wb-' || p_partkey AS id, CASE WHEN p_partkey >= 1 THEN 'nex-' || CASE WHEN p_partkey % 10 = 0 THEN 7 ELSE p_partkey // 2 END END AS toid, '16' AS vpuid, "
+    "CAST(p_size AS DOUBLE) AS lengthkm, p_partkey % 9 AS tot_drainage_areasqkm FROM part"
+)
+def preparation(spark, sf_dir):
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    fp, size = typed("fp", key), F.col("p_size").cast("double")
+    layers = {
+        "flowpaths": part.select(fp.alias("flowpath_id"), F.when(key >= 1, typed("nex", F.floor(key / 2))).alias("flowpath_toid"), F.lit("f").alias("flowline_id"), F.lit("m").alias("member_comid")),
+        "network": part.select(fp.alias("flowpath_id"), typed("cat", key).alias("divide_id"), size.alias("flowpath_lengthkm"), (key % 9).alias("tot_drainage_areasqkm"), F.when(key % 4 == 0, key).alias("poi_id")),
+        "divides": part.select(typed("cat", key).alias("divide_id"), fp.alias("flowpath_id")),
+        "nexus": part.select(typed("nex", key).alias("nexus_id"), typed("fp", F.floor(key / 2)).alias("nexus_toid")),
+    }
+    patches = part.where("p_partkey % 10 = 0 AND p_partkey >= 1").select(fp.alias("id"), F.lit("nex-7").alias("flowpath_toid"), F.lit(1).alias("ord"))
+    settings = plan.Settings()
+    layers = plan.reconcile(plan.describe(plan.correct(layers, patches)), settings)
+    return layers["divides"].select("divide_id", "id", "toid", "vpuid", "lengthkm", "tot_drainage_areasqkm")
