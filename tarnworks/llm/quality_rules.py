@@ -46,7 +46,7 @@ LEAST = 50
 #: Mahalanobis distance beyond which a row is rejected: the root of the chi-square quantile 0.99999 of four degrees.
 CUTOFF = 5.34
 #: Mean of the squared distance over the nearest three quarters of a Gaussian of four dimensions, by dimension: the estimate is divided by it.
-CONSISTENCY = 0.6135
+CONSISTENCY = 0.6728
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
