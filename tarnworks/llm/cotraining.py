@@ -1,8 +1,9 @@
 """Quality by co-training two views of a document: its text and its page's metadata.
 
-Each view has a naive Bayes classifier over a fixed number of features: hashed
-words and binned statistics of the text, or language, source and length. In each
-round a view's confident verdicts on documents without a label train the other
+Each view has a naive Bayes classifier over a fixed number of features that are
+there or not: hashed words and binned statistics of the text, or language, source
+and length. The words of a text speak for much the same thing, so their evidence is
+averaged and counts as ``VOICES`` features, however many they are. In each round a view's confident verdicts on documents without a label train the other
 view. A view's log odds are calibrated on labelled documents held out from
 training; in the end the calibrated log odds of both are combined and calibrated
 again, and score every document.
@@ -36,8 +37,11 @@ from tarnworks.session import staged
 
 QUERY = "op4_quality_classifier"
 
-WORDS = 4096
+#: Features of the text: hashed words, then eight bins for each statistic; and of the metadata.
+WORDS = 2048
+BINNED = 64
 META = 1024
+VOICES = 4.0
 ROUNDS = 3
 SURE = 0.95
 #: A feature counts when its log ratio is so many standard errors from 0.
@@ -78,20 +82,37 @@ def meta_features(lang: str | None, source: str | None, n_chars: int | None) ->
     return [xxhash.xxh3_64_intdigest(s) % META for s in said]
 
 
+def _bits(lists: list[list[int]], size: int) -> pa.Array:
+    """A row of bits for each list, as bytes."""
+    table = np.zeros((len(lists), size), np.uint8)
+    for row, found in zip(table, lists):
+        row[found] = 1
+    return pa.array([row.tobytes() for row in np.packbits(table, axis=1)], pa.binary())
+
+
+def _table(view: pa.Array) -> np.ndarray:
+    """Rows of 0 and 1 from a column of bits."""
+    rows = [np.frombuffer(b.as_py(), np.uint8) for b in view]
+    return np.unpackbits(np.stack(rows), axis=1) if rows else np.zeros((0, 8), np.uint8)
+
+
+#: Rows whose bits are spread out at a time.
+_ROWS = 1024
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, text_view, meta_view."""
+    """doc_id, text_view, meta_view: the features of both views as bits."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
                 texts = [text_features(t.as_py()) for t in part.column(1)]
                 metas = [meta_features(*row) for row in zip(*[part.column(k).to_pylist() for k in (2, 3, 4)])]
-                kind = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, kind), pa.array(metas, kind)], names=["doc_id", "text_view", "meta_view"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _bits(texts, WORDS + BINNED), _bits(metas, META)], names=["doc_id", "text_view", "meta_view"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
-    return rows.mapInArrow(extract, "doc_id bigint, text_view array<int>, meta_view array<int>")
+    return rows.mapInArrow(extract, "doc_id bigint, text_view binary, meta_view binary")
 
 
 @dataclass
@@ -99,18 +120,18 @@ class View:
     """Log odds of features, and the line that calibrates their sum."""
 
     weights: np.ndarray
-    bias: float = 0.0
+    bias: float
+    words: int
     slope: float = 1.0
     offset: float = 0.0
 
-    def odds(self, lists: pa.ListArray) -> np.ndarray:
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        ends = lists.offsets.to_numpy()
-        upto = np.concatenate([[0.0], np.cumsum(self.weights[lists.values.to_numpy()])])
-        return upto[ends[1:]] - upto[ends[:-1]] + self.bias
+    def odds(self, table: np.ndarray) -> np.ndarray:
+        words = table[:, : self.words]
+        said = words @ self.weights[: self.words] * (VOICES / np.maximum(words.sum(axis=1, dtype=np.int64), VOICES))
+        return said + table[:, self.words :] @ self.weights[self.words :] + self.bias
 
-    def calibrated(self, lists: pa.ListArray) -> np.ndarray:
-        return self.slope * self.odds(lists) + self.offset
+    def calibrated(self, table: np.ndarray) -> np.ndarray:
+        return self.slope * self.odds(table) + self.offset
 
 
 def _sure(odds: np.ndarray) -> np.ndarray:
@@ -119,12 +140,12 @@ def _sure(odds: np.ndarray) -> np.ndarray:
     return np.where(odds >= edge, 1, np.where(odds <= -edge, 0, -1))
 
 
-def _bayes(counts: np.ndarray, totals: np.ndarray) -> View:
-    """counts: feature by class; totals: documents by class."""
+def _bayes(counts: np.ndarray, totals: np.ndarray, words: int) -> View:
+    """counts: feature by class; totals: documents by class; words: features that are averaged."""
     rate = (counts + 0.5) / (totals + 1.0)
     ratio = np.log(rate[:, 1] / rate[:, 0])
     error = np.sqrt((1 / (counts + 0.5)).sum(axis=1))
-    return View(np.where(np.abs(ratio) >= CLEAR * error, ratio, 0.0), math.log((totals[1] + 1) / (totals[0] + 1)))
+    return View(np.where(np.abs(ratio) >= CLEAR * error, ratio, 0.0), math.log((totals[1] + 1) / (totals[0] + 1)), words)
 
 
 def _line(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
@@ -145,47 +166,49 @@ def _line(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[float, floa
 
 def _training_sums(rows: DataFrame, text: View | None, meta: View | None) -> tuple[np.ndarray, ...]:
     """Counts by feature and class, and documents by class, for both views."""
-    text_size, meta_size = WORDS + 64, META
+    sizes = (WORDS + BINNED, META)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((text_size + meta_size + 2, 2))
-        for batch in batches:
+        sums, totals = [np.zeros((n, 2)) for n in sizes], np.zeros((2, 2))
+        for batch in _parts(batches):
             label = batch.column(2).to_numpy(zero_copy_only=False)
-            fit = label >= 0
-            other = (label == -1) & (text is not None)
-            for view, base, size, total, lists, teacher, shown in (
-                (0, 0, text_size, -2, batch.column(0), meta, batch.column(1)),
-                (1, text_size, meta_size, -1, batch.column(1), text, batch.column(0)),
-            ):
-                y = np.where(fit, label, -1)
-                if teacher is not None:
-                    y = np.where(other, _sure(teacher.calibrated(shown)), y)
-                lengths = np.diff(lists.offsets.to_numpy())
-                each = np.repeat(y, lengths)
-                values = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
+            tables = [_table(batch.column(0)), _table(batch.column(1))]
+            teachers = (meta, text)  # each view learns from the other's verdicts
+            for k in (0, 1):
+                y = label
+                if teachers[k] is not None:
+                    y = np.where(label >= 0, label, _sure(teachers[k].calibrated(tables[1 - k])))
                 for c in (0, 1):
-                    sums[base : base + size, c] += np.bincount(values[each == c], minlength=size)
-                    sums[total, c] += (y == c).sum()
+                    sums[k][:, c] += tables[k][y == c].sum(axis=0, dtype=np.int64)
+                    totals[k, c] += (y == c).sum()
+        every = np.concatenate([*sums, totals])
         for c in (0, 1):
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(np.full(len(sums), c)), pa.array(sums[:, c])], names=["feature", "class", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(every))), pa.array(np.full(len(every), c)), pa.array(every[:, c])], names=["feature", "class", "n"])
 
     found = rows.select("text_view", "meta_view", "label").mapInArrow(count, "feature bigint, class bigint, n double").groupBy("feature", "class").agg(F.sum("n").alias("n"))
-    sums = np.zeros((text_size + meta_size + 2, 2))
+    every = np.zeros((sum(sizes) + 2, 2))
     for r in found.collect():  # two numbers a feature
-        sums[r.feature, r["class"]] = r.n
-    return sums[:text_size], sums[text_size:-2], sums[-2], sums[-1]
+        every[r.feature, r["class"]] = r.n
+    return every[: sizes[0]], every[sizes[0] : -2], every[-2], every[-1]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
 
 
 def _calibration(held: DataFrame, odds: list[Callable]) -> list[tuple[float, float]]:
-    """The calibrating line of each function from the two views' lists to log odds."""
+    """The calibrating line of each function from the two views' features to log odds."""
     centre = (np.arange(_BINS) + 0.5) * (2 * _REACH / _BINS) - _REACH
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(odds), 2, _BINS))
-        for batch in batches:
+        for batch in _parts(batches):
             label = batch.column(2).to_numpy(zero_copy_only=False)
+            tables = _table(batch.column(0)), _table(batch.column(1))
             for k, f in enumerate(odds):
-                at = np.clip((f(batch.column(0), batch.column(1)) + _REACH) / (2 * _REACH) * _BINS, 0, _BINS - 1).astype(int)
+                at = np.clip((f(*tables) + _REACH) / (2 * _REACH) * _BINS, 0, _BINS - 1).astype(int)
                 for c in (0, 1):
                     sums[k, c] += np.bincount(at[label == c], minlength=_BINS)
         k, c, b = np.nonzero(sums)
@@ -207,7 +230,7 @@ def train(rows: DataFrame) -> tuple[View, View, tuple[float, float]] | None:
         text_sums, meta_sums, text_total, meta_total = _training_sums(fit, text, meta)
         if not text_total.all() or not meta_total.all():
             return None
-        text, meta = _bayes(text_sums, text_total), _bayes(meta_sums, meta_total)
+        text, meta = _bayes(text_sums, text_total, WORDS), _bayes(meta_sums, meta_total, 0)
         lines = _calibration(held, [lambda t, m: text.odds(t), lambda t, m: meta.odds(m)])  # noqa: B023
         (text.slope, text.offset), (meta.slope, meta.offset) = lines
     return text, meta, _calibration(held, [lambda t, m: text.calibrated(t) + meta.calibrated(m)])[0]
@@ -227,12 +250,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             if model is None:
                 odds = [np.zeros(batch.num_rows)] * 3
             else:
                 text, meta, (slope, offset) = model
-                odds = [text.calibrated(batch.column(1)), meta.calibrated(batch.column(2))]
+                odds = [text.calibrated(_table(batch.column(1))), meta.calibrated(_table(batch.column(2)))]
                 odds.append(slope * (odds[0] + odds[1]) + offset)
             shares = [1 / (1 + np.exp(-np.clip(o, -500, 500))) for o in odds]
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, shares), pa.array(shares[2] >= 0.5)], names=["doc_id", "p_text", "p_meta", "p_good", "good"])

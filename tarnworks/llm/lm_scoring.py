@@ -9,15 +9,17 @@ probability of a word's spelling is the sum over all its segmentations, by a
 forward recursion in log space over the lattice of pieces; a character without a
 piece is spelled in byte pieces. The weights of pieces start from the vocabulary's
 own scores (a piece of rank r weighs 1 / (r + 10)) and are re-estimated for each
-language on its distinct training words by expected counts.
+language on its distinct training words by expected counts, first part by part
+of the words, since that takes fewer sweeps, and at last on all of them.
 
 Languages are the values of ``lang`` in the training documents; beyond the most
 frequent ``LANGUAGES - 1``, all others together are one. A text's own ``lang`` is
 not looked at when it is scored.
 
-Words are counted in blocks of documents of about ``BLOCK_POINTS`` code points: a block gives a
-row for each distinct word, the corpus counts are sums of these, and each block
-gets back the scores of its own words only. So no table that grows with the corpus
+Words are counted in blocks of documents, the splits of the input's files (cut
+further where they hold more than ``BLOCK_POINTS`` code points on average): a block gives a row for each distinct
+word, the corpus counts are sums of these, and each block gets back the scores of
+its own words only, which is the one shuffle of texts. So no table that grows with the corpus
 is broadcast or collected; piece counts (a number for each piece and language) are
 all that the driver sees.
 
@@ -44,8 +46,12 @@ from tarnworks.session import staged
 
 QUERY = "op2_lm_scoring"
 
-BLOCK_POINTS = 24_000_000
-EM_ROUNDS = 3
+BLOCK_POINTS = 64_000_000
+#: Distinct words that a task holds before it hands them on.
+HELD = 1_000_000
+#: Weights are re-estimated on each of PARTS parts of the words in turn, SWEEPS times over, and at last on all words.
+SWEEPS = 2
+PARTS = 4
 LANGUAGES = 12
 #: Weight of the vocabulary's own scores beside the expected counts, in pieces.
 PRIOR = 1000.0
@@ -60,7 +66,7 @@ class Lattice:
 
     def __init__(self, vocabulary: Vocabulary):
         # the word mark stands at a word's start alone
-        self.ranks = {t: -s for t, (_, s) in vocabulary.pieces.items() if " " not in t[1:]}
+        self.ranks = {t: -vocabulary.scores[i] for t, i in vocabulary.ids.items() if " " not in t[1:]}
         self.pieces = {t: k for k, t in enumerate(self.ranks)}
         self.size = len(self.pieces) + TAIL
         # every prefix of a piece, so that a scan ends where no piece goes on
@@ -146,8 +152,10 @@ def in_blocks(docs: DataFrame) -> DataFrame:
     """doc_id, text, lang, held_out, block."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "lang", (F.crc32(key) % 7 == 2).alias("held_out"))
-    points = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-points // BLOCK_POINTS)))))
+    rows = rows.withColumns({"file": F.input_file_name(), "split": F.input_file_block_start()})
+    points, splits = rows.agg(F.sum(F.length("text")), F.count_distinct("file", "split")).first()
+    parts = max(1, -(-(points or 0) // (BLOCK_POINTS * max(splits, 1))))
+    return rows.withColumn("block", F.xxhash64("file", "split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))).drop("file", "split")
 
 
 def language_places(training: DataFrame) -> tuple[Column, list[int]]:
@@ -163,22 +171,37 @@ def language_places(training: DataFrame) -> tuple[Column, list[int]]:
 
 
 def block_words(rows: DataFrame, languages: int) -> DataFrame:
-    """block, word, c0, c1, ...: a row for each distinct word of a block, with its counts in training documents by language."""
-
-    def count(table: pa.Table) -> pa.Table:
-        known, every = [Counter() for _ in range(languages)], set()
-        for text, held_out, place in zip(table.column("text"), table.column("held_out"), table.column("place")):
-            words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-            every.update(words)
-            if not held_out.as_py():
-                known[place.as_py()].update(words)
-        words = list(every)
-        counts = [pa.array(np.fromiter((c.get(w, 0) for w in words), np.int64, len(words))) for c in known]
-        block = pa.array(np.full(len(words), table.column("block")[0].as_py(), np.int64))
-        return pa.table([block, pa.array(words, pa.binary()).cast(pa.string()), *counts], ["block", "word", *_counts(languages)])
+    """block, word, c0, c1, ...: the distinct words of a block, with counts in training documents by language.
+
+    A word comes once for each task that reads a part of the block, and once more
+    whenever a task has ``HELD`` words and hands them on.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[set, list[Counter]]] = {}
+        for batch in batches:
+            for block, text, held_out, place in zip(*batch.columns):
+                every, known = found.setdefault(block.as_py(), (set(), [Counter() for _ in range(languages)]))
+                words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
+                every.update(words)
+                if not held_out.as_py():
+                    known[place.as_py()].update(words)
+            if sum(len(every) for every, _ in found.values()) >= HELD:
+                yield from handed_on(found)
+        yield from handed_on(found)
+
+    def handed_on(found: dict) -> Iterator[pa.RecordBatch]:
+        while found:
+            block, (every, known) = found.popitem()
+            words = list(every)
+            for start in range(0, len(words), 100_000):
+                part = words[start : start + 100_000]
+                counts = [pa.array(np.fromiter((c.get(w, 0) for w in part), np.int64, len(part))) for c in known]
+                blocks = pa.array(np.full(len(part), block, np.int64))
+                yield pa.RecordBatch.from_arrays([blocks, pa.array(part, pa.binary()).cast(pa.string()), *counts], names=["block", "word", *_counts(languages)])
 
     schema = "block bigint, word string, " + ", ".join(f"{c} bigint" for c in _counts(languages))
-    return rows.select("block", "text", "held_out", "place").groupBy("block").applyInArrow(count, schema)
+    return rows.select("block", "text", "held_out", "place").mapInArrow(count, schema)
 
 
 def _counts(languages: int) -> list[str]:
@@ -230,8 +253,11 @@ def lm_scores(docs: DataFrame, vocabulary_path: str = PIECES) -> DataFrame:
             discounts[k] = ones / (ones + 2 * twos) if ones and twos else 0.5
             shares[k] = discounts[k] * (distinct + 1) / totals[k]
     models = [lattice.weights() for _ in range(languages)]
-    for _ in range(EM_ROUNDS if n_ends else 0):
-        models = [lattice.weights(c) for c in expected_counts(words.where(count > 0), lattice, models)]
+    seen = words.where(count > 0)
+    part = F.pmod(F.xxhash64("word"), F.lit(PARTS))
+    for step in range(SWEEPS * PARTS + 1 if n_ends else 0):
+        taught = seen.where(part == step % PARTS) if step < SWEEPS * PARTS else seen
+        models = [lattice.weights(c) for c in expected_counts(taught, lattice, models)]
     log10 = math.log(10)
 
     def token(counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:

@@ -183,8 +183,9 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     pairs = led.where(F.col("rep") != F.col("leader")).select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
     close = staged(_close_sketches(pairs, reps), "near-close")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = close.select(F.col("a").alias("w")).union(close.select("b")).distinct()
-    links = staged(_verified(close, _sets(texts, wanted, reps, width)), "near-links")
+    # one pass over the texts for all representatives that are looked up
+    sets = _sets(texts, lists.select(F.col("rep").alias("w")).distinct(), reps, width)
+    links = staged(_verified(close, sets), "near-links")
 
     member = components(links).select(F.col("node").alias("g_node"), "component")
     placed = led.join(member, F.col("rep") == F.col("g_node"), "left").select("value", "rep", F.coalesce("component", "rep").alias("component"))
@@ -192,7 +193,6 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(F.col("value").alias("m_value"))
     open_reps = placed.join(mixed, F.col("value") == F.col("m_value")).select(F.col("rep").alias("w"), "component").distinct()
     open_reps = staged(open_reps, "near-open")
-    sets = _sets(texts, open_reps.select("w"), reps, width)
     rest = unsettled_pairs(sets.join(open_reps, F.col("rep") == F.col("w")))
     links = links.unionByName(_verified(staged(_close_sketches(rest, reps), "near-rest"), sets))
     groups = components(staged(links, "near-all-links"))

@@ -26,6 +26,7 @@ gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -42,56 +43,69 @@ QUERY = "op9_sentencepiece"
 
 CHUNK = 1 << 15
 RUN = 256
-#: Words kept with their pieces in a task.
-KEPT = 300_000
+#: Words kept with their pieces in a worker, twice: the newest, and those before them.
+KEPT = 400_000
 #: Words longer than this are not kept.
 KEPT_POINTS = 64
-_UNIT = re.compile(r" +[^ ]*|[^ ]+")
+_WORD = re.compile(r" +[^ ]*")
+_WORD_OR_LINE = re.compile(r" +[^ \n]*|\n[^ \n]*")
 _NEVER = -np.inf
 
 
 class Encoder(dict):
-    """Best pieces and their score of words; a word is a run of spaces and what follows up to the next."""
+    """Best pieces of words. A word is what follows a space: further spaces, then all up to the next space.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.pieces, self.bytes, self.texts, self.prefixes = vocabulary.pieces, vocabulary.bytes, vocabulary.texts, vocabulary.prefixes
-        self.longest = vocabulary.longest
+    Where no piece of the vocabulary holds a line feed, words end before it too,
+    and a line feed with what follows it is a word without a space.
+    """
 
-    def __missing__(self, unit: str) -> tuple[tuple[int, ...], float]:
-        ids, score = self.path(unit, 0, len(unit))
-        if len(unit) <= KEPT_POINTS:
+    def __init__(self, vocabulary: Vocabulary):
+        self.ids, self.byte_ids, self.byte_score, self.step = vocabulary.ids, vocabulary.byte_ids, vocabulary.byte_score, vocabulary.step
+        self.longest, self.texts, self.scores = vocabulary.longest, vocabulary.texts, np.array(vocabulary.scores)
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.lines = not any("\n" in t for t in self.ids)
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.older.get(word)
+        if ids is None:
+            marked = word if self.lines and word[:1] == "\n" else " " + word
+            ids = self.path(marked, 0, len(marked))
+        if len(word) <= KEPT_POINTS:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
-            self[unit] = ids, score
-        return ids, score
-
-    def arcs(self, text: str, i: int) -> Iterator[tuple[int, float]]:
-        """(end, score) of the pieces that start at i; a character without a piece goes by its bytes."""
-        pieces, prefixes, j, n = self.pieces, self.prefixes, i + 1, len(text)
-        if text[i] not in pieces:
-            yield j, sum(self.bytes[b][1] for b in text[i].encode("utf-8", "surrogatepass"))
-        while j <= n and (piece := text[i:j]) in prefixes:
-            if piece in pieces:
-                yield j, pieces[piece][1]
-            j += 1
+            self[word] = ids
+        return ids
 
     def best(self, text: str, start: int, limit: int) -> tuple[list[float], list[int]]:
-        """From ``start``: the best score of reaching each place, and from where. No piece starts at or after ``limit``."""
-        score, origin = [_NEVER] * (len(text) + 1), [-1] * (len(text) + 1)
+        """From ``start``: the best score of reaching each place, and from where. No piece starts at or after ``limit``.
+
+        A character without a piece goes by its bytes.
+        """
+        n, step = len(text), self.step
+        score, origin = [_NEVER] * (n + 1), [-1] * (n + 1)
         score[start] = 0.0
-        for i in range(start, min(limit, len(text))):
-            if (here := score[i]) == _NEVER:
+        for i in range(start, min(limit, n)):
+            here, j = score[i], i + 1
+            if here == _NEVER:
                 continue
-            for j, s in self.arcs(text, i):
-                if here + s > score[j]:
-                    score[j], origin[j] = here + s, i
+            if step.get(text[i]) is None and (s := here + self.byte_score * len(text[i].encode("utf-8", "surrogatepass"))) > score[j]:
+                score[j], origin[j] = s, i
+            while j <= n:
+                s = step.get(text[i:j], 1.0)
+                if s is not None:
+                    if s > 0:  # no piece goes on like this
+                        break
+                    if here + s > score[j]:
+                        score[j], origin[j] = here + s, i
+                j += 1
         return score, origin
 
-    def path(self, text: str, start: int, end: int, limit: int | None = None) -> tuple[tuple[int, ...], float]:
-        """The best pieces from ``start`` to ``end``, and their score."""
+    def path(self, text: str, start: int, end: int, limit: int | None = None) -> tuple[int, ...]:
+        """The best pieces from ``start`` to ``end``."""
         if start == end:
-            return (), 0.0
-        score, origin = self.best(text, start, end if limit is None else limit)
+            return ()
+        origin = self.best(text, start, end if limit is None else limit)[1]
         spans, j = [], end
         while j > start:
             spans.append((origin[j], j))
@@ -99,13 +113,19 @@ class Encoder(dict):
         ids: list[int] = []
         for i, j in reversed(spans):
             piece = text[i:j]
-            ids += [self.pieces[piece][0]] if piece in self.pieces else [self.bytes[b][0] for b in piece.encode("utf-8", "surrogatepass")]
-        return tuple(ids), score[end]
+            ids += [self.ids[piece]] if piece in self.ids else [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
+        return tuple(ids)
+
+    def whole(self, text: str) -> list[int]:
+        """Pieces of a marked text in one go."""
+        if "  " in text or text[-1:] == " ":
+            words = [w[1:] if w[0] == " " else w for w in (_WORD_OR_LINE if self.lines else _WORD).findall(text)]
+        else:
+            words = (text[1:].replace("\n", " \n") if self.lines else text[1:]).split(" ")
+        return list(chain.from_iterable(map(self.__getitem__, words))) if text else []
 
-    def whole(self, text: str) -> tuple[list[int], float]:
-        """Pieces and score of a marked text in one go."""
-        units = [self[u] for u in _UNIT.findall(text)]
-        return list(chain.from_iterable(u[0] for u in units)), sum(u[1] for u in units)
+    def score(self, ids: list[int]) -> float:
+        return float(self.scores[np.array(array("i", ids))].sum()) if ids else 0.0
 
     def decode(self, ids) -> str:
         """The marked text of pieces."""
@@ -139,7 +159,7 @@ class Encoder(dict):
                     out[i, j] = score[place]
             return out
         first, last = cuts
-        middle = self.whole(text[first:last])[1] if last > first else 0.0
+        middle = self.score(self.whole(text[first:last]))
         tail = self.best(text[last:], 0, size - last)[0]
         for i in range(self.longest):
             head = self.best(text[:first], i, first)[0][first]
@@ -147,15 +167,23 @@ class Encoder(dict):
                 out[i, j] = head + middle + tail[place - last]
         return out
 
-    def between(self, text: str, size: int, entry: int, place: int) -> tuple[list[int], float]:
-        """Pieces and score from an entry state to a place at or beyond the next cut."""
+    def between(self, text: str, size: int, entry: int, place: int) -> list[int]:
+        """Pieces from an entry state to a place at or beyond the next cut."""
         cuts = self.cuts(text, size)
         if cuts is None:
-            ids, score = self.path(text, entry, place, size)
-            return list(ids), score
+            return list(self.path(text, entry, place, size))
         first, last = cuts
-        parts = [self.path(text[:first], entry, first), self.whole(text[first:last]), self.path(text[last:], 0, place - last, size - last)]
-        return list(chain.from_iterable(p[0] for p in parts)), sum(p[1] for p in parts)
+        return [*self.path(text[:first], entry, first), *self.whole(text[first:last]), *self.path(text[last:], 0, place - last, size - last)]
+
+
+#: Encoders of this process by the name of their vocabulary: a worker keeps its words from task to task.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    if vocabulary.name not in _ENCODERS:
+        _ENCODERS[vocabulary.name] = Encoder(vocabulary)
+    return _ENCODERS[vocabulary.name]
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -206,7 +234,7 @@ def cut_states(cut: DataFrame, vocabulary: Vocabulary, size: int) -> DataFrame:
     """uid, chunk, entry, leave: the states at a chunk's start and end on a best path."""
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in batches:
             out = []
             for chunk, count, text in zip(batch.column(1), batch.column(2), batch.column(3)):
@@ -241,13 +269,13 @@ def cut_states(cut: DataFrame, vocabulary: Vocabulary, size: int) -> DataFrame:
 _ENCODED = "doc_id bigint, chunk bigint, n_chunks bigint, ids array<int>, score double, round_trip boolean"
 
 
-def _encoded(doc_ids, numbers, counts, found: list[tuple[list[int], float]], same: list[bool]) -> pa.RecordBatch:
-    offsets = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in found])]).astype(np.int32)
-    values = np.fromiter(chain.from_iterable(ids for ids, _ in found), np.int32, int(offsets[-1]))
+def _encoded(doc_ids, numbers, counts, found: list[list[int]], encoder: Encoder, same: list[bool]) -> pa.RecordBatch:
+    offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in found])]).astype(np.int32)
+    values = np.array(array("i", chain.from_iterable(found)), np.int32)
+    upto = np.concatenate([[0.0], np.cumsum(encoder.scores[values])])
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-    return pa.RecordBatch.from_arrays(
-        [doc_ids, numbers, counts, lists, pa.array([s for _, s in found], pa.float64()), pa.array(same, pa.bool_())], names=["doc_id", "chunk", "n_chunks", "ids", "score", "round_trip"]
-    )
+    scores = pa.array(upto[offsets[1:]] - upto[offsets[:-1]])
+    return pa.RecordBatch.from_arrays([doc_ids, numbers, counts, lists, scores, pa.array(same, pa.bool_())], names=["doc_id", "chunk", "n_chunks", "ids", "score", "round_trip"])
 
 
 def encode(docs: DataFrame, vocabulary_path: str = PIECES, size: int = CHUNK) -> DataFrame:
@@ -263,18 +291,18 @@ def encode(docs: DataFrame, vocabulary_path: str = PIECES, size: int = CHUNK) ->
     giant = F.length("text") >= size
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 texts = [t.as_py() for t in part.column(1)]
-                found = [encoder.whole(" " + t) if t else ([], 0.0) for t in texts]
-                same = [encoder.decode(ids)[1:] == t for (ids, _), t in zip(found, texts)]
+                found = [encoder.whole(" " + t) if t else [] for t in texts]
+                same = [encoder.decode(ids)[1:] == t for ids, t in zip(found, texts)]
                 n = len(texts)
-                yield _encoded(part.column(0), pa.array(np.zeros(n, np.int64)), pa.array(np.ones(n, np.int64)), found, same)
+                yield _encoded(part.column(0), pa.array(np.zeros(n, np.int64)), pa.array(np.ones(n, np.int64)), found, encoder, same)
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in batches:
             found, same = [], []
             for _, k, count, text, entry, leave in zip(*[c.to_pylist() for c in batch.columns]):
@@ -282,8 +310,8 @@ def encode(docs: DataFrame, vocabulary_path: str = PIECES, size: int = CHUNK) ->
                 length = len(text) if ends else size
                 place = len(text) if ends else size + leave
                 found.append(encoder.between(text, length, entry, place))
-                same.append(encoder.decode(found[-1][0]) == text[entry:place])
-            yield _encoded(batch.column(0), batch.column(1), batch.column(2), found, same)
+                same.append(encoder.decode(found[-1]) == text[entry:place])
+            yield _encoded(batch.column(0), batch.column(1), batch.column(2), found, encoder, same)
 
     large = rows.where(giant).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     cut = staged(chunks(large, size, vocabulary.longest - 1), "pieces-chunks")
@@ -297,7 +325,7 @@ def decode(encoded: DataFrame, vocabulary_path: str = PIECES) -> DataFrame:
     vocabulary = read_pieces(vocabulary_path)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in batches:
             out = [encoder.decode(ids.as_py())[1 if chunk.as_py() == 0 else 0 :] for chunk, ids in zip(batch.column(1), batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["doc_id", "chunk", "text"])

@@ -36,10 +36,11 @@ from tarnworks.session import staged
 
 QUERY = "op7_token_counts"
 
-LEAF = 32
+LEAF = 64
 #: Fixed value: how the byte-level vocabulary splits texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 300_000
+#: Pre-tokens kept with their counts in a worker, twice: the newest, and those before them.
+KEPT = 400_000
 
 
 class Tokens(dict):
@@ -51,11 +52,13 @@ class Tokens(dict):
 
         self.split = regex.compile(PATTERN)
         self.coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.older: dict[str, int] = {}
 
     def __missing__(self, piece: str) -> int:
-        n = len(self.coder.encode_ordinary(piece))
+        n = self.older.get(piece) or len(self.coder.encode_ordinary(piece))
         if len(piece) <= 64:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
             self[piece] = n
         return n
@@ -73,6 +76,16 @@ def read_ranks(path: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+#: Counters of this process by the path of their vocabulary: a worker keeps its pre-tokens from task to task.
+_TOKENS: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str, ranks: dict[bytes, int]) -> Tokens:
+    if path not in _TOKENS:
+        _TOKENS[path] = Tokens(ranks)
+    return _TOKENS[path]
+
+
 def tree_of(tokens: list[int]) -> list[int]:
     """Sums over leaves as a heap: node k has children 2k + 1 and 2k + 2; leaves come last, filled up with 0."""
     width = 1
@@ -157,7 +170,7 @@ def trees(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
     ranks = read_ranks(ranks_path)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(ranks)
+        tokens = tokens_of(ranks_path, ranks)
         for batch in batches:
             points, sums = [], []
             for text in batch.column(1):
@@ -165,15 +178,15 @@ def trees(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
                 points.append(sizes)
                 sums.append(tree_of(counts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([t[0] for t in sums], pa.int64()), pa.array(points, pa.list_(pa.int32())), pa.array(sums, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(2), pa.array([t[0] for t in sums], pa.int64()), pa.array(points, pa.list_(pa.int32())), pa.array(sums, pa.list_(pa.int32()))],
                 names=["doc_id", "version", "n_tokens", "points", "tree"],
             )
 
-    return _versions(docs).mapInArrow(build, "doc_id bigint, version bigint, n_tokens bigint, points array<int>, tree array<bigint>")
+    return _versions(docs).mapInArrow(build, "doc_id bigint, version bigint, n_tokens bigint, points array<int>, tree array<int>")
 
 
 def apply_edits(docs: DataFrame, kept: DataFrame, edits: DataFrame, ranks_path: str = RANKS) -> DataFrame:
-    """A row for each edit of a text: doc_id, n_tokens, n_edited (tokens after it), n_points (encoded again), points, tree.
+    """A row for each row of ``docs`` and edit of its version: doc_id, n_tokens, n_edited (tokens after it), n_points (encoded again), points, tree.
 
     kept: from :func:`trees`; edits: doc_id, version, start, removed, added.
     """
@@ -181,21 +194,21 @@ def apply_edits(docs: DataFrame, kept: DataFrame, edits: DataFrame, ranks_path:
     kept = kept.dropDuplicates(["doc_id", "version"]).select(F.col("doc_id").alias("t_id"), F.col("version").alias("t_version"), "n_tokens", "points", "tree")
     both = edits.join(kept, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("version") == F.col("t_version")))
     both = both.select(F.col("doc_id").alias("e_id"), F.col("version").alias("e_version"), "start", "removed", "added", "n_tokens", "points", "tree")
-    rows = _versions(docs).dropDuplicates(["doc_id", "version"]).join(both, F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("version") == F.col("e_version")))
+    rows = _versions(docs).join(both, F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("version") == F.col("e_version")))
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(ranks)
+        tokens = tokens_of(ranks_path, ranks)
         for batch in batches:
             out = []
             for _, text, start, removed, added, _, points, tree in zip(*batch.columns):
                 out.append(edited(tokens, text.as_py(), points.as_py(), tree.as_py(), start.as_py() or 0, removed.as_py() or 0, added.as_py() or ""))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(5), pa.array([t[0] for _, t, _ in out], pa.int64()), pa.array([n for *_, n in out], pa.int64()), pa.array([p for p, *_ in out], pa.list_(pa.int32())), pa.array([t for _, t, _ in out], pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(5), pa.array([t[0] for _, t, _ in out], pa.int64()), pa.array([n for *_, n in out], pa.int64()), pa.array([p for p, *_ in out], pa.list_(pa.int32())), pa.array([t for _, t, _ in out], pa.list_(pa.int32()))],
                 names=["doc_id", "n_tokens", "n_edited", "n_points", "points", "tree"],
             )
 
     rows = rows.select("doc_id", "text", "start", "removed", "added", "n_tokens", "points", "tree")
-    return rows.mapInArrow(change, "doc_id bigint, n_tokens bigint, n_edited bigint, n_points bigint, points array<int>, tree array<bigint>")
+    return rows.mapInArrow(change, "doc_id bigint, n_tokens bigint, n_edited bigint, n_points bigint, points array<int>, tree array<int>")
 
 
 def sample_edits(docs: DataFrame) -> DataFrame:

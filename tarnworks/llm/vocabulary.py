@@ -17,33 +17,38 @@ RANKS = f"{FOLDER}/byte_bpe_50k.tiktoken"
 
 @dataclass
 class Vocabulary:
-    """pieces: id and score by text, in which a space stands for the word mark. bytes: id and score by byte."""
+    """Pieces by their text, in which a space stands for the word mark, and the 256 byte pieces; each with id and score."""
 
-    pieces: dict[str, tuple[int, float]]
-    bytes: list[tuple[int, float]]
+    name: str
+    ids: dict[str, int]
+    byte_ids: list[int]
+    byte_score: float
     longest: int
-    size: int
-    prefixes: set[str] = field(repr=False)
-    texts: dict[int, bytes] = field(repr=False)
+    #: Score by every prefix of a piece, None where the prefix is no piece itself.
+    step: dict[str, float | None] = field(repr=False)
+    #: Bytes and score by id.
+    texts: list[bytes] = field(repr=False)
+    scores: list[float] = field(repr=False)
 
 
 def read_pieces(path: str = PIECES) -> Vocabulary:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces, single, texts = {}, [(0, -1e9)] * 256, {}
-    for i in range(model.get_piece_size()):
+    size = model.get_piece_size()
+    ids, byte_ids, texts, scores = {}, [0] * 256, [b""] * size, [0.0] * size
+    for i in range(size):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
             value = int(re.fullmatch(r"<0x(..)>", piece)[1], 16)
-            single[value] = (i, model.get_score(i))
-            texts[i] = bytes([value])
+            byte_ids[value], texts[i] = i, bytes([value])
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             text = piece.replace("▁", " ")
-            pieces[text] = (i, model.get_score(i))
-            texts[i] = text.encode()
-    worst = min(score for _, score in pieces.values())
+            ids[text], texts[i], scores[i] = i, text.encode(), model.get_score(i)
     # byte pieces carry no score of their own: a character spelled in bytes is worse than any piece
-    single = [(i, worst - 1.0) for i, _ in single]
-    prefixes = {t[:k] for t in pieces for k in range(1, len(t) + 1)}
-    return Vocabulary(pieces, single, max(map(len, pieces)), model.get_piece_size(), prefixes, texts)
+    byte_score = min(scores) - 1.0
+    for i in byte_ids:
+        scores[i] = byte_score
+    step: dict[str, float | None] = {t[:k]: None for t in ids for k in range(1, len(t) + 1)}
+    step |= {t: scores[i] for t, i in ids.items()}
+    return Vocabulary(path, ids, byte_ids, byte_score, max(map(len, ids)), step, texts, scores)
