@@ -3,8 +3,10 @@
 Every document gets a vector of four transformed statistics. For each group of
 language and source a minimum-covariance-determinant estimate is found by
 concentration steps over all its rows: distances under the present estimate are
-counted in fine steps, the nearest ``SHARE`` of the group are summed, and the
-sums give the next estimate. A step is one aggregate over the rows, keyed by group
+counted in fine steps, the nearest half of the group are summed (of the step in
+which the half ends only the needed part, so that tied copies do not enter all at
+once), and the sums give the next estimate. The last estimate is taken again from
+all rows within ``REWEIGHT`` of it. A step is one aggregate over the rows, keyed by group
 and distance step, so a group with a third of the rows is pre-aggregated in every
 task; only estimates (one row a group) reach numpy. A row is rejected when its
 Mahalanobis distance is beyond ``CUTOFF``.
@@ -40,13 +42,16 @@ SYMBOLS = "#*$%&|<>"
 #: with the least scale that each is taken to have, so that a statistic which is 0 nearly everywhere does not reject every other value.
 VECTOR = {"v_length": 0.07, "v_symbols": 0.1, "v_lines": 0.12, "v_repeats": 0.1}
 UNIT = 1024  # a vector's whole numbers are 1/UNIT
-SHARE = 0.75
+#: Share of a group that an estimate rests on; the count is (n + dimensions + 1) / 2, so a group stands nearly half of bad rows.
+SHARE = 0.5
 STEPS = 4
 LEAST = 50
 #: Mahalanobis distance beyond which a row is rejected: the root of the chi-square quantile 0.99999 of four degrees.
 CUTOFF = 5.34
-#: Mean of the squared distance over the nearest three quarters of a Gaussian of four dimensions, by dimension: the estimate is divided by it.
-CONSISTENCY = 0.6728
+#: Mean of the squared distance over the nearest half of a Gaussian of four dimensions, by dimension: the estimate is divided by it.
+CONSISTENCY = 0.4741
+#: Squared distance up to which rows make the last estimate, the chi-square quantile 0.975 of four degrees, and its consistency factor.
+REWEIGHT, REWEIGHT_CONSISTENCY = 11.143, 0.9394
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -134,7 +139,7 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cov = np.zeros((len(VECTOR),) * 2)
             for a, b in _PAIRS:
                 cov[a, b] = cov[b, a] = float(getattr(row, f"q{a}{b}")) / n - mean[a] * mean[b]
-            inverse = np.linalg.inv(cov / CONSISTENCY + floors)
+            inverse = np.linalg.inv(cov / row.consistency + floors)
             out.append((row.group, int(row.rows), *mean, *(inverse[a, b] for a, b in _PAIRS)))
         yield pd.DataFrame(out, columns=[x.split()[0].strip("`") for x in _ESTIMATE.split(", ")])
 
@@ -161,15 +166,22 @@ def fit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     step = F.floor(F.log2(1 + F.greatest(distance(), F.lit(0.0))) * 32).cast("int")
     sums = [F.sum(c).alias(f"s{k}") for k, c in enumerate(VECTOR)]
     sums += [F.sum((F.col(list(VECTOR)[a]) * F.col(list(VECTOR)[b])).cast("decimal(20,0)")).alias(f"q{a}{b}") for a, b in _PAIRS]
-    for _ in range(STEPS):
+    names_of_sums = [f"s{k}" for k in range(len(VECTOR))] + [f"q{a}{b}" for a, b in _PAIRS]
+    for k in range(STEPS + 1):
         near = estimate.drop("rows").withColumnRenamed("group", "e_group")
-        steps = rows.join(near, F.col("group") == F.col("e_group")).withColumn("step", step)
+        last = k == STEPS
+        at = F.when(distance() <= REWEIGHT, 0).otherwise(1) if last else step
+        steps = rows.join(near, F.col("group") == F.col("e_group")).withColumn("step", at)
         steps = steps.groupBy("group", "step").agg(F.count(F.lit(1)).alias("n"), *sums)
         before = F.sum("n").over(Window.partitionBy("group").orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
         everything = F.sum("n").over(Window.partitionBy("group"))
         steps = steps.withColumns({"before": F.coalesce(before, F.lit(0)), "rows": everything})
-        kept = steps.where(F.col("before") < F.ceil(F.lit(SHARE) * F.col("rows")))
-        totals = kept.groupBy("group").agg(F.max("rows").alias("rows"), F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in [f"s{k}" for k in range(len(VECTOR))] + [f"q{a}{b}" for a, b in _PAIRS]])
+        needed = F.floor(F.lit(SHARE) * (F.col("rows") + len(VECTOR) + 1)) - F.col("before")
+        steps = steps.withColumn("take", F.when(F.col("step") == 0, F.col("n")).otherwise(0) if last else F.greatest(F.least("n", needed), F.lit(0)))
+        # Whole numbers again after the share of the step is taken, so that the sums do not depend on order.
+        part = {x: F.when(F.col("take") == F.col("n"), F.col(x).cast("decimal(30,0)")).otherwise(F.round(F.col(x).cast("double") * F.col("take") / F.col("n")).cast("decimal(30,0)")) for x in names_of_sums}
+        totals = steps.where("take > 0").withColumns(part).groupBy("group").agg(F.max("rows").alias("rows"), F.sum("take").alias("n"), *[F.sum(x).alias(x) for x in names_of_sums])
+        totals = totals.withColumn("consistency", F.lit(REWEIGHT_CONSISTENCY if last else CONSISTENCY))
         estimate = staged(totals.mapInPandas(_estimates, _ESTIMATE), "quality-estimate")
     return estimate, names
 

@@ -118,6 +118,17 @@ def test_quality_rejects_outliers_and_keeps_clean(spark):
     assert quality_rules.good_documents(docs).count() == 270
 
 
+def test_quality_rejects_a_third_of_copies(spark):
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(random.choice([3, 5, 7])))
+    texts = [" ".join(word() for _ in range(random.choice([60, 200, 900]))) for _ in range(200)]
+    copies = [" ".join(f"w{k}#$%<>" for k in range(80))] * 100
+    others = [" ".join(word() + "##" for _ in range(100)) for _ in range(5)]
+    counted = quality_rules.with_counts(frame(spark, texts + copies + others)).drop("text")
+    got = quality_rules.judged(counted, *quality_rules.fit(counted)).collect()
+    assert {r.doc_id for r in got if r.kept} == set(range(200))
+
+
 def test_quality_odd_rows(spark):
     docs, rows = odd(spark)
     got = quality_rules.quality(docs).collect()
