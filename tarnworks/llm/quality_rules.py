@@ -40,7 +40,8 @@ QUERY = "op8_quality_rules"
 SYMBOLS = "#*$%&|<>"
 #: The vector: log of the mean word length, root of symbols a word, share of repeated lines, share of repeated words;
 #: with the least scale that each is taken to have, so that a statistic which is 0 nearly everywhere does not reject every other value.
-VECTOR = {"v_length": 0.07, "v_symbols": 0.1, "v_lines": 0.12, "v_repeats": 0.1}
+#: ``CUTOFF`` times each scale is within what the base rules let pass, so each statistic can reject alone.
+VECTOR = {"v_length": 0.07, "v_symbols": 0.06, "v_lines": 0.08, "v_repeats": 0.08}
 UNIT = 1024  # a vector's whole numbers are 1/UNIT
 #: Share of a group that an estimate rests on; the count is (n + dimensions + 1) / 2, so a group stands nearly half of bad rows.
 SHARE = 0.5
@@ -129,8 +130,12 @@ _ESTIMATE = "`group` string, rows bigint, " + ", ".join(f"m{k} double" for k in
 
 
 def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centres and inverse covariances from sums: one row a group in and out."""
-    floors = np.diag((np.array(list(VECTOR.values())) * UNIT) ** 2)
+    """Centres and inverse covariances from sums: one row a group in and out.
+
+    In units of the least scales, variances below 1 along the axes of the covariance are raised to 1; others stay.
+    """
+    scale = np.array(list(VECTOR.values())) * UNIT
+    units = np.outer(scale, scale)
     for sums in frames:
         out = []
         for row in sums.itertuples(index=False):
@@ -139,7 +144,8 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cov = np.zeros((len(VECTOR),) * 2)
             for a, b in _PAIRS:
                 cov[a, b] = cov[b, a] = float(getattr(row, f"q{a}{b}")) / n - mean[a] * mean[b]
-            inverse = np.linalg.inv(cov / row.consistency + floors)
+            variances, axes = np.linalg.eigh(cov / row.consistency / units)
+            inverse = (axes / np.maximum(variances, 1.0)) @ axes.T / units
             out.append((row.group, int(row.rows), *mean, *(inverse[a, b] for a, b in _PAIRS)))
         yield pd.DataFrame(out, columns=[x.split()[0].strip("`") for x in _ESTIMATE.split(", ")])
 

@@ -129,6 +129,20 @@ def test_quality_rejects_a_third_of_copies(spark):
     assert {r.doc_id for r in got if r.kept} == set(range(200))
 
 
+def test_quality_each_statistic_rejects_alone(spark):
+    random.seed(10)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(random.choice([3, 5, 7])))
+    texts = [" ".join(word() for _ in range(random.choice([100, 200, 400]))) for _ in range(200)]
+    symbols = " ".join(f"abc{k:02}" + "#" * (k % 4 == 0) for k in range(100))
+    block = [f"abc{k:02}" for k in range(23)]
+    repeats = " ".join(block + [f"xyz{k:02}" for k in range(54)] + block)
+    lines = "\n".join(random.sample([f"abc{k % 50:02}" for k in range(100)], 100))
+    counted = quality_rules.with_counts(frame(spark, [*texts, symbols, repeats, lines])).drop("text")
+    got = quality_rules.judged(counted, *quality_rules.fit(counted)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if r.kept} == set(range(200))
+
+
 def test_quality_odd_rows(spark):
     docs, rows = odd(spark)
     got = quality_rules.quality(docs).collect()
