@@ -4,8 +4,9 @@ The mix is cut into slots of equally many words. Slot j takes the golden-ratio
 point frac((j + 1/2) * phi) and goes to the source whose part of the cumulative
 targets holds the point, so any stretch of the schedule is close to the targets.
 Slots are ranked within their source; each source is a stream of its documents in
-hashed order, cut into blocks of a slot's size, and slot rank r reads block r,
-starting over after the last block.
+hashed order, and its slots read it on, starting over after the last word. Slots
+of more than one word cannot meet a target, or leave a small source without any,
+so what they are off by is settled for each source after the schedule.
 
 Defined results: null text has no words; a null source is a source of its own and
 sorts last. Only doc_id, source and text are read. Rows of one doc_id and source
@@ -116,7 +117,7 @@ def schedule(targets: DataFrame, slot_words: int, slots: int) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3) -> DataFrame:
     """A row for each row of ``docs``: doc_id, source, size, source_size, target, start, taken.
 
-    ``taken`` words of the document are in the mix: those of the blocks its words lie in, as often as slots read them.
+    ``taken`` words of the document are in the mix: its words as often as its source's slots and their settlement read them.
     """
     rows = streams(docs)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -124,20 +125,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3)
     total = targets.agg(F.sum("source_size")).first()[0] or 0
     slot_words = max(1, -(-total // SLOTS))
     slots = -(-total // slot_words)
-    reads = schedule(targets, slot_words, slots).groupBy("source", "block").agg(F.count(F.lit(1)).alias("reads"))
-    reads = reads.select(F.col("source").alias("b_source"), "block", "reads")
-    first, last = F.floor(F.col("start") / slot_words), F.floor((F.col("start") + F.col("size") - 1) / slot_words)
-    over = rows.where("size > 0").select("doc_id", "source", "size", "start", F.explode(F.sequence(first, last)).alias("d_block"))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("d_block") + 1) * slot_words) - F.greatest(F.col("start"), F.col("d_block") * slot_words)
-    taken = over.join(reads, _same_source(F.col("source"), F.col("b_source")) & (F.col("d_block") == F.col("block")))
-    taken = taken.select("source", "start", (overlap * F.col("reads")).alias("words")).groupBy("source", "start").agg(F.sum("words").alias("taken"))
-    taken = taken.select(F.col("source").alias("t_source"), F.col("start").alias("t_start"), "taken")
-    # A source and a start with a size above 0 name one row, so the join is by keys without hot values.
-    placed = rows.join(taken, _same_source(F.col("source"), F.col("t_source")) & (F.col("start") == F.col("t_start")) & (F.col("size") > 0), "left")
-    targets = targets.select(F.col("source").alias("s_source"), "source_size", "target")
-    return placed.join(targets, _same_source(F.col("source"), F.col("s_source"))).select(
-        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"), F.round("target", 6).alias("target"), "start",
-        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+    reads = schedule(targets, slot_words, slots).groupBy("source").agg(F.count(F.lit(1)).alias("reads"))
+    reads = targets.join(reads.withColumnRenamed("source", "r_source"), _same_source(F.col("source"), F.col("r_source")), "left")
+    scheduled = F.coalesce("reads", F.lit(0)) * slot_words
+    # Slots of one word are within a few words of the targets, as the schedule is.
+    settled = F.round("target").cast("bigint") - scheduled if slot_words > 1 else F.lit(0)
+    words = (scheduled + settled).alias("words")
+    targets = reads.select(F.col("source").alias("s_source"), F.col("source_size").cast("bigint").alias("source_size"), "target", words)
+    # The source's words are read in order and over again: whole passes, then those before the place where it stops.
+    size = F.greatest("source_size", F.lit(1))
+    passes, stop = F.floor(F.col("words") / size), F.col("words") % size
+    taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), stop - F.col("start")))
+    return rows.join(targets, _same_source(F.col("source"), F.col("s_source"))).select(
+        "doc_id", "source", "size", "source_size", F.round("target", 6).alias("target"), "start", taken.cast("bigint").alias("taken")
     )
 
 
@@ -145,8 +145,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epoch
     """The documents of the mix, with the columns of documents.
 
     A document comes once for each whole pass; what remains of ``taken`` comes as
-    a text of its first words. Blocks are read in order, so at most the documents
-    at a source's last block are cut. Rows of one doc_id count as one document here.
+    a text of its first words. A source is read in order, so at most the document
+    where it stops is cut. Rows of one doc_id count as one document here.
     """
     docs = document_columns(docs)
     takes = mix(docs, weights, epochs).where("taken > 0").groupBy("doc_id").agg(F.max("size").alias("m_size"), F.max("taken").alias("m_taken"))

@@ -49,6 +49,19 @@ def test_mixing_targets_and_takes(spark):
     assert words == Counter({r.doc_id: r.taken for r in got if r.taken})
 
 
+def test_mixing_long_slots_meet_small_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 16)
+    sizes = {"a": 60_000, "b": 900, "c": 9_000, "d": 60}
+    rows = [(s, k, " ".join(["w"] * (n // 6))) for s, n in sizes.items() for k in range(6)]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, (s, _, t) in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    taken, targets = Counter(), brute_targets(sizes)
+    for r in mixing.mix(docs).collect():
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    for s, target in targets.items():
+        assert abs(taken[s] - target) <= 1
+
+
 def test_schedule_is_even(spark):
     sizes = spark.createDataFrame([("a", 5000), ("b", 3000)], "source string, source_size bigint")
     plan = mixing.schedule(mixing.source_targets(sizes, (1, 1)), 1, 8000).orderBy("slot").collect()
