@@ -91,6 +91,12 @@ def adjacency_sets(spark, sf_dir):
     return found.select("tn", F.array_join(F.transform("parents", lambda x: x.cast("string")), ",").alias("parents"))
 
 
+@query("SELECT o_custkey AS tn, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS parents FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) GROUP BY 1")
+def adjacency_all(spark, sf_dir):
+    found = graph.adjacency(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("tn"), F.col("o_orderkey").alias("fn")))
+    return found.select("tn", F.array_join(F.transform("parents", lambda x: x.cast("string")), ",").alias("parents"))
+
+
 @query(_UP + "SELECT DISTINCT 'nex-' || e.tn AS id FROM e WHERE e.tn IN (FROM u) AND e.fn IN (FROM u) UNION SELECT 'nex-2'")
 def nexus_ids(spark, sf_dir):
     edges = _edges(spark, sf_dir)
