@@ -131,7 +131,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3)
     # Slots of one word are within a few words of the targets, as the schedule is.
     settled = F.round("target").cast("bigint") - scheduled if slot_words > 1 else F.lit(0)
     words = (scheduled + settled).alias("words")
-    targets = reads.select(F.col("source").alias("s_source"), F.col("source_size").cast("bigint").alias("source_size"), "target", words)
+    # Written, so that one row a source is joined by its real size and rows are not dealt by source.
+    targets = staged(reads.select(F.col("source").alias("s_source"), F.col("source_size").cast("bigint").alias("source_size"), "target", words), "mix-words")
     # The source's words are read in order and over again: whole passes, then those before the place where it stops.
     size = F.greatest("source_size", F.lit(1))
     passes, stop = F.floor(F.col("words") / size), F.col("words") % size
