@@ -61,3 +61,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like :func:`staged`, with the rows in buckets of ``key``, so that grouping them by it moves none of them.
+
+    Every task writes a file for each bucket that it meets. The table's name goes at once; its files stay.
+    """
+    spark = df.sparkSession
+    name, path = f"staged_{uuid.uuid4().hex}", fresh_path(spark, label)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
