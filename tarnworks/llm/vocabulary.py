@@ -2,6 +2,10 @@
 
 The vocabulary file is read on the driver and goes to the executors as a plain
 mapping; it has a fixed size (tens of thousands of pieces), whatever the corpus.
+
+Scores are natural logs of weights. A vocabulary that was made by merges has no such
+scores but the ranks 0, -1, -2, ... of its merges: there a piece of rank r weighs
+1 / (r + RANK_SHIFT), as frequencies fall with rank, over the sum of all.
 """
 
 from __future__ import annotations
@@ -9,10 +13,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
+
 #: Where the vocabularies of public tokenizers lie here; a parameter wherever it is used.
 FOLDER = "/opt/tokenizers"
 PIECES = f"{FOLDER}/piece_bpe_32k.model"
 RANKS = f"{FOLDER}/byte_bpe_50k.tiktoken"
+RANK_SHIFT = 10
 
 
 @dataclass
@@ -31,6 +38,15 @@ class Vocabulary:
     scores: list[float] = field(repr=False)
 
 
+def log_weights(scores: list[float]) -> list[float]:
+    """The scores themselves, or logs of weights where they are ranks: whole numbers. Ranks beyond the number of pieces count as that number."""
+    ranks = -np.array(scores)
+    if (ranks % 1).any():
+        return scores
+    weights = 1 / (np.minimum(ranks, len(ranks)) + RANK_SHIFT)
+    return np.log(weights / weights.sum()).tolist()
+
+
 def read_pieces(path: str = PIECES) -> Vocabulary:
     import sentencepiece
 
@@ -44,7 +60,9 @@ def read_pieces(path: str = PIECES) -> Vocabulary:
             byte_ids[value], texts[i] = i, bytes([value])
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             text = piece.replace("▁", " ")
-            ids[text], texts[i], scores[i] = i, text.encode(), model.get_score(i)
+            ids[text], texts[i] = i, text.encode()
+    for i, score in zip(ids.values(), log_weights([model.get_score(i) for i in ids.values()])):
+        scores[i] = score
     # byte pieces carry no score of their own: a character spelled in bytes is worse than any piece
     byte_score = min(scores) - 1.0
     for i in byte_ids:

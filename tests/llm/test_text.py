@@ -125,6 +125,91 @@ def test_lm_base_and_score(spark):
     assert sum(r.score for r in out) / sum(r.n_tokens for r in out) > -4
 
 
+def brute_segmentations(lattice, word):
+    """Every list of pieces (places in the list of weights) that spells the word behind its mark."""
+    text = " " + word
+
+    def walk(i):
+        if i == len(text):
+            yield ()
+            return
+        ends = [j for j in range(i + 1, len(text) + 1) if text[i:j] in lattice.pieces]
+        for j in ends:
+            yield from ((lattice.pieces[text[i:j]], *rest) for rest in walk(j))
+        if i + 1 not in ends:
+            spelling = tuple(len(lattice.pieces) + b for b in text[i].encode())
+            yield from (spelling + rest for rest in walk(i + 1))
+
+    return list(walk(0))
+
+
+def brute_scores(rows, lattice, sweeps):
+    """Scores of (doc_id, text, lang) by sums over all segmentations, after so many sweeps over all training words."""
+    import zlib
+
+    tokens = {i: (t or "").lower().split() for i, t, _ in rows}
+    taught = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    ways = {w: brute_segmentations(lattice, w) for ts in tokens.values() for w in ts}
+    models, shares = [], []
+    for lang in sorted({lang for _, lang in taught}):
+        ids = [i for i, x in taught if x == lang]
+        shares.append(len(ids) + 1)
+        weights = np.array(lattice.weights())
+        for _ in range(sweeps):
+            counts = np.zeros(lattice.size)
+            for word in (w for i in ids for w in tokens[i]):
+                p = np.array([math.exp(weights[list(way)].sum()) for way in ways[word]])
+                for way, share in zip(ways[word], p / p.sum()):
+                    np.add.at(counts, list(way), share)
+            counts[-1] = len(ids)
+            weights = np.array(lattice.weights(counts))
+        models.append(weights)
+    word = {(w, k): math.log10(sum(math.exp(m[list(way)].sum()) for way in ways[w])) for w in ways for k, m in enumerate(models)}
+    out = {}
+    for i, ts in tokens.items():
+        by_language = [math.log10(s / sum(shares)) + m[-1] / math.log(10) + sum(word[w, k] for w in ts) for k, (s, m) in enumerate(zip(shares, models))]
+        out[i] = max(by_language) + math.log10(sum(10 ** (x - max(by_language)) for x in by_language))
+    return out
+
+
+def test_lm_score_against_all_segmentations(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PARTS", 1)
+    random.seed(13)
+    words = ["the", "other", "nation", "In", "é漢", "zq9", "a▁b", "over"]
+    rows = [(i, " ".join(random.choices(words[i % 2 * 3 :], k=random.choice([0, 1, 6]))), "en" if i % 2 else "de") for i in range(40)]
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = brute_scores(rows, lm_scoring.Lattice(read_pieces()), lm_scoring.SWEEPS + 1)
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs.repartition(3)).collect()}
+    assert got.keys() == want.keys()
+    for i, score in want.items():
+        assert got[i] == pytest.approx(score, rel=1e-5)
+
+
+def test_lm_same_blocks_when_splits_change(spark, tmp_path):
+    random.seed(14)
+    path = f"file://{tmp_path}/docs"
+    docs = frame(spark, [" ".join(random.choices(["ka", "to", "mi", "ne", "su"], k=9)) + f" w{i}" for i in range(300)])
+    docs.repartition(6).write.parquet(path)
+    want = sorted(lm_scoring.lm_scores(spark.read.parquet(path)).collect())
+    scores = lm_scoring.lm_scores(spark.read.parquet(path))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "1k")
+        assert [r[:5] for r in sorted(scores.collect())] == [r[:5] for r in want]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_lm_word_score_is_near_the_lattice_without_frequencies(spark):
+    import zlib
+
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    for r in lm_scoring.lm_scores(frame(spark, ["the word"] * len(ids), ids=ids)).collect():
+        assert r.word_score == pytest.approx(r.score)
+
+
 def test_lm_odd_rows(spark):
     docs, rows = odd(spark)
     got = lm_scoring.lm_scores(docs).collect()
