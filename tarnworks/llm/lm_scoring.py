@@ -24,8 +24,8 @@ the other, on flat arrays of arcs.
 
 Words are counted in blocks of documents: up to 2 ** ``BLOCK_BITS`` rows in a row of a task. The
 block is written beside the text, in buckets by block, so it is the same whenever the texts
-are read again. A block gives a row for each distinct word; the corpus counts are sums of
-these, with the list of the word's blocks, and each block gets back the counts and
+are read again. A block gives a row for each distinct word; these are summed to lists of a
+word's blocks, of bounded length, and to the corpus counts, and each block gets back the counts and
 log probabilities of its own words only, while the texts stay where they lie. So no table that
 grows with the corpus is broadcast or collected; piece counts (a number for each
 piece and language) are all that the driver sees.
@@ -54,7 +54,9 @@ from tarnworks.session import staged, staged_by
 
 QUERY = "op2_lm_scoring"
 
-BLOCK_BITS = 14
+BLOCK_BITS = 12
+#: The blocks of 2 ** LISTED_BITS tasks go into one list of a word.
+LISTED_BITS = 8
 #: Distinct words that a task holds before it hands them on.
 HELD = 1_000_000
 #: Weights are re-estimated on each of PARTS parts of the words in turn, SWEEPS times over, and at last on all words.
@@ -294,8 +296,13 @@ def lm_scores(docs: DataFrame, vocabulary_path: str = PIECES, languages: int = 1
     place, ends = language_places(rows.where(~F.col("held_out")), languages)
     n_ends, names = sum(ends), _counts(len(ends))
     in_block = block_words(rows.withColumn("place", place), len(ends))
-    # a word's list has a number for each block at most
-    words = staged(in_block.groupBy("word").agg(*[F.sum(c).alias(c) for c in names], F.collect_list("block").alias("blocks")), "lm-words")
+    sums = [F.sum(c).alias(c) for c in names]
+    # a list holds the blocks of so many tasks at most; a common word has several lists
+    tasks = F.shiftright("block", 33 - BLOCK_BITS + LISTED_BITS).alias("tasks")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = in_block.repartition(partitions, "word").groupBy("word", tasks).agg(*sums, F.collect_list("block").alias("blocks"))
+    lists = staged_by(lists, "word", "lm-lists")
+    words = staged(lists.groupBy("word").agg(*sums), "lm-words")
     count = sum((F.col(c) for c in names), F.lit(0))
     n_all, n_distinct, ones, twos = words.agg(F.sum(count), F.count_if(count > 0), F.count_if(count == 1), F.count_if(count == 2)).first()
     n_all, n_distinct = (n_all or 0) + n_ends, (n_distinct or 0) + (n_ends > 0)
@@ -307,17 +314,17 @@ def lm_scores(docs: DataFrame, vocabulary_path: str = PIECES, languages: int = 1
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = sum(c.to_numpy() for c in batch.columns[2:])
+            counts = sum(c.to_numpy() for c in batch.columns[1:])
             texts, logs = _text_of(batch.column(0)), np.empty((len(models), batch.num_rows), np.float32)
             for part in _portions(texts):
                 arcs = Arcs(lattice, texts[part])
                 for k, model in enumerate(models):
                     logs[k, part] = arcs.forward(np.array(model))[0] / math.log(10)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts), *map(pa.array, logs)], names=["word", "blocks", "count", *logs_of])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), *map(pa.array, logs)], names=["word", "count", *logs_of])
 
-    schema = "word binary, blocks array<bigint>, count bigint, " + ", ".join(f"{p} float" for p in logs_of)
-    weighed = words.select("word", "blocks", *names).mapInArrow(weigh, schema)
-    back = weighed.select(F.explode("blocks").alias("w_block"), "word", "count", *logs_of)
+    schema = "word binary, count bigint, " + ", ".join(f"{p} float" for p in logs_of)
+    weighed = words.select("word", *names).mapInArrow(weigh, schema)
+    back = lists.select("word", "blocks").join(weighed, "word").select(F.explode("blocks").alias("w_block"), "word", "count", *logs_of)
     prior, end = np.log10((np.array(ends) + 1) / (n_ends + len(ends))), np.array([m[-1] for m in models]) / math.log(10)
 
     def with_frequency(counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
