@@ -15,12 +15,18 @@ the candidates:
   whose values are the most common ones, so that the middle of a large group of
   near copies leads it. The union's sketch (the K smallest of both) estimates the
   similarity of a pair; clearly lower ones go, and what remains is verified on the
-  full sets. Verified links join the members into components.
+  full sets. Verified links join the members into components. Lists that still hold
+  several components are led once more, by the next best member that is not in
+  its first leader's component.
 * Lists that hold several components then are unsettled. Their members meet once
   more by their full sets, exactly: with shingles ordered rarest first, a pair of
   the wanted similarity shares one among the first few of each, at places that
   leave room for the overlap it needs. Pairs of one component are settled, so a
-  group of near copies does not make all its pairs. These are verified as well.
+  group of near copies does not make all its pairs. Where they meet, two sets are
+  compared by parity sketches: bit b says whether an odd number of the set's hashes
+  end in b. Shared hashes cancel out, so two sets differ in at least as many shingles as
+  their sketches in bits; a pair that differs in too many is not handed on. So variants of
+  one text that are all just below the similarity make no pairs. What remains is verified as well.
 
 Defined results: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; a text of fewer words than a shingle has its whole
@@ -47,6 +53,12 @@ QUERY = "op10_minhash_near_dedup"
 K = 64
 #: Least number of the K smallest values of a union that two sets of similarity 0.8 share: less has a binomial chance below 1e-9.
 CERTAIN = 29
+#: 64-bit words of a parity sketch; sets above PARITY_MOST shingles differ in too many for it to tell.
+PARITY_WORDS = 16
+PARITY_MOST = 2000
+PARITY = [f"q{k}" for k in range(PARITY_WORDS)]
+#: Rounds in which each unsettled list is led.
+LEADS = 2
 
 
 def _ordered(hashes: np.ndarray) -> np.ndarray:
@@ -72,7 +84,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, set_digest, members (the set's hashes in ascending order)."""
+    """doc_id, set_digest, members (the set's hashes in ascending order) and the set's parity sketch."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,9 +92,18 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 found = [shingle_hashes(x.as_py(), words, width) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(digest16, found), pa.binary()), _lists([_ordered(x) for x in found])], names=["doc_id", "set_digest", "members"])
+                parities = np.array([_parity(x) for x in found], np.int64).reshape(-1, PARITY_WORDS).T
+                columns = [part.column(0), pa.array(map(digest16, found), pa.binary()), _lists([_ordered(x) for x in found]), *map(pa.array, parities)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set_digest", "members", *PARITY])
 
-    return docs.mapInArrow(sets, "doc_id bigint, set_digest binary, members array<bigint>")
+    schema = "doc_id bigint, set_digest binary, members array<bigint>, " + ", ".join(f"{q} bigint" for q in PARITY)
+    return docs.select("doc_id", "text").mapInArrow(sets, schema)
+
+
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -110,24 +131,28 @@ def postings(reps: DataFrame) -> DataFrame:
 
 
 def unsettled_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that may have the similarity, none left out; sets: rep, component, members.
+    """Pairs (a, b) of different components that may have the similarity, none left out; sets: rep, component, members, parity.
 
-    The smaller of two sets with 9 * overlap >= 4 * (both sizes) shares one of its
+    Two sets have it when they differ in at most a ninth of both sizes. The smaller of two sets with 9 * overlap >= 4 * (both sizes) shares one of its
     first n - ceil(8n/9) + 1 shingles with the first n - ceil(8n/10) + 1 of the larger.
     """
     every = sets.select("rep", "component", F.size("members").cast("bigint").alias("n"), F.explode("members").alias("value"))
+    sketches = sets.select(F.col("rep").alias("q_rep"), *PARITY)
     often = every.groupBy("value").agg(F.count(F.lit(1)).alias("df")).withColumnRenamed("value", "o_value")
     ranked = every.join(often, F.col("value") == F.col("o_value")).withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("df", "value")).cast("bigint"))
     first = ranked.where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * 8 / 10 - 1e-9) + 1))
-    first = staged(first.select("value", "rep", "n", "component", "place"), "near-first")
+    first = first.select("value", "rep", "n", "component", "place").join(sketches, F.col("rep") == F.col("q_rep")).drop("q_rep")
+    first = staged(first, "near-first")
     small = first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 8 / 9 - 1e-9) + 1)
     small = small.select(*[F.col(c).alias(f"s_{c}") for c in first.columns])
     room = F.least(F.col("n") - F.col("place"), F.col("s_n") - F.col("s_place")) + 1
+    apart = sum((F.bit_count(F.col(f"s_{q}").bitwiseXOR(F.col(q))) for q in PARITY), F.lit(0))
     met = small.join(
         first,
         (F.col("s_value") == F.col("value")) & (F.col("s_component") != F.col("component"))
         & ((F.col("s_n") < F.col("n")) | ((F.col("s_n") == F.col("n")) & (F.col("s_rep") < F.col("rep"))))
-        & (100 * F.col("s_n") >= 80 * F.col("n")) & (9 * room >= 4 * (F.col("n") + F.col("s_n"))),
+        & (100 * F.col("s_n") >= 80 * F.col("n")) & (9 * room >= 4 * (F.col("n") + F.col("s_n")))
+        & ((F.col("n") > PARITY_MOST) | (9 * apart <= F.col("n") + F.col("s_n"))),
     )
     return met.select(F.least("s_rep", "rep").alias("a"), F.greatest("s_rep", "rep").alias("b")).distinct()
 
@@ -176,23 +201,20 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     reps = staged(classes, "near-classes")
     lists = staged(postings(reps), "near-postings")
 
-    top = F.max(F.struct("weight", (-F.col("rep")).alias("back"))).alias("top")
-    leader = lists.groupBy("value").agg(top, F.count(F.lit(1)).alias("held")).where("held > 1")
-    leader = leader.select(F.col("value").alias("l_value"), (-F.col("top.back")).alias("leader"))
-    led = lists.join(leader, F.col("value") == F.col("l_value"))
-    pairs = led.where(F.col("rep") != F.col("leader")).select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
-    close = staged(_close_sketches(pairs, reps), "near-close")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # one pass over the texts for all representatives that are looked up
     sets = _sets(texts, lists.select(F.col("rep").alias("w")).distinct(), reps, width)
-    links = staged(_verified(close, sets), "near-links")
-
-    member = components(links).select(F.col("node").alias("g_node"), "component")
-    placed = led.join(member, F.col("rep") == F.col("g_node"), "left").select("value", "rep", F.coalesce("component", "rep").alias("component"))
-    placed = staged(placed, "near-placed")
-    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(F.col("value").alias("m_value"))
-    open_reps = placed.join(mixed, F.col("value") == F.col("m_value")).select(F.col("rep").alias("w"), "component").distinct()
-    open_reps = staged(open_reps, "near-open")
+    links, placed = None, lists.withColumn("component", F.col("rep"))
+    for again in range(LEADS):
+        led = _led(placed, again > 0)
+        pairs = led.where(F.col("component") != F.col("l_component")).select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
+        found = staged(_verified(staged(_close_sketches(pairs, reps), "near-close"), sets), "near-links")
+        links = found if links is None else links.unionByName(found)
+        member = components(links).select(F.col("node").alias("g_node"), F.col("component").alias("g_component"))
+        placed = placed.join(member, F.col("rep") == F.col("g_node"), "left").withColumn("component", F.coalesce("g_component", "rep")).select(*lists.columns, "component")
+        mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(F.col("value").alias("m_value"))
+        placed = staged(placed.join(mixed, F.col("value") == F.col("m_value")).drop("m_value"), "near-placed")
+    open_reps = staged(placed.select(F.col("rep").alias("w"), "component").distinct(), "near-open")
     rest = unsettled_pairs(sets.join(open_reps, F.col("rep") == F.col("w")))
     links = links.unionByName(_verified(staged(_close_sketches(rest, reps), "near-rest"), sets))
     groups = components(staged(links, "near-all-links"))
@@ -208,17 +230,36 @@ def near_duplicates(docs: DataFrame, width: int = 4) -> DataFrame:
     return known.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _led(placed: DataFrame, again: bool) -> DataFrame:
+    """Lists of several components with leader and l_component, the leader's: the top member, or the top of those not in that one's component."""
+    top = F.max(F.struct("weight", (-F.col("rep")).alias("back"), "component")).alias("top")
+
+    def with_leader(rows: DataFrame) -> DataFrame:
+        leader = rows.groupBy("value").agg(top, F.count(F.lit(1)).alias("held"))
+        leader = leader.where("held > 1") if rows is placed else leader
+        return leader.select(F.col("value").alias("l_value"), (-F.col("top.back")).alias("leader"), F.col("top.component").alias("l_component"))
+
+    leader = with_leader(placed)
+    if again:
+        rest = placed.join(leader, F.col("value") == F.col("l_value")).where(F.col("component") != F.col("l_component"))
+        leader = with_leader(rest.select(*placed.columns))
+    return placed.join(leader, F.col("value") == F.col("l_value"))
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     """rep, members for the representatives in ``wanted`` (one column w)."""
     found = full_sets(texts.join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), width)
     names = reps.join(wanted, F.col("rep") == F.col("w"), "left_semi").select(F.col("rep"), F.col("set_digest").alias("r_digest"))
     # a doc_id may stand on several rows; those with the representative's set are alike
     sets = found.join(names, (F.col("doc_id") == F.col("rep")) & (F.col("set_digest") == F.col("r_digest")))
-    return staged(sets.groupBy("rep").agg(F.first("members").alias("members")), "near-sets")
+    return staged(sets.groupBy("rep").agg(*[F.first(c).alias(c) for c in ("members", *PARITY)]), "near-sets")
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` that are kept, one for each component, with the columns of documents."""
+    """The rows of ``docs`` that are kept, one for each component, with the columns of documents.
+
+    Sets are of five words here, as for near-duplicate stages in general; the query's contract wants four.
+    """
     docs = document_columns(docs)
     dropped = near_duplicates(docs, width).where(~F.col("kept")).select(F.col("doc_id").alias("d_id")).distinct()
     return docs.join(dropped, F.col("doc_id") == F.col("d_id"), "left_anti")

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tarnworks.llm import exact_dedup, near_dedup
 from tarnworks.llm.components import components
 from tarnworks.session import fresh_path
@@ -95,6 +97,50 @@ def test_near_against_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def _variants(n, apart):
+    """Variants of one text that is not there, four of its 204 words replaced in each; where these are apart, nearly all pairs are just below the similarity."""
+    random.seed(n)
+    hub = [f"w{k}" for k in range(204)]
+    texts = []
+    for k in range(n):
+        t = list(hub)
+        for at in [51 * j + random.randrange(4, 47) for j in range(4)] if apart else random.sample(range(204), 4):
+            t[at] = f"x{k}y{at}"
+        texts.append(" ".join(t))
+    return texts
+
+
+def _candidates(spark, texts):
+    sets = near_dedup.full_sets(frame(spark, texts), 4).withColumns({"rep": F.col("doc_id"), "component": F.col("doc_id")})
+    return near_dedup.unsettled_pairs(sets).count()
+
+
+def _links(texts):
+    sets = [_set(t, 4) for t in texts]
+    return sum(100 * len(a & b) >= 80 * len(a | b) for k, a in enumerate(sets) for b in sets[k + 1 :])
+
+
+def test_near_variants_without_their_centre_make_few_pairs(spark):
+    for n in (300, 1200):
+        assert _candidates(spark, _variants(n, True)) <= n * (n - 1) / 2 / 100
+    texts = _variants(300, False)
+    assert _candidates(spark, texts) <= 5 * _links(texts)
+    texts += [" ".join([*t.split()[:-6], "a", "b", "c"]) for t in texts[:30]]
+    got = near_dedup.near_duplicates(frame(spark, texts), 4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_near(list(enumerate(texts)), 4)
+
+
+def test_near_chains_of_variants(spark):
+    random.seed(15)
+    words, texts = [f"w{k}" for k in range(120)], []
+    for k in range(90):  # each a little off the one before it, so that no leader is near all
+        words = list(words)
+        words[random.randrange(120)] = f"v{k}"
+        texts.append(" ".join(words))
+    got = near_dedup.near_duplicates(frame(spark, texts), 4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_near(list(enumerate(texts)), 4)
+
+
 def test_near_odd_rows(spark):
     docs, rows = odd(spark)
     got = near_dedup.near_duplicates(docs, 4).collect()
