@@ -64,14 +64,17 @@ def parse(data: bytes | None) -> tuple[int, list] | None:
 
 
 def _outline(shape: tuple[int, list]) -> list[tuple[float, float]] | None:
-    """The points that bound a geometry: all, but only the outer ring of a polygon; null if one is empty or not finite."""
+    """The points that bound a geometry: all, but only the outer ring of a polygon; null if there are none or one is not finite.
+
+    Empty parts of a geometry of many do not count.
+    """
     kind, parts = shape
     if kind in (POINT, LINE):
         points = parts
     elif kind == POLYGON:
         points = parts[0] if parts else []
     else:
-        inner = [_outline(p) for p in parts]
+        inner = [_outline(p) for p in parts if p[1] and (p[0] != POLYGON or p[1][0])]
         if any(p is None for p in inner):
             return None
         points = [xy for p in inner for xy in p]

@@ -13,23 +13,23 @@ from tarnworks.operators.raster import zonal
 from tarnworks.operators.relational import full_join_all, renamed_but
 
 
-def groundwater(network: DataFrame, basins: DataFrame) -> DataFrame:
-    """divide_id, mean.Coeff, mean.Zmax (weighted by area), mode.Expon (of its floor) over the basins that each divide's references name."""
+def groundwater(network: DataFrame, basins: DataFrame, digits: int = 9) -> DataFrame:
+    """divide_id, mean.Coeff, mean.Zmax (weighted by area, rounded once), mode.Expon (of its floor) over the basins that each divide's references name."""
     walk = network.select(whole(F.col("reference_id")).alias("reference_id"), "divide_id")
     basins = basins.select(whole(F.col("ComID")).alias("ComID"), "Coeff", "Area_sqkm", "Zmax", F.floor("Expon").alias("Expon"))
     joined = basins.join(walk, F.col("ComID") == F.col("reference_id"))
     return joined.groupBy("divide_id").agg(
-        weighted_mean(F.col("Coeff"), F.col("Area_sqkm")).alias("mean.Coeff"),
-        weighted_mean(F.col("Zmax"), F.col("Area_sqkm")).alias("mean.Zmax"),
+        weighted_mean(F.col("Coeff"), F.col("Area_sqkm"), digits).alias("mean.Coeff"),
+        weighted_mean(F.col("Zmax"), F.col("Area_sqkm"), digits).alias("mean.Zmax"),
         mode_of("Expon").alias("mode.Expon"),
     )
 
 
-def channels(network: DataFrame, hydraulics: DataFrame, columns: list[str]) -> DataFrame:
-    """flowline_id and the columns' means, weighted by lengthkm, over the references of each flowline."""
+def channels(network: DataFrame, hydraulics: DataFrame, columns: list[str], digits: int = 9) -> DataFrame:
+    """flowline_id and the columns' means, weighted by lengthkm and rounded once, over the references of each flowline."""
     walk = network.select("flowline_id", whole(F.col("reference_id")).alias("reference_id"), "lengthkm")
     joined = walk.join(hydraulics.select(F.col("feature_id").alias("_feature"), *columns), F.col("reference_id") == F.col("_feature"))
-    return joined.groupBy("flowline_id").agg(*[weighted_mean(F.col(c), F.col("lengthkm")).alias(c) for c in columns])
+    return joined.groupBy("flowline_id").agg(*[weighted_mean(F.col(c), F.col("lengthkm"), digits).alias(c) for c in columns])
 
 
 def soils(covered: DataFrame, plan: dict[str, str]) -> DataFrame:

@@ -3,7 +3,10 @@
 Flowpaths are rows with an id and the id of the one they flow into (null at a
 terminal). Steps that follow flow lines use pointer doubling: in round k a row
 knows its 2^k-th downstream neighbour, so a network of depth d takes log2(d)
-rounds, each a join of the table with itself, and each written.
+rounds, each a join of the table with itself, and each written. In a table of n
+rows no way is longer than n, so what still moves after log2(n) rounds goes
+around a cycle: a cycle ends on its smallest row, which counts as a terminal. A target that is
+not in the table, as at the edge of a region, makes a terminal too.
 """
 
 from __future__ import annotations
@@ -59,16 +62,40 @@ def split_long_lines(flowpaths: DataFrame, most: float) -> DataFrame:
     return rows.select("n", "part", "parts", (F.col("length") / F.col("parts")).alias("length"), to.alias("to"), to_part.cast("bigint").alias("to_part"))
 
 
+def _within(flowpaths: DataFrame) -> DataFrame:
+    """The rows with ``to`` null where it names no row."""
+    there = flowpaths.select(F.col("n").alias("w_n"))
+    return flowpaths.join(there, F.col("to") == F.col("w_n"), "left").withColumn("to", F.col("w_n")).drop("w_n")
+
+
+def _rounds(state: DataFrame) -> range:
+    return range(state.count().bit_length() + 1)
+
+
 def _destinations(table: DataFrame) -> DataFrame:
-    """n, at: where a row ends up that moves on along ``to`` while ``moves`` holds. Cycles of moving rows end on their smallest n."""
-    state = staged(table.select("n", F.when(F.col("moves") & F.col("to").isNotNull(), F.col("to")).otherwise(F.col("n")).alias("at")), "destinations")
-    while True:
-        ahead = state.select(F.col("n").alias("a_n"), F.col("at").alias("a_at"))
-        on = state.join(ahead, F.col("at") == F.col("a_n"), "left").select("n", "at", F.coalesce("a_at", "at").alias("next"))
-        on = staged(on, "destinations")
-        if on.where(F.col("at") != F.col("next")).isEmpty():
-            return on.select("n", "at")
-        state = on.select("n", F.col("next").alias("at"))
+    """n, at: where a row ends up that moves on along ``to`` while ``moves`` holds. Cycles of moving rows end on their smallest n.
+
+    ``low`` is the smallest row passed on the way to ``at``, ``rest`` says that ``at``
+    does not move. After all rounds, what a row of a cycle has passed is its whole cycle.
+    """
+    rest = ~F.col("moves") | F.col("to").isNull()
+    state = staged(table.select("n", F.when(rest, F.col("n")).otherwise(F.col("to")).alias("at"), F.col("n").alias("low"), rest.alias("rest")), "destinations")
+    for _ in _rounds(state):
+        if state.where(~F.col("rest")).isEmpty():
+            return state.select("n", "at")
+        ahead = state.select(F.col("n").alias("a_n"), F.col("at").alias("a_at"), F.col("low").alias("a_low"), F.col("rest").alias("a_rest"))
+        on = state.join(ahead, F.col("at") == F.col("a_n"))
+        state = staged(on.select("n", F.col("a_at").alias("at"), F.least("low", "a_low").alias("low"), F.col("a_rest").alias("rest")), "destinations")
+    ends = state.select(F.col("n").alias("e_n"), F.when(F.col("rest"), F.col("at")).otherwise(F.col("low")).alias("e_at"))
+    return staged(state.join(ends, F.col("at") == F.col("e_n")).select("n", F.col("e_at").alias("at")), "destinations")
+
+
+def _without_cycles(flowpaths: DataFrame) -> DataFrame:
+    """Each cycle is cut behind its smallest row."""
+    at = _destinations(flowpaths.withColumn("moves", F.lit(True)))
+    ends = at.where(F.col("n") == F.col("at")).select(F.col("n").alias("c_n"))
+    cut = flowpaths.join(ends, F.col("n") == F.col("c_n"), "left")
+    return cut.withColumn("to", F.when(F.col("c_n").isNull(), F.col("to"))).drop("c_n")
 
 
 def collapse_short_lines(flowpaths: DataFrame, least: float) -> DataFrame:
@@ -76,24 +103,27 @@ def collapse_short_lines(flowpaths: DataFrame, least: float) -> DataFrame:
 
     A short terminal stays. Lengths are of the lines that stay, areas are sums.
     """
-    moving = flowpaths.withColumn("moves", F.col("length") < least)
-    at = _destinations(moving)
+    flowpaths = staged(_within(flowpaths), "collapse-lines")
+    at = _destinations(flowpaths.withColumn("moves", F.col("length") < least))
     to_at = at.select(F.col("n").alias("t_n"), F.col("at").alias("t_at"))
     own = flowpaths.join(at.withColumnRenamed("n", "d_n"), F.col("n") == F.col("d_n"))
     sums = own.groupBy(F.col("at").alias("s_n")).agg(F.sum("area").alias("s_area"), F.count(F.lit(1)).alias("members"))
     stay = flowpaths.join(sums, F.col("n") == F.col("s_n")).join(to_at, F.col("to") == F.col("t_n"), "left")
-    return stay.select("n", F.col("t_at").alias("to"), "length", F.col("s_area").alias("area"), "members")
+    return stay.select("n", F.nullif("t_at", "n").alias("to"), "length", F.col("s_area").alias("area"), "members")
 
 
 def total_drainage(flowpaths: DataFrame) -> DataFrame:
     """n, to, area, total: the area of a line and of everything that flows into it."""
-    state = staged(flowpaths.select("n", F.col("to").alias("far"), F.col("area").alias("total")), "drainage")
-    while not state.where("far IS NOT NULL").isEmpty():
+    flowpaths = staged(_within(flowpaths).select("n", "to", "area"), "drainage-lines")
+    state = flowpaths.select("n", F.col("to").alias("far"), F.col("area").alias("total"))
+    for _ in _rounds(state):
+        if state.where("far IS NOT NULL").isEmpty():
+            return flowpaths.join(state.select(F.col("n").alias("t_n"), "total"), F.col("n") == F.col("t_n")).drop("t_n")
         into = state.where("far IS NOT NULL").groupBy(F.col("far").alias("i_n")).agg(F.sum("total").alias("more"))
         ahead = state.select(F.col("n").alias("a_n"), F.col("far").alias("a_far"))
         grown = state.join(into, F.col("n") == F.col("i_n"), "left").join(ahead, F.col("far") == F.col("a_n"), "left")
         state = staged(grown.select("n", F.col("a_far").alias("far"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")), "drainage")
-    return flowpaths.select("n", "to", "area").join(state.select(F.col("n").alias("t_n"), "total"), F.col("n") == F.col("t_n")).drop("t_n")
+    return total_drainage(_without_cycles(flowpaths))
 
 
 def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataFrame:
@@ -108,7 +138,7 @@ def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataF
     inflow = drained.where("to IS NOT NULL").groupBy(F.col("to").alias("i_n")).agg(F.max(step).alias("passed"))
     ends = drained.join(inflow, F.col("n") == F.col("i_n"), "left").withColumn("moves", (step <= F.coalesce("passed", F.lit(0))) & F.col("to").isNotNull())
     at = staged(_destinations(ends.select("n", "to", "moves")), "aggregate-at")
-    units = _contracted(flowpaths.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), at)
+    units = _contracted(drained.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), at)
     small = units.withColumn("moves", (F.col("area") < least) & F.col("to").isNotNull())
     merged = _contracted(units, staged(_destinations(small.select("n", "to", "moves")), "aggregate-merged"))
     return merged.select(F.col("n").alias("unit"), F.col("to").alias("to_unit"), "area", "members")
@@ -119,11 +149,12 @@ def _contracted(table: DataFrame, at: DataFrame) -> DataFrame:
     own, there = at.select(F.col("n").alias("o_n"), F.col("at").alias("o_at")), at.select(F.col("n").alias("t_n"), F.col("at").alias("t_at"))
     sums = table.join(own, F.col("n") == F.col("o_n")).groupBy("o_at").agg(F.sum("area").alias("s_area"), F.sum("members").alias("s_members"))
     out = table.select("n", "to").join(sums, F.col("n") == F.col("o_at")).join(there, F.col("to") == F.col("t_n"), "left")
-    return staged(out.select("n", F.col("t_at").alias("to"), F.col("s_area").alias("area"), F.col("s_members").alias("members")), "contracted")
+    return staged(out.select("n", F.nullif("t_at", "n").alias("to"), F.col("s_area").alias("area"), F.col("s_members").alias("members")), "contracted")
 
 
 def placed_at_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
     """n, at: the first of the given outlets, or the terminal, downstream of each line."""
+    flowpaths = _within(flowpaths)
     marks = outlets.select(F.col(outlets.columns[0]).alias("m_n"), F.lit(True).alias("mark")).distinct()
     moving = flowpaths.join(marks, F.col("n") == F.col("m_n"), "left").withColumn("moves", F.col("mark").isNull() & F.col("to").isNotNull())
     return staged(_destinations(moving.select("n", "to", "moves")), "outlets-at")
@@ -131,7 +162,8 @@ def placed_at_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
 
 def aggregate_to_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
     """unit, to_unit, area, members: every line joins the outlet or terminal that it is placed at."""
-    out = _contracted(flowpaths.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), placed_at_outlets(flowpaths, outlets))
+    lines = _within(flowpaths).select("n", "to", "area", F.lit(1).cast("bigint").alias("members"))
+    out = _contracted(lines, placed_at_outlets(flowpaths, outlets))
     return out.select(F.col("n").alias("unit"), F.col("to").alias("to_unit"), "area", "members")
 
 

@@ -311,8 +311,7 @@ def groundwater_join(spark, sf_dir):
     walk = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("reference_id"), F.col("l_partkey").alias("divide_id"))
     c = (F.col("o_custkey") % 13).cast("double")
     basins = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ComID"), c.alias("Coeff"), F.col("o_totalprice").alias("Area_sqkm"), (2 * c).alias("Zmax"), c.alias("Expon"))
-    found = attributes.groundwater(walk, basins)
-    return found.select("divide_id", F.round("`mean.Coeff`", 6).alias("mean.Coeff"), F.round("`mean.Zmax`", 6).alias("mean.Zmax"))
+    return attributes.groundwater(walk, basins, digits=6).drop("mode.Expon")
 
 
 @query(
@@ -332,8 +331,7 @@ _CHANNEL = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 def channel_attrs_by_length(spark, sf_dir):
     walk = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("flowline_id"), F.col("o_orderkey").alias("reference_id"), F.col("o_totalprice").alias("lengthkm"))
     hydraulics = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("feature_id"), *_CHANNEL)
-    found = attributes.channels(walk, hydraulics, list(_CHANNEL))
-    return found.select("flowline_id", *[F.round(c, 5).alias(c) for c in _CHANNEL])
+    return attributes.channels(walk, hydraulics, list(_CHANNEL), digits=5)
 
 
 def _covered(spark, sf_dir):
@@ -574,6 +572,37 @@ def total_drainage(spark, sf_dir):
     return network.total_drainage(_lines(spark, sf_dir))
 
 
+def _open_lines(spark, sf_dir):
+    """Lines that flow 17 numbers on, the last of them out of the table, and a cycle of 0, 1 and 2."""
+    key = F.col("p_partkey")
+    to = F.when(key == 0, 1).when(key == 1, 2).when(key == 2, 0).otherwise(key + 17)
+    return table(spark, sf_dir, "part").select(key.alias("n"), to.alias("to"), F.when(key > 2, F.col("p_size") * 100.0).otherwise(0.0).alias("length"), (key % 9 + 1).alias("area"))
+
+
+# the cycle ends on its smallest number, and a target that is not there is none
+_OPEN = (
+    "p AS (SELECT p_partkey AS n, CASE p_partkey WHEN 0 THEN NULL WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE p_partkey + 17 END AS o, CASE WHEN p_partkey > 2 THEN p_size * 100.0 ELSE 0.0 END AS length, p_partkey % 9 + 1 AS area FROM part), "
+    "t AS (SELECT p.n, q.n AS o, p.length, p.area FROM p LEFT JOIN p q ON q.n = p.o)"
+)
+
+
+@query(
+    f"WITH RECURSIVE {_OPEN}, d(n, z) AS (SELECT n, n FROM t UNION ALL SELECT d.n, t.o FROM d JOIN t ON t.n = d.z WHERE t.length < 1000 AND t.o IS NOT NULL), "
+    "f AS (SELECT d.n, d.z FROM d JOIN t ON t.n = d.z WHERE t.length >= 1000 OR t.o IS NULL), s AS (SELECT f.z, sum(t.area) AS area, count(*) AS members FROM f JOIN t ON t.n = f.n GROUP BY 1) "
+    'SELECT t.n, g.z AS "to", round(t.length, 6) AS length, CAST(s.area AS BIGINT) AS area, s.members FROM t JOIN s ON s.z = t.n LEFT JOIN f g ON g.n = t.o'
+)
+def collapse_open_lines(spark, sf_dir):
+    return network.collapse_short_lines(_open_lines(spark, sf_dir), 1000.0).withColumn("length", F.round("length", 6))
+
+
+@query(
+    f"WITH RECURSIVE {_OPEN}, a(n, up) AS (SELECT n, n FROM t UNION ALL SELECT t.o, a.up FROM a JOIN t ON t.n = a.n WHERE t.o IS NOT NULL), w AS (SELECT a.n, CAST(sum(t.area) AS BIGINT) AS total FROM a JOIN t ON t.n = a.up GROUP BY 1) "
+    'SELECT t.n, t.o AS "to", t.area, w.total FROM t JOIN w ON w.n = t.n'
+)
+def total_drainage_open(spark, sf_dir):
+    return network.total_drainage(_open_lines(spark, sf_dir))
+
+
 @query(
     f"WITH RECURSIVE {_TOTAL}, i AS (SELECT t.o AS n, max(w.total // 50) AS passed FROM t JOIN w ON w.n = t.n WHERE t.o IS NOT NULL GROUP BY 1), "
     "m AS (SELECT t.n, t.o, t.area, (w.total // 50 <= coalesce(i.passed, 0)) AND t.o IS NOT NULL AS moves FROM t JOIN w ON w.n = t.n LEFT JOIN i ON i.n = t.n), "

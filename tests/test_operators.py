@@ -134,6 +134,18 @@ def test_network_steps(spark):
     assert network.total_drainage(lines.limit(0)).count() == 0 and network.aggregate_to_size(lines.limit(0), 5, 2).count() == 0
 
 
+def test_network_steps_on_cycles_and_open_ends(spark):
+    # 1 -> 2 -> 3 -> 1 with 4 flowing in, and 5 -> 6 -> out of the table
+    lines = spark.createDataFrame([(1, 2, 9.0, 1), (2, 3, 9.0, 2), (3, 1, 9.0, 4), (4, 2, 900.0, 8), (5, 6, 9.0, 16), (6, 99, 9.0, 32)], "n bigint, to bigint, length double, area bigint")
+    assert rows(network.collapse_short_lines(lines, 100.0).select("n", "to", "area", "members")) == [(1, None, 7, 3), (4, 1, 8, 1), (6, None, 48, 2)]
+    assert dict((r.n, r.total) for r in network.total_drainage(lines).collect()) == {1: 15, 2: 10, 3: 14, 4: 8, 5: 16, 6: 48}
+    for units in (network.aggregate_to_size(lines, 5, 2), network.aggregate_to_outlets(lines, spark.createDataFrame([(4,), (99,)], "n bigint"))):
+        assert units.agg(F.sum("area"), F.sum("members")).first()[:] == (63, 6)
+        assert units.where("unit = to_unit").count() == 0
+    two = spark.createDataFrame([(7, 8, 1.0, 1), (8, 7, 1.0, 1)], "n bigint, to bigint, length double, area bigint")
+    assert rows(network.collapse_short_lines(two, 5.0)) == [(7, None, 1.0, 2, 2)]
+
+
 def test_reconcile(spark):
     flowpaths = spark.createDataFrame([("fp-1", "nex-2", "f", "m"), ("fp-1", "nex-3", "f", "m")], "flowpath_id string, flowpath_toid string, flowline_id string, member_comid string")
     divides = spark.createDataFrame([("cat-1", "fp-1"), ("cat-9", "fp-9"), ("cat-0", None)], "divide_id string, flowpath_id string")

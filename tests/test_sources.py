@@ -25,6 +25,7 @@ def test_bounds_of_every_type():
     assert g.bounds_of(LINE) == (0, 1, 4, 5) and g.bounds_of(HOLE) == (0, 0, 4, 4)
     assert g.bounds_of(many(4, POINT, BIG)) == (1.5, -2, 1.5, -2) and g.bounds_of(many(7, HOLE, many(5, LINE))) == (0, 0, 4, 5)
     assert g.bounds_of(struct.pack("<BIdd", 1, 0x20000001, 1.0, 2.0)) == (1, 2, 1, 2)
+    assert g.bounds_of(many(5, LINE, struct.pack("<BII", 1, 2, 0))) == (0, 1, 4, 5) and g.bounds_of(many(6, many(3), HOLE)) == (0, 0, 4, 4)
     for bad in (None, b"", b"\x01", POINT[:-1], many(3), struct.pack("<BIdd", 1, 1, float("nan"), 1), many(7, struct.pack("<BI", 1, 99)), struct.pack("<BII", 1, 2, 2**31)):
         assert g.bounds_of(bad) is None
 
