@@ -5,10 +5,12 @@ language and source a minimum-covariance-determinant estimate is found by
 concentration steps over all its rows: distances under the present estimate are
 counted in fine steps, the nearest half of the group are summed (of the step in
 which the half ends only the needed part, so that tied copies do not enter all at
-once), and the sums give the next estimate. The last estimate is taken again from
-all rows within ``REWEIGHT`` of it. A step is one aggregate over the rows, keyed by group
+once), and the sums give the next estimate. Every group starts from several centres and
+covariances (see :func:`starts`); from each, steps go on until the determinant stops
+falling, ``STEPS`` at most, and the estimate of the smallest determinant stays. It is taken again from
+all rows within ``REWEIGHT`` of it. A step is one aggregate over the rows, keyed by group, start
 and distance step, so a group with a third of the rows is pre-aggregated in every
-task; only estimates (one row a group) reach numpy. A row is rejected when its
+task; only estimates (one row a group and start) reach numpy. A row is rejected when its
 Mahalanobis distance is beyond ``CUTOFF``.
 
 Groups of fewer than ``LEAST`` rows are pooled by language, and languages that
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,7 +48,9 @@ VECTOR = {"v_length": 0.07, "v_symbols": 0.06, "v_lines": 0.08, "v_repeats": 0.0
 UNIT = 1024  # a vector's whole numbers are 1/UNIT
 #: Share of a group that an estimate rests on; the count is (n + dimensions + 1) / 2, so a group stands nearly half of bad rows.
 SHARE = 0.5
-STEPS = 4
+STEPS = 12
+#: The log of a determinant has stopped falling when it falls by no more than this.
+FALL = 1e-6
 LEAST = 50
 #: Mahalanobis distance beyond which a row is rejected: the root of the chi-square quantile 0.99999 of four degrees.
 CUTOFF = 5.34
@@ -126,11 +131,11 @@ def group_names(rows: DataFrame) -> DataFrame:
 
 
 _PAIRS = [(a, b) for a in range(len(VECTOR)) for b in range(a, len(VECTOR))]
-_ESTIMATE = "`group` string, rows bigint, " + ", ".join(f"m{k} double" for k in range(len(VECTOR))) + ", " + ", ".join(f"p{a}{b} double" for a, b in _PAIRS)
+_ESTIMATE = "`group` string, start int, rows bigint, logdet double, " + ", ".join(f"m{k} double" for k in range(len(VECTOR))) + ", " + ", ".join(f"p{a}{b} double" for a, b in _PAIRS)
 
 
 def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centres and inverse covariances from sums: one row a group in and out.
+    """Centres, inverse covariances and log determinants from sums: one row a group and start in and out.
 
     In units of the least scales, variances below 1 along the axes of the covariance are raised to 1; others stay.
     """
@@ -145,8 +150,9 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for a, b in _PAIRS:
                 cov[a, b] = cov[b, a] = float(getattr(row, f"q{a}{b}")) / n - mean[a] * mean[b]
             variances, axes = np.linalg.eigh(cov / row.consistency / units)
-            inverse = (axes / np.maximum(variances, 1.0)) @ axes.T / units
-            out.append((row.group, int(row.rows), *mean, *(inverse[a, b] for a, b in _PAIRS)))
+            variances = np.maximum(variances, 1.0)
+            inverse = (axes / variances) @ axes.T / units
+            out.append((row.group, int(row.start), int(row.rows), float(np.log(variances).sum()), *mean, *(inverse[a, b] for a, b in _PAIRS)))
         yield pd.DataFrame(out, columns=[x.split()[0].strip("`") for x in _ESTIMATE.split(", ")])
 
 
@@ -159,37 +165,90 @@ def distance() -> Column:
     return total
 
 
+_CENTRE, _INVERSE = [f"m{k}" for k in range(len(VECTOR))], [f"p{a}{b}" for a, b in _PAIRS]
+_SUMS = [f"s{k}" for k in range(len(VECTOR))] + [f"q{a}{b}" for a, b in _PAIRS]
+
+
+def _sums(columns: list[str]) -> list[Column]:
+    products = [F.sum((F.col(columns[a]) * F.col(columns[b])).cast("decimal(20,0)")).alias(f"q{a}{b}") for a, b in _PAIRS]
+    return [F.sum(c).alias(f"s{k}") for k, c in enumerate(columns)] + products
+
+
+def _with_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    near = estimate.select(F.col("group").alias("e_group"), "start", *_CENTRE, *_INVERSE)
+    return rows.join(near, F.col("group") == F.col("e_group")).drop("e_group")
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Four first estimates of each group: 0, medians and the least scales; 1, means and covariances of all rows;
+    2, medians and quartile ranges; 3, medians and the covariance of the directions from them. Only their order of distances counts.
+    """
+    scale = np.array(list(VECTOR.values())) * UNIT
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75]).alias(f"r{k}") for k, c in enumerate(VECTOR)]
+    known = staged(rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows"), *quartiles, *_sums(list(VECTOR))), "quality-starts")
+    medians = known.select("group", "rows", F.lit(0.0).alias("logdet"), *[F.col(f"r{k}")[1].cast("double").alias(f"m{k}") for k in range(len(VECTOR))], *[f"r{k}" for k in range(len(VECTOR))])
+
+    def diagonal(start: int, width) -> DataFrame:
+        inverse = {f"p{a}{b}": F.pow(width(a), F.lit(-2.0)) if a == b else F.lit(0.0) for a, b in _PAIRS}
+        return medians.withColumns({"start": F.lit(start), **inverse}).select("group", "start", "rows", "logdet", *_CENTRE, *_INVERSE)
+
+    least = diagonal(0, lambda k: F.lit(float(scale[k])))
+    ranged = diagonal(2, lambda k: F.greatest((F.col(f"r{k}")[2] - F.col(f"r{k}")[0]).cast("double"), F.lit(float(scale[k]))))
+    classic = known.withColumns({"start": F.lit(1), "n": F.col("rows"), "consistency": F.lit(1.0)}).mapInPandas(_estimates, _ESTIMATE)
+    # directions as whole numbers, in units that _estimates takes back
+    away = [(F.col(c) - F.col(f"m{k}")) / float(scale[k]) for k, c in enumerate(VECTOR)]
+    length = F.sqrt(sum((x * x for x in away), F.lit(0.0)))
+    unit = [F.coalesce(F.round(x / F.nullif(length, F.lit(0.0)) * float(scale[k]) * 64), F.lit(0)).cast("bigint").alias(c) for k, (c, x) in enumerate(zip(VECTOR, away))]
+    turned = _with_estimate(rows, least).select("group", *unit).groupBy("group").agg(F.count(F.lit(1)).alias("n"), *_sums(list(VECTOR)))
+    turned = turned.withColumns({"start": F.lit(3), "rows": F.col("n"), "consistency": F.lit(1.0), **{f"s{k}": F.lit(0) for k in range(len(VECTOR))}}).mapInPandas(_estimates, _ESTIMATE)
+    centres = medians.select(F.col("group").alias("c_group"), *[F.col(m).alias(f"c_{m}") for m in _CENTRE])
+    turned = turned.join(centres, F.col("group") == F.col("c_group")).withColumns({m: F.col(f"c_{m}") for m in _CENTRE})
+    return reduce(DataFrame.unionByName, [least, classic, ranged, turned.select("group", "start", "rows", "logdet", *_CENTRE, *_INVERSE)])
+
+
+def _step(rows: DataFrame, estimate: DataFrame, last: bool) -> DataFrame:
+    """The estimates from the nearest half of the rows of each group, or the last ones from all within REWEIGHT."""
+    # log steps of a 32nd of an octave: a group has at most a few thousand
+    step = F.floor(F.log2(1 + F.greatest(distance(), F.lit(0.0))) * 32).cast("int")
+    steps = _with_estimate(rows, estimate).withColumn("step", F.when(distance() <= REWEIGHT, 0).otherwise(1) if last else step)
+    steps = steps.groupBy("group", "start", "step").agg(F.count(F.lit(1)).alias("n"), *_sums(list(VECTOR)))
+    own = Window.partitionBy("group", "start")
+    before = F.sum("n").over(own.orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.withColumns({"before": F.coalesce(before, F.lit(0)), "rows": F.sum("n").over(own)})
+    needed = F.floor(F.lit(SHARE) * (F.col("rows") + len(VECTOR) + 1)) - F.col("before")
+    steps = steps.withColumn("take", F.when(F.col("step") == 0, F.col("n")).otherwise(0) if last else F.greatest(F.least("n", needed), F.lit(0)))
+    # Whole numbers again after the share of the step is taken, so that the sums do not depend on order.
+    part = {x: F.when(F.col("take") == F.col("n"), F.col(x).cast("decimal(30,0)")).otherwise(F.round(F.col(x).cast("double") * F.col("take") / F.col("n")).cast("decimal(30,0)")) for x in _SUMS}
+    totals = steps.where("take > 0").withColumns(part).groupBy("group", "start").agg(F.max("rows").alias("rows"), F.sum("take").alias("n"), *[F.sum(x).alias(x) for x in _SUMS])
+    return totals.withColumn("consistency", F.lit(REWEIGHT_CONSISTENCY if last else CONSISTENCY)).mapInPandas(_estimates, _ESTIMATE)
+
+
+def concentrated(rows: DataFrame) -> DataFrame:
+    """The estimate of the smallest determinant of each group; rows: group and the vector."""
+    columns = ["rows", "logdet", *_CENTRE, *_INVERSE]
+    now, ended = staged(_step(rows, starts(rows), False), "quality-estimate"), []
+    for _ in range(STEPS - 1):
+        old = now.select(F.col("group").alias("o_group"), F.col("start").alias("o_start"), *[F.col(c).alias(f"o_{c}") for c in columns])
+        both = _step(rows, now, False).join(old, (F.col("group") == F.col("o_group")) & (F.col("start") == F.col("o_start")))
+        both = staged(both, "quality-estimate")
+        falls = F.col("logdet") < F.col("o_logdet") - FALL
+        ended.append(both.where(~falls).select("group", "start", *[F.col(f"o_{c}").alias(c) for c in columns]))
+        now = both.where(falls).select("group", "start", *columns)
+        if now.isEmpty():
+            break
+    every = reduce(DataFrame.unionByName, [now, *ended])
+    best = every.groupBy("group").agg(F.min(F.struct("logdet", "start", *[c for c in columns if c != "logdet"])).alias("best"))
+    return best.select("group", "best.*")
+
+
 def fit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Estimates and the groups' names from rows with counts, lang and source; both as written tables."""
     rows = with_groups(with_vector(rows).where(~base_failed()))
     names = staged(group_names(rows), "quality-names")
     rows = rows.join(names.withColumnRenamed("g_full", "n_full"), F.col("g_full") == F.col("n_full")).select("group", *VECTOR)
     rows = staged(rows, "quality-vectors")
-    middle = rows.groupBy("group").agg(*[F.percentile_approx(c, 0.5).cast("double").alias(f"m{k}") for k, c in enumerate(VECTOR)])
-    scale = {f"p{a}{b}": F.lit((UNIT * list(VECTOR.values())[a]) ** -2.0 if a == b else 0.0) for a, b in _PAIRS}
-    estimate = middle.withColumns(scale)
-    # log steps of a 32nd of an octave: a group has at most a few thousand
-    step = F.floor(F.log2(1 + F.greatest(distance(), F.lit(0.0))) * 32).cast("int")
-    sums = [F.sum(c).alias(f"s{k}") for k, c in enumerate(VECTOR)]
-    sums += [F.sum((F.col(list(VECTOR)[a]) * F.col(list(VECTOR)[b])).cast("decimal(20,0)")).alias(f"q{a}{b}") for a, b in _PAIRS]
-    names_of_sums = [f"s{k}" for k in range(len(VECTOR))] + [f"q{a}{b}" for a, b in _PAIRS]
-    for k in range(STEPS + 1):
-        near = estimate.drop("rows").withColumnRenamed("group", "e_group")
-        last = k == STEPS
-        at = F.when(distance() <= REWEIGHT, 0).otherwise(1) if last else step
-        steps = rows.join(near, F.col("group") == F.col("e_group")).withColumn("step", at)
-        steps = steps.groupBy("group", "step").agg(F.count(F.lit(1)).alias("n"), *sums)
-        before = F.sum("n").over(Window.partitionBy("group").orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
-        everything = F.sum("n").over(Window.partitionBy("group"))
-        steps = steps.withColumns({"before": F.coalesce(before, F.lit(0)), "rows": everything})
-        needed = F.floor(F.lit(SHARE) * (F.col("rows") + len(VECTOR) + 1)) - F.col("before")
-        steps = steps.withColumn("take", F.when(F.col("step") == 0, F.col("n")).otherwise(0) if last else F.greatest(F.least("n", needed), F.lit(0)))
-        # Whole numbers again after the share of the step is taken, so that the sums do not depend on order.
-        part = {x: F.when(F.col("take") == F.col("n"), F.col(x).cast("decimal(30,0)")).otherwise(F.round(F.col(x).cast("double") * F.col("take") / F.col("n")).cast("decimal(30,0)")) for x in names_of_sums}
-        totals = steps.where("take > 0").withColumns(part).groupBy("group").agg(F.max("rows").alias("rows"), F.sum("take").alias("n"), *[F.sum(x).alias(x) for x in names_of_sums])
-        totals = totals.withColumn("consistency", F.lit(REWEIGHT_CONSISTENCY if last else CONSISTENCY))
-        estimate = staged(totals.mapInPandas(_estimates, _ESTIMATE), "quality-estimate")
-    return estimate, names
+    best = staged(concentrated(rows), "quality-best")
+    return staged(_step(rows, best, True).drop("start", "logdet"), "quality-estimate"), names
 
 
 def judged(counted: DataFrame, estimate: DataFrame, names: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -131,6 +133,28 @@ def test_quality_rejects_outliers_and_keeps_clean(spark):
     assert quality_rules.good_documents(docs).count() == 270
 
 
+def test_quality_determinant_is_the_least_of_all_halves(spark):
+    """Groups of 13 rows against every subset of 9: the concentrated estimate has the least determinant, or one close to it."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(3)
+    groups = {}
+    for g in range(12):
+        rows = rng.normal([1600, 300, 200, 300], [150, 120, 160, 170], (13, 4))
+        rows[: g % 4] += rng.normal(900, 300, (g % 4, 4))
+        groups[f"g{g}"] = np.round(rows).astype(int)
+    table = spark.createDataFrame([(g, *map(int, r)) for g, rows in groups.items() for r in rows], "`group` string, " + ", ".join(f"{c} bigint" for c in quality_rules.VECTOR))
+    got = {r["group"]: r.logdet for r in quality_rules.concentrated(table).collect()}
+    scale = np.array(list(quality_rules.VECTOR.values())) * quality_rules.UNIT
+
+    def logdet(rows):
+        return np.log(np.maximum(np.linalg.eigvalsh(np.cov(rows.T, bias=True) / quality_rules.CONSISTENCY / np.outer(scale, scale)), 1.0)).sum()
+
+    off = {g: got[g] - min(logdet(rows[list(c)]) for c in combinations(range(13), 9)) for g, rows in groups.items()}
+    assert all(-1e-3 < x < 1.0 for x in off.values()), off
+    assert sum(x < 1e-3 for x in off.values()) >= 4, off
+
+
 def test_quality_rejects_a_third_of_copies(spark):
     random.seed(9)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(random.choice([3, 5, 7])))
@@ -217,6 +241,67 @@ def test_cotraining_on_held_out_labels(spark):
     assert sum((got[i].p_meta >= 0.5) == truth[i] for i in unseen) / len(unseen) > 0.65
 
 
+def brute_cotraining(rows, labels):
+    """Both views on whole arrays of 0 and 1, without batches, bits or aggregates: p_good of each row."""
+    c = cotraining
+    tables = [np.zeros((len(rows), c.WORDS + c.BINNED)), np.zeros((len(rows), c.META))]
+    for k, (_, text, lang, source, n_chars) in enumerate(rows):
+        tables[0][k, c.text_features(text)] = 1
+        tables[1][k, c.meta_features(lang, source, n_chars)] = 1
+    label = np.array([labels.get(r[0], -1) for r in rows])
+    held = np.array([zlib.crc32(str(r[0]).encode()) % c.HOLD_OUT == 0 and r[0] in labels for r in rows])
+    centre = (np.arange(c._BINS) + 0.5) * 2 * c._REACH / c._BINS - c._REACH
+
+    def line(odds):
+        at = np.clip((odds[held] + c._REACH) / (2 * c._REACH) * c._BINS, 0, c._BINS - 1).astype(int)
+        x, y = centre[at], label[held]
+        s, o = 1.0, 0.0
+        for _ in range(20_000):  # plain descent on the penalised loss
+            p = 1 / (1 + np.exp(-np.clip(s * x + o, -500, 500)))
+            gs, go = ((p - y) * x).sum() + (s - 1), (p - y).sum() + o
+            w = p * (1 - p)
+            s, o = s - gs / (1 + (w * x * x).sum() + (x * x).mean()), o - go / (1 + w.sum() + 1)
+        return max(s, 0.0), o
+
+    odds = [None, None]
+    for _ in range(c.ROUNDS):
+        new = []
+        for k in (0, 1):
+            y = label.copy()
+            teacher = odds[1 - k]
+            if teacher is not None:
+                edge = math.log(c.SURE / (1 - c.SURE))
+                y = np.where(label >= 0, label, np.where(teacher >= edge, 1, np.where(teacher <= -edge, 0, -1)))
+            y = np.where(held, -1, y)
+            n = np.array([(y == j).sum() for j in (0, 1)])
+            count = np.stack([tables[k][y == j].sum(axis=0) for j in (0, 1)], axis=1)
+            ratio = np.log((count[:, 1] + 0.5) / (n[1] + 1) * (n[0] + 1) / (count[:, 0] + 0.5))
+            ratio[np.abs(ratio) < c.CLEAR * np.sqrt((1 / (count + 0.5)).sum(axis=1))] = 0
+            words = c.WORDS if k == 0 else 0
+            said = np.array([r[:words] @ ratio[:words] * c.VOICES / max(r[:words].sum(), c.VOICES) + r[words:] @ ratio[words:] for r in tables[k]])
+            raw = said + math.log((n[1] + 1) / (n[0] + 1))
+            slope, offset = line(raw)
+            new.append(slope * raw + offset)
+        odds = new
+    slope, offset = line(odds[0] + odds[1])
+    return 1 / (1 + np.exp(-(slope * (odds[0] + odds[1]) + offset)))
+
+
+def test_cotraining_against_whole_arrays(spark):
+    random.seed(16)
+    rows, truth = [], {}
+    for i in range(400):
+        good = random.random() < 0.6
+        words = [random.choice(["ab", "abc", "abcd", "xyz"]) + random.choice("pqrst") for _ in range(60)]
+        words += [random.choice(["nice", "fine"]) if good and random.random() < 0.9 else random.choice(["spam$$", "junk##"]) for _ in range(5)]
+        rows.append((i, " ".join(words), "en", random.choice("gggb" if good else "gbbb"), 500))
+        truth[i] = int(good)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = {i: truth[i] for i in range(0, 400, 2)}
+    got = {r.doc_id: r.p_good for r in cotraining.quality_scores(docs, spark.createDataFrame(list(labels.items()), "doc_id bigint, quality int")).collect()}
+    assert np.allclose([got[i] for i in range(400)], brute_cotraining(rows, labels), atol=0.01)
+
+
 def test_cotraining_odd_rows(spark):
     docs, rows = odd(spark)
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 0), (77, 0)], "doc_id bigint, quality int")
@@ -245,3 +330,42 @@ def test_pipeline_stages(spark):
     assert mixed.columns == docs.columns
     coded = corpus_pipeline.sentencepiece(spark, mixed, "")
     assert coded.where("round_trip").count() == mixed.count()
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """All stages of a small table at once, its groups being too small for estimates, against versions without Spark."""
+    from tests.llm.test_dedup import _squeezed, brute_near
+
+    random.seed(17)
+    texts = [" ".join(f"w{random.randrange(900)}" for _ in range(random.choice([20, 60, 90]))) for _ in range(30)]
+    texts += [texts[k] + "\n" for k in range(5)] + [t.replace(" ", "  ", 3) for t in texts[5:8]] + [" ".join([*t.split()[:-1], "x"]) for t in texts[8:14]] + [None, "a b " * 60]
+    rows = [(i, t, "en", "ab"[i % 2], None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, component string")
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
+
+    stay = {}
+    for i, t, *_ in rows:
+        n, _, _, _, repeats = brute_counts(t)
+        if n >= 50 and 100 * repeats <= 50 * n and ((h := _squeezed(t)) not in stay or len(t) > len(stay[h][1])):
+            stay[h] = i, t
+    groups = brute_near(list(stay.values()), 5)
+    left = {i: texts[i] for i, _, component in groups if i == component}
+    sizes = Counter()
+    for i, t in left.items():
+        sizes["ab"[i % 2]] += len(t.split())
+    targets = brute_targets(sizes)
+    assert all(r.round_trip for r in got) and {r.doc_id for r in got} <= set(left)
+    from tarnworks.llm import pieces
+
+    back = pieces.decode(spark.createDataFrame([(r.doc_id, r.chunk, r.ids) for r in got], "doc_id bigint, chunk bigint, ids array<int>")).collect()
+    words = Counter()
+    for r in back:
+        assert left[r.doc_id].split()[: len(r.text.split())] == r.text.split()
+        words["ab"[r.doc_id % 2]] += len(r.text.split())
+    assert all(abs(words[s] - targets[s]) <= 20 for s in targets)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    empty(spark).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0

@@ -222,9 +222,15 @@ def test_lm_odd_rows(spark):
 # ---- pieces
 
 
-def brute_best(encoder, marked):
-    score, _ = encoder.best(marked, 0, len(marked))
-    return score[-1]
+def brute_best(vocabulary, marked):
+    """The greatest sum of scores over all segmentations, place by place over the whole text."""
+    best = [0.0]
+    for j in range(1, len(marked) + 1):
+        ways = [best[i] + vocabulary.scores[vocabulary.ids[marked[i:j]]] for i in range(max(0, j - vocabulary.longest), j) if marked[i:j] in vocabulary.ids]
+        if marked[j - 1] not in vocabulary.ids:
+            ways.append(best[j - 1] + vocabulary.byte_score * len(marked[j - 1].encode()))
+        best.append(max(ways))
+    return best[-1]
 
 
 def test_pieces_round_trip_and_best_score(spark):
@@ -233,7 +239,7 @@ def test_pieces_round_trip_and_best_score(spark):
     assert got.where("NOT round_trip").count() == 0 and got.select("doc_id").distinct().count() == len({r[0] for r in rows})
     random.seed(9)
     texts = ["".join(random.choice(["the ", "nation", "  ", "é", "漢", "\n", "▁", "x" * 40, "er", "Ex", "........"]) for _ in range(n)) for n in (0, 1, 5, 30, 200, 400)] + ["y" * 700, " " * 300]
-    encoder = pieces.Encoder(read_pieces())
+    vocabulary = read_pieces()
     for size in (17, 40, 64, 1000):
         rows = pieces.encode(frame(spark, texts), size=size)
         back = {}
@@ -245,7 +251,7 @@ def test_pieces_round_trip_and_best_score(spark):
             assert r.round_trip
             scores[r.doc_id] = scores.get(r.doc_id, 0.0) + r.score
         for i, t in enumerate(texts):
-            assert scores[i] == pytest.approx(brute_best(encoder, " " + t) if t else 0.0)
+            assert scores[i] == pytest.approx(brute_best(vocabulary, " " + t) if t else 0.0)
     assert pieces.encode(empty(spark)).count() == 0
 
 
@@ -278,6 +284,21 @@ def test_edits_count_like_a_whole_encoding(spark):
             assert tree == token_counts.tree_of(tree[(len(tree) + 1) // 2 - 1 :][: len(points)])
 
 
+def test_edits_on_spark_count_like_whole_encodings(spark):
+    whole = lambda t: len(token_counts.Tokens(token_counts.read_ranks()).coder.encode_ordinary(t))
+    random.seed(18)
+    texts = ["".join(random.choice(["the ", "nation", "  ", "\n", "é", "'s", "12", "!?", " x"]) for _ in range(n)) for n in (0, 1, 30, 300, 900, 900)] + [None]
+    docs = frame(spark, texts)
+    kept = token_counts.trees(docs)
+    assert {r.doc_id: r.n_tokens for r in kept.collect()} == {i: whole(t or "") for i, t in enumerate(texts)}
+    edits = token_counts.sample_edits(docs)
+    made = {r.doc_id: r for r in edits.collect()}
+    for r in token_counts.apply_edits(docs, kept, edits).collect():
+        t, e = texts[r.doc_id] or "", made[r.doc_id]
+        changed = t[: e.start] + e.added + t[e.start + e.removed :]
+        assert (r.n_tokens, r.n_edited, r.tree[0], sum(r.points)) == (whole(t), whole(changed), whole(changed), len(changed))
+
+
 def test_token_counts_odd_rows(spark):
     docs, rows = odd(spark)
     kept = token_counts.trees(docs)
