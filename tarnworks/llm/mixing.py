@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnworks.llm.text import SPACES, document_columns, documents, word_count
+from tarnworks.llm.text import DOCUMENT, SPACES, document_columns, documents, word_count
 from tarnworks.session import staged
 
 QUERY = "op6_source_mixing"
@@ -147,11 +147,19 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epoch
 
     A document comes once for each whole pass; what remains of ``taken`` comes as
     a text of its first words. A source is read in order, so at most the document
-    where it stops is cut. Rows of one doc_id count as one document here.
+    where it stops is cut. Where a doc_id stands on several rows, each goes by its own source and size;
+    rows that share all three are dealt their takes in any order.
     """
     docs = document_columns(docs)
-    takes = mix(docs, weights, epochs).where("taken > 0").groupBy("doc_id").agg(F.max("size").alias("m_size"), F.max("taken").alias("m_taken"))
-    joined = docs.join(takes.withColumnRenamed("doc_id", "m_id"), F.col("doc_id").eqNullSafe(F.col("m_id")))
+    takes = staged(mix(docs, weights, epochs), "mix-takes")
+    same = F.col("doc_id").eqNullSafe(F.col("m_id"))
+    if not takes.groupBy("doc_id").count().where("count > 1").isEmpty():
+        takes = takes.withColumn("m_k", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("start")))
+        docs = docs.withColumn("_size", word_count(F.col("text")))
+        docs = docs.withColumn("_k", F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text"))))
+        same = same & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("_size") == F.col("m_size")) & (F.col("_k") == F.col("m_k"))
+    takes = takes.where("taken > 0").withColumnsRenamed({"doc_id": "m_id", "source": "m_source", "size": "m_size", "taken": "m_taken"})
+    joined = docs.join(takes.drop("source_size", "target", "start"), same)
     whole, rest = F.floor(F.col("m_taken") / F.col("m_size")), F.col("m_taken") % F.col("m_size")
     words = F.when(rest > 0, rest).otherwise(0)
     parts = F.concat(F.array_repeat(F.lit(-1).cast("bigint"), whole.cast("int")), F.filter(F.array(words.cast("bigint")), lambda w: w > 0))
@@ -159,7 +167,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epoch
     first = F.concat_ws(" ", F.slice(F.split(F.trim(F.translate("text", SPACES, " " * len(SPACES))), " +"), F.lit(1), F.col("_words").cast("int")))
     text = F.when(F.col("_words") < 0, F.col("text")).otherwise(first)
     rows = rows.withColumn("text", text).withColumn("n_chars", F.when(F.col("_words") < 0, F.col("n_chars")).otherwise(F.length("text")))
-    return rows.select(*docs.columns)
+    return rows.select(*DOCUMENT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

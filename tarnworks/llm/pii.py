@@ -12,7 +12,7 @@ mentions of such values that no base match overlaps are spans as well.
 Defined results: null and empty texts have no spans. Positions are code points,
 the end exclusive. Failing base matches are dropped without another try. Repeated
 rows get the same spans each. An empty table gives an empty result. Context does
-not reach over another mention, nor further than 80 code points.
+not reach over another mention, nor further than ``REACH`` code points; a word cut there is left out.
 """
 
 from __future__ import annotations
@@ -44,12 +44,20 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+", "at": "@"}
 ROUNDS = 3
 CONFIDENT = 0.8
 SUPPORT = 3
+#: Code points of context on either side of a mention.
+REACH = 80
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.translate(F.lower(text), SPACES, " " * len(SPACES)), " "), lambda w: w != "")
 
 
+def _near(gap: Column, start: bool) -> Column:
+    """The whole words in the first or last REACH code points of a gap."""
+    part = (F.left if start else F.right)(gap, F.lit(REACH + 1))
+    return F.when(F.length(gap) <= REACH, gap).otherwise(F.regexp_replace(part, r"[^\x20\x09-\x0D]+$" if start else r"^[^\x20\x09-\x0D]+", ""))
+
+
 def _hits(text: Column, pattern: str, context: bool) -> Column:
     """The matches in order, each with the number of code points between it and the one before."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -58,7 +66,7 @@ def _hits(text: Column, pattern: str, context: bool) -> Column:
     def hit(pair: Column) -> Column:
         fields = [pair["m"].alias("value"), F.length(pair["gap"]).alias("gap")]
         if context:
-            before, after = _words(F.right(pair["gap"], F.lit(80))), _words(F.left(pair["next"], F.lit(80)))
+            before, after = _words(_near(pair["gap"], False)), _words(_near(pair["next"], True))
             fields += [F.slice(F.concat(F.array(F.lit(""), F.lit("")), before), -2, 2).alias("before"), F.coalesce(F.get(after, F.lit(0)), F.lit("")).alias("after")]
         return F.struct(*fields)
 
@@ -138,7 +146,6 @@ def mentions(scanned: DataFrame, base: DataFrame) -> DataFrame:
     is_base = F.col("base").isNotNull()
     reach = F.max(F.when(is_base, F.struct("end", "base"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.min(F.when(is_base, F.struct("start", "base"))).over(order.rowsBetween(0, Window.unboundedFollowing))
-    seed = F.when(reach["end"] > F.col("start"), reach["base"]).when(ahead["start"] < F.col("end"), ahead["base"])
     rows = both.unionByName(marks).withColumns({"reach": reach, "ahead": ahead})
     seed = F.when(F.col("reach.end") > F.col("start"), F.col("reach.base")).when(F.col("ahead.start") < F.col("end"), F.col("ahead.base"))
     return rows.where(F.col("base").isNull()).select("uid", "start", "end", "value", "patterns", seed.alias("seed"))

@@ -75,6 +75,17 @@ def test_schedule_is_even(spark):
         seen[r.source] += 1
 
 
+def test_mixed_documents_of_one_id_go_by_their_rows(spark):
+    rows = [(1, "x " * 10, "en", "x", 1), (1, "y " * 3, "en", "y", 1), (1, "z " * 3, "en", "y", 1), (2, "x " * 5, "en", "x", 1), (None, "y " * 4, "en", None, 1), (None, "y " * 4, "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    taken, words = Counter(), Counter()
+    for r in mixing.mix(docs, (1, 3)).collect():
+        taken[r.source] += r.taken
+    for r in mixing.mixed_documents(docs, (1, 3)).collect():
+        words[r.source] += len(r.text.split())
+    assert words == taken and sum(words.values()) > 20
+
+
 def test_mixing_odd_rows(spark):
     docs, rows = odd(spark)
     assert mixing.mix(docs).count() == len(rows)

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnworks.llm import lm_scoring, pieces, pii, token_counts
 from tarnworks.llm.vocabulary import read_pieces
@@ -60,6 +61,15 @@ def test_personal_data_bootstrap(spark):
     assert all(got[len(seeds) + 1 + k].spans == "" for k in range(2))
 
 
+def test_personal_data_context_keeps_whole_words(spark):
+    gaps = ["a " * 50, "b" * 100, "c " + "d" * 79, "e " + "f" * 80, "short one", ""]
+    near = spark.createDataFrame([(g,) for g in gaps], "g string").select(pii._near(F.col("g"), False).alias("last"), pii._near(F.col("g"), True).alias("first")).collect()
+    for g, r in zip(gaps, near):
+        whole = g.split()
+        assert all(w in whole for w in r["last"].split() + r["first"].split())
+    assert near[2]["last"].split() == ["d" * 79] and near[3]["last"].split() == ["f" * 80] and near[1]["first"] == ""
+
+
 def test_personal_data_odd_rows(spark):
     docs, rows = odd(spark)
     got = pii.personal_data(docs).collect()
