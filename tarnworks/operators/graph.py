@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.functions.ids import typed
-from tarnworks.session import staged
+from tarnworks.session import staged, staged_by
 
 #: Node types at which an edge may begin and end.
 FROM_TYPES, TO_TYPES = (0, 2), (1, 3, 4)
 
+#: Rounds of a search whose tables are read one by one before they become one.
+FOLD = 16
+
 
 def typed_edges(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("ft").isin(*FROM_TYPES) & F.col("tt").isin(*TO_TYPES))
@@ -32,22 +37,26 @@ def upstream(edges: DataFrame, outlets: DataFrame, with_sibling: bool = False) -
     With ``with_sibling`` the search starts at each outlet's downstream node too,
     so branches that meet the outlet's there are found; that node itself is
     not in the result unless it is reached. Rounds follow the edges up from the
-    last round's nodes; nodes seen before are dropped, so cycles end. Every round
-    is written, so a deep network has no deep plan.
+    last round's nodes; nodes seen before are dropped, so cycles end. Edges are written
+    once, in buckets by where they lead, so no round moves them; every round writes its
+    new nodes alone, and the rounds' tables become one after ``FOLD`` of them, so a
+    deep network has no deep plan.
     """
-    edges = edges.select("fn", "tn", *(["pos"] if "pos" in edges.columns else []))
+    edges = staged_by(edges.select("fn", "tn", *(["pos"] if "pos" in edges.columns else [])), "tn", "upstream-edges")
     seen = staged(outlets.select(F.col(outlets.columns[0]).cast("bigint").alias("node")).distinct(), "upstream-0")
     frontier = seen
     if with_sibling:
         order = edges if "pos" in edges.columns else edges.withColumn("pos", F.col("tn"))
         down = downstream_first(order).join(seen.withColumnRenamed("node", "fn"), "fn", "left_semi").select(F.col("tn").alias("node"))
         frontier = staged(seen.union(down).distinct(), "upstream-seeds")
+    tables = [seen]
     while True:
+        seen = reduce(DataFrame.union, tables)
         found = edges.join(frontier, F.col("tn") == F.col("node"), "left_semi").select(F.col("fn").cast("bigint").alias("node")).distinct()
         frontier = staged(found.join(seen, "node", "left_anti"), "upstream-frontier")
         if frontier.isEmpty():
             return seen
-        seen = staged(seen.union(frontier), "upstream-seen")
+        tables = [*tables, frontier] if len(tables) < FOLD else [staged(seen, "upstream-seen"), frontier]
 
 
 def upstream_of_tree(edges: DataFrame, outlet: int) -> DataFrame:

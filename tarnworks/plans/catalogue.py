@@ -8,6 +8,7 @@ customers points of interest.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions import display, geometry
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
 from tarnworks.operators import aggregates, attributes, graph, network, pointers, raster, relational
-from tarnworks.operators.subset import subset_lakes
+from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
 from tarnworks.sources.layers import catalog, read_ids
 
@@ -151,6 +152,41 @@ def subset_lakes_via_pois(spark, sf_dir):
     return subset_lakes(lakes, pois).select("o_orderkey", F.col("poi_id").alias("o_custkey"))
 
 
+@query(
+    "WITH RECURSIVE e AS (SELECT p_partkey AS fn, p_partkey // 2 AS tn FROM part WHERE p_partkey >= 1), u(n) AS (SELECT CAST(5 AS BIGINT) UNION SELECT e.fn FROM e JOIN u ON e.tn = u.n), "
+    "s(n) AS (SELECT fn FROM e WHERE tn = 2 UNION SELECT e.fn FROM e JOIN s ON e.tn = s.n), k AS (SELECT n FROM u UNION SELECT n FROM s), "
+    "x AS (SELECT 'nex-' || e.tn AS id FROM e WHERE e.tn IN (FROM k) AND e.fn IN (FROM k) UNION SELECT 'nex-2' UNION SELECT 'wb-' || n FROM k), "
+    "c AS (SELECT c_custkey, c_acctbal, CASE WHEN c_nationkey % 3 <> 0 THEN c_nationkey END AS poi_id FROM customer WHERE c_custkey IN (FROM k)), "
+    "t AS (SELECT 'divides' AS name, p_size AS v FROM part WHERE p_partkey IN (FROM k) UNION ALL SELECT 'flowpaths', p_size * 2 FROM part WHERE p_partkey IN (FROM k) "
+    "UNION ALL SELECT 'nexus', p_size FROM part WHERE 'nex-' || p_partkey IN (FROM x) UNION ALL SELECT 'divide-attributes', l_quantity FROM lineitem WHERE l_partkey IN (FROM k) "
+    "UNION ALL SELECT 'flowpath-attributes', l_tax FROM lineitem WHERE l_partkey IN (FROM k) UNION ALL SELECT 'flowpath-attributes-ml', s_acctbal FROM supplier WHERE s_suppkey IN (FROM k) "
+    "UNION ALL SELECT 'hydrolocations', o_totalprice FROM orders WHERE o_custkey IN (FROM k) UNION ALL SELECT 'pois', c_acctbal FROM c "
+    "UNION ALL SELECT 'network', l_quantity FROM lineitem WHERE (CASE WHEN l_linenumber % 2 = 0 THEN 'wb-' ELSE 'nex-' END) || l_partkey IN (FROM x) "
+    "UNION ALL SELECT 'lakes', o_totalprice FROM orders WHERE o_custkey % 25 IN (SELECT poi_id FROM c WHERE poi_id IS NOT NULL)) "
+    "SELECT name AS table_name, count(*) AS features, round(sum(v), 3) AS total FROM t GROUP BY 1"
+)
+def subset_tables(spark, sf_dir):
+    """All ten tables of a subset, with the branches that meet the outlet's."""
+    read = {n: table(spark, sf_dir, n) for n in ("part", "lineitem", "supplier", "orders", "customer")}
+    part, lines = F.col("p_partkey"), F.col("l_partkey")
+    either = F.when(F.col("l_linenumber") % 2 == 0, typed("wb", lines)).otherwise(typed("nex", lines))
+    tables = {
+        "divides": read["part"].select(typed("cat", part).alias("divide_id"), F.col("p_size").alias("v")),
+        "flowpaths": read["part"].select(typed("wb", part).alias("id"), (F.col("p_size") * 2).alias("v")),
+        "nexus": read["part"].select(typed("nex", part).alias("id"), F.col("p_size").alias("v")),
+        "divide-attributes": read["lineitem"].select(typed("cat", lines).alias("divide_id"), F.col("l_quantity").alias("v")),
+        "flowpath-attributes": read["lineitem"].select(typed("wb", lines).alias("id"), F.col("l_tax").alias("v")),
+        "flowpath-attributes-ml": read["supplier"].select(typed("wb", F.col("s_suppkey")).alias("id"), F.col("s_acctbal").alias("v")),
+        "hydrolocations": read["orders"].select(typed("wb", F.col("o_custkey")).alias("id"), F.col("o_totalprice").alias("v")),
+        "pois": read["customer"].select(typed("wb", F.col("c_custkey")).alias("id"), F.when(F.col("c_nationkey") % 3 != 0, F.col("c_nationkey")).alias("poi_id"), F.col("c_acctbal").alias("v")),
+        "network": read["lineitem"].select(either.alias("id"), F.col("l_quantity").alias("v")),
+        "lakes": read["orders"].select((F.col("o_custkey") % 25).alias("poi_id"), F.col("o_totalprice").alias("v")),
+    }
+    edges = _edges(spark, sf_dir).withColumns({"ft": F.lit(0), "tt": F.lit(1)})
+    kept = [t.select(F.lit(n).alias("table_name"), F.col("v").cast("double").alias("v")) for n, t in subset(tables, edges, _outlet(spark)).items()]
+    return reduce(DataFrame.unionByName, kept).groupBy("table_name").agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("v"), 3).alias("total"))
+
+
 # ---- corrections, joins, projections
 
 

@@ -79,13 +79,15 @@ class GeoPackage(DataSource):
         return _Reader(self.options["path"], self.options["layer"], schema, int(self.options.get("partitions", 8)))
 
 
+#: The tables and first rows that the GeoPackage standard prescribes, and the feature counts that readers of it look for.
 _SPATIAL = """
 PRAGMA application_id = 0x47504B47;
 PRAGMA user_version = 10300;
 CREATE TABLE gpkg_spatial_ref_sys (srs_name TEXT NOT NULL, srs_id INTEGER PRIMARY KEY, organization TEXT NOT NULL, organization_coordsys_id INTEGER NOT NULL, definition TEXT NOT NULL, description TEXT);
 CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT NOT NULL, identifier TEXT UNIQUE, description TEXT DEFAULT '', last_change DATETIME NOT NULL DEFAULT (strftime('%Y-%m-%dT%H:%M:%fZ','now')), min_x DOUBLE, min_y DOUBLE, max_x DOUBLE, max_y DOUBLE, srs_id INTEGER);
 CREATE TABLE gpkg_geometry_columns (table_name TEXT NOT NULL, column_name TEXT NOT NULL, geometry_type_name TEXT NOT NULL, srs_id INTEGER NOT NULL, z TINYINT NOT NULL, m TINYINT NOT NULL, PRIMARY KEY (table_name, column_name));
-INSERT INTO gpkg_spatial_ref_sys VALUES ('Undefined cartesian', -1, 'NONE', -1, 'undefined', NULL), ('Undefined geographic', 0, 'NONE', 0, 'undefined', NULL), ('NAD83 / Conus Albers', 5070, 'EPSG', 5070, 'EPSG:5070', NULL);
+INSERT INTO gpkg_spatial_ref_sys VALUES ('Undefined cartesian', -1, 'NONE', -1, 'undefined', NULL), ('Undefined geographic', 0, 'NONE', 0, 'undefined', NULL), ('WGS 84 geodetic', 4326, 'EPSG', 4326, 'GEOGCS["WGS 84",DATUM["WGS_1984",SPHEROID["WGS 84",6378137,298.257223563]],PRIMEM["Greenwich",0],UNIT["degree",0.0174532925199433],AUTHORITY["EPSG","4326"]]', NULL), ('NAD83 / Conus Albers', 5070, 'EPSG', 5070, 'EPSG:5070', NULL);
+CREATE TABLE gpkg_ogr_contents (table_name TEXT NOT NULL PRIMARY KEY, feature_count INTEGER DEFAULT NULL);
 """
 
 
@@ -101,8 +103,8 @@ def write_geopackage(layers: dict[str, DataFrame], path: str) -> None:
     """Write a subset's layers to one file on the driver.
 
     For exports that a person downloads: rows pass one by one, in the order of the
-    layers' partitions, and counts and extents come from Spark. Empty layers are
-    written with their columns. Whole networks stay in Parquet.
+    layers' partitions, and counts and extents come from Spark. A layer's ``fid`` stays;
+    others get one. Empty layers are written with their columns. Whole networks stay in Parquet.
     """
     rows_of = {r.table_name: r for r in catalog(layers).collect()}  # a row a layer
     with closing(sqlite3.connect(path)) as db, db:
@@ -110,14 +112,15 @@ def write_geopackage(layers: dict[str, DataFrame], path: str) -> None:
         for name, layer in layers.items():
             geom, about = geometry_column(layer), rows_of[name]
             rows = layer.withColumn(geom, to_blob(F.col(geom))) if geom else layer
-            fields = [f for f in rows.schema if f.name != "fid"]
-            columns = ", ".join(f"{_quoted(f.name)} {'GEOMETRY' if f.name == geom else _declared(f.dataType)}" for f in fields)
+            fields = list(rows.schema)
+            columns = ", ".join(f"{_quoted(f.name)} {'GEOMETRY' if f.name == geom else _declared(f.dataType)}" for f in fields if f.name != "fid")
             db.execute(f"CREATE TABLE {_quoted(name)} (fid INTEGER PRIMARY KEY AUTOINCREMENT, {columns})")
             names, marks = ", ".join(_quoted(f.name) for f in fields), ", ".join("?" * len(fields))
             plain = lambda v: bytes(v) if isinstance(v, bytearray) else v if isinstance(v, (int, float, str, bytes, type(None))) else str(v)
             for row in rows.select(*[f.name for f in fields]).toLocalIterator():
                 db.execute(f"INSERT INTO {_quoted(name)} ({names}) VALUES ({marks})", [plain(v) for v in row])
             db.execute("INSERT INTO gpkg_contents (table_name, data_type, identifier, min_x, min_y, max_x, max_y, srs_id) VALUES (?, ?, ?, ?, ?, ?, ?, ?)", (name, about.data_type, name, about.minx, about.miny, about.maxx, about.maxy, SRID if geom else None))
+            db.execute("INSERT INTO gpkg_ogr_contents VALUES (?, ?)", (name, about.feature_count))
             if geom:
                 first = layer.where(F.col(geom).isNotNull()).select(geom).first()
                 shape = parse(bytes(first[0])) if first else None

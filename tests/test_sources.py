@@ -80,6 +80,18 @@ def test_geopackage_round_trip(spark, tmp_path):
     assert (about.data_type, about.min_x, about.max_y) == ("features", 1.5, -2.0)
 
 
+def test_geopackage_keeps_fid_and_counts(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "fid.gpkg")
+    write_geopackage({"nexus": spark.createDataFrame([(70, "nex-1"), (7, "nex-2")], "fid bigint, id string"), "lakes": layers.empty_layer(spark, "lakes")}, path)
+    db = sqlite3.connect(path)
+    assert db.execute("SELECT fid, id FROM nexus ORDER BY fid").fetchall() == [(7, "nex-2"), (70, "nex-1")]
+    assert db.execute("SELECT table_name, feature_count FROM gpkg_ogr_contents ORDER BY 1").fetchall() == [("lakes", 0), ("nexus", 2)]
+    assert {r[0] for r in db.execute("SELECT srs_id FROM gpkg_spatial_ref_sys")} == {-1, 0, 4326, 5070}
+    db.close()
+
+
 def test_layers(spark, tmp_path):
     root = "file://" + str(tmp_path)
     both = spark.createDataFrame([(1, "a", "16"), (2, "b", "17")], "n bigint, t string, vpuid string")
