@@ -52,10 +52,6 @@ def renamed_but(table: DataFrame, key: str, name: Callable[[str], str]) -> DataF
     return table.select(F.col(f"`{key}`"), *[F.col(f"`{c}`").alias(name(c)) for c in table.columns if c != key])
 
 
-def with_prefix(table: DataFrame, prefix: str) -> list[str]:
-    return [c for c in table.columns if c.startswith(prefix)]
-
-
 def first_value(table: DataFrame, column: str, order: str) -> DataFrame:
     """One row: the column's value in the first row by ``order``, as text."""
     return table.agg(F.min_by(F.col(column).cast("string"), order).alias(column))
