@@ -14,7 +14,8 @@ holds ``BLOCK`` turns at most.
 Defined results: turns are ordered by turn, role and text, nulls first; repeated
 rows are turns of their own. A null role is rendered as "unknown", a null text as
 empty; both differ from the written-out values when conversations are compared.
-Rows with a null conv_id are one conversation. An empty table gives an empty result.
+Rows with a null conv_id are one conversation. A conversation of more than 2^23 turns
+fails, as its hash sums would overflow. An empty table gives an empty result.
 """
 
 from __future__ import annotations
