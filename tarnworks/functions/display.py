@@ -33,18 +33,88 @@ def interpolate(value: Column, stops: list[tuple[float, float]], base: float = 1
     return out
 
 
+def expression(rule, zoom: float | None = None, geometry_type: Column | None = None) -> Column:
+    """A display expression, nested lists such as ``["match", ["get", "kind"], ["a", "b"], 1, 0]``, as a column.
+
+    ``["get", name]`` is a column and other values are literals. Conditions are never null:
+    comparing a missing value to a literal is false, ``!=`` true. ``format`` joins its texts
+    and passes over its style maps; missing texts are empty. ``zoom`` and ``geometry_type`` are what the
+    expressions of these names stand for.
+    """
+    def sub(r) -> Column:
+        return expression(r, zoom, geometry_type)
+
+    if not isinstance(rule, list):
+        return F.lit(rule)
+    name, *rest = rule
+    if name == "get":
+        return F.col(f"`{rest[0]}`")
+    if name == "literal":
+        return F.array(*map(F.lit, rest[0])) if isinstance(rest[0], list) else F.lit(rest[0])
+    if name == "zoom":
+        if zoom is None:
+            raise ValueError("the expression depends on the zoom, and none is given")
+        return F.lit(float(zoom))
+    if name == "geometry-type":
+        if geometry_type is None:
+            raise ValueError("the expression depends on the geometry type, and none is given")
+        return geometry_type
+    if name == "has":
+        return F.col(f"`{rest[0]}`").isNotNull()
+    if name == "!":
+        return ~sub(rest[0])
+    if name in ("all", "any"):
+        joined = (lambda a, b: a & b) if name == "all" else (lambda a, b: a | b)
+        return reduce(joined, map(sub, rest), F.lit(name == "all"))
+    if name == "in":
+        return F.coalesce(F.array_contains(sub(rest[1]), sub(rest[0])), F.lit(False))
+    if name in ("==", "!="):
+        same = sub(rest[0]).eqNullSafe(sub(rest[1]))
+        return same if name == "==" else ~same
+    if name in _COMPARE:
+        return F.coalesce(getattr(sub(rest[0]), _COMPARE[name])(sub(rest[1])), F.lit(False))
+    if name in _ARITHMETIC:
+        return reduce(_ARITHMETIC[name], map(sub, rest))
+    if name == "coalesce":
+        return F.coalesce(*map(sub, rest))
+    if name in ("format", "concat"):
+        return F.concat(*[F.coalesce(sub(r).cast("string"), F.lit("")) for r in rest if not isinstance(r, dict)])
+    if name == "case":
+        out = sub(rest[-1])
+        for condition, result in reversed(list(zip(rest[:-1:2], rest[1:-1:2]))):
+            out = F.when(sub(condition), sub(result)).otherwise(out)
+        return out
+    if name == "match":
+        value, out = sub(rest[0]), sub(rest[-1])
+        for case, result in reversed(list(zip(rest[1:-1:2], rest[2:-1:2]))):
+            out = F.when(value.isin(*case) if isinstance(case, list) else value == case, sub(result)).otherwise(out)
+        return out
+    if name == "step":
+        return step(sub(rest[0]), rest[1], list(zip(rest[2::2], rest[3::2])))
+    if name == "interpolate":
+        (kind, *base), value, *stops = rest
+        return interpolate(sub(value), list(zip(stops[::2], stops[1::2])), base[0] if kind == "exponential" else 1.0)
+    raise ValueError(f"unknown display expression {name!r}")
+
+
+_ARITHMETIC = {"+": lambda a, b: a + b, "-": lambda a, b: a - b, "*": lambda a, b: a * b, "/": lambda a, b: a / b}
 _COMPARE = {"==": "__eq__", "!=": "__ne__", "<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__"}
 
 
-def feature_filter(rule: list) -> Column:
-    """A filter such as ``["all", [">=", "size", 3], ["in", "kind", "a", "b"]]`` as a condition that is never null."""
+def feature_filter(rule: list, zoom: float | None = None, geometry_type: Column | None = None) -> Column:
+    """A filter such as ``["all", [">=", "size", 3], ["in", "kind", "a", "b"]]`` as a condition that is never null.
+
+    A comparison whose first operand is a list, such as ``["==", ["get", "kind"], "a"]``, is an :func:`expression`.
+    """
     name, *rest = rule
     if name in ("all", "any"):
-        parts = [feature_filter(r) for r in rest]
+        parts = [feature_filter(r, zoom, geometry_type) for r in rest]
         joined = (lambda a, b: a & b) if name == "all" else (lambda a, b: a | b)
         return reduce(joined, parts, F.lit(name == "all")) if parts else F.lit(name == "all")
     if name == "!":
-        return ~feature_filter(rest[0])
+        return ~feature_filter(rest[0], zoom, geometry_type)
+    if rest and isinstance(rest[0], list):
+        return expression(rule, zoom, geometry_type)
     if name in ("has", "!has"):
         there = F.col(rest[0]).isNotNull()
         return there if name == "has" else ~there
@@ -54,3 +124,9 @@ def feature_filter(rule: list) -> Column:
     if name == "!=":
         return F.coalesce(F.col(rest[0]) != rest[1], F.lit(True))
     return F.coalesce(getattr(F.col(rest[0]), _COMPARE[name])(rest[1]), F.lit(False))
+
+
+def visible(zoom: float, least: Column, most: Column | None = None) -> Column:
+    """Whether features are drawn at a zoom: from their least zoom on, up to but without ``most``; missing limits do not hold back."""
+    z = F.lit(float(zoom))
+    return F.coalesce(z >= least, F.lit(True)) & (F.coalesce(z < most, F.lit(True)) if most is not None else F.lit(True))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import pandas as pd
@@ -78,42 +79,64 @@ def _clip(ring: list[tuple[float, float]], axis: int, at: float, keep_above: boo
     return out
 
 
-def covered_share(geom: bytes, x0: float, y0: float, x1: float, y1: float) -> float:
-    """The share of a cell that polygons cover, exactly; holes count against."""
-    shape, area = parse(geom), 0.0
+def _band(ring: list[tuple[float, float]], axis: int, low: float, high: float) -> list[tuple[float, float]]:
+    ring = _clip(ring, axis, low, True) if ring else ring
+    return _clip(ring, axis, high, False) if ring else ring
+
+
+def _rings(geom: bytes | None) -> list[tuple[int, list[tuple[float, float]]]]:
+    """The rings of all polygons; the sign is -1 for holes."""
+    shape, out = parse(geom), []
     todo = [shape] if shape else []
     while todo:
         kind, parts = todo.pop()
         if kind > 3:
             todo += parts
-        for k, ring in enumerate(parts if kind == 3 else []):
-            for axis, at, above in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
-                ring = _clip(ring, axis, at, above) if ring else ring
-            twice = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))
-            area += abs(twice) / 2 * (-1 if k else 1)
-    return area / ((x1 - x0) * (y1 - y0))
+        elif kind == 3:
+            out += [(-1 if k else 1, ring) for k, ring in enumerate(parts)]
+    return out
+
 
+def _area(ring: list[tuple[float, float]]) -> float:
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))) / 2
 
-@F.pandas_udf(T.DoubleType())
-def _share(geom: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
-    return pd.Series([covered_share(*row) for row in zip(geom, x0, y0, x1, y1)])
+
+def covered_cells(geom: bytes | None, tile_x: int, tile_y: int, tile: int, size: float) -> list[tuple[int, int, float]]:
+    """col, row and the share that polygons cover, exactly, for the covered cells of one tile; holes count against.
+
+    A ring is cut to the tile, then to each row of cells, then to the cells of the row.
+    """
+    areas, (c0, r0) = {}, (tile_x * tile, tile_y * tile)
+    for sign, ring in _rings(geom):
+        ring = _band(_band(ring, 0, c0 * size, (c0 + tile) * size), 1, r0 * size, (r0 + tile) * size)
+        ys = [y for _, y in ring] or [0.0]
+        for row in range(max(r0, math.floor(min(ys) / size)), min(r0 + tile, math.ceil(max(ys) / size))):
+            strip = _band(ring, 1, row * size, (row + 1) * size)
+            xs = [x for x, _ in strip] or [0.0]
+            for col in range(max(c0, math.floor(min(xs) / size)), min(c0 + tile, math.ceil(max(xs) / size))):
+                areas[col, row] = areas.get((col, row), 0.0) + sign * _area(_band(strip, 0, col * size, (col + 1) * size))
+    return [(col, row, area / (size * size)) for (col, row), area in areas.items() if area > 0]
 
 
 def overlay(zones: DataFrame, cells: DataFrame, size: float = 1.0, tile: int = 64) -> DataFrame:
-    """The zones' columns without geom, the cells' columns and coverage, for every cell that a zone covers in part.
+    """The cells' columns, the zones' columns without geom, and coverage, for every cell that a zone covers in part.
 
-    Cell (col, row) is the square from (col, row) * size. Zones and cells meet by
-    tiles of ``tile`` by ``tile`` cells in an equality join, so neither side is compared as a whole.
+    Cell (col, row) is the square from (col, row) * size. A zone's cells are found tile by tile (``tile`` by
+    ``tile`` cells), so a geometry is repeated once a tile, and meet the grid in an equality join.
     """
     def index(v: Column) -> Column:
         return F.floor(v / (size * tile))
 
+    @F.pandas_udf("array<struct<_col: bigint, _row: bigint, coverage: double>>")
+    def found(geom: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([covered_cells(g, a, b, tile, size) for g, a, b in zip(geom, x, y)])
+
     spread = zones.withColumn("_box", bounds("geom")).where("_box.minx IS NOT NULL")
     spread = spread.withColumn("_tx", F.explode(F.sequence(index(F.col("_box.minx")), index(F.col("_box.maxx")))))
     spread = spread.withColumn("_ty", F.explode(F.sequence(index(F.col("_box.miny")), index(F.col("_box.maxy")))))
-    x0, y0 = F.col("col") * F.lit(float(size)), F.col("row") * F.lit(float(size))
-    placed = cells.withColumns({"_x": x0, "_y": y0, "_cx": F.floor(F.col("col") / tile), "_cy": F.floor(F.col("row") / tile)})
-    near = (F.col("_x") < F.col("_box.maxx")) & (F.col("_x") + size > F.col("_box.minx")) & (F.col("_y") < F.col("_box.maxy")) & (F.col("_y") + size > F.col("_box.miny"))
-    met = placed.join(spread, (F.col("_tx") == F.col("_cx")) & (F.col("_ty") == F.col("_cy")) & near)
-    met = met.withColumn("coverage", _share("geom", "_x", "_y", F.col("_x") + size, F.col("_y") + size)).where("coverage > 0")
-    return met.drop("geom", "_box", "_tx", "_ty", "_x", "_y", "_cx", "_cy")
+    # so that the tiles of one large zone are many tasks
+    spread = spread.repartition("_tx", "_ty")
+    zone = [F.col(f"`{c}`") for c in zones.columns if c != "geom"]
+    covered = spread.select(*zone, F.explode(found("geom", "_tx", "_ty")).alias("_cell")).select(*zone, "_cell.*")
+    met = cells.join(covered, (F.col("col") == F.col("_col")) & (F.col("row") == F.col("_row")))
+    return met.drop("_col", "_row")

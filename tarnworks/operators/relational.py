@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,9 @@ def first_value(table: DataFrame, column: str, order: str) -> DataFrame:
     return table.agg(F.min_by(F.col(column).cast("string"), order).alias(column))
 
 
-def numbered(table: DataFrame, order: list[str], name: str = "fid") -> DataFrame:
-    """A primary key in a stable order for an export; the rows of an export are few."""
-    return table.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint")) if name not in table.columns else table
+def region_of(table: DataFrame, order: str, name: str = "vpuid", place: int = 5) -> DataFrame:
+    """One row, region: the first row's value of the named column, or else of the column at ``place``; null without either."""
+    column = name if name in table.columns else (table.columns[place] if len(table.columns) > place else None)
+    if column is None:
+        return table.agg(F.max(F.lit(None).cast("string")).alias("region"))
+    return table.agg(F.min_by(F.col(f"`{column}`").cast("string"), order).alias("region"))

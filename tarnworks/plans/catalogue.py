@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions import display, geometry
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
-from tarnworks.operators import aggregates, attributes, graph, network, pointers, raster, relational
+from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
+from tarnworks.operators import aggregates, attributes, features, graph, network, pointers, raster, relational
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
 from tarnworks.sources.layers import catalog, read_ids
@@ -455,6 +456,23 @@ def zonal_overlay(spark, sf_dir):
     return raster.overlay(zones, cells, tile=8).withColumn("coverage", F.round("coverage", 6))
 
 
+@query(
+    "WITH z AS (SELECT c_custkey AS zone, c_nationkey, c_custkey % 40 + 0.25 AS x0, c_custkey % 30 + 0.5 AS y0, c_custkey % 40 + 2.75 AS x1, c_custkey % 30 + 1.75 AS y1 FROM customer), "
+    "g AS (SELECT p_partkey % 50 AS col, (p_partkey // 50) % 40 AS row, max(p_size) AS v FROM part GROUP BY 1, 2), "
+    "o AS (SELECT zone, v, (least(x1, col + 1) - greatest(x0, col)) * (least(y1, row + 1) - greatest(y0, row)) AS w FROM z JOIN g ON x0 < col + 1 AND x1 > col AND y0 < row + 1 AND y1 > row), "
+    "m AS (SELECT zone, round(CAST(sum(v * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE), 6) AS soil_mean FROM o GROUP BY 1), t AS (SELECT zone, v, sum(w) AS w FROM o GROUP BY 1, 2), k AS (SELECT zone, max_by(v, w * 1000 + v) AS soil_mode FROM t GROUP BY 1) "
+    "SELECT zone AS divide_id, c_nationkey, soil_mean, soil_mode, round(CAST((x0 + x1) / 2 AS DOUBLE), 6) AS x, round(CAST((y0 + y1) / 2 AS DOUBLE), 6) AS y FROM z LEFT JOIN m USING (zone) LEFT JOIN k USING (zone)"
+)
+def value_added_attributes(spark, sf_dir):
+    key = F.col("c_custkey")
+    corners = ((key % 40 + 0.25).cast("double"), (key % 30 + 0.5).cast("double"), (key % 40 + 2.75).cast("double"), (key % 30 + 1.75).cast("double"))
+    divides = table(spark, sf_dir, "customer").select(key.alias("divide_id"), "c_nationkey", geometry.rectangle(*corners).alias("geom"))
+    cells = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 50).alias("col"), (F.floor(F.col("p_partkey") / 50) % 40).alias("row")).agg(F.max("p_size").alias("value"))
+    layers = {"divide-attributes": divides.select("divide_id", "c_nationkey")}
+    layers = plan.add_zonal_attributes(layers, divides.select("divide_id", "geom"), cells, {"soil_mean": "mean", "soil_mode": "mode"}, tile=8)
+    return layers["divide-attributes"].select("divide_id", "c_nationkey", F.round("soil_mean", 6).alias("soil_mean"), "soil_mode", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 # ---- geometry
 
 
@@ -550,6 +568,62 @@ def style_filter(spark, sf_dir):
     return table(spark, sf_dir, "part").where(display.feature_filter(rule)).select("p_partkey")
 
 
+@query(
+    "SELECT p_partkey, CASE WHEN p_size IN (1, 2, 3) THEN 'low' WHEN p_size = 50 THEN 'top' ELSE 'mid' END AS matched, "
+    "CASE WHEN p_brand IN ('Brand#11', 'Brand#23') THEN p_size + 0.5 WHEN p_size > 40 THEN 2 ELSE 0 END AS chosen, "
+    "coalesce(CASE WHEN p_partkey % 3 = 0 THEN p_brand END, p_type) || chr(10) || p_size AS label, "
+    "CASE WHEN p_size >= 20 THEN 'b' ELSE 'a' END AS step, round(CASE WHEN 12 >= p_size * 2 - 10 THEN 1 ELSE 0 END * 1.0, 1) AS near FROM part"
+)
+def style_expressions(spark, sf_dir):
+    size, brand = ["get", "p_size"], ["get", "p_brand"]
+    rows = table(spark, sf_dir, "part").withColumn("third", F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")))
+    rules = {
+        "matched": ["match", size, [1, 2, 3], "low", 50, "top", "mid"],
+        "chosen": ["case", ["in", brand, ["literal", ["Brand#11", "Brand#23"]]], ["+", size, 0.5], [">", size, 40], 2.0, 0.0],
+        "label": ["format", ["coalesce", ["get", "third"], ["get", "p_type"]], {}, "\n", {}, size, {}],
+        "step": ["step", size, "a", 20, "b"],
+        "near": ["case", [">=", ["zoom"], ["-", ["*", size, 2], 10]], 1.0, 0.0],
+    }
+    return rows.select("p_partkey", *[display.expression(rule, zoom=12).alias(name) for name, rule in rules.items()])
+
+
+@query("SELECT p_partkey FROM part WHERE (p_brand = 'Brand#12' OR NOT p_size > 10) AND CASE WHEN p_partkey % 2 = 0 THEN 'Polygon' ELSE 'Point' END = 'Polygon' AND 20 >= p_size + 1 AND (p_partkey % 5 = 0 OR 20 < p_size + 8)")
+def style_filter_by_zoom(spark, sf_dir):
+    rule = ["all", ["any", ["==", ["get", "p_brand"], "Brand#12"], ["!", [">", "p_size", 10]]], ["==", ["geometry-type"], "Polygon"], [">=", ["zoom"], ["+", ["get", "p_size"], 1]]]
+    shape = F.when(F.col("p_partkey") % 2 == 0, F.lit("Polygon")).otherwise(F.lit("Point"))
+    rows = table(spark, sf_dir, "part").where(display.feature_filter(rule, 20, shape))
+    most = F.when(F.col("p_partkey") % 5 != 0, F.col("p_size") + 8)
+    return rows.where(display.visible(20, F.col("p_size"), most)).select("p_partkey")
+
+
+@query(
+    "SELECT n_nationkey, array_to_string(list_transform(string_split(n_name || 'é€łž', ''), lambda c: printf('%02X', unicode(c) & 255)), '') AS low, format('{:,}', n_nationkey * 123457) AS grouped, "
+    "printf('%.2f', n_nationkey / 3.0) AS fixed, strftime(make_timestamp((n_nationkey * 86461000007) * 1000), '%Y%m%dT%H%M%SZ') AS stamp, strftime(make_timestamp((n_nationkey * 86461000007) * 1000), '%Y%m%d') AS day FROM nation"
+)
+def text_formats(spark, sf_dir):
+    key = F.col("n_nationkey").cast("bigint")
+    stamp = compact_time(F.timestamp_millis(key * 86461000007))
+    return table(spark, sf_dir, "nation").select(
+        "n_nationkey",
+        F.hex(low_bytes(F.concat("n_name", F.lit("é€łž")))).alias("low"),
+        grouped(key * 123457).alias("grouped"),
+        fixed(key / 3, 2).alias("fixed"),
+        stamp.alias("stamp"),
+        F.substring(stamp, 1, 8).alias("day"),
+    )
+
+
+@query("SELECT (SELECT CAST(min_by(r_name, r_regionkey) AS VARCHAR) FROM region) AS named, (SELECT CAST(arg_min(c_mktsegment, c_custkey) AS VARCHAR) FROM customer) AS sixth, NULL AS neither".replace("NULL", "CAST(NULL AS VARCHAR)"))
+def region_lookup(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    sixth = customer.select("c_custkey", *[F.lit(k).alias(f"x{k}") for k in range(4)], "c_mktsegment")
+    region = table(spark, sf_dir, "region").withColumn("vpuid", F.col("r_name"))
+    found = [relational.region_of(region, "r_regionkey"), relational.region_of(sixth, "c_custkey"), relational.region_of(table(spark, sf_dir, "region").select("r_regionkey"), "r_regionkey")]
+    # three tables of one row each
+    named = [f.select(F.lit(n).alias("n"), "region") for f, n in zip(found, ("named", "sixth", "neither"))]
+    return reduce(DataFrame.unionByName, named).groupBy().pivot("n", ["named", "sixth", "neither"]).agg(F.max("region"))
+
+
 # ---- pointer files
 
 
@@ -572,6 +646,28 @@ def pointer_tallies(spark, sf_dir):
     return pointers.tallies(table(spark, sf_dir, "documents").select(path.alias("path"), text.alias("text")))
 
 
+@query(
+    "SELECT doc_id % 1000 AS k, count(*) AS files, sum(CASE WHEN doc_id % 3 = 0 THEN 3 ELSE 1 END) AS removed, CASE WHEN doc_id % 1000 % 2 = 0 THEN 'even' ELSE 'odd' END AS kind "
+    "FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1"
+)
+def pointer_rewrites(spark, sf_dir):
+    key = F.col("doc_id")
+    lines = F.when(key % 5 == 0, F.lit("deps:\n  md5: a")).when(key % 3 == 0, F.lit("frozen: true  \nouts:\n- md5: x\n  md5: y\n  size: 3")).otherwise(F.lit("md5: a\n frozen: true\nouts:"))
+    found = pointers.rewritten(table(spark, sf_dir, "documents").select(key.cast("string").alias("path"), lines.alias("text")))
+    k = (F.col("path").cast("bigint") % 1000).alias("k")
+    counts = found.groupBy(k).agg(F.count("*").alias("files"), F.sum(F.size("removed")).alias("removed"))
+    return counts.withColumn("kind", F.when(F.col("k") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")))
+
+
+@query("SELECT 'o/' || o_orderkey AS path, 'm' || o_orderkey AS md5, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 9 END AS size, o_orderkey % 2 = 0 AND (o_orderkey % 4 = 0 OR o_orderkey % 9 = o_orderkey % 7) AS there FROM orders")
+def tracked_objects(spark, sf_dir):
+    key = F.col("o_orderkey")
+    size = F.when(key % 4 != 0, F.concat(F.lit("  size: "), (key % 9).cast("string"))).otherwise(F.lit("  desc: x"))
+    files = table(spark, sf_dir, "orders").select(F.concat(F.lit("outs:\n- md5: m"), key.cast("string"), F.lit("\n"), size, F.lit("\n  path: o/"), key.cast("string")).alias("text"))
+    listing = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.concat(F.lit("o/"), key.cast("string")).alias("path"), (key % 7).cast("bigint").alias("size"))
+    return pointers.present(files, listing)
+
+
 # ---- network steps
 
 
@@ -724,13 +820,23 @@ def container_catalog(spark, sf_dir):
     "CAST(min(n_nationkey) AS DOUBLE) AS minx, CAST(max(n_nationkey) AS DOUBLE) AS maxx FROM nation GROUP BY 1"
 )
 def feature_collection(spark, sf_dir):
-    shape = geometry.geojson(geometry.point(F.col("n_nationkey").cast("double"), F.col("n_regionkey") + F.lit(0.5)), project=False)
-    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", shape.alias("s"), F.to_json(F.struct("n_name")).alias("p")).where("s.json IS NOT NULL")
-    feature = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("s.json"), F.lit(',"properties":'), F.col("p"), F.lit("}"))
-    # an export for display: the features of one region are few
-    lists = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", feature.alias("f")))).alias("fs"), F.min("s.minx").alias("minx"), F.max("s.maxx").alias("maxx"))
-    joined = F.array_join(F.transform("fs", lambda x: x["f"]), ",")
-    return lists.select("n_regionkey", F.concat(F.lit('{"type":"FeatureCollection","features":['), joined, F.lit("]}")).alias("collection"), "minx", "maxx")
+    place = geometry.point(F.col("n_nationkey").cast("double"), F.col("n_regionkey") + F.lit(0.5))
+    keys = F.struct("n_regionkey", "n_nationkey").alias("keys")
+    rows = table(spark, sf_dir, "nation").select("n_name", keys, place.alias("geom"))
+    made = features.features(rows, keep=["keys"], project=False, names=["n_name"])
+    found = features.collections(made.select("keys.*", "feature", "box"), "n_regionkey", "n_nationkey")
+    return found.select("n_regionkey", "collection", "minx", "maxx")
+
+
+@query(
+    "SELECT s_suppkey, '{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || s_nationkey || '.0,' || s_nationkey % 7 || '.5]},\"properties\":{\"s_suppkey\":' || s_suppkey || ',\"even\":' "
+    "|| CASE WHEN s_suppkey % 2 = 0 THEN '2' ELSE 'null' END || ',\"raw\":null}}' AS feature, CAST(s_nationkey AS DOUBLE) AS minx FROM supplier WHERE s_suppkey % 3 <> 0"
+)
+def features_with_properties(spark, sf_dir):
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    place = F.when(key % 3 != 0, geometry.point(nation.cast("double"), nation % 7 + F.lit(0.5)))
+    rows = table(spark, sf_dir, "supplier").select(key, F.when(key % 2 == 0, 2).alias("even"), F.col("s_name").cast("binary").alias("raw"), place.alias("geom"))
+    return features.features(rows, keep=["s_suppkey"], project=False).select("s_suppkey", "feature", "box.minx")
 
 
 @query(

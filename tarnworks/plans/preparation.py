@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnworks.operators import attributes, network
+from tarnworks.functions.geometry import centroid
+from tarnworks.operators import attributes, network, raster
 from tarnworks.operators.relational import corrected, left_join
 
 Layers = dict[str, DataFrame]
@@ -66,6 +67,14 @@ def add_value_attributes(layers: Layers, more: DataFrame) -> Layers:
     return layers | {"divide-attributes": left_join(layers["divide-attributes"], more, "divide_id")}
 
 
+def add_zonal_attributes(layers: Layers, divides: DataFrame, cells: DataFrame, columns: dict[str, str], size: float = 1.0, tile: int = 64) -> Layers:
+    """Divide attributes with aggregates of the cells (col, row, value) under each divide, by name and function, and its centroid x, y."""
+    covered = raster.overlay(divides.select("divide_id", "geom"), cells, size, tile)
+    for name, fun in columns.items():
+        layers = add_value_attributes(layers, raster.zonal(covered, fun, ["divide_id"], name))
+    return add_value_attributes(layers, divides.select("divide_id", centroid("geom").alias("_at")).select("divide_id", "_at.*"))
+
+
 def reconcile(layers: Layers, settings: Settings) -> Layers:
     return layers | {
         "divides": network.reconciled_divides(layers["divides"], layers["flowpaths"], settings.vpuid),

@@ -1,3 +1,4 @@
+import json
 import math
 
 import pytest
@@ -5,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions import display
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
-from tarnworks.operators import aggregates, attributes, graph, network, pointers, raster, relational
+from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
+from tarnworks.operators import aggregates, attributes, features, graph, network, pointers, raster, relational
 from tarnworks.operators.subset import subset
 
 
@@ -173,3 +175,77 @@ def test_pointers(spark):
     assert got[0][0] == "deps:\n  md5: keep\n  size: 1\nouts:\n- md5: no\nouts:\n  path: p" and got[1][0] == "deps:" and got[2][0] is None
     assert rows(pointers.tallies(files)) == [("a", 0, 0), ("a/b", 1, 1)]
     assert rows(pointers.tracked(files.limit(1))) == [("p", "keep", 1)]
+    assert [r[0] for r in files.select(pointers.removed(F.col("text"))).collect()] == [["frozen: true", "  md5: gone", "  size: 2", "  frozen: true"], [], None]
+    assert [r.path for r in pointers.rewritten(files).collect()] == ["a/b/x.dvc"]
+    listing = spark.createDataFrame([("p", 1), ("p", 5)], "path string, size bigint")
+    named = spark.createDataFrame([("outs:\n- path: p\n  size: 1",), ("outs:\n- path: p\n  size: 2",), ("outs:\n- path: p",), ("outs:\n- path: q",), (None,)], "text string")
+    assert [r.there for r in pointers.present(named, listing).orderBy(F.desc("there"), "path").collect()] == [True, True, False, False, False]
+
+
+def test_display_expressions(spark):
+    table = spark.createDataFrame([("a", 5, "LineString"), ("b", None, "Polygon"), (None, 9, "Polygon")], "kind string, `name:en` int, shape string")
+    found = lambda rule, **k: [r[0] for r in table.select(display.expression(rule, **k)).collect()]
+    assert found(["coalesce", ["get", "name:en"], -1]) == [5, -1, 9]
+    assert found(["==", ["get", "kind"], "a"]) == [True, False, False] and found(["!=", ["get", "kind"], "a"]) == [False, True, True]
+    assert found(["format", ["get", "kind"], {"size": 1}, "-", {}, ["get", "name:en"]]) == ["a-5", "b-", "-9"]
+    assert found(["match", ["get", "kind"], ["a", "c"], "x", "b", "y", "z"]) == ["x", "y", "z"]
+    assert found([">=", ["zoom"], ["+", ["get", "name:en"], 2]], zoom=8) == [True, False, False]
+    assert found(["in", ["get", "kind"], ["literal", ["b"]]]) == [False, True, False] and found(["any"]) == [False] * 3
+    assert found(["interpolate", ["linear"], ["get", "name:en"], 4, 0.0, 8, 8.0]) == [2.0, 0.0, 8.0]
+    for rule in (["zoom"], ["geometry-type"], ["blur", 1]):
+        with pytest.raises(ValueError):
+            display.expression(rule)
+    kept = lambda rule, **k: table.where(display.feature_filter(rule, **k)).count()
+    assert kept(["==", ["geometry-type"], "Polygon"], geometry_type=F.col("shape")) == 2
+    assert kept(["all", ["!", ["has", "kind"]], [">", ["get", "name:en"], 6], ["in", "shape", "Polygon"]]) == 1
+    drawn = table.select(display.visible(6, F.col("`name:en`"), F.lit(7)).alias("d"), display.visible(7, F.lit(1), F.lit(7)).alias("e")).collect()
+    assert [r.d for r in drawn] == [True, True, False] and not any(r.e for r in drawn)
+
+
+def test_features(spark):
+    from tarnworks.functions.geometry import write_polygon
+
+    square = write_polygon([[(0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (0.0, 0.0)]])
+    table = spark.createDataFrame([(1, "x", b"1", square), (2, None, None, square), (3, "z", None, b"?"), (4, "z", None, None)], "n int, `a.b` string, raw binary, geom binary")
+    made = features.features(table, keep=["n"], project=False)
+    got = {r.n: r for r in made.collect()}
+    assert set(got) == {1, 2} and json.loads(got[1].feature)["properties"] == {"n": 1, "a.b": "x", "raw": None} and json.loads(got[2].feature)["properties"]["a.b"] is None
+    assert tuple(got[1].box) == (0.0, 0.0, 2.0, 1.0)
+    one = features.collections(made.withColumn("g", F.lit("g")), "g", "n").collect()[0]
+    assert len(json.loads(one["collection"])["features"]) == 2 and one.maxx == 2.0
+    assert json.loads(features.features(table.select("geom"), project=False).first().feature)["properties"] == {}
+    assert features.features(table.limit(0)).count() == 0
+
+
+def test_feature_lines(spark, tmp_path):
+    from tarnworks.functions.geometry import point
+
+    rows = spark.range(5).select("id", point(F.col("id").cast("double"), F.lit(1.0)).alias("geom"))
+    features.write_features(features.features(rows, project=False), str(tmp_path / "f"))
+    assert sorted(json.loads(r.value)["properties"]["id"] for r in spark.read.text(str(tmp_path / "f")).collect()) == list(range(5))
+
+
+def test_texts(spark):
+    table = spark.createDataFrame([("é€\U0001f600", 1234567.5), (None, None)], "t string, n double")
+    got = table.select(low_bytes(F.col("t")), grouped(F.col("n"), 1), fixed(F.col("n"), 0)).collect()
+    assert tuple(got[0]) == (bytearray([0xE9, 0xAC, 0x3D, 0x00]), "1,234,567.5", "1234568") and got[1][0] is None and got[1][1] is None
+    assert spark.sql("SELECT timestamp_seconds(1700000000) AS t").select(compact_time(F.col("t"))).first()[0] == "20231114T221320Z"
+
+
+def test_region(spark):
+    table = spark.createDataFrame([(2, 0, 0, 0, 0, "b"), (1, 0, 0, 0, 0, None), (3, 0, 0, 0, 0, "a")], "n int, a int, b int, c int, d int, e string")
+    assert relational.region_of(table, "n").first()[0] is None and relational.region_of(table.where("n > 1"), "n").first()[0] == "b"
+    assert relational.region_of(table.withColumn("vpuid", F.col("n") + 10), "n").first()[0] == "11" and relational.region_of(table.select("n"), "n").first()[0] is None
+
+
+def test_covered_cells_of_a_tile():
+    from tarnworks.functions.geometry import write_polygon
+
+    ring = [(0.13, -0.31), (1.97, 0.42), (1.1, 1.63), (0.13, -0.31)]
+    whole = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))) / 2
+    for size, tile in ((0.1, 7), (0.3, 2), (5.0, 3)):
+        side = [k for k in range(-math.ceil(1 / (size * tile)) - 1, math.ceil(2 / (size * tile)) + 1)]
+        found = [c for x in side for y in side for c in raster.covered_cells(write_polygon([ring]), x, y, tile, size)]
+        assert len({c[:2] for c in found}) == len(found) and sum(c[2] for c in found) * size * size == pytest.approx(whole)
+        assert all(0 < c[2] <= 1 + 1e-9 for c in found)
+    assert raster.covered_cells(None, 0, 0, 4, 1.0) == []
