@@ -57,7 +57,7 @@ QUERY = "op2_lm_scoring"
 BLOCK_BITS = 12
 #: The blocks of 2 ** LISTED_BITS tasks go into one list of a word.
 LISTED_BITS = 8
-#: Distinct words that a task holds before it hands them on.
+#: Words that a task holds, by block and language, before it hands them on.
 HELD = 1_000_000
 #: Weights are re-estimated on each of PARTS parts of the words in turn, SWEEPS times over, and at last on all words.
 SWEEPS = 2
@@ -65,7 +65,7 @@ PARTS = 4
 #: Weight of the vocabulary's own scores beside the expected counts, in pieces.
 PRIOR = 1000.0
 #: Code points of words whose lattices are held at once.
-POINTS = 200_000
+POINTS = 60_000
 #: The end's part of the first weights.
 END = 0.01
 
@@ -83,13 +83,34 @@ class Lattice:
         self.size = len(self.pieces) + TAIL
         prior = np.exp([*scores.values(), *[vocabulary.byte_score] * BYTES])
         self.prior = np.append((1 - END) * prior / prior.sum(), END)
-        # every prefix of a piece is a node; a node and a character lead to the next by a sorted list of keys
+        # every prefix of a piece is a node; a node and a character lead to the next by a hash table with open addresses
         nodes = {"": 0}
         for text in self.pieces:
             for k in range(1, len(text) + 1):
                 nodes.setdefault(text[:k], len(nodes))
-        steps = sorted((nodes[t[:-1]] << 21 | ord(t[-1]), node, self.pieces.get(t, -1)) for t, node in nodes.items() if t)
-        self.keys, self.child, self.piece = np.array(steps).T.copy()
+        self.bits = (4 * len(nodes)).bit_length()
+        self.keys, self.child, self.piece = np.full((3, 1 << self.bits), -1)
+        texts = [t for t in nodes if t]
+        keys = np.array([nodes[t[:-1]] << 21 | ord(t[-1]) for t in texts])
+        for text, key, at in zip(texts, keys, self._first(keys).tolist()):
+            while self.keys[at] >= 0:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.child[at], self.piece[at] = key, nodes[text], self.pieces.get(text, -1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        """Where the search for each key begins."""
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each key in the table, and whether it is there."""
+        place = self._first(keys)
+        there = self.keys[place]
+        other = np.flatnonzero((there != keys) & (there >= 0))
+        while len(other):
+            place[other] = (place[other] + 1) % len(self.keys)
+            there[other] = self.keys[place[other]]
+            other = other[(there[other] != keys[other]) & (there[other] >= 0)]
+        return place, there == keys
 
     def weights(self, counts: np.ndarray | None = None) -> list[float]:
         """Logs of expected counts plus ``PRIOR`` times the weights from the vocabulary's scores."""
@@ -120,9 +141,7 @@ class Arcs:
         starts, sizes, pieces = [], [], []
         at, node, k = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
         while len(at):
-            key = node << 21 | codes[at + k]
-            place = np.minimum(np.searchsorted(lattice.keys, key), len(lattice.keys) - 1)
-            hit = lattice.keys[place] == key
+            place, hit = lattice.find(node << 21 | codes[at + k])
             at, place = at[hit], place[hit]
             there = lattice.piece[place] >= 0
             starts.append(at[there])
@@ -140,7 +159,7 @@ class Arcs:
         starts, sizes = np.concatenate([*starts, spelled]), np.concatenate([*sizes, np.ones(len(spelled), np.int64)])
         pieces, word = np.concatenate([*pieces, lattice.size + kind]), number[starts]
         ending = starts + sizes - (ends - lengths)[word]
-        order = np.argsort(ending * len(words) + word, kind="stable")
+        order = _by(ending, _by(word, np.arange(len(word))))
         ending, word = ending[order], word[order]
         # a word has a node more than it has characters
         self.tail, self.piece, self.size = starts[order] + word, pieces[order], lattice.size
@@ -178,6 +197,12 @@ class Arcs:
         return counts[: self.size]
 
 
+def _by(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The order, sorted by values and otherwise kept; numbers of 16 bits are sorted in linear time."""
+    short = len(values) == 0 or values.max() < 1 << 16
+    return order[np.argsort(values[order].astype(np.uint16) if short else values[order], kind="stable")]
+
+
 def _portions(words: list[str]) -> Iterator[slice]:
     """Slices of the words of about ``POINTS`` code points."""
     start = held = 0
@@ -222,19 +247,16 @@ def block_words(rows: DataFrame, languages: int) -> DataFrame:
         found: dict[int, tuple[set, list[Counter]]] = {}
         for batch in batches:
             for block, text, held_out, place in zip(*batch.columns):
-                every, known = found.setdefault(block.as_py(), (set(), [Counter() for _ in range(languages)]))
-                words = text.as_py().lower().split()
-                every.update(words)
-                if not held_out.as_py():
-                    known[place.as_py()].update(words)
-            if sum(len(every) for every, _ in found.values()) >= HELD:
+                other, known = found.setdefault(block.as_py(), (set(), [Counter() for _ in range(languages)]))
+                (other if held_out.as_py() else known[place.as_py()]).update(text.as_py().lower().split())
+            if sum(len(other) + sum(map(len, known)) for other, known in found.values()) >= HELD:
                 yield from handed_on(found)
         yield from handed_on(found)
 
     def handed_on(found: dict) -> Iterator[pa.RecordBatch]:
         while found:
-            block, (every, known) = found.popitem()
-            words = list(every)
+            block, (other, known) = found.popitem()
+            words = list(other.union(*known))
             for start in range(0, len(words), 100_000):
                 part = words[start : start + 100_000]
                 counts = [pa.array(np.fromiter((c.get(w, 0) for w in part), np.int64, len(part))) for c in known]
