@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tarnworks.llm import alignment, chat, cotraining, exact_dedup, lm_scoring, mixing, near_dedup, pieces, pii, quality_rules, source_divergence, token_counts
+from tarnworks.llm import alignment, chat, cotraining, embedding_dedup, exact_dedup, lm_scoring, mixing, near_dedup, pieces, pii, quality_rules, source_divergence, token_counts
 
-MODULES = [exact_dedup, lm_scoring, pii, cotraining, chat, mixing, token_counts, quality_rules, pieces, near_dedup, source_divergence, alignment]
+MODULES = [exact_dedup, lm_scoring, pii, cotraining, chat, mixing, token_counts, quality_rules, pieces, near_dedup, embedding_dedup, source_divergence, alignment]
 
 
 def queries() -> dict:

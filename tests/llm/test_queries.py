@@ -14,5 +14,5 @@ def test_query_and_sql_agree(spark, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in queries.queries() if n != "pipeline"]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries.queries()
