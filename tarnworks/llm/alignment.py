@@ -11,9 +11,9 @@ count of its pair of ids, and whether no other A id is linked more often with it
 * The counts of pairs are summed from the lists' own sums, so documents take no part.
 * Counts and lists are dealt by B id and sorted, counts first. A task reads this stream once:
   it holds the counts of one B id (at most A's vocabulary), finds their maximum, and turns each list to
-  sums by document. A B id with more than a task's share of the links has its lists dealt over
+  sums by document, of which it hands on one row for each block. A B id with more than a task's share of the links has its lists dealt over
   several tasks by their blocks, each with the counts of the id.
-* The sums are added up by document.
+* The sums are added up by document, block by block.
 
 Vocabularies have a fixed size and are read from files of public tokenizers, whose paths are parameters.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -197,7 +198,7 @@ def _record(done: list[tuple], posted: list[pa.Array]) -> pa.RecordBatch:
 
 
 def link_sums(lists: DataFrame) -> DataFrame:
-    """row, n_best, count_sum: parts of each document's sums over its links; lists: rows of LIST."""
+    """row, n_best, count_sum of each document with links; lists: rows of LIST."""
     each = lists.select("b", F.explode(F.arrays_zip("a", "links")).alias("x"))
     counts = staged(each.groupBy("b", "x.a").agg(F.sum("x.links").alias("links")), "align-counts")
     # How many tasks share an id: one row for each B id at most, a vocabulary's size.
@@ -215,7 +216,7 @@ def link_sums(lists: DataFrame) -> DataFrame:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, count, most = None, {}, 0
         for batch in batches:
-            rows, best, whole = [], [], []
+            found = defaultdict(list)
             b, part, kind, block = (batch.column(k).to_pylist() for k in range(4))
             a, links, held, at, times = (batch.column(k) for k in range(4, 9))
             for k in range(batch.num_rows):
@@ -226,23 +227,34 @@ def link_sums(lists: DataFrame) -> DataFrame:
                     most = max(most, n)
                     continue
                 own = np.fromiter(map(count.__getitem__, a[k].values.to_pylist()), np.int64, len(a[k]))
-                often, n = np.repeat(own, held[k].values.to_numpy()), times[k].values.to_numpy()
-                rows.append(at[k].values.to_numpy() + np.int64(block[k]))
-                best.append(np.where(often == most, n, 0))
-                whole.append(often * n)
-            if rows:
-                row, where = np.unique(np.concatenate(rows), return_inverse=True)
-                order = np.argsort(where, kind="stable")
-                starts = np.searchsorted(where[order], np.arange(len(row)))
-                yield pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(np.add.reduceat(np.concatenate(x).astype(np.int64)[order], starts)) for x in (best, whole))], names=["row", "n_best", "count_sum"])
+                often, n = np.repeat(own, held[k].values.to_numpy()), times[k].values.to_numpy().astype(np.int64)
+                found[block[k]].append((at[k].values.to_numpy(), np.where(often == most, n, 0), often * n))
+            if found:
+                sums = [_added(*map(np.concatenate, zip(*x))) for x in found.values()]
+                ends = pa.array(np.cumsum([0, *(len(x[0]) for x in sums)]), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in zip(*sums)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), *lists], names=["block", "at", "best", "whole"])
 
-    return dealt.mapInArrow(sums, "row bigint, n_best bigint, count_sum bigint")
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        at, best, whole = _added(*(table[c].combine_chunks().flatten().to_numpy() for c in ("at", "best", "whole")))
+        return pa.table({"row": at + np.int64(key[0].as_py()), "n_best": best, "count_sum": whole})
+
+    # a task hands on one row for each block that its lists are of; a block's lists fit a task, as they came from one
+    parts = dealt.mapInArrow(sums, "block bigint, at array<int>, best array<bigint>, whole array<bigint>")
+    return parts.groupBy("block").applyInArrow(add, "row bigint, n_best bigint, count_sum bigint")
+
+
+def _added(at: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct places in order, and each one's sums."""
+    order = np.argsort(at, kind="stable")
+    starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+    return at[order][starts], *(np.add.reduceat(v[order], starts) for v in values)
 
 
 def alignment(docs: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     found = staged(aligned(docs, a_path, b_path), "align-tokens")
-    sums = link_sums(found.where("b IS NOT NULL").select(*LIST)).groupBy(F.col("row").alias("s_row")).agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    sums = link_sums(found.where("b IS NOT NULL").select(*LIST)).withColumnRenamed("row", "s_row")
     rows = found.where("row IS NOT NULL").select(*DOC).join(sums, F.col("row") == F.col("s_row"), "left")
     none = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", none("n_best"), none("count_sum"), "groups_sha256")
