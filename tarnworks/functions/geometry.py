@@ -10,6 +10,7 @@ import json
 import math
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -136,6 +137,108 @@ def centroid(geom: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([centroid_of(g) or (None, None) for g in geom], columns=["x", "y"], dtype=float)
 
 
+def write_line(points: np.ndarray) -> bytes:
+    return struct.pack("<BII", 1, LINE, len(points)) + np.ascontiguousarray(points, "<f8").tobytes()
+
+
+def write_many(kind: int, parts: list[bytes]) -> bytes:
+    """One geometry of many parts, or the only part itself."""
+    return parts[0] if len(parts) == 1 else struct.pack("<BII", 1, kind, len(parts)) + b"".join(parts)
+
+
+def _measured(data: bytes | None) -> list[tuple[np.ndarray, np.ndarray]] | None:
+    """Vertices of each line and the length up to each, running on from line to line; null for what is no line, or not finite."""
+    shape = parse(data)
+    if shape is None or shape[0] not in (LINE, MULTILINE):
+        return None
+    out, before = [], 0.0
+    for points in [shape[1]] if shape[0] == LINE else [p[1] for p in shape[1]]:
+        if points:
+            xy = np.array(points)
+            sides = np.hypot(*np.diff(xy, axis=0).T) if len(xy) > 1 else np.empty(0)
+            out.append((xy, before + np.concatenate([[0.0], np.cumsum(sides)])))
+            before = out[-1][1][-1]
+    return out if out and np.isfinite(before) and all(np.isfinite(xy).all() for xy, _ in out) else None
+
+
+def cut_line_of(data: bytes | None, parts: int) -> list[bytes | None]:
+    """``parts`` lines of equal length that follow one another: vertices between two cuts, and interpolated points at the cuts.
+
+    Lengths run on over the lines of a multi-line, so a part that holds a gap is a multi-line. A line without
+    length is a part of its own, and the other parts are null; so are all parts of what is no line.
+    """
+    lines = _measured(data)
+    if lines is None:
+        return [None] * parts
+    total = float(lines[-1][1][-1])
+    if parts == 1 or not total:
+        return [data] + [None] * (parts - 1)
+    cuts = total * np.arange(parts + 1) / parts
+    pieces: list[list[bytes]] = [[] for _ in range(parts)]
+    for xy, at in lines:
+        begin, end = at[0], at[-1]
+        first, last = max(0, int(np.searchsorted(cuts, begin, "right")) - 1), min(parts, int(np.searchsorted(cuts, end, "left")))
+        bounds = np.clip(cuts[first : last + 1], begin, end)
+        ends = np.stack([np.interp(bounds, at, xy[:, k]) for k in (0, 1)], axis=1)
+        ends[bounds == begin], ends[bounds == end] = xy[0], xy[-1]
+        for k in range(len(bounds) - 1):
+            inner = xy[np.searchsorted(at, bounds[k], "right") : np.searchsorted(at, bounds[k + 1], "left")]
+            pieces[first + k].append(write_line(np.concatenate([ends[k : k + 1], inner, ends[k + 1 : k + 2]])))
+    return [write_many(MULTILINE, p) if p else None for p in pieces]
+
+
+@F.pandas_udf(T.ArrayType(T.BinaryType()))
+def cut_line(geom: pd.Series, parts: pd.Series) -> pd.Series:
+    return pd.Series([cut_line_of(g, int(n)) for g, n in zip(geom, parts)])
+
+
+@F.pandas_udf(T.StructType([*(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1", "length")), T.StructField("points", T.LongType())]))
+def line_summary(geom: pd.Series) -> pd.DataFrame:
+    """Both ends, length and vertices of a line; null for what is none."""
+
+    def of(g: bytes | None):
+        lines = _measured(g)
+        return (*lines[0][0][0], *lines[-1][0][-1], lines[-1][1][-1], sum(len(xy) for xy, _ in lines)) if lines else (None,) * 6
+
+    frame = pd.DataFrame([of(g) for g in geom], columns=["x0", "y0", "x1", "y1", "length", "points"])
+    return frame.astype({c: float for c in ("x0", "y0", "x1", "y1", "length")}).astype({"points": "Int64"})
+
+
+def ring_area(ring: np.ndarray) -> float:
+    """Of a closed ring, positive if it runs counterclockwise; taken from its first vertex, so that far coordinates lose nothing."""
+    x, y = (ring - ring[0]).T
+    return float((x[:-1] * y[1:] - x[1:] * y[:-1]).sum() / 2)
+
+
+def rings_of(data: bytes | None) -> list[list[np.ndarray]] | None:
+    """The rings of each polygon, closed, outer ones counterclockwise and holes clockwise; null for what is no polygon, or not finite."""
+    shape = parse(data)
+    if shape is None or shape[0] not in (POLYGON, MULTIPOLYGON):
+        return None
+    out = []
+    for polygon in [shape[1]] if shape[0] == POLYGON else [p[1] for p in shape[1]]:
+        rings = [np.array(r) + 0.0 for r in polygon if len(r) > 2]
+        rings = [r if (r[0] == r[-1]).all() else np.concatenate([r, r[:1]]) for r in rings]
+        if not all(np.isfinite(r).all() for r in rings):
+            return None
+        out.append([r if (ring_area(r) > 0) == (k == 0) else r[::-1] for k, r in enumerate(rings)])
+    return out
+
+
+@F.pandas_udf(T.StructType([T.StructField("area", T.DoubleType()), *(T.StructField(c, T.LongType()) for c in ("outers", "holes", "points"))]))
+def polygon_summary(geom: pd.Series) -> pd.DataFrame:
+    """Area without holes, rings of both kinds, and sides of all rings; null for what is no polygon."""
+
+    def of(g: bytes | None):
+        shape = rings_of(g)
+        if shape is None:
+            return (None,) * 4
+        return sum(ring_area(r) for p in shape for r in p), sum(bool(p) for p in shape), sum(len(p[1:]) for p in shape), sum(len(r) - 1 for p in shape for r in p)
+
+    frame = pd.DataFrame([of(g) for g in geom], columns=["area", "outers", "holes", "points"])
+    return frame.astype({"area": float}).astype({c: "Int64" for c in ("outers", "holes", "points")})
+
+
 def write_polygon(rings: list[list[tuple[float, float]]]) -> bytes:
     out = struct.pack("<BII", 1, POLYGON, len(rings))
     for ring in rings:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnworks.functions.geometry import cut_line
 from tarnworks.functions.ids import typed, with_prefix
 from tarnworks.operators.relational import left_join
 from tarnworks.session import staged
@@ -53,13 +54,22 @@ def nexus_topology(flowpaths: DataFrame) -> DataFrame:
 
 
 def split_long_lines(flowpaths: DataFrame, most: float) -> DataFrame:
-    """n, part, parts, length, to, to_part: lines longer than ``most`` in equal parts, numbered downstream from 1."""
+    """n, part, parts, length, to, to_part: lines longer than ``most`` in equal parts, numbered downstream from 1.
+
+    With a column ``geom`` each part has its stretch of the line, cut at equal lengths along its vertices.
+    """
+    shaped = "geom" in flowpaths.columns
     parts = F.greatest(F.ceil(F.col("length") / most), F.lit(1)).cast("bigint")
-    rows = flowpaths.select("n", "to", "length", parts.alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("parts"))))
+    rows = flowpaths.select("n", "to", "length", parts.alias("parts"), *(["geom"] if shaped else []))
+    if shaped:
+        rows = rows.select("n", "to", "length", "parts", F.posexplode(cut_line("geom", "parts")).alias("part", "geom")).withColumn("part", F.col("part").cast("bigint") + 1)
+    else:
+        rows = rows.withColumn("part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("parts"))))
     last = F.col("part") == F.col("parts")
     to = F.when(last, F.col("to")).otherwise(F.col("n"))
     to_part = F.when(~last, F.col("part") + 1).when(F.col("to").isNotNull(), F.lit(1))
-    return rows.select("n", "part", "parts", (F.col("length") / F.col("parts")).alias("length"), to.alias("to"), to_part.cast("bigint").alias("to_part"))
+    more = ["geom"] if shaped else []
+    return rows.select("n", "part", "parts", (F.col("length") / F.col("parts")).alias("length"), to.alias("to"), to_part.cast("bigint").alias("to_part"), *more)
 
 
 def _within(flowpaths: DataFrame) -> DataFrame:
@@ -98,13 +108,20 @@ def _without_cycles(flowpaths: DataFrame) -> DataFrame:
     return cut.withColumn("to", F.when(F.col("c_n").isNull(), F.col("to"))).drop("c_n")
 
 
-def collapse_short_lines(flowpaths: DataFrame, least: float) -> DataFrame:
+def collapse_short_lines(flowpaths: DataFrame, least: float, least_main: float | None = None) -> DataFrame:
     """n, to, length, area, members: lines shorter than ``least`` join the first line downstream that is not.
 
-    A short terminal stays. Lengths are of the lines that stay, areas are sums.
+    With ``least_main`` that length holds for lines of a main stem instead: those that bring the most drainage of all inflows
+    of the next line. A short terminal stays. Lengths are of the lines that stay, areas are sums.
     """
     flowpaths = staged(_within(flowpaths), "collapse-lines")
-    at = _destinations(flowpaths.withColumn("moves", F.col("length") < least))
+    short = F.col("length") < least
+    table = flowpaths
+    if least_main is not None:
+        main = main_inflows(total_drainage(flowpaths)).select(F.col("main").alias("m_n"))
+        table = flowpaths.join(main, F.col("n") == F.col("m_n"), "left")
+        short = F.when(F.col("m_n").isNull(), short).otherwise(F.col("length") < least_main)
+    at = _destinations(table.withColumn("moves", short))
     to_at = at.select(F.col("n").alias("t_n"), F.col("at").alias("t_at"))
     own = flowpaths.join(at.withColumnRenamed("n", "d_n"), F.col("n") == F.col("d_n"))
     sums = own.groupBy(F.col("at").alias("s_n")).agg(F.sum("area").alias("s_area"), F.count(F.lit(1)).alias("members"))
@@ -126,6 +143,34 @@ def total_drainage(flowpaths: DataFrame) -> DataFrame:
     return total_drainage(_without_cycles(flowpaths))
 
 
+def main_inflows(drained: DataFrame) -> DataFrame:
+    """line, main: of the lines that flow into a line, the one with the largest total drainage, then the smallest n."""
+    largest = F.max(F.struct("total", (-F.col("n")).alias("back"))).alias("top")
+    return drained.where("to IS NOT NULL").groupBy(F.col("to").alias("line")).agg(largest).select("line", (-F.col("top.back")).alias("main"))
+
+
+def main_stems(flowpaths: DataFrame) -> DataFrame:
+    """n, to, length, area, stem, place, reach: the main stem of each line (n, to, length, area).
+
+    Heavy paths: at a confluence the inflow of the largest total drainage goes on, so every line is in one stem, whose
+    number is its last line's. ``place`` counts the lines from there up, from 1, and ``reach`` is the length from
+    the line's upper end to the end of the stem. Cycles are cut behind their smallest line.
+    """
+    drained = staged(total_drainage(flowpaths), "stem-drained")
+    lines = drained.join(flowpaths.select(F.col("n").alias("f_n"), "length"), F.col("n") == F.col("f_n")).drop("f_n")
+    main = main_inflows(drained).select(F.col("main").alias("m_n"))
+    lines = staged(lines.join(main, F.col("n") == F.col("m_n"), "left").withColumn("on", F.col("m_n").isNotNull()).drop("m_n"), "stem-lines")
+    state = lines.select("n", F.when(F.col("on"), F.col("to")).otherwise(F.col("n")).alias("at"), F.col("on").alias("open"), F.col("on").cast("bigint").alias("steps"), F.when(F.col("on"), F.col("length")).otherwise(0.0).alias("passed"))
+    state = staged(state, "stem")
+    while not state.where("open").isEmpty():
+        ahead = state.select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
+        grown = state.join(ahead, F.col("at") == F.col("a_n"))
+        state = staged(grown.select("n", F.col("a_at").alias("at"), F.col("a_open").alias("open"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("passed") + F.col("a_passed")).alias("passed")), "stem")
+    ends = lines.select(F.col("n").alias("e_n"), F.col("length").alias("e_length"))
+    found = state.join(ends, F.col("at") == F.col("e_n")).select(F.col("n").alias("s_n"), F.col("at").alias("stem"), (F.col("steps") + 1).alias("place"), (F.col("passed") + F.col("e_length")).alias("reach"))
+    return lines.join(found, F.col("n") == F.col("s_n")).select("n", "to", "length", "area", "stem", "place", "reach")
+
+
 def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataFrame:
     """unit, to_unit, area, members: lines grouped to units of about ``ideal`` area along the flow.
 

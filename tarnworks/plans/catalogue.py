@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from tarnworks.functions import display, geometry
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
 from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
-from tarnworks.operators import aggregates, attributes, features, graph, network, pointers, raster, relational
+from tarnworks.operators import aggregates, attributes, dissolve, features, graph, intervals, network, pointers, raster, relational, stems
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
+from tarnworks.session import fresh_path
 from tarnworks.sources.layers import catalog, read_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -856,3 +857,143 @@ def preparation(spark, sf_dir):
     settings = plan.Settings()
     layers = plan.reconcile(plan.describe(plan.correct(layers, patches)), settings)
     return layers["divides"].select("divide_id", "id", "toid", "vpuid", "lengthkm", "tot_drainage_areasqkm")
+
+
+# ---- geometry of the network steps
+
+
+def _bent_lines(spark, sf_dir):
+    """A line for each order, through its lineitems."""
+    corner = F.struct("l_linenumber", (F.sqrt("l_extendedprice") * 300).alias("x"), (F.col("l_quantity") * 1000).alias("y"))
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("n")).agg(F.sort_array(F.collect_list(corner)).alias("v"))
+    shaped = rows.select("n", F.when(F.col("n") > 1, F.floor(F.col("n") / 2)).alias("to"), geometry.line("v.x", "v.y").alias("geom"))
+    return shaped.withColumn("length", geometry.line_summary("geom")["length"])
+
+
+@query(
+    "WITH v AS (SELECT l_orderkey AS n, sqrt(l_extendedprice) * 300 AS x, l_quantity * 1000 AS y, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice, l_quantity) AS k FROM lineitem), "
+    "d AS (SELECT *, coalesce(sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2), 0) AS side FROM v WINDOW w AS (PARTITION BY n ORDER BY k)), "
+    "s AS (SELECT n, k, x, y, sum(side) OVER (PARTITION BY n ORDER BY k ROWS UNBOUNDED PRECEDING) AS m FROM d), "
+    "g AS (SELECT n, max(m) AS total, count(*) AS corners, CAST(greatest(ceil(max(m) / 20000), 1) AS BIGINT) AS parts, arg_min(x, k) AS fx, arg_min(y, k) AS fy, arg_max(x, k) AS lx, arg_max(y, k) AS ly FROM s GROUP BY n), "
+    "c AS (SELECT *, total * (part - 1) / parts AS a, CASE WHEN part = parts THEN total ELSE total * part / parts END AS b FROM (SELECT *, unnest(range(1, parts + 1)) AS part FROM g)), "
+    "q AS (SELECT n, x, y, m, lead(x) OVER w AS x2, lead(y) OVER w AS y2, lead(m) OVER w AS m2 FROM s WINDOW w AS (PARTITION BY n ORDER BY k)), "
+    "i AS (SELECT c.n, c.part, count(*) AS inner_points FROM c JOIN s ON s.n = c.n AND s.m > c.a AND s.m < c.b GROUP BY 1, 2) "
+    "SELECT c.n, c.part, c.parts, CASE WHEN c.part = c.parts THEN CASE WHEN c.n > 1 THEN c.n // 2 END ELSE c.n END AS \"to\", round(c.b - c.a, 4) AS length, "
+    "CASE WHEN c.parts = 1 THEN c.corners ELSE coalesce(i.inner_points, 0) + 2 END AS points, "
+    "round(CASE WHEN c.part = 1 THEN c.fx ELSE p.x + (c.a - p.m) / (p.m2 - p.m) * (p.x2 - p.x) END, 4) AS x0, round(CASE WHEN c.part = 1 THEN c.fy ELSE p.y + (c.a - p.m) / (p.m2 - p.m) * (p.y2 - p.y) END, 4) AS y0, "
+    "round(CASE WHEN c.part = c.parts THEN c.lx ELSE r.x + (c.b - r.m) / (r.m2 - r.m) * (r.x2 - r.x) END, 4) AS x1, round(CASE WHEN c.part = c.parts THEN c.ly ELSE r.y + (c.b - r.m) / (r.m2 - r.m) * (r.y2 - r.y) END, 4) AS y1 "
+    "FROM c LEFT JOIN q p ON c.part > 1 AND p.n = c.n AND p.m <= c.a AND c.a < p.m2 LEFT JOIN q r ON c.part < c.parts AND r.n = c.n AND r.m <= c.b AND c.b < r.m2 LEFT JOIN i ON i.n = c.n AND i.part = c.part"
+)
+def split_line_geometry(spark, sf_dir):
+    parts = network.split_long_lines(_bent_lines(spark, sf_dir), 20000.0).withColumn("s", geometry.line_summary("geom"))
+    return parts.select("n", "part", "parts", "to", F.round("s.length", 4).alias("length"), "s.points", *[F.round(f"s.{c}", 4).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+def _squares(spark, sf_dir):
+    """A square for each part, 40 in a row."""
+    key = F.col("p_partkey")
+    x, y = (key % 40).cast("double"), F.floor(key / 40).cast("double")
+    return table(spark, sf_dir, "part").select(key.alias("n"), geometry.rectangle(x, y, x + 1, y + 1).alias("geom"))
+
+
+# a square's corners are its own and those one further; corners less sides plus squares is shapes less holes where units touch themselves in no corner alone
+_SQUARES = (
+    "e AS (SELECT unit, c, r, 0 AS d FROM u UNION SELECT unit, c, r + 1, 0 FROM u UNION SELECT unit, c, r, 1 FROM u UNION SELECT unit, c + 1, r, 1 FROM u), "
+    "v AS (SELECT unit, c, r FROM u UNION SELECT unit, c + 1, r FROM u UNION SELECT unit, c, r + 1 FROM u UNION SELECT unit, c + 1, r + 1 FROM u), "
+    "n AS (SELECT unit, count(*) AS squares, min(c) AS minx, max(r) + 1 AS maxy FROM u GROUP BY 1), es AS (SELECT unit, count(*) AS sides FROM e GROUP BY 1), vs AS (SELECT unit, count(*) AS corners FROM v GROUP BY 1)"
+)
+
+
+@query(
+    "WITH u AS (SELECT CASE WHEN p_partkey % 40 % 3 = 1 AND p_partkey // 40 % 3 = 1 THEN -1 ELSE p_partkey % 40 // 3 + 100 * (p_partkey // 40 // 3) END AS unit, p_partkey % 40 AS c, p_partkey // 40 AS r FROM part), "
+    + _SQUARES
+    + " SELECT unit, CAST(squares AS DOUBLE) AS area, corners - sides + squares AS shapes_less_holes, 2 * sides - 4 * squares AS points, CAST(minx AS DOUBLE) AS minx, CAST(maxy AS DOUBLE) AS maxy FROM n JOIN es USING (unit) JOIN vs USING (unit)"
+)
+def dissolve_squares(spark, sf_dir):
+    col, row = F.col("n") % 40, F.floor(F.col("n") / 40)
+    unit = F.when((col % 3 == 1) & (row % 3 == 1), -1).otherwise(F.floor(col / 3) + 100 * F.floor(row / 3)).cast("bigint")
+    merged = dissolve.dissolved(_squares(spark, sf_dir).select(unit.alias("unit"), "geom"))
+    merged = merged.withColumns({"s": geometry.polygon_summary("geom"), "b": geometry.bounds("geom")})
+    return merged.select("unit", "s.area", (F.col("s.outers") - F.col("s.holes")).alias("shapes_less_holes"), "s.points", "b.minx", "b.maxy")
+
+
+@query(
+    f"WITH RECURSIVE {_LINES}, d(n, z) AS (SELECT n, n FROM t UNION ALL SELECT d.n, t.o FROM d JOIN t ON t.n = d.z WHERE d.z % 11 <> 0 AND t.o IS NOT NULL), f AS (SELECT d.n, d.z FROM d JOIN t ON t.n = d.z WHERE d.z % 11 = 0 OR t.o IS NULL), "
+    "u AS (SELECT z AS unit, n % 40 AS c, n // 40 AS r FROM f), " + _SQUARES + " SELECT unit, CAST(squares AS DOUBLE) AS area, 2 * sides - 4 * squares AS points, CAST(minx AS DOUBLE) AS minx, CAST(maxy AS DOUBLE) AS maxy FROM n JOIN es USING (unit)"
+)
+def merged_divides(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    merged = dissolve.merged_divides(_squares(spark, sf_dir), network.placed_at_outlets(lines, lines.where("n % 11 = 0").select("n")))
+    merged = merged.withColumns({"s": geometry.polygon_summary("geom"), "b": geometry.bounds("geom")})
+    return merged.select("unit", "s.area", "s.points", "b.minx", "b.maxy")
+
+
+# ---- main stems
+
+_STEMS = (
+    f"{_TOTAL}, m AS (SELECT n, o FROM (SELECT t.n, t.o, row_number() OVER (PARTITION BY t.o ORDER BY w.total DESC, t.n) AS k FROM t JOIN w ON w.n = t.n WHERE t.o IS NOT NULL) WHERE k = 1), "
+    "p(n, z, place, reach) AS (SELECT n, n, 1, length FROM t UNION ALL SELECT p.n, m.o, p.place + 1, p.reach + t.length FROM p JOIN m ON m.n = p.z JOIN t ON t.n = m.o), "
+    "s AS (SELECT n, z AS stem, place, reach FROM p WHERE z NOT IN (SELECT n FROM m))"
+)
+
+
+@query(f'WITH RECURSIVE {_STEMS} SELECT t.n, t.o AS "to", s.stem, CAST(s.place AS BIGINT) AS place, round(s.reach, 6) AS reach FROM t JOIN s ON s.n = t.n')
+def main_stems(spark, sf_dir):
+    return network.main_stems(_lines(spark, sf_dir)).select("n", "to", "stem", "place", F.round("reach", 6).alias("reach"))
+
+
+@query(
+    f"WITH RECURSIVE {_STEMS}, x AS (SELECT t.*, length < CASE WHEN n IN (SELECT n FROM m) THEN 2000 ELSE 1000 END AS short FROM t), "
+    "d(n, z) AS (SELECT n, n FROM x UNION ALL SELECT d.n, x.o FROM d JOIN x ON x.n = d.z WHERE x.short AND x.o IS NOT NULL), f AS (SELECT d.n, d.z FROM d JOIN x ON x.n = d.z WHERE NOT x.short OR x.o IS NULL), "
+    "q AS (SELECT f.z, sum(t.area) AS area, count(*) AS members FROM f JOIN t ON t.n = f.n GROUP BY 1) "
+    'SELECT t.n, g.z AS "to", round(t.length, 6) AS length, CAST(q.area AS BIGINT) AS area, q.members FROM t JOIN q ON q.z = t.n LEFT JOIN f g ON g.n = t.o'
+)
+def collapse_along_main_stems(spark, sf_dir):
+    return network.collapse_short_lines(_lines(spark, sf_dir), 1000.0, 2000.0).withColumn("length", F.round("length", 6))
+
+
+@query(
+    f"WITH RECURSIVE {_STEMS}, r(n, sl, sa) AS (SELECT n, length, CAST(area AS DOUBLE) FROM t WHERE n NOT IN (SELECT o FROM m) UNION ALL "
+    "SELECT m.o, CASE WHEN sl >= 4000 AND sa >= 12 THEN 0 ELSE sl END + t.length, CASE WHEN sl >= 4000 AND sa >= 12 THEN 0 ELSE sa END + t.area FROM r JOIN m ON m.n = r.n JOIN t ON t.n = m.o), "
+    "u AS (SELECT n FROM r WHERE sl >= 4000 AND (sa >= 12 OR (sa >= 6 AND n NOT IN (SELECT n FROM m)))), "
+    "d(n, z) AS (SELECT n, n FROM t UNION ALL SELECT d.n, t.o FROM d JOIN t ON t.n = d.z WHERE t.o IS NOT NULL AND d.z NOT IN (SELECT n FROM u)), "
+    "f AS (SELECT d.n, d.z FROM d JOIN t ON t.n = d.z WHERE t.o IS NULL OR d.z IN (SELECT n FROM u)) "
+    "SELECT f.z AS unit, any_value(g.z) AS to_unit, CAST(sum(t.area) AS DOUBLE) AS area, sum(CASE WHEN a.stem = b.stem THEN t.length ELSE 0 END) AS length, count(*) AS members "
+    "FROM f JOIN t ON t.n = f.n JOIN s a ON a.n = f.n JOIN s b ON b.n = f.z JOIN t k ON k.n = f.z LEFT JOIN f g ON g.n = k.o GROUP BY 1"
+)
+def aggregate_along_stems(spark, sf_dir):
+    return stems.aggregate_along_stems(_lines(spark, sf_dir), 12.0, 6.0, 4000.0)
+
+
+# ---- subsets without a search
+
+_TREE = "e AS (SELECT p_partkey AS n, CASE WHEN p_partkey >= 1 THEN p_partkey // 2 END AS o FROM part UNION SELECT 0, NULL)"
+
+
+@query(
+    f"WITH RECURSIVE {_TREE}, a(n, up) AS (SELECT n, n FROM e UNION ALL SELECT e.o, a.up FROM a JOIN e ON e.n = a.n WHERE e.o IS NOT NULL), z AS (SELECT n, count(*) AS size FROM a GROUP BY 1), "
+    "b AS (SELECT e.n, e.o, z.size, 1 + coalesce(sum(z.size) OVER (PARTITION BY e.o ORDER BY e.n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS behind FROM e JOIN z ON z.n = e.n), "
+    "p(n, first) AS (SELECT n, behind FROM b WHERE o IS NULL UNION ALL SELECT b.n, p.first + b.behind FROM p JOIN b ON b.o = p.n) "
+    'SELECT b.n AS node, b.o AS "to", CAST(p.first AS BIGINT) AS first, CAST(p.first + b.size - 1 AS BIGINT) AS last FROM b JOIN p ON p.n = b.n'
+)
+def interval_index(spark, sf_dir):
+    return intervals.interval_index(_edges(spark, sf_dir))
+
+
+def _index(spark, sf_dir):
+    path = fresh_path(spark, "intervals")
+    intervals.write_index(_edges(spark, sf_dir), path)
+    return intervals.read_index(spark, path)
+
+
+@query(
+    "WITH RECURSIVE e AS (SELECT p_partkey AS fn, p_partkey // 2 AS tn FROM part WHERE p_partkey >= 1), u(n) AS (SELECT * FROM (VALUES (CAST(5 AS BIGINT)), (21), (33), (-8)) UNION SELECT e.fn FROM e JOIN u ON e.tn = u.n) SELECT n AS node FROM u"
+)
+def upstream_by_intervals(spark, sf_dir):
+    outlets = spark.createDataFrame([(5,), (21,), (33,), (-8,)], "node bigint")
+    return intervals.upstream(_index(spark, sf_dir), outlets)
+
+
+@query(SQL["upstream_with_sibling"])
+def upstream_with_sibling_by_intervals(spark, sf_dir):
+    return intervals.upstream(_index(spark, sf_dir), _outlet(spark), with_sibling=True)

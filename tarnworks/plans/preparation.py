@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.functions.geometry import centroid
-from tarnworks.operators import attributes, network, raster
+from tarnworks.operators import attributes, dissolve, network, raster, stems
 from tarnworks.operators.relational import corrected, left_join
 
 Layers = dict[str, DataFrame]
@@ -25,6 +25,7 @@ class Settings:
     vpuid: str = "16"
     split: float = 10000.0
     collapse: float = 1000.0
+    collapse_main: float = 1000.0
     ideal_area: float = 5.0
     least_length_km: float = 0.5
     least_area: float = 1.0
@@ -41,8 +42,12 @@ def correct(layers: Layers, corrections: DataFrame) -> Layers:
 
 
 def refactor(layers: Layers, settings: Settings) -> Layers:
-    """Lines (n, to, length in metres, area) without short ones; ``parts`` has the long ones split."""
-    lines = network.collapse_short_lines(layers["lines"], settings.collapse)
+    """Lines (n, to, length in metres, area) without short ones; ``parts`` has the long ones split, with their stretch of ``geom`` if lines have one."""
+    main = settings.collapse_main if settings.collapse_main != settings.collapse else None
+    lines = network.collapse_short_lines(layers["lines"], settings.collapse, main)
+    if "geom" in layers["lines"].columns:
+        shapes = layers["lines"].select(F.col("n").alias("g_n"), "geom")
+        lines = lines.join(shapes, F.col("n") == F.col("g_n")).drop("g_n")
     return layers | {"lines": lines, "parts": network.split_long_lines(lines, settings.split)}
 
 
@@ -50,6 +55,16 @@ def aggregate(layers: Layers, settings: Settings) -> Layers:
     return layers | {"units": network.aggregate_to_size(layers["lines"], settings.ideal_area, settings.least_area)}
 
 
+def distribute(layers: Layers, settings: Settings) -> Layers:
+    """Units of even size along main stems; ``line-divides`` (n, geom), if there, are merged to ``unit-divides`` (unit, geom)."""
+    lines, least = layers["lines"], settings.least_length_km * 1000
+    out = layers | {"units": stems.aggregate_along_stems(lines, settings.ideal_area, settings.least_area, least)}
+    if "line-divides" in layers:
+        placed = stems.placed_along_stems(lines, settings.ideal_area, settings.least_area, least)
+        out["unit-divides"] = dissolve.merged_divides(layers["line-divides"], placed)
+    return out
+
+
 def describe(layers: Layers) -> Layers:
     """Divides with the network's attributes."""
     return layers | {"divides": network.with_network_attributes(layers["divides"], layers["network"])}
