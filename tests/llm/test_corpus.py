@@ -64,6 +64,30 @@ def test_mixing_long_slots_meet_small_targets(spark, monkeypatch):
         assert abs(taken[s] - target) <= 1
 
 
+def test_mixing_follows_its_schedule_at_long_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 64)
+    sizes = {"a": 6_000, "b": 3_000, None: 900}
+    docs = spark.createDataFrame([(f"{s}{k}", s, " ".join(["w"] * (n // 30))) for s, n in sizes.items() for k in range(30)], "name string, source string, text string")
+    docs = docs.selectExpr("CAST(hash(name) AS BIGINT) AS doc_id", "text", "'en' AS lang", "source", "1L AS n_chars")
+    right = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    ordered = mixing.mixed_documents(docs, order=True).orderBy("slot").collect()
+    # any stretch of the mix is close to the targets, in words
+    whole, seen, at = sum(len(r.text.split()) for r in ordered), Counter(), 0
+    for r in ordered:
+        seen[r.source] += len(r.text.split())
+        at += len(r.text.split())
+        target = next(x.target for x in right.values() if x.source == r.source)
+        assert abs(seen[r.source] - target * at / whole) < 900
+    assert {r.doc_id: len([x for x in r.slots if x is not None]) for r in right.values() if r.taken}.keys() == {r.doc_id for r in ordered}
+    before = mixing.schedule
+
+    def broken(targets, long, slots, first=0):
+        return before(targets, long, slots, first).where("slot >= 20 OR source <> 'a'").where("block <> 1")
+
+    monkeypatch.setattr(mixing, "schedule", broken)
+    assert {r.doc_id: r.taken for r in mixing.mix(docs).collect()} != {k: r.taken for k, r in right.items()}
+
+
 def test_schedule_is_even(spark):
     sizes = spark.createDataFrame([("a", 5000), ("b", 3000)], "source string, source_size bigint")
     plan = mixing.schedule(mixing.source_targets(sizes, (1, 1)), 1, 8000).orderBy("slot").collect()
