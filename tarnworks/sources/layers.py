@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 EMPTY = {
     "hydrolocations": "poi_id int, id string, nex_id string, hf_id double, hl_link string, hl_reference string, hl_uri string, hl_source string, hl_x double, hl_y double, vpuid string, geom binary",
     "pois": "poi_id int, id string, nex_id string, vpuid string",
-    "lakes": "geom binary, lake_id bigint, LkArea double, LkMxE double, WeirC double, WeirL double, OrificeC double, OrificeA double, OrificeE double, WeirE double, ifd double, Dam_Length double, domain string, poi_id int, hf_id double, res_id string, vpuid string, lake_x double, lake_y double",
+    "lakes": "geom binary, lake_id double, LkArea double, LkMxE double, WeirC double, WeirL double, OrificeC double, OrificeA double, OrificeE double, WeirE double, ifd double, Dam_Length double, domain string, poi_id int, hf_id double, reservoir_index_AnA double, reservoir_index_Extended_AnA double, reservoir_index_GDL_AK double, reservoir_index_Medium_Range double, reservoir_index_Short_Range double, res_id string, vpuid string, lake_x double, lake_y double",
 }
 
 

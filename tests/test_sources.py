@@ -75,7 +75,8 @@ def test_geopackage_round_trip(spark, tmp_path):
     assert sorted((r.divide_id, r.n, r.area) for r in read.collect()) == sorted((f"cat-{k}", k, k / 2) for k in range(30))
     assert bytes(read.where("n = 3").select(g.from_blob(F.col("geom")).alias("g")).first().g) == POINT
     empty = spark.read.format("geopackage").option("layer", "lakes").load(path)
-    assert empty.count() == 0 and "lake_id" in empty.columns
+    assert empty.count() == 0 and dict(empty.dtypes)["lake_id"] == "double"
+    assert len(empty.columns) == 24 + ("fid" in empty.columns) and len([c for c in empty.columns if c.startswith("reservoir_index_")]) == 5
     about = spark.read.format("geopackage").option("layer", "gpkg_contents").load(path).where("table_name = 'divides'").first()
     assert (about.data_type, about.min_x, about.max_y) == ("features", 1.5, -2.0)
 
