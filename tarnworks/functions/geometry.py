@@ -242,6 +242,45 @@ def polygon_summary(geom: pd.Series) -> pd.DataFrame:
     return frame.astype({"area": float}).astype({c: "Int64" for c in ("outers", "holes", "points")})
 
 
+def kept_vertices(points: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices of a line stay, its ends among them; the others lie within ``tolerance`` of the line through those."""
+    keep = np.zeros(len(points), bool)
+    keep[[0, -1]] = True
+    todo = [(0, len(points) - 1)]
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        along, inner = points[b] - points[a], points[a + 1 : b] - points[a]
+        square = along @ along
+        share = np.clip(inner @ along / square, 0, 1) if square else np.zeros(len(inner))
+        away = np.hypot(*(inner - share[:, None] * along).T)
+        far = int(away.argmax())
+        if away[far] > tolerance:
+            keep[a + 1 + far] = True
+            todo += [(a, a + 1 + far), (a + 1 + far, b)]
+    return keep
+
+
+def simple_line_of(data: bytes | None, tolerance: float) -> bytes | None:
+    """A line, or each line of several, without vertices within ``tolerance``; ends stay. Null for what is no line, or not finite."""
+    shape = parse(data)
+    if shape is None or shape[0] not in (LINE, MULTILINE):
+        return None
+    lines = [np.array(p) for p in ([shape[1]] if shape[0] == LINE else [q for _, q in shape[1]]) if p]
+    if not lines or not all(np.isfinite(p).all() for p in lines):
+        return None
+    return write_many(MULTILINE, [write_line(p[kept_vertices(p, tolerance)]) for p in lines])
+
+
+def simple_line(geom: Column, tolerance: float) -> Column:
+    @F.pandas_udf(T.BinaryType())
+    def convert(series: pd.Series) -> pd.Series:
+        return pd.Series([simple_line_of(g, tolerance) for g in series], dtype=object)
+
+    return convert(geom)
+
+
 def write_polygon(rings: list[list[tuple[float, float]]]) -> bytes:
     out = struct.pack("<BII", 1, POLYGON, len(rings))
     for ring in rings:
@@ -269,6 +308,13 @@ def line(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series([write_line(np.stack([a, b], axis=1)) for a, b in zip(xs, ys)])
 
 
+@F.pandas_udf(T.BinaryType())
+def polygon(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """A polygon of one ring, closed if it is not."""
+    rings = [np.stack([a, b], axis=1).tolist() for a, b in zip(xs, ys)]
+    return pd.Series([write_polygon([r if r[0] == r[-1] else [*r, r[0]]]) for r in rings])
+
+
 @F.pandas_udf(T.BinaryType())
 def rectangle(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
     a, b, c, d = (v.to_numpy(float) for v in (x0, y0, x1, y1))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnworks.functions.geometry import bounds, parse
+from tarnworks.operators import tiles
 from tarnworks.operators.aggregates import ZONAL, weighted_mode
 
 
@@ -30,26 +31,13 @@ def mosaic(tiles: DataFrame) -> DataFrame:
     return tiles.groupBy("col", "row").agg(F.max_by("value", F.when(F.col("value").isNotNull(), F.col("tile"))).alias("value"))
 
 
-#: The weights of a cell's neighbours in the slope to the east and to the south.
-_EAST = {(-1, -1): -1, (-1, 0): -2, (-1, 1): -1, (1, -1): 1, (1, 0): 2, (1, 1): 1}
-_SOUTH = {(-1, -1): -1, (0, -1): -2, (1, -1): -1, (-1, 1): 1, (0, 1): 2, (1, 1): 1}
-
-
-def terrain(cells: DataFrame, size: float = 1.0) -> DataFrame:
+def terrain(cells: DataFrame, size: float = 1.0, tile: int = 256) -> DataFrame:
     """col, row, slope, aspect in degrees from the eight neighbours; cells without all of them have none.
 
-    Every cell gives its value to its neighbours, so one aggregate does.
+    The aspect is the direction that the slope faces, clockwise from north, null where it is level. Tiles are worked on as dense blocks
+    with a rim, so a cell is shuffled once. Null and NaN are no data; of a cell that stands several times the largest value counts.
     """
-    around = [(x, y) for x in (-1, 0, 1) for y in (-1, 0, 1)]
-    offsets = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(_EAST.get((x, y), 0)).alias("e"), F.lit(_SOUTH.get((x, y), 0)).alias("s")) for x, y in around]))
-    given = cells.where(F.col("value").isNotNull()).select("col", "row", "value", offsets.alias("o"))
-    given = given.select((F.col("col") - F.col("o.x")).alias("col"), (F.col("row") - F.col("o.y")).alias("row"), (F.col("value") * F.col("o.e")).alias("e"), (F.col("value") * F.col("o.s")).alias("s"))
-    sums = given.groupBy("col", "row").agg(F.sum("e").alias("e"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")).where(F.col("n") == 9)
-    east, south = F.col("e") / (8 * size), F.col("s") / (8 * size)
-    slope = F.degrees(F.atan(F.sqrt(east * east + south * south)))
-    # the direction that the slope faces, clockwise from north
-    aspect = F.pmod(F.degrees(F.atan2(-east, south)), F.lit(360.0))
-    return sums.select("col", "row", slope.alias("slope"), F.when(F.col("e").eqNullSafe(0) & F.col("s").eqNullSafe(0), None).otherwise(aspect).alias("aspect"))
+    return tiles.terrain(cells, size, tile)
 
 
 def zonal(covered: DataFrame, fun: str, keys: list[str], name: str) -> DataFrame:

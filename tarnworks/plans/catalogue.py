@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnworks.functions import display, geometry
 from tarnworks.functions.ids import number_of, typed, whole, with_prefix
 from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
-from tarnworks.operators import aggregates, attributes, dissolve, features, graph, intervals, network, pointers, raster, relational, stems
+from tarnworks.operators import aggregates, attributes, dissolve, features, graph, intervals, network, pointers, raster, relational, simplify, stems, tiles
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
 from tarnworks.session import fresh_path
@@ -928,6 +928,69 @@ def merged_divides(spark, sf_dir):
     return merged.select("unit", "s.area", "s.points", "b.minx", "b.maxy")
 
 
+_BENT = (
+    "g AS (SELECT p_partkey AS n, p_partkey % 40 AS c, p_partkey // 40 AS r FROM part), "
+    "s AS (SELECT n, 0 AS k, 0 AS d, c, r FROM g UNION ALL SELECT n, 1, 1, c + 1, r FROM g UNION ALL SELECT n, 2, 0, c, r + 1 FROM g UNION ALL SELECT n, 3, 1, c, r FROM g), "
+    "b AS (SELECT n, k, CASE WHEN count(*) OVER (PARTITION BY d, c, r) = 2 THEN (c * 7 + r * 13 + d) % 5 ELSE 0 END AS h FROM s)"
+)
+
+
+def _bent_squares(spark, sf_dir):
+    """The squares with a vertex amid each side; sides of two squares are bent there, by up to 0.4."""
+    key, c, r = F.col("p_partkey"), F.col("p_partkey") % 40, F.floor(F.col("p_partkey") / 40)
+    sides = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(k % 2).alias("d"), (c + int(k == 1)).alias("c"), (r + int(k == 2)).alias("r")) for k in range(4)]))
+    side = table(spark, sf_dir, "part").select(key.alias("n"), sides.alias("s")).select("n", "s.*")
+    both = F.count(F.lit(1)).over(Window.partitionBy("d", "c", "r")) == 2
+    side = side.withColumn("bend", F.when(both, (F.col("c") * 7 + F.col("r") * 13 + F.col("d")) % 5).otherwise(0) / 10)
+    bend, across, low, high = F.col("bend"), F.col("d") == 0, F.col("c").cast("double"), F.col("r").cast("double")
+    back = (F.col("k") > 1).cast("int")
+    start = F.struct((F.col("k") * 2).alias("k"), F.when(across, low + back).otherwise(low).alias("x"), F.when(across, high).otherwise(high + back).alias("y"))
+    middle = F.struct((F.col("k") * 2 + 1).alias("k"), F.when(across, low + 0.5).otherwise(low + bend).alias("x"), F.when(across, high + bend).otherwise(high + 0.5).alias("y"))
+    ring = side.select("n", F.explode(F.array(start, middle)).alias("v")).groupBy("n").agg(F.sort_array(F.collect_list("v")).alias("v"))
+    return ring.select("n", geometry.polygon("v.x", "v.y").alias("geom"))
+
+
+@query(
+    f"WITH {_BENT} SELECT n, round(CAST(1 + sum(CASE WHEN h < 3 THEN 0 WHEN k IN (1, 2) THEN h ELSE -h END) / 20 AS DOUBLE), 6) AS area, CAST(4 + count(*) FILTER (h >= 3) AS BIGINT) AS points FROM b GROUP BY n"
+)
+def simplified_squares(spark, sf_dir):
+    simple = simplify.simplified(_bent_squares(spark, sf_dir), 0.25).withColumn("s", geometry.polygon_summary("geom"))
+    return simple.select("n", F.round("s.area", 6).alias("area"), "s.points")
+
+
+@query(
+    "WITH RECURSIVE v AS (SELECT l_orderkey AS n, sqrt(l_extendedprice) * 300 AS x, l_quantity * 1000 AS y, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice, l_quantity) AS k FROM lineitem), "
+    "c AS (SELECT n, count(*) AS c FROM v GROUP BY 1), "
+    "r(n, a, b) AS (SELECT n, CAST(1 AS BIGINT), c FROM c UNION ALL SELECT n, CASE WHEN half THEN k ELSE a END, CASE WHEN half THEN b ELSE k END FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY n, a, b ORDER BY away DESC, k) AS j FROM (SELECT n, a, b, k, sqrt((mx - t * ux) ** 2 + (my - t * uy) ** 2) AS away FROM ("
+    "SELECT *, CASE WHEN ux * ux + uy * uy = 0 THEN 0 ELSE least(greatest((mx * ux + my * uy) / (ux * ux + uy * uy), 0), 1) END AS t FROM ("
+    "SELECT r.n, r.a, r.b, m.k, q.x - p.x AS ux, q.y - p.y AS uy, m.x - p.x AS mx, m.y - p.y AS my FROM r JOIN v m ON m.n = r.n AND m.k > r.a AND m.k < r.b JOIN v p ON p.n = r.n AND p.k = r.a JOIN v q ON q.n = r.n AND q.k = r.b)))"
+    ") CROSS JOIN (VALUES (false), (true)) h(half) WHERE j = 1 AND away > 8000) "
+    "SELECT n, CAST(CASE WHEN any_value(c) = 1 THEN 1 ELSE 2 + (count(*) - 1) // 2 END AS BIGINT) AS points FROM r JOIN c USING (n) GROUP BY 1"
+)
+def simplified_lines(spark, sf_dir):
+    return _bent_lines(spark, sf_dir).select("n", geometry.line_summary(geometry.simple_line(F.col("geom"), 8000.0))["points"].alias("points"))
+
+
+# ---- flow directions
+
+_FLOW = (
+    "g AS (SELECT p_partkey % 50 AS c, p_partkey // 50 AS r, CASE WHEN p_partkey % 43 = 0 THEN 0 WHEN p_partkey % 37 = 0 THEN 16 WHEN p_size % 3 = 0 THEN 1 WHEN p_size % 3 = 1 THEN 4 ELSE 8 END AS d FROM part WHERE p_partkey % 97 <> 0), "
+    "f AS (SELECT g.c, g.r, t.c AS tc, t.r AS tr FROM g LEFT JOIN g t ON g.d <> 0 AND t.c = g.c + CASE g.d WHEN 1 THEN 1 WHEN 4 THEN 0 ELSE -1 END AND t.r = g.r + CASE WHEN g.d IN (4, 8) THEN 1 ELSE 0 END), "
+    "w(c, r, zc, zr) AS (SELECT c, r, c, r FROM g UNION SELECT w.c, w.r, f.tc, f.tr FROM w JOIN f ON f.c = w.zc AND f.r = w.zr WHERE f.tc IS NOT NULL), "
+    "o AS (SELECT w.c, w.r, w.zc, w.zr FROM w JOIN f ON f.c = w.zc AND f.r = w.zr WHERE f.tc IS NULL), u AS (SELECT w.zc AS c, w.zr AS r, count(*) AS n FROM w GROUP BY 1, 2)"
+)
+
+
+@query(
+    f"WITH RECURSIVE {_FLOW} SELECT u.c AS col, u.r AS row, o.zc AS outlet_col, o.zr AS outlet_row, CAST(CASE WHEN o.zc IS NOT NULL THEN u.n END AS BIGINT) AS upstream FROM u LEFT JOIN o ON o.c = u.c AND o.r = u.r"
+)
+def watersheds(spark, sf_dir):
+    key, turn = F.col("p_partkey"), F.col("p_size") % 3
+    code = F.when(key % 97 == 0, None).when(key % 43 == 0, 0).when(key % 37 == 0, 16).when(turn == 0, 1).when(turn == 1, 4).otherwise(8)
+    return tiles.watersheds(table(spark, sf_dir, "part").select((key % 50).alias("col"), F.floor(key / 50).alias("row"), code.alias("dir")), tile=16)
+
+
 # ---- main stems
 
 _STEMS = (

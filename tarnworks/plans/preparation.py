@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnworks.functions.geometry import centroid
+from tarnworks.functions.geometry import centroid, simple_line
 from tarnworks.operators import attributes, dissolve, network, raster, stems
 from tarnworks.operators.relational import corrected, left_join
 
@@ -26,6 +26,7 @@ class Settings:
     split: float = 10000.0
     collapse: float = 1000.0
     collapse_main: float = 1000.0
+    simplify: float = 400.0
     ideal_area: float = 5.0
     least_length_km: float = 0.5
     least_area: float = 1.0
@@ -42,13 +43,16 @@ def correct(layers: Layers, corrections: DataFrame) -> Layers:
 
 
 def refactor(layers: Layers, settings: Settings) -> Layers:
-    """Lines (n, to, length in metres, area) without short ones; ``parts`` has the long ones split, with their stretch of ``geom`` if lines have one."""
+    """Lines (n, to, length in metres, area) without short ones; ``parts`` has the long ones split, with their stretch of ``geom``, simplified, if lines have one."""
     main = settings.collapse_main if settings.collapse_main != settings.collapse else None
     lines = network.collapse_short_lines(layers["lines"], settings.collapse, main)
     if "geom" in layers["lines"].columns:
         shapes = layers["lines"].select(F.col("n").alias("g_n"), "geom")
         lines = lines.join(shapes, F.col("n") == F.col("g_n")).drop("g_n")
-    return layers | {"lines": lines, "parts": network.split_long_lines(lines, settings.split)}
+    parts = network.split_long_lines(lines, settings.split)
+    if "geom" in parts.columns and settings.simplify:
+        parts = parts.withColumn("geom", simple_line(F.col("geom"), settings.simplify))
+    return layers | {"lines": lines, "parts": parts}
 
 
 def aggregate(layers: Layers, settings: Settings) -> Layers:
