@@ -8,9 +8,8 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tarnworks.functions.geometry import bounds, parse
+from tarnworks.functions.geometry import MULTIPOLYGON, parse, write_many, write_polygon
 from tarnworks.operators import tiles
 from tarnworks.operators.aggregates import ZONAL, weighted_mode
 
@@ -106,25 +105,88 @@ def covered_cells(geom: bytes | None, tile_x: int, tile_y: int, tile: int, size:
     return [(col, row, area / (size * size)) for (col, row), area in areas.items() if area > 0]
 
 
+#: Tiles along the side of a range that is covered as a whole, at most, so that large ranges are several rows.
+MOST_SPAN = 16
+
+
+def _reduced(ring: list[tuple[float, float]], box: tuple[float, float, float, float]) -> list[tuple[float, float]]:
+    """A clipped ring without vertices between two others on one side of the box; empty if it only runs along the box around nothing, its corners if around it all."""
+    x0, y0, x1, y1 = box
+    # a corner that stands twice would count as amid either side
+    ring = [v for k, v in enumerate(ring) if v != ring[k - 1]]
+    sides = [(x == x0) | (x == x1) << 1 | (y == y0) << 2 | (y == y1) << 3 for x, y in ring]
+    ring = [v for k, v in enumerate(ring) if not sides[k - 1] & sides[k] & sides[(k + 1) % len(ring)]]
+    sides = [(x == x0) | (x == x1) << 1 | (y == y0) << 2 | (y == y1) << 3 for x, y in ring]
+    if all(sides[k - 1] & sides[k] for k in range(len(ring))):
+        around = _area(ring) / ((x1 - x0) * (y1 - y0))
+        return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)] if around > 0.5 else []
+    return ring
+
+
+def cover(geom: bytes | None, tile: int, size: float) -> list[tuple[int, int, int, bytes | None]]:
+    """x, y, span, piece: the parts of polygons over square ranges of tiles, ``span`` a side; a null piece covers its range as a whole.
+
+    A quad-tree: each block hands its quarters what it has clipped, so a vertex is clipped once a level, and blocks that
+    polygons leave out or fill are not gone into.
+    """
+    polygons: list[list[tuple[int, list[tuple[float, float]]]]] = []
+    for sign, ring in _rings(geom):
+        if sign > 0:
+            polygons.append([])
+        polygons[-1].append((sign, ring))
+    points = [v for p in polygons for _, r in p for v in r if all(map(math.isfinite, v))]
+    if not points or len(points) < sum(len(r) for p in polygons for _, r in p):
+        return []
+    first, last = ([math.floor(f(v[axis] for v in points) / (size * tile)) for axis in (0, 1)] for f in (min, max))
+    span = 1 << (max(b - a for a, b in zip(first, last))).bit_length()
+    todo, out = [(*first, span, polygons)], []
+    while todo:
+        x, y, span, inside = todo.pop()
+        box = tuple(v * tile * size for v in (x, y, x + span, y + span))
+        clipped = []
+        for polygon in inside:
+            rings = [(sign, _reduced(_band(_band(ring, 0, box[0], box[2]), 1, box[1], box[3]), box)) for sign, ring in polygon]
+            if any(ring for _, ring in rings):
+                clipped.append([(sign, ring) for sign, ring in rings if ring or sign > 0])
+        if not clipped:
+            continue
+        corners = [(box[0], box[1]), (box[2], box[1]), (box[2], box[3]), (box[0], box[3])]
+        full = len(clipped) == 1 and len(clipped[0]) == 1 and clipped[0][0][1] == corners
+        if full and span <= MOST_SPAN:
+            out.append((x, y, span, None))
+        elif span == 1:
+            shapes = [write_polygon([[*r, *r[:1]] for _, r in p]) for p in clipped]
+            out.append((x, y, 1, write_many(MULTIPOLYGON, shapes)))
+        else:
+            half = span // 2
+            todo += [(x + i * half, y + j * half, half, clipped) for i in (0, 1) for j in (0, 1)]
+    return out
+
+
 def overlay(zones: DataFrame, cells: DataFrame, size: float = 1.0, tile: int = 64) -> DataFrame:
     """The cells' columns, the zones' columns without geom, and coverage, for every cell that a zone covers in part.
 
-    Cell (col, row) is the square from (col, row) * size. A zone's cells are found tile by tile (``tile`` by
-    ``tile`` cells), so a geometry is repeated once a tile, and meet the grid in an equality join.
+    Cell (col, row) is the square from (col, row) * size. A zone is cut to pieces by a quad-tree of tiles (``tile`` by
+    ``tile`` cells); ranges that it fills are plain sequences, and only tiles on its border are cut to cells. The
+    cells then meet the grid in an equality join. Null and odd geometries cover nothing.
     """
-    def index(v: Column) -> Column:
-        return F.floor(v / (size * tile))
+
+    @F.pandas_udf("array<struct<x: bigint, y: bigint, span: bigint, piece: binary>>")
+    def pieces(geom: pd.Series) -> pd.Series:
+        return pd.Series([cover(g, tile, size) for g in geom])
 
     @F.pandas_udf("array<struct<_col: bigint, _row: bigint, coverage: double>>")
-    def found(geom: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([covered_cells(g, a, b, tile, size) for g, a, b in zip(geom, x, y)])
-
-    spread = zones.withColumn("_box", bounds("geom")).where("_box.minx IS NOT NULL")
-    spread = spread.withColumn("_tx", F.explode(F.sequence(index(F.col("_box.minx")), index(F.col("_box.maxx")))))
-    spread = spread.withColumn("_ty", F.explode(F.sequence(index(F.col("_box.miny")), index(F.col("_box.maxy")))))
-    # so that the tiles of one large zone are many tasks
-    spread = spread.repartition("_tx", "_ty")
+    def found(piece: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([covered_cells(g, a, b, tile, size) for g, a, b in zip(piece, x, y)])
+
     zone = [F.col(f"`{c}`") for c in zones.columns if c != "geom"]
-    covered = spread.select(*zone, F.explode(found("geom", "_tx", "_ty")).alias("_cell")).select(*zone, "_cell.*")
-    met = cells.join(covered, (F.col("col") == F.col("_col")) & (F.col("row") == F.col("_row")))
+    # dealt by tile, so that the pieces of one large zone are many tasks
+    cut = zones.where("geom IS NOT NULL").select(*zone, F.explode(pieces("geom")).alias("_cut")).repartition("_cut.x", "_cut.y")
+    partly = cut.where("_cut.piece IS NOT NULL").select(*zone, F.explode(found("_cut.piece", "_cut.x", "_cut.y")).alias("_cell")).select(*zone, "_cell.*")
+
+    def along(c: str) -> Column:
+        return F.explode(F.sequence(F.col(f"_cut.{c}") * tile, (F.col(f"_cut.{c}") + F.col("_cut.span")) * tile - 1))
+
+    filled = cut.where("_cut.piece IS NULL").withColumn("_col", along("x")).withColumn("_row", along("y")).select(*zone, "_col", "_row", F.lit(1.0).alias("coverage"))
+    met = cells.join(partly.unionByName(filled), (F.col("col") == F.col("_col")) & (F.col("row") == F.col("_row")))
     return met.drop("_col", "_row")
