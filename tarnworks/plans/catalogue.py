@@ -20,6 +20,7 @@ from tarnworks.operators import aggregates, attributes, dissolve, features, grap
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
 from tarnworks.session import fresh_path
+from tarnworks.sources.files import read_edges
 from tarnworks.sources.layers import catalog, read_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -540,6 +541,16 @@ def edges_from_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", k.alias("k"), (k % 5).isin(1, 3, 4).alias("kept"))
 
 
+@query(
+    "SELECT CAST(p_size % 3 AS BIGINT) AS ft, p_partkey AS fn, p_partkey % 5 AS tt, p_partkey // 2 AS tn FROM part WHERE p_partkey >= 1"
+)
+def edges_from_files(spark, sf_dir):
+    path = fresh_path(spark, "edges")
+    graph_json = F.to_json(F.struct(F.struct(F.lit(1).alias("total_edges")).alias("meta"), F.array(F.array("ft", "fn", "tt", "tn")).alias("edges")))
+    _edges(spark, sf_dir).select(graph_json).write.text(path)
+    return read_edges(spark, path).drop("pos")
+
+
 # ---- display
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The columns of the corrections file.
 CORRECTIONS = "flowpath_id int, flowpath_toid int, lengthkm double, areasqkm double, totdasqkm double, pathlength double, streamorder int"
-GRAPH = "meta struct<total_edges: bigint>, edges array<array<bigint>>"
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
@@ -18,26 +17,51 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.from_csv("line", CORRECTIONS).alias("c"), F.col("ord").cast("bigint").alias("ord")).select("c.*", "ord")
 
 
+def _pieces(spark: SparkSession, path: str, end: str | None = None) -> DataFrame:
+    """_path, _block, value: the pieces of text files up to each ``end`` (a line break if none), read by byte ranges of many tasks."""
+    reader = spark.read.option("lineSep", end) if end else spark.read
+    return reader.text(path).select(F.input_file_name().alias("_path"), F.col("_metadata.file_block_start").alias("_block"), "value")
+
+
+def _placed(pieces: DataFrame) -> DataFrame:
+    """The pieces with _pos, the place of each in its file, and _of, the number in its file.
+
+    A byte range is read in order by one task, so numbers given there need only be shifted by what stands in the ranges before; one row a range does.
+    """
+    numbered = pieces.withColumn("_n", F.monotonically_increasing_id())
+    ranges = numbered.groupBy("_path", "_block").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    file = Window.partitionBy("_path")
+    before = F.coalesce(F.sum("_rows").over(file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = ranges.select("_path", "_block", (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(file).alias("_of"))
+    return numbered.join(shifts, ["_path", "_block"]).withColumn("_pos", F.col("_n") + F.col("_shift")).drop("_n", "_shift", "_block")
+
+
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    """ft, fn, tt, tn and pos (the place in the file) of a network graph in JSON."""
-    edges = spark.read.schema(GRAPH).json(path, multiLine=True).select(F.posexplode("edges").alias("pos", "e"))
-    return edges.select(*[F.get("e", F.lit(k)).alias(c) for k, c in enumerate(("ft", "fn", "tt", "tn"))], F.col("pos").cast("bigint").alias("pos"))
+    """ft, fn, tt, tn and pos (the place in the file) of a network graph in JSON.
+
+    A file is read by many tasks, cut behind closing brackets; an edge is an array of numbers within another array, and the file has no other such arrays.
+    Edges too short have nulls, and what is no array is no edge.
+    """
+    form = r"[\[,]\s*\[([-+.0-9eEnul,\s]*)$"
+    edges = _pieces(spark, path, "]").where(F.col("value").rlike(form)).select("_path", "_block", F.split(F.regexp_extract("value", form, 1), ",").alias("e"))
+    number = [F.trim(F.get("e", F.lit(k))).try_cast("bigint").alias(c) for k, c in enumerate(("ft", "fn", "tt", "tn"))]
+    return _placed(edges).select(*number, F.col("_pos").alias("pos"))
 
 
 def read_ascii_grid(spark: SparkSession, path: str) -> DataFrame:
     """path, col, row, value of ASCII grids (header lines of a word and a number, then rows from the north); no-data is null.
 
-    Rows count from the south, so that a cell's square is (col, row) times the cell size from the grid's corner.
+    Rows count from the south, so that a cell's square is (col, row) times the cell size from the grid's corner. A grid is read by many
+    tasks, cut at line breaks; empty lines are no rows.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.split(F.regexp_replace("value", "^\\s+|\\s+$", ""), "\r?\n").alias("lines"))
-    head = F.filter("lines", lambda x: x.rlike("^[A-Za-z]"))
-    entries = F.map_from_entries(F.transform(head, lambda x: F.struct(F.lower(F.regexp_extract(x, r"^(\w+)", 1)), F.regexp_extract(x, r"(\S+)\s*$", 1).cast("double"))))
-    body = F.filter("lines", lambda x: ~x.rlike("^[A-Za-z]"))
-    rows = whole.select("path", entries.alias("head"), F.size(body).alias("n_rows"), F.posexplode(body).alias("r", "line"))
-    cells = rows.select("path", "head", (F.col("n_rows") - 1 - F.col("r")).alias("row"), F.posexplode(F.split(F.trim("line"), r"\s+")).alias("col", "v"))
+    lines = _pieces(spark, path).withColumn("value", F.trim(F.regexp_replace("value", r"\s+", " "))).where("value <> ''")
+    is_head = F.col("value").rlike("^[A-Za-z]")
+    named = lines.where(is_head & (F.lower(F.regexp_extract("value", r"^(\w+)", 1)) == "nodata_value"))
+    heads = named.groupBy(F.col("_path").alias("h_path")).agg(F.max(F.regexp_extract("value", r"(\S+)$", 1).try_cast("double")).alias("nodata"))
+    rows = _placed(lines.where(~is_head)).join(heads, F.col("_path") == F.col("h_path"), "left")
+    cells = rows.select(F.col("_path").alias("path"), "nodata", (F.col("_of") - 1 - F.col("_pos")).alias("row"), F.posexplode(F.split("value", " ")).alias("col", "v"))
     value = F.col("v").try_cast("double")
-    missing = F.coalesce(value == F.col("head")["nodata_value"], F.lit(False))
-    return cells.select("path", "col", "row", F.when(~missing, value).alias("value"))
+    return cells.select("path", "col", "row", F.when(~F.coalesce(value == F.col("nodata"), F.lit(False)), value).alias("value"))
 
 
 def read_texts(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
