@@ -528,6 +528,24 @@ def polygon_centroid(spark, sf_dir):
     return zones.select("c_custkey", geometry.centroid("geom").alias("at")).select("c_custkey", F.round("at.x", 6).alias("x"), F.round("at.y", 6).alias("y"))
 
 
+@query(SQL["albers_inverse"])
+def centroid_lon_lat(spark, sf_dir):
+    x, y = F.col("p_retailprice") * 1000 - 1000000, (F.col("p_size") * 40000 + 300000).cast("double")
+    at = table(spark, sf_dir, "part").select("p_partkey", geometry.centroid(geometry.rectangle(x - 500, y - 300, x + 500, y + 300)).alias("c"))
+    at = at.select("p_partkey", geometry.albers_inverse(F.col("c.x"), F.col("c.y")).alias("at"))
+    return at.select("p_partkey", F.round("at.lon", 6).alias("lon"), F.round("at.lat", 6).alias("lat"))
+
+
+@query(
+    "SELECT p_partkey AS n, true AS same, CAST(133 AS INT) AS bytes, '{\"type\":\"Polygon\",\"coordinates\":[[' || concat_ws(',', a, b, c, d, a) || ']]}' AS json FROM (SELECT p_partkey, "
+    + ", ".join(f"'[' || (p_partkey % 40 + {i}) || '.0,' || (p_partkey // 40 + {j}) || '.0]' AS {k}" for k, i, j in (("a", 0, 0), ("b", 1, 0), ("c", 1, 1), ("d", 0, 1)))
+    + " FROM part)"
+)
+def polygon_formats(spark, sf_dir):
+    shapes = _squares(spark, sf_dir).select("n", "geom", geometry.to_blob("geom").alias("blob"), geometry.geojson(F.col("geom"), project=False)["json"].alias("json"))
+    return shapes.select("n", (geometry.from_blob(F.col("blob")) == F.col("geom")).alias("same"), F.length("blob").alias("bytes"), "json")
+
+
 @query("SELECT (SELECT arg_min(CAST(n_nationkey AS VARCHAR), n_nationkey) FROM nation) AS n_nationkey, (SELECT count(*) FROM part) AS catchments, (SELECT count(*) FROM orders) AS flowpaths")
 def viewer_metadata(spark, sf_dir):
     vpuid = relational.first_value(table(spark, sf_dir, "nation"), "n_nationkey", "n_nationkey")
