@@ -626,6 +626,31 @@ def style_filter_by_zoom(spark, sf_dir):
     return rows.where(display.visible(20, F.col("p_size"), most)).select("p_partkey")
 
 
+_ALONG = "least(greatest((p_size - 10) / 20.0, 0), 1)"
+
+
+@query(
+    f"WITH a AS (SELECT *, {_ALONG} AS k, 1 - 0.5 * {_ALONG} AS a FROM part) SELECT p_partkey, round(255 * (1 - k) / a, 4) AS fill_r, round(0.5 * 255 * k / a, 4) AS fill_b, round(a, 4) AS fill_a, "
+    "CASE p_brand WHEN 'Brand#11' THEN 'rgba(0,119,187,1.000)' WHEN 'Brand#12' THEN 'rgba(136,153,170,1.000)' ELSE 'rgba(1,2,3,0.500)' END AS stroke, "
+    "round(1 + 4 * (pow(1.5, least(greatest(p_size - 10, 0), 20)) - 1) / (pow(1.5, 20) - 1), 6) AS width, 1 + 3.0 / 4 AS opacity, "
+    "round(CASE WHEN p_size > 25 THEN 8 ELSE 4 END * 0.25 + CASE WHEN p_size >= 20 THEN 20 ELSE 10 END * 0.75, 4) AS text_size, p_partkey % 3 <> 0 AND p_partkey % 5 <> 0 AS simple FROM a"
+)
+def style_colours(spark, sf_dir):
+    size, brand = ["get", "p_size"], ["get", "p_brand"]
+    name = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, F.lit("\u05d0")).when(F.col("p_partkey") % 5 == 0, F.lit("\u0915")).otherwise(""))
+    rules = {
+        "fill": ["interpolate", ["linear"], size, 10, "#f00", 30, ["rgba", 0, 0, 255, 0.5]],
+        "stroke": ["match", brand, "Brand#11", ["rgba", 0, 119, 187, 1], "Brand#12", "#8899aa", "rgba(1, 2, 3, 0.5)"],
+        "width": {"stops": [[10, 1], [30, 5]], "base": 1.5, "property": "p_size"},
+        "opacity": {"stops": [[10, 1], [14, 2]]},
+        "text_size": ["interpolate", ["linear"], ["zoom"], 10, ["case", [">", size, 25], 8, 4], 14, ["step", size, 10, 20, 20]],
+        "simple": ["is-supported-script", ["get", "name"]],
+    }
+    drawn = table(spark, sf_dir, "part").withColumn("name", name).select("p_partkey", *[display.expression(rule, zoom=13).alias(k) for k, rule in rules.items()])
+    parts = [F.round(F.col("fill")[k], 4).alias(f"fill_{k}") for k in "rba"]
+    return drawn.select("p_partkey", *parts, display.colour_text(F.col("stroke")).alias("stroke"), F.round("width", 6).alias("width"), "opacity", "text_size", "simple")
+
+
 @query(
     "SELECT n_nationkey, array_to_string(list_transform(string_split(n_name || 'é€łž', ''), lambda c: printf('%02X', unicode(c) & 255)), '') AS low, format('{:,}', n_nationkey * 123457) AS grouped, "
     "printf('%.2f', n_nationkey / 3.0) AS fixed, strftime(make_timestamp((n_nationkey * 86461000007) * 1000), '%Y%m%dT%H%M%SZ') AS stamp, strftime(make_timestamp((n_nationkey * 86461000007) * 1000), '%Y%m%d') AS day FROM nation"

@@ -202,6 +202,30 @@ def test_display_expressions(spark):
     assert [r.d for r in drawn] == [True, True, False] and not any(r.e for r in drawn)
 
 
+def test_display_colours_and_stops(spark):
+    table = spark.createDataFrame([("a", 5, "#0f0"), ("b", None, "x"), (None, 9, "rgb(1, 2,3)")], "kind string, n int, c string")
+    found = lambda rule, **k: [r[0] for r in table.select(display.expression(rule, **k)).collect()]
+    parts = lambda rule, **k: [tuple(v) if v else None for v in found(rule, **k)]
+    assert parts(["rgba", 1, 2, 3, 0.5]) == [(1, 2, 3, 0.5)] * 3 and parts(["rgb", ["+", ["get", "n"], 1], 0, 0])[0] == (6, 0, 0, 1)
+    assert parts(["to-color", ["get", "c"]]) == [(0, 255, 0, 1), None, (1, 2, 3, 1)]
+    # opaque red to a transparent black: the red stays red and only fades
+    assert parts(["interpolate", ["linear"], ["zoom"], 4, "#ff0000", 8, ["rgba", 0, 0, 0, 0]], zoom=6)[0] == (255, 0, 0, 0.5)
+    assert parts(["interpolate", ["linear"], ["get", "n"], 4, "#000", 6, "#fff"])[0] == (127.5, 127.5, 127.5, 1)
+    assert parts(["case", ["has", "kind"], ["coalesce", ["get", "c"], "#111"], ["rgba", 0, 0, 0, 1]]) == [(0, 255, 0, 1), (17, 17, 17, 1), (0, 0, 0, 1)]
+    assert found({"stops": [[7, 0], [11, 1]]}, zoom=8) == [0.25] * 3 and found({"stops": [[7, 0], [11, 1]]}, zoom=20) == [1.0] * 3
+    assert found({"stops": [[4, "p"], [6, "q"]], "property": "n"}) == ["p", "p", "q"]
+    assert parts({"stops": [[4, "#000"], [6, "#fff"]], "property": "n"})[2] == (255, 255, 255, 1)
+    assert found(["step", ["get", "n"], ["get", "kind"], 6, ["case", ["has", "kind"], "k", "none"]]) == ["a", "b", "none"]
+    assert found(["interpolate", ["linear"], ["zoom"], 2, ["step", ["get", "n"], 0, 6, 8], 4, 10], zoom=3) == [5.0, 5.0, 9.0]
+    assert found(["Some Sans Regular"])[0] == ["Some Sans Regular"] and found([1.1, 0.0])[0] == [1.1, 0.0]
+    texts = spark.createDataFrame([("plain",), ("\u0627",), ("x\u0e01",), ("\u0915",), (None,), ("",)], "t string")
+    assert [r[0] for r in texts.select(display.expression(["is-supported-script", ["get", "t"]])).collect()] == [True, False, True, False, False, True]
+    assert table.select(display.colour_text(display.colour_of(F.col("c")))).collect()[0][0] == "rgba(0,255,0,1.000)"
+    for rule in ({"stops": [[7, 0], [11, 1]]}, {"base": 2}):
+        with pytest.raises(ValueError):
+            display.expression(rule)
+
+
 def test_features(spark):
     from tarnworks.functions.geometry import write_polygon
 
