@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions import geometry as g
 from tarnworks.sources import files, layers
-from tarnworks.sources.geopackage import GeoPackage, write_geopackage
+from tarnworks.sources.geopackage import GeoPackage, condition, read_container, write_containers, write_geopackage
 
 POINT = struct.pack("<BIdd", 1, 1, 1.5, -2.0)
 BIG = struct.pack(">BIdd", 0, 1, 1.5, -2.0)
@@ -93,6 +93,78 @@ def test_geopackage_keeps_fid_and_counts(spark, tmp_path):
     db.close()
 
 
+def _container(spark, path):
+    rows = [(k, f"cat-{k}", k % 3 if k % 5 else None, k / 2, None if k % 7 == 0 else "éA%_"[k % 4 :]) for k in range(200)]
+    write_geopackage({"divides": spark.createDataFrame(rows, "fid bigint, divide_id string, n int, area double, t string")}, path)
+
+
+FILTERS = [
+    "divide_id = 'cat-7'", "n IS NULL", "n IS NOT NULL AND area > 50", "n <=> 1", "NOT (n = 1)", "n <> 2", "n IN (0, 2, 9)", "n NOT IN (0, 2)", "n NOT IN (0, NULL)", "area IN (1.5, 3.0, 1e300)",
+    "t LIKE 'é%'", "t LIKE '%_'", "t LIKE '%A%'", "t >= 'A'", "t < 'a'", "t = 'éa%_'", "fid BETWEEN 20 AND 30", "fid = 3 AND t LIKE '%\\\\_'", "fid < -1", "area < double('NaN')", "area > 2 OR n = 1", "fid % 7 = 0 AND fid > 100",
+]
+
+
+def test_pushed_filters_keep_the_rows(spark, tmp_path):
+    path = str(tmp_path / "f.gpkg")
+    _container(spark, path)
+    read, plain = read_container(spark, path, "divides", partitions=3), spark.createDataFrame(spark.read.format("geopackage").option("layer", "divides").load(path).collect(), "fid bigint, divide_id string, n bigint, area double, t string")
+    for rule in FILTERS:
+        assert sorted(map(str, read.where(rule).collect())) == sorted(map(str, plain.where(rule).collect())), rule
+    assert read.where(F.col("divide_id").isin([f"cat-{k}" for k in range(0, 90000, 2)])).count() == 100
+
+
+def test_filters_and_columns_reach_the_container(spark, tmp_path):
+    import sqlite3
+
+    from pyspark.sql import datasource as D
+
+    path = str(tmp_path / "p.gpkg")
+    _container(spark, path)
+    few = read_container(spark, path, "divides", ["divide_id", "n"]).where("n = 1 AND divide_id LIKE 'cat-1%' AND length(divide_id) = 5")
+    assert few.columns == ["divide_id", "n"] and [r.divide_id for r in few.collect()] == ["cat-1"]
+    source = GeoPackage({"path": path, "layer": "divides", "filters": "true", "partitions": "4"})
+    reader = source.reader(source.schema())
+    rules = [D.EqualTo(("n",), 1), D.GreaterThanOrEqual(("fid",), 180), D.EqualTo(("t",), "a\0b"), D.In(("n",), (1, None))]
+    assert list(reader.pushFilters(rules)) == [rules[2]]
+    statement, values = reader.statement('"n"', reader.where)
+    assert statement == 'SELECT "n" FROM "divides" WHERE ("n" = ?) AND ("fid" >= ?) AND ("n" IN (SELECT value FROM json_each(?)))' and values == [1, 180, "[1, null]"]
+    parts = reader.partitions()
+    assert (parts[0].low, parts[-1].high, len(parts)) == (180, 200, 4)
+    got = [r for p in parts for batch in reader.read(p) for r in batch.to_pylist()]
+    assert [r["fid"] for r in got] == [k for k in range(180, 200) if k % 5 and k % 3 == 1]
+    # an index of the container serves the pushed condition
+    db = sqlite3.connect(path)
+    db.execute("CREATE INDEX by_divide ON divides (divide_id)")
+    pushed = condition(D.EqualTo(("divide_id",), "cat-7"), reader.kinds)
+    assert "by_divide" in str(db.execute(f"EXPLAIN QUERY PLAN SELECT * FROM divides WHERE {pushed.sql}", pushed.values).fetchall())
+    db.close()
+
+
+def test_containers_by_task(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "parts")
+    divides = spark.createDataFrame([(f"cat-{k}", k, k / 2, POINT if k else None) for k in range(30)], "divide_id string, n int, area double, geom binary").repartition(3)
+    write_containers(divides, path, "divides")
+    files = sorted(f.name for f in (tmp_path / "parts").iterdir())
+    assert files == [f"{k:05d}.gpkg" for k in range(3)]
+    read = read_container(spark, path, "divides", partitions=5)
+    assert sorted((r.divide_id, r.n, r.area) for r in read.collect()) == sorted((f"cat-{k}", k, k / 2) for k in range(30))
+    assert bytes(read.where("n = 3").select(g.from_blob(F.col("geom")).alias("g")).first().g) == POINT and read.where("n = 0").first().geom is None
+    counts = []
+    for name in files:
+        with sqlite3.connect(tmp_path / "parts" / name) as db:
+            counts.append(db.execute("SELECT feature_count FROM gpkg_ogr_contents").fetchone()[0])
+            assert db.execute("SELECT min_x, max_y, data_type FROM gpkg_contents").fetchone() == (1.5, -2.0, "features")
+            assert db.execute("SELECT geometry_type_name FROM gpkg_geometry_columns").fetchone() == ("POINT",)
+    assert sum(counts) == 30 and min(counts) > 0
+    with pytest.raises(FileExistsError):
+        write_containers(divides, path, "divides")
+    none = str(tmp_path / "none")
+    write_containers(layers.empty_layer(spark, "lakes"), none, "lakes")
+    assert read_container(spark, none, "lakes").count() == 0
+
+
 def test_layers(spark, tmp_path):
     root = "file://" + str(tmp_path)
     both = spark.createDataFrame([(1, "a", "16"), (2, "b", "17")], "n bigint, t string, vpuid string")
