@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,15 +33,15 @@ def channels(network: DataFrame, hydraulics: DataFrame, columns: list[str], digi
     return joined.groupBy("flowline_id").agg(*[weighted_mean(F.col(c), F.col("lengthkm"), digits).alias(c) for c in columns])
 
 
-def soils(covered: DataFrame, plan: dict[str, str]) -> DataFrame:
+def soils(covered: DataFrame, plan: dict[str, str], layers: Iterable[int] = (1, 2, 3, 4)) -> DataFrame:
     """divide_id and a column for each name and layer: covered cells (divide_id, name, layer, value, coverage) under the aggregate of their name."""
     tables = []
     for fun in dict.fromkeys(plan.values()):
         names = [n for n, f in plan.items() if f == fun]
         prefix = {"geometric_mean": "geom_mean"}.get(fun, fun)
         wide = zonal(covered.where(F.col("name").isin(*names)), fun, ["divide_id", "name", "layer"], "v")
-        layers = [f"{n}_{k}" for n in names for k in (1, 2, 3, 4)]
-        wide = wide.withColumn("column", F.concat_ws("_", "name", "layer")).groupBy("divide_id").pivot("column", layers)
+        columns = [f"{n}_{k}" for n in names for k in layers]
+        wide = wide.withColumn("column", F.concat_ws("_", "name", "layer")).groupBy("divide_id").pivot("column", columns)
         tables.append(renamed_but(wide.agg(F.first("v")), "divide_id", lambda c, p=prefix: f"{p}.{c}"))
     return full_join_all(tables, "divide_id")
 

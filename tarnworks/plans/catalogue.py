@@ -21,6 +21,8 @@ from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
 from tarnworks.session import fresh_path
 from tarnworks.sources.files import read_edges
+from tarnworks.sources.geopackage import read_container, write_containers
+from tarnworks.sources.geotiff import read_geotiff, write_geotiff
 from tarnworks.sources.layers import catalog, read_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -421,6 +423,31 @@ def raster_stack_union(spark, sf_dir):
     return raster.stacked({"a": cells.where("l_linenumber <= 2").drop("l_linenumber"), "b": cells.where("l_linenumber > 4").drop("l_linenumber")})
 
 
+@query("SELECT 'variable-' || l_linenumber AS name, CAST(l_suppkey AS BIGINT) AS cell, l_quantity AS value FROM lineitem")
+def raster_stack_all(spark, sf_dir):
+    cells = table(spark, sf_dir, "lineitem").select("l_linenumber", F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("value"))
+    return raster.stacked({f"variable-{k}": cells.where(F.col("l_linenumber") == k).drop("l_linenumber") for k in range(1, 8)})
+
+
+@query(
+    "SELECT CAST(o_custkey AS BIGINT) AS col, CAST(o_orderkey % 300 AS BIGINT) AS row, CAST(max(o_totalprice) AS DOUBLE) AS value FROM orders GROUP BY 1, 2"
+)
+def cells_from_geotiff(spark, sf_dir):
+    path = fresh_path(spark, "tiff")
+    cells = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("bigint").alias("col"), (F.col("o_orderkey") % 300).alias("row"), F.col("o_totalprice").cast("double").alias("value"))
+    write_geotiff(cells, path).write.format("noop").mode("overwrite").save()
+    return read_geotiff(spark, path, ["col", "row", "value"], origin=(0.0, 0.0)).where("value IS NOT NULL")
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice > 1000")
+def container_filtered(spark, sf_dir):
+    path = fresh_path(spark, "containers")
+    price = F.col("o_totalprice").cast("double").alias("o_totalprice")
+    write_containers(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", price), path, "orders")
+    layer = read_container(spark, path, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    return layer.where("o_orderstatus IN ('F', 'O') AND o_totalprice > 1000").drop("o_orderstatus")
+
+
 @query(
     "SELECT o_custkey AS col, o_orderkey % 2 AS row, arg_max(o_totalprice, o_orderkey) FILTER (o_orderkey % 5 <> 0) AS value FROM orders GROUP BY 1, 2"
 )
@@ -833,6 +860,20 @@ def minimal_attributes(spark, sf_dir):
     return found.select("divide_id", "`mode.soil`", "`mode.vegetation`", F.round("`mean.impervious`", 6).alias("mean.impervious"))
 
 
+@query(
+    "WITH c AS (SELECT l_partkey AS d, l_linenumber AS k, CASE WHEN l_suppkey % 2 = 0 THEN 'bexp' ELSE 'smcmax' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem), "
+    "t AS (SELECT d, k, v, sum(w) AS w FROM c WHERE name = 'bexp' GROUP BY 1, 2, 3), m AS (SELECT d, k, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), a AS (SELECT d, k, round(avg(v), 6) AS v FROM c WHERE name = 'smcmax' GROUP BY 1, 2) "
+    "SELECT d AS divide_id, " + ", ".join(f"any_value(v) FILTER (n = 'b{k}') AS \"mode.bexp_{k}\", any_value(v) FILTER (n = 's{k}') AS \"mean.smcmax_{k}\"" for k in range(1, 8))
+    + " FROM (SELECT d, 'b' || k AS n, v FROM m UNION ALL SELECT d, 's' || k, v FROM a) GROUP BY 1"
+)
+def soil_attributes_all(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    name = F.when(F.col("l_suppkey") % 2 == 0, F.lit("bexp")).otherwise(F.lit("smcmax"))
+    covered = lines.select(F.col("l_partkey").alias("divide_id"), name.alias("name"), F.col("l_linenumber").alias("layer"), F.floor("l_quantity").cast("double").alias("value"), F.col("l_linenumber").alias("coverage"))
+    found = attributes.soils(covered, {"bexp": "mode", "smcmax": "mean"}, layers=range(1, 8))
+    return found.select("divide_id", *[F.round(f"`{c}`", 6).alias(c) for c in found.columns if c != "divide_id"])
+
+
 @query(
     "WITH c AS (SELECT l_partkey AS d, l_linenumber AS k, CASE WHEN l_suppkey % 2 = 0 THEN 'bexp' ELSE 'smcmax' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem WHERE l_linenumber <= 4), "
     "t AS (SELECT d, k, v, sum(w) AS w FROM c WHERE name = 'bexp' GROUP BY 1, 2, 3), m AS (SELECT d, k, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), a AS (SELECT d, k, round(avg(v), 6) AS v FROM c WHERE name = 'smcmax' GROUP BY 1, 2) "
