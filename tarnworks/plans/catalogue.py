@@ -19,8 +19,8 @@ from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
 from tarnworks.operators import aggregates, attributes, dissolve, features, graph, intervals, network, pointers, raster, relational, simplify, stems, tiles
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
-from tarnworks.session import fresh_path
-from tarnworks.sources.files import read_edges
+from tarnworks.session import fresh_path, staged
+from tarnworks.sources.files import read_edges, read_texts, write_texts
 from tarnworks.sources.geopackage import read_container, write_containers
 from tarnworks.sources.geotiff import read_geotiff, write_geotiff
 from tarnworks.sources.layers import catalog, read_ids
@@ -728,6 +728,20 @@ def pointer_tallies(spark, sf_dir):
     return pointers.tallies(table(spark, sf_dir, "documents").select(path.alias("path"), text.alias("text")))
 
 
+@query(
+    "SELECT 'p' || p_partkey || '.dvc' AS name, CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END AS removed, 'deps:' || chr(10) || '  md5: ' || p_name || chr(10) || 'outs:' || chr(10) || '- path: ' || p_type AS text FROM part"
+)
+def pointers_written_back(spark, sf_dir):
+    """Pointer files of the parts, cleaned where they lie and read again."""
+    folder = fresh_path(spark, "pointers")
+    text = F.concat(F.lit("deps:\n  md5: "), "p_name", F.when(F.col("p_partkey") % 3 == 0, F.lit("\nfrozen: true")).otherwise(""), F.lit("\nouts:\n  md5: "), "p_brand", F.lit("\n- path: "), "p_type")
+    write_texts(table(spark, sf_dir, "part").select(F.concat(F.lit(f"{folder}/p"), "p_partkey", F.lit(".dvc")).alias("path"), text.alias("text"))).write.format("noop").mode("overwrite").save()
+    last = F.element_at(F.split("path", "/"), -1).alias("name")
+    before = staged(pointers.rewritten(read_texts(spark, folder, "*.dvc")), "rewritten")
+    write_texts(before).write.format("noop").mode("overwrite").save()
+    return read_texts(spark, folder, "*.dvc").select(last, "text").join(before.select(last, F.size("removed").alias("removed")), "name")
+
+
 @query(
     "SELECT doc_id % 1000 AS k, count(*) AS files, sum(CASE WHEN doc_id % 3 = 0 THEN 3 ELSE 1 END) AS removed, CASE WHEN doc_id % 1000 % 2 = 0 THEN 'even' ELSE 'odd' END AS kind "
     "FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1"
@@ -860,6 +874,26 @@ def minimal_attributes(spark, sf_dir):
     return found.select("divide_id", "`mode.soil`", "`mode.vegetation`", F.round("`mean.impervious`", 6).alias("mean.impervious"))
 
 
+@query(
+    "WITH c AS (SELECT l_partkey AS d, CASE l_linenumber % 3 WHEN 0 THEN 'soil' WHEN 1 THEN 'vegetation' ELSE 'impervious' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem), "
+    "t AS (SELECT d, name, v, sum(w) AS w FROM c GROUP BY 1, 2, 3), m AS (SELECT d, name, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), i AS (SELECT d, round(sum(v * w) / sum(w), 6) AS v FROM c WHERE name = 'impervious' GROUP BY 1), "
+    "b AS (SELECT l_partkey AS d, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey % 50 END AS coeff, o_orderkey % 9 AS area, o_custkey % 70 AS z, o_orderkey % 5 AS e FROM orders JOIN lineitem ON l_orderkey = o_orderkey), "
+    "g AS (SELECT d, round(sum(coeff * area) / nullif(sum(area) FILTER (coeff IS NOT NULL), 0), 6) AS c, round(sum(z * area) / nullif(sum(area), 0), 6) AS z FROM b GROUP BY 1), e AS (SELECT d, max_by(e, n * 10 + e) AS e FROM (SELECT d, e, count(*) AS n FROM b GROUP BY 1, 2) GROUP BY 1) "
+    'SELECT g.d AS divide_id, s.v AS "mode.soil", v.v AS "mode.vegetation", i.v AS "mean.impervious", g.c AS "mean.Coeff", g.z AS "mean.Zmax", CAST(e.e AS DOUBLE) AS "mode.Expon" FROM g JOIN e ON e.d = g.d '
+    "LEFT JOIN (FROM m WHERE name = 'soil') s ON s.d = g.d LEFT JOIN (FROM m WHERE name = 'vegetation') v ON v.d = g.d LEFT JOIN i ON i.d = g.d"
+)
+def minimal_attributes_all(spark, sf_dir):
+    lines, key, customer = table(spark, sf_dir, "lineitem"), F.col("o_orderkey"), F.col("o_custkey")
+    name = F.element_at(F.array(F.lit("soil"), F.lit("vegetation"), F.lit("impervious")), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    covered = lines.select(F.col("l_partkey").alias("divide_id"), name.alias("name"), F.floor("l_quantity").cast("double").alias("value"), F.col("l_linenumber").alias("coverage"))
+    walk = lines.select(F.col("l_orderkey").cast("string").alias("reference_id"), F.col("l_partkey").alias("divide_id"))
+    numbers = {"Coeff": F.when(key % 7 != 0, customer % 50), "Area_sqkm": key % 9, "Zmax": customer % 70, "Expon": key % 5 + 0.5}
+    basins = table(spark, sf_dir, "orders").select(key.alias("ComID"), *[c.cast("double").alias(n) for n, c in numbers.items()])
+    found = attributes.minimal_divide_attributes(covered, walk, basins)
+    rounded = {c: F.round(f"`{c}`", 6) for c in ("mean.impervious", "mean.Coeff", "mean.Zmax")} | {"mode.Expon": F.col("`mode.Expon`").cast("double")}
+    return found.select("divide_id", *[rounded.get(c, F.col(f"`{c}`")).alias(c) for c in found.columns if c != "divide_id"])
+
+
 @query(
     "WITH c AS (SELECT l_partkey AS d, l_linenumber AS k, CASE WHEN l_suppkey % 2 = 0 THEN 'bexp' ELSE 'smcmax' END AS name, floor(l_quantity) AS v, l_linenumber AS w FROM lineitem), "
     "t AS (SELECT d, k, v, sum(w) AS w FROM c WHERE name = 'bexp' GROUP BY 1, 2, 3), m AS (SELECT d, k, max_by(v, w * 1000 + v) AS v FROM t GROUP BY 1, 2), a AS (SELECT d, k, round(avg(v), 6) AS v FROM c WHERE name = 'smcmax' GROUP BY 1, 2) "

@@ -27,6 +27,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
 
 
 _LOCAL: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,8 +48,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used; :func:`clear_staged` knows it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete what this driver has written under :func:`fresh_path` in the session's application, and say how many paths that were.
+
+    For the end of a run: tables that read these files, results of queries too, cannot be used any more. Files of
+    other drivers, and what the shared folder holds besides, stay.
+    """
+    paths, context = _MADE.pop(spark.sparkContext.applicationId, []), spark.sparkContext
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

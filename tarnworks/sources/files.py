@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+from uuid import uuid4
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,3 +74,31 @@ def read_ascii_grid(spark: SparkSession, path: str) -> DataFrame:
 def read_texts(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """path, text of the files below a folder whose names match."""
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+
+
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and its place there."""
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
+
+
+def write_texts(files: DataFrame) -> DataFrame:
+    """Write each text to its path (path, text) where the rows are, and return the paths with their numbers of bytes.
+
+    Nothing is written before the result is used. A file is replaced at once and whole, so a task may run again; null texts are left out.
+    A path has one row; of several it is open which one stays. Paths are as Spark gives them (``file:`` ones with escapes).
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = []
+            for path, text in zip(batch["path"], batch["text"]):
+                system, place = opened(unquote(path) if path.startswith("file:") else path)
+                system.create_dir(place.rpartition("/")[0], recursive=True)
+                own, data = f"{place}.{uuid4().hex}.part", text.encode()
+                with system.open_output_stream(own) as out:
+                    out.write(data)
+                system.move(own, place)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": batch["path"], "bytes": pd.Series(sizes, index=batch.index, dtype="int64")})
+
+    return files.where(F.col("path").isNotNull() & F.col("text").isNotNull()).select("path", "text").mapInPandas(write, "path string, bytes bigint")

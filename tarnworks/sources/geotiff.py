@@ -6,7 +6,6 @@ file system that Arrow opens (local, HDFS, S3, GCS). The first image of a file c
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -22,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tarnworks.sources.files import opened
+
 # fixed values of the format: struct codes of field types, and tags by name
 _FIELDS = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q", 18: "Q"}
 _TAGS = {
@@ -33,13 +34,9 @@ _NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD = 1, 5, 8, 32946, 32773, 5
 CELLS = T.StructType().add("path", T.StringType()).add("band", T.IntegerType()).add("col", T.LongType()).add("row", T.LongType()).add("value", T.DoubleType())
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
-
-
 def files_of(path: str) -> list[str]:
     """The file itself, or the ``.tif`` and ``.tiff`` files of a folder by name."""
-    system, inner = _opened(path)
+    system, inner = opened(path)
     if system.get_file_info(inner).type != fs.FileType.Directory:
         return [path]
     names = sorted(i.base_name for i in system.get_file_info(fs.FileSelector(inner)) if i.base_name.lower().endswith((".tif", ".tiff")))
@@ -82,7 +79,7 @@ class Grid:
 
 def head(path: str) -> Grid:
     """The head of a file, classic or big, of either byte order."""
-    system, inner = _opened(path)
+    system, inner = opened(path)
     with system.open_input_file(inner) as file:
 
         def at(offset: int, form: str) -> tuple:
@@ -240,7 +237,7 @@ class _Reader(DataSourceReader):
         if grid is None:
             return
         schema = pa.schema([(f.name, {"path": pa.string(), "band": pa.int32(), "value": pa.float64()}.get(f.name, pa.int64())) for f in self.schema])
-        system, inner = _opened(grid.path)
+        system, inner = opened(grid.path)
         with system.open_input_file(inner) as file:
             for place, offset, size in partition.parts:
                 bands, left, right, bottom, top = self.shown(grid, place)
@@ -335,7 +332,7 @@ def write_geotiff(cells: DataFrame, path: str, size: float = 1.0, side: int = 25
         grid = np.full((side, side), nodata)
         known = found[found["value"].notna()]
         grid[side - 1 - (known["row"].to_numpy() - key[1] * side), known["col"].to_numpy() - key[0] * side] = known["value"]
-        system, folder = _opened(path)
+        system, folder = opened(path)
         system.create_dir(folder, recursive=True)
         name, own = f"{key[0]}_{key[1]}.tif", f"{folder}/{uuid4().hex}.part"
         with system.open_output_stream(own) as out:

@@ -1,5 +1,6 @@
 import json
 import struct
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -186,3 +187,25 @@ def test_files(spark, tmp_path):
     cells = {(r.col, r.row): r.value for r in files.read_ascii_grid(spark, str(tmp_path / "d.asc")).collect()}
     assert cells == {(0, 1): 1, (1, 1): 2, (2, 1): 3, (0, 0): 4, (1, 0): None, (2, 0): 6}
     assert files.read_texts(spark, str(tmp_path), "*.csv").count() == 1
+
+
+def test_texts_are_written_where_the_rows_are(spark, tmp_path):
+    odd = "file://" + str(tmp_path / "a b" / "é%.txt")
+    texts = spark.createDataFrame([(f"file://{tmp_path}/x/1.txt", "one\n"), (f"{tmp_path}/2.txt", "zwei é"), (f"{tmp_path}/3.txt", None), (odd.replace("%", "%25"), "")], "path string, text string")
+    assert sorted(r.bytes for r in files.write_texts(texts).collect()) == [0, 4, 7]
+    assert (tmp_path / "x" / "1.txt").read_text() == "one\n" and (tmp_path / "2.txt").read_text() == "zwei é" and not (tmp_path / "3.txt").exists() and (tmp_path / "a b" / "é%.txt").read_text() == ""
+    read = files.read_texts(spark, str(tmp_path), "*.txt").withColumn("text", F.concat("text", F.lit("!")))
+    files.write_texts(read.where("text like 'one%' or text like 'zwei%'")).collect()
+    assert (tmp_path / "x" / "1.txt").read_text() == "one\n!" and (tmp_path / "2.txt").read_text() == "zwei é!"
+
+
+def test_staged_tables_are_cleared(spark):
+    from tarnworks import session
+
+    before = session._MADE.pop(spark.sparkContext.applicationId, [])  # other tests still read theirs
+    paths = [session.staged(spark.range(3), "cleared").inputFiles()[0] for _ in range(2)]
+    kept = session.staged_by(spark.range(9), "id", "cleared")
+    assert kept.count() == 9 and all(Path(p.removeprefix("file://")).exists() for p in paths)
+    assert session.clear_staged(spark) == 3 and session.clear_staged(spark) == 0
+    assert not any(Path(p.removeprefix("file://")).parent.exists() for p in paths)
+    session._MADE[spark.sparkContext.applicationId] = before
