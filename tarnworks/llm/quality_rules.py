@@ -5,11 +5,12 @@ language and source a minimum-covariance-determinant estimate is found by
 concentration steps over all its rows: distances under the present estimate are
 counted in fine steps, the nearest half of the group are summed (of the step in
 which the half ends only the needed part, so that tied copies do not enter all at
-once), and the sums give the next estimate. Every group starts from several centres and
-covariances (see :func:`starts`); from each, steps go on until the determinant stops
-falling, ``STEPS`` at most, and the estimate of the smallest determinant stays. It is taken again from
-all rows within ``REWEIGHT`` of it. A step is one aggregate over the rows, keyed by group, start
-and distance step, so a group with a third of the rows is pre-aggregated in every
+once), and the sums give the next estimate. Every group starts from four centres and
+covariances (see :func:`starts`) and from ``SUBSETS`` subsets of five of its vectors (:func:`subset_starts`); all take two
+steps, and from the ``BEST`` of the smallest determinants steps go on until the determinant stops
+falling, ``STEPS`` at most; the estimate of the smallest determinant stays. It is taken again from
+all rows within ``REWEIGHT`` of it. Rows are reduced to distinct vectors with their numbers once, and a step, for all starts at once, is one
+aggregate over these, keyed by group, start and distance step, so a group with a third of the rows is pre-aggregated in every
 task; only estimates (one row a group and start) reach numpy. A row is rejected when its
 Mahalanobis distance is beyond ``CUTOFF``.
 
@@ -49,6 +50,8 @@ UNIT = 1024  # a vector's whole numbers are 1/UNIT
 #: Share of a group that an estimate rests on; the count is (n + dimensions + 1) / 2, so a group stands nearly half of bad rows.
 SHARE = 0.5
 STEPS = 12
+#: Starts from subsets: their number, the vectors of one, the vectors of a group that they are drawn from, and how many estimates go on after two steps.
+SUBSETS, SUBSET, POOL, BEST = 60, len(VECTOR) + 1, 300, 10
 #: The log of a determinant has stopped falling when it falls by no more than this.
 FALL = 1e-6
 LEAST = 50
@@ -170,8 +173,14 @@ _SUMS = [f"s{k}" for k in range(len(VECTOR))] + [f"q{a}{b}" for a, b in _PAIRS]
 
 
 def _sums(columns: list[str]) -> list[Column]:
-    products = [F.sum((F.col(columns[a]) * F.col(columns[b])).cast("decimal(20,0)")).alias(f"q{a}{b}") for a, b in _PAIRS]
-    return [F.sum(c).alias(f"s{k}") for k, c in enumerate(columns)] + products
+    """Sums and sums of products of whole numbers, each row counted ``w`` times."""
+    products = [F.sum((F.col(columns[a]) * F.col(columns[b])).cast("decimal(18,0)") * F.col("w").cast("decimal(18,0)")).alias(f"q{a}{b}") for a, b in _PAIRS]
+    return [F.sum(F.col(c) * F.col("w")).alias(f"s{k}") for k, c in enumerate(columns)] + products
+
+
+def reduced(rows: DataFrame) -> DataFrame:
+    """group, the vector and w: distinct vectors with their numbers of rows."""
+    return rows.groupBy("group", *VECTOR).agg(F.count(F.lit(1)).alias("w"))
 
 
 def _with_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -179,13 +188,28 @@ def _with_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     return rows.join(near, F.col("group") == F.col("e_group")).drop("e_group")
 
 
+def subset_starts(rows: DataFrame) -> DataFrame:
+    """Estimates of ``SUBSETS`` subsets of each group, numbered behind the others; rows as of :func:`reduced`.
+
+    A group's ``POOL`` vectors of the smallest hashes are what subsets are drawn from, each by hashes of its own, so reruns agree and a task
+    that ranks a group holds a bounded number of rows. Groups of fewer than five vectors have none.
+    """
+    order = [F.xxhash64(F.lit("pool"), *VECTOR), *VECTOR]
+    pool = rows.withColumn("place", F.row_number().over(Window.partitionBy("group").orderBy(*order))).where(F.col("place") <= POOL)
+    drawn = pool.withColumn("start", F.explode(F.sequence(F.lit(4), F.lit(3 + SUBSETS))))
+    order = [F.xxhash64("start", *VECTOR), *VECTOR]
+    drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("group", "start").orderBy(*order))).where(F.col("place") <= SUBSET).withColumn("w", F.lit(1).cast("bigint"))
+    sums = drawn.groupBy("group", "start").agg(F.count(F.lit(1)).alias("n"), *_sums(list(VECTOR))).where(F.col("n") == SUBSET)
+    return sums.withColumns({"rows": F.col("n"), "consistency": F.lit(1.0)}).mapInPandas(_estimates, _ESTIMATE)
+
+
 def starts(rows: DataFrame) -> DataFrame:
     """Four first estimates of each group: 0, medians and the least scales; 1, means and covariances of all rows;
     2, medians and quartile ranges; 3, medians and the covariance of the directions from them. Only their order of distances counts.
     """
     scale = np.array(list(VECTOR.values())) * UNIT
-    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75]).alias(f"r{k}") for k, c in enumerate(VECTOR)]
-    known = staged(rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows"), *quartiles, *_sums(list(VECTOR))), "quality-starts")
+    quartiles = [F.percentile(c, [0.25, 0.5, 0.75], F.col("w")).alias(f"r{k}") for k, c in enumerate(VECTOR)]
+    known = staged(rows.groupBy("group").agg(F.sum("w").alias("rows"), *quartiles, *_sums(list(VECTOR))), "quality-starts")
     medians = known.select("group", "rows", F.lit(0.0).alias("logdet"), *[F.col(f"r{k}")[1].cast("double").alias(f"m{k}") for k in range(len(VECTOR))], *[f"r{k}" for k in range(len(VECTOR))])
 
     def diagonal(start: int, width) -> DataFrame:
@@ -199,7 +223,7 @@ def starts(rows: DataFrame) -> DataFrame:
     away = [(F.col(c) - F.col(f"m{k}")) / float(scale[k]) for k, c in enumerate(VECTOR)]
     length = F.sqrt(sum((x * x for x in away), F.lit(0.0)))
     unit = [F.coalesce(F.round(x / F.nullif(length, F.lit(0.0)) * float(scale[k]) * 64), F.lit(0)).cast("bigint").alias(c) for k, (c, x) in enumerate(zip(VECTOR, away))]
-    turned = _with_estimate(rows, least).select("group", *unit).groupBy("group").agg(F.count(F.lit(1)).alias("n"), *_sums(list(VECTOR)))
+    turned = _with_estimate(rows, least).select("group", "w", *unit).groupBy("group").agg(F.sum("w").alias("n"), *_sums(list(VECTOR)))
     turned = turned.withColumns({"start": F.lit(3), "rows": F.col("n"), "consistency": F.lit(1.0), **{f"s{k}": F.lit(0) for k in range(len(VECTOR))}}).mapInPandas(_estimates, _ESTIMATE)
     centres = medians.select(F.col("group").alias("c_group"), *[F.col(m).alias(f"c_{m}") for m in _CENTRE])
     turned = turned.join(centres, F.col("group") == F.col("c_group")).withColumns({m: F.col(f"c_{m}") for m in _CENTRE})
@@ -211,7 +235,7 @@ def _step(rows: DataFrame, estimate: DataFrame, last: bool) -> DataFrame:
     # log steps of a 32nd of an octave: a group has at most a few thousand
     step = F.floor(F.log2(1 + F.greatest(distance(), F.lit(0.0))) * 32).cast("int")
     steps = _with_estimate(rows, estimate).withColumn("step", F.when(distance() <= REWEIGHT, 0).otherwise(1) if last else step)
-    steps = steps.groupBy("group", "start", "step").agg(F.count(F.lit(1)).alias("n"), *_sums(list(VECTOR)))
+    steps = steps.groupBy("group", "start", "step").agg(F.sum("w").alias("n"), *_sums(list(VECTOR)))
     own = Window.partitionBy("group", "start")
     before = F.sum("n").over(own.orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
     steps = steps.withColumns({"before": F.coalesce(before, F.lit(0)), "rows": F.sum("n").over(own)})
@@ -224,10 +248,16 @@ def _step(rows: DataFrame, estimate: DataFrame, last: bool) -> DataFrame:
 
 
 def concentrated(rows: DataFrame) -> DataFrame:
-    """The estimate of the smallest determinant of each group; rows: group and the vector."""
+    """The estimate of the smallest determinant of each group; rows: group and the vector, as they are or :func:`reduced`."""
+    rows = rows if "w" in rows.columns else reduced(rows)
     columns = ["rows", "logdet", *_CENTRE, *_INVERSE]
-    now, ended = staged(_step(rows, starts(rows), False), "quality-estimate"), []
-    for _ in range(STEPS - 1):
+    begun = staged(starts(rows).unionByName(subset_starts(rows)), "quality-begun")
+    twice = _step(rows, staged(_step(rows, begun, False), "quality-estimate"), False)
+    # starts that have met go on once
+    twice = twice.groupBy("group", *columns).agg(F.min("start").alias("start"))
+    twice = twice.withColumn("place", F.row_number().over(Window.partitionBy("group").orderBy("logdet", "start"))).where(F.col("place") <= BEST)
+    now, ended = staged(twice.select("group", "start", *columns), "quality-estimate"), []
+    for _ in range(STEPS - 2):
         old = now.select(F.col("group").alias("o_group"), F.col("start").alias("o_start"), *[F.col(c).alias(f"o_{c}") for c in columns])
         both = _step(rows, now, False).join(old, (F.col("group") == F.col("o_group")) & (F.col("start") == F.col("o_start")))
         both = staged(both, "quality-estimate")
@@ -246,7 +276,7 @@ def fit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = with_groups(with_vector(rows).where(~base_failed()))
     names = staged(group_names(rows), "quality-names")
     rows = rows.join(names.withColumnRenamed("g_full", "n_full"), F.col("g_full") == F.col("n_full")).select("group", *VECTOR)
-    rows = staged(rows, "quality-vectors")
+    rows = staged(reduced(rows), "quality-vectors")
     best = staged(concentrated(rows), "quality-best")
     return staged(_step(rows, best, True).drop("start", "logdet"), "quality-estimate"), names
 

@@ -187,7 +187,7 @@ def test_quality_determinant_is_the_least_of_all_halves(spark):
 
     off = {g: got[g] - min(logdet(rows[list(c)]) for c in combinations(range(13), 9)) for g, rows in groups.items()}
     assert all(-1e-3 < x < 1.0 for x in off.values()), off
-    assert sum(x < 1e-3 for x in off.values()) >= 4, off
+    assert sum(x < 1e-3 for x in off.values()) >= 11, off
 
 
 def test_quality_rejects_a_third_of_copies(spark):
