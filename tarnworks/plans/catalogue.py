@@ -19,8 +19,8 @@ from tarnworks.functions.text import compact_time, fixed, grouped, low_bytes
 from tarnworks.operators import aggregates, attributes, dissolve, features, graph, intervals, network, pointers, raster, relational, simplify, stems, tiles
 from tarnworks.operators.subset import subset, subset_lakes
 from tarnworks.plans import preparation as plan
-from tarnworks.session import fresh_path, staged
-from tarnworks.sources.files import read_edges, read_texts, write_texts
+from tarnworks.session import by_key, dealt, fresh_path, staged
+from tarnworks.sources.files import FILES, read_edges, read_texts, write_texts
 from tarnworks.sources.geopackage import read_container, write_containers
 from tarnworks.sources.geotiff import read_geotiff, write_geotiff
 from tarnworks.sources.layers import catalog, read_ids
@@ -735,11 +735,14 @@ def pointers_written_back(spark, sf_dir):
     """Pointer files of the parts, cleaned where they lie and read again."""
     folder = fresh_path(spark, "pointers")
     text = F.concat(F.lit("deps:\n  md5: "), "p_name", F.when(F.col("p_partkey") % 3 == 0, F.lit("\nfrozen: true")).otherwise(""), F.lit("\nouts:\n  md5: "), "p_brand", F.lit("\n- path: "), "p_type")
-    write_texts(table(spark, sf_dir, "part").select(F.concat(F.lit(f"{folder}/p"), "p_partkey", F.lit(".dvc")).alias("path"), text.alias("text"))).write.format("noop").mode("overwrite").save()
+    # a folder for each thousand keys, as one of all files would be listed by one task
+    path = F.concat(F.lit(f"{folder}/"), F.floor(F.col("p_partkey") / 1000), F.lit("/p"), "p_partkey", F.lit(".dvc"))
+    parts = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type"), FILES)
+    write_texts(parts.select(path.alias("path"), text.alias("text"))).write.format("noop").mode("overwrite").save()
     last = F.element_at(F.split("path", "/"), -1).alias("name")
     before = staged(pointers.rewritten(read_texts(spark, folder, "*.dvc")), "rewritten")
     write_texts(before).write.format("noop").mode("overwrite").save()
-    return read_texts(spark, folder, "*.dvc").select(last, "text").join(before.select(last, F.size("removed").alias("removed")), "name")
+    return read_texts(spark, folder, "*.dvc").select(last, "text").join(by_key(before.select(last, F.size("removed").alias("removed"))), "name")
 
 
 @query(

@@ -79,6 +79,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, rows: int, most: int | None = None) -> DataFrame:
+    """``df`` dealt out to tasks of about ``rows`` rows, for steps whose rows cost far more than their bytes tell; ``most`` tasks at most."""
+    tasks = max(1, -(-df.count() // rows))
+    return df.repartition(min(tasks, most) if most else tasks)
+
+
+def by_key(df: DataFrame) -> DataFrame:
+    """A side of an equality join that grows with the input: its rows meet the others' in a shuffle and are not gathered by the driver for a broadcast."""
+    return df.hint("merge")
+
+
 def staged_by(df: DataFrame, key: str, label: str) -> DataFrame:
     """Like :func:`staged`, with the rows in buckets of ``key``, so that grouping them by it moves none of them.
 

@@ -1,3 +1,4 @@
+import gzip
 import json
 import struct
 from pathlib import Path
@@ -209,3 +210,19 @@ def test_staged_tables_are_cleared(spark):
     assert session.clear_staged(spark) == 3 and session.clear_staged(spark) == 0
     assert not any(Path(p.removeprefix("file://")).parent.exists() for p in paths)
     session._MADE[spark.sparkContext.applicationId] = before
+
+
+def test_texts_are_listed_and_read_by_tasks(spark, tmp_path):
+    names = ["a.txt", "b c/d%.txt", "b c/é/[e].txt", "b c/.h.txt", "_g/f.txt", "b c/i.md", "k=1/j.tsv", "b c/é/l.txt.gz"]
+    for k, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(gzip.compress(f"text {k}\r\n".encode()) if name.endswith(".gz") else f"text {k}\r\n".encode())
+    for pattern, found in (("*.txt", [0, 1, 2]), ("*.{txt,md}", [0, 1, 2, 5]), ("?.t[sx][vt]", [0, 6]), ("*.gz", [7])):
+        for folder in (str(tmp_path), f"file://{tmp_path}"):
+            read = files.read_texts(spark, folder, pattern)
+            # the driver knows the files of the listing, and none of those listed
+            assert not any(str(tmp_path) in p for p in read.inputFiles())
+            want = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.input_file_name(), "value")
+            got = sorted(map(tuple, read.collect()))
+            assert got == sorted(map(tuple, want.collect())) and sorted(t for _, t in got) == [f"text {k}\r\n" for k in found]
+    assert files.read_texts(spark, str(tmp_path), "*.none").count() == 0
