@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import math
 import struct
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -141,6 +142,43 @@ def write_line(points: np.ndarray) -> bytes:
     return struct.pack("<BII", 1, LINE, len(points)) + np.ascontiguousarray(points, "<f8").tobytes()
 
 
+def _pieces(head: bytes, points: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Geometries with a head, a number of points and the points; ``counts`` of ``points`` for each."""
+    data, ends = np.ascontiguousarray(points, "<f8").tobytes(), (16 * np.cumsum(counts)).tolist()
+    heads = {n: head + struct.pack("<I", n) for n in set(counts.tolist())}
+    return [heads[n] + data[e - 16 * n : e] for n, e in zip(counts.tolist(), ends)]
+
+
+def _alike(geoms, head: bytes, least: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
+    """Geometries of ``head``, a number of points, ``least`` or more, and the points: places and coordinates of those of as many points; and the places of all others.
+
+    What is not finite is among the others. So a batch is worked on by few calls, with the same arithmetic for each geometry.
+    """
+    begin, sizes, rest = len(head), defaultdict(list), []
+    for k, g in enumerate(geoms):
+        usual = g is not None and g[:begin] == head and len(g) >= begin + 4 + 16 * least and len(g) == begin + 4 + 16 * int.from_bytes(g[begin : begin + 4], "little")
+        (sizes[len(g)] if usual else rest).append(k)
+    out = []
+    for size, places in sizes.items():
+        data = np.frombuffer(b"".join([geoms[k] for k in places]), np.uint8).reshape(-1, size)
+        xy = np.ascontiguousarray(data[:, begin + 4 :]).view("<f8").reshape(len(places), -1, 2)
+        finite = np.isfinite(xy).all(axis=(1, 2))
+        rest += [k for k, f in zip(places, finite.tolist()) if not f]
+        if finite.any():
+            out.append((np.array(places)[finite], xy[finite]))
+    return out, rest
+
+
+_LINE_HEAD = struct.pack("<BI", 1, LINE)
+_RING_HEAD = struct.pack("<BII", 1, POLYGON, 1)
+
+
+def _along(xy: np.ndarray) -> np.ndarray:
+    """The length up to each vertex of lines of as many vertices."""
+    sides = np.hypot(*np.moveaxis(np.diff(xy, axis=1), 2, 0))
+    return np.concatenate([np.zeros((len(xy), 1)), np.cumsum(sides, axis=1)], axis=1)
+
+
 def write_many(kind: int, parts: list[bytes]) -> bytes:
     """One geometry of many parts, or the only part itself."""
     return parts[0] if len(parts) == 1 else struct.pack("<BII", 1, kind, len(parts)) + b"".join(parts)
@@ -190,9 +228,57 @@ def cut_line_of(data: bytes | None, parts: int) -> list[bytes | None]:
     return [write_many(MULTILINE, p) if p else None for p in pieces]
 
 
+def _cut_alike(xy: np.ndarray, at: np.ndarray, parts: int) -> list[bytes]:
+    """What :func:`cut_line_of` makes of lines of as many vertices, all in as many parts, one line's parts after another's."""
+    rows, points = xy.shape[:2]
+    total = at[:, -1:]
+    bounds = np.minimum(total * np.arange(parts + 1) / parts, total)
+    right = (at[:, None] <= bounds[:, :, None]).sum(axis=2)
+    left = (at[:, None] < bounds[:, :, None]).sum(axis=2)
+    j = np.minimum(right - 1, points - 2)
+    row = np.arange(rows)[:, None]
+    a, b = at[row, j], at[row, j + 1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ends = (xy[row, j + 1] - xy[row, j]) / (b - a)[:, :, None] * (bounds - a)[:, :, None] + xy[row, j]
+    ends[:, 0] = xy[:, 0]
+    ends = np.where((bounds == total)[:, :, None], xy[:, -1:], ends)
+    inner = np.maximum(left[:, 1:] - right[:, :-1], 0).ravel()
+    counts = inner + 2
+    begin = np.cumsum(counts) - counts
+    place = np.arange(counts.sum()) - np.repeat(begin, counts)
+    base = rows * (parts + 1)
+    vertex = base + (row * points + right[:, :-1]).ravel()
+    take = np.repeat(vertex, counts) + place - 1
+    cut = (row * (parts + 1) + np.arange(parts)).ravel()
+    take[begin], take[begin + counts - 1] = cut, cut + 1
+    return _pieces(_LINE_HEAD, np.concatenate([ends.reshape(-1, 2), xy.reshape(-1, 2)])[take], counts)
+
+
+def cut_lines_of(geoms, parts) -> list[list[bytes | None]]:
+    """:func:`cut_line_of` of each line."""
+    geoms, parts = list(geoms), np.asarray(parts, int)
+    out: list = [None] * len(geoms)
+    alike, rest = _alike(geoms, _LINE_HEAD, 2)
+    for places, xy in alike:
+        at = _along(xy)
+        # others have no length, or so little that cuts fall together
+        usual = np.isfinite(at[:, -1]) & (at[:, -1] / np.maximum(parts[places], 1) > 1e-300) & (parts[places] > 1)
+        rest += places[~usual].tolist()
+        for n in np.unique(parts[places[usual]]).tolist():
+            same = usual & (parts[places] == n)
+            # bounded by vertices and cuts looked at together
+            for some in np.array_split(np.flatnonzero(same), 1 + same.sum() * (n + 1) * xy.shape[1] // 5_000_000):
+                made = _cut_alike(xy[some], at[some], n) if len(some) else []
+                for k, place in enumerate(places[some].tolist()):
+                    out[place] = made[k * n : (k + 1) * n]
+    for k in rest:
+        out[k] = cut_line_of(geoms[k], int(parts[k]))
+    return out
+
+
 @F.pandas_udf(T.ArrayType(T.BinaryType()))
 def cut_line(geom: pd.Series, parts: pd.Series) -> pd.Series:
-    return pd.Series([cut_line_of(g, int(n)) for g, n in zip(geom, parts)])
+    return pd.Series(cut_lines_of(geom, parts), dtype=object)
 
 
 @F.pandas_udf(T.StructType([*(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1", "length")), T.StructField("points", T.LongType())]))
@@ -201,10 +287,19 @@ def line_summary(geom: pd.Series) -> pd.DataFrame:
 
     def of(g: bytes | None):
         lines = _measured(g)
-        return (*lines[0][0][0], *lines[-1][0][-1], lines[-1][1][-1], sum(len(xy) for xy, _ in lines)) if lines else (None,) * 6
+        return (*lines[0][0][0], *lines[-1][0][-1], lines[-1][1][-1], sum(len(xy) for xy, _ in lines)) if lines else (np.nan,) * 6
 
-    frame = pd.DataFrame([of(g) for g in geom], columns=["x0", "y0", "x1", "y1", "length", "points"])
-    return frame.astype({c: float for c in ("x0", "y0", "x1", "y1", "length")}).astype({"points": "Int64"})
+    found = np.full((len(geom), 6), np.nan)
+    geoms = list(geom)
+    alike, rest = _alike(geoms, _LINE_HEAD, 1)
+    for places, xy in alike:
+        length = _along(xy)[:, -1:]
+        row = np.concatenate([xy[:, 0], xy[:, -1], length, np.full((len(xy), 1), float(xy.shape[1]))], axis=1)
+        found[places] = np.where(np.isfinite(length), row, np.nan)
+    for k in rest:
+        found[k] = of(geoms[k])
+    frame = pd.DataFrame(found, columns=["x0", "y0", "x1", "y1", "length", "points"])
+    return frame.astype({"points": "Int64"})
 
 
 def ring_area(ring: np.ndarray) -> float:
@@ -228,6 +323,28 @@ def rings_of(data: bytes | None) -> list[list[np.ndarray]] | None:
     return out
 
 
+def ring_areas(rings: np.ndarray) -> np.ndarray:
+    """:func:`ring_area` of closed rings of as many vertices."""
+    x, y = np.moveaxis(rings - rings[:, :1], 2, 0)
+    return (x[:, :-1] * y[:, 1:] - x[:, 1:] * y[:, :-1]).sum(axis=1) / 2
+
+
+def plain_polygons(geoms) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
+    """Polygons of one closed ring, as :func:`rings_of` has them: places and rings of those of as many vertices; and the places of all others."""
+    alike, rest = _alike(geoms, _RING_HEAD, 4)
+    out = []
+    for places, rings in alike:
+        rings = rings + 0.0
+        closed = (rings[:, 0] == rings[:, -1]).all(axis=1)
+        rest += places[~closed].tolist()
+        places, rings = places[closed], rings[closed]
+        if len(places):
+            right = ring_areas(rings) <= 0
+            rings[right] = rings[right][:, ::-1]
+            out.append((places, rings))
+    return out, rest
+
+
 @F.pandas_udf(T.StructType([T.StructField("area", T.DoubleType()), *(T.StructField(c, T.LongType()) for c in ("outers", "holes", "points"))]))
 def polygon_summary(geom: pd.Series) -> pd.DataFrame:
     """Area without holes, rings of both kinds, and sides of all rings; null for what is no polygon."""
@@ -235,11 +352,18 @@ def polygon_summary(geom: pd.Series) -> pd.DataFrame:
     def of(g: bytes | None):
         shape = rings_of(g)
         if shape is None:
-            return (None,) * 4
+            return (np.nan,) * 4
         return sum(ring_area(r) for p in shape for r in p), sum(bool(p) for p in shape), sum(len(p[1:]) for p in shape), sum(len(r) - 1 for p in shape for r in p)
 
-    frame = pd.DataFrame([of(g) for g in geom], columns=["area", "outers", "holes", "points"])
-    return frame.astype({"area": float}).astype({c: "Int64" for c in ("outers", "holes", "points")})
+    found = np.full((len(geom), 4), np.nan)
+    geoms = list(geom)
+    plain, rest = plain_polygons(geoms)
+    for places, rings in plain:
+        found[places] = np.stack([ring_areas(rings), *(np.full(len(places), float(v)) for v in (1, 0, rings.shape[1] - 1))], axis=1)
+    for k in rest:
+        found[k] = of(geoms[k])
+    frame = pd.DataFrame(found, columns=["area", "outers", "holes", "points"])
+    return frame.astype({c: "Int64" for c in ("outers", "holes", "points")})
 
 
 def kept_vertices(points: np.ndarray, tolerance: float) -> np.ndarray:
@@ -251,10 +375,10 @@ def kept_vertices(points: np.ndarray, tolerance: float) -> np.ndarray:
         a, b = todo.pop()
         if b - a < 2:
             continue
-        along, inner = points[b] - points[a], points[a + 1 : b] - points[a]
-        square = along @ along
-        share = np.clip(inner @ along / square, 0, 1) if square else np.zeros(len(inner))
-        away = np.hypot(*(inner - share[:, None] * along).T)
+        (ux, uy), (x, y) = points[b] - points[a], (points[a + 1 : b] - points[a]).T
+        square = ux * ux + uy * uy
+        share = np.clip((x * ux + y * uy) / square, 0, 1) if square else np.zeros(len(x))
+        away = np.hypot(x - share * ux, y - share * uy)
         far = int(away.argmax())
         if away[far] > tolerance:
             keep[a + 1 + far] = True
@@ -262,6 +386,33 @@ def kept_vertices(points: np.ndarray, tolerance: float) -> np.ndarray:
     return keep
 
 
+def kept_alike(xy: np.ndarray, tolerance: float) -> np.ndarray:
+    """:func:`kept_vertices` of lines of as many vertices, with the same arithmetic, so that it is the same."""
+    rows, points = xy.shape[:2]
+    if points > 64:  # not all vertices for each stretch
+        return np.array([kept_vertices(p, tolerance) for p in xy])
+    keep = np.zeros((rows, points), bool)
+    keep[:, [0, -1]] = True
+    line, a, b = np.arange(rows), np.zeros(rows, int), np.full(rows, points - 1)
+    vertex = np.arange(points)
+    while True:
+        long = b - a > 1
+        line, a, b = line[long], a[long], b[long]
+        if not len(line):
+            return keep
+        (ux, uy), (x, y) = (xy[line, b] - xy[line, a]).T[:, :, None], np.moveaxis(xy[line] - xy[line, a][:, None], 2, 0)
+        square = ux * ux + uy * uy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = np.where(square != 0, np.clip((x * ux + y * uy) / square, 0, 1), 0.0)
+        away = np.hypot(x - share * ux, y - share * uy)
+        away = np.where((vertex > a[:, None]) & (vertex < b[:, None]), away, -1.0)
+        far = away.argmax(axis=1)
+        on = away[np.arange(len(line)), far] > tolerance
+        line, a, b, far = line[on], a[on], b[on], far[on]
+        keep[line, far] = True
+        line, a, b = np.concatenate([line, line]), np.concatenate([a, far]), np.concatenate([far, b])
+
+
 def simple_line_of(data: bytes | None, tolerance: float) -> bytes | None:
     """A line, or each line of several, without vertices within ``tolerance``; ends stay. Null for what is no line, or not finite."""
     shape = parse(data)
@@ -276,7 +427,16 @@ def simple_line_of(data: bytes | None, tolerance: float) -> bytes | None:
 def simple_line(geom: Column, tolerance: float) -> Column:
     @F.pandas_udf(T.BinaryType())
     def convert(series: pd.Series) -> pd.Series:
-        return pd.Series([simple_line_of(g, tolerance) for g in series], dtype=object)
+        geoms = list(series)
+        out: list = [None] * len(geoms)
+        alike, rest = _alike(geoms, _LINE_HEAD, 1)
+        for places, xy in alike:
+            keep = kept_alike(xy, tolerance)
+            for place, made in zip(places.tolist(), _pieces(_LINE_HEAD, xy[keep], keep.sum(axis=1))):
+                out[place] = made
+        for k in rest:
+            out[k] = simple_line_of(geoms[k], tolerance)
+        return pd.Series(out, dtype=object)
 
     return convert(geom)
 
@@ -288,6 +448,11 @@ def write_polygon(rings: list[list[tuple[float, float]]]) -> bytes:
     return out
 
 
+def polygons_of_rings(points: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """A polygon of one closed ring for each of ``counts``, that many of ``points`` each."""
+    return _pieces(_RING_HEAD, points, counts)
+
+
 def _records(layout: list[tuple], columns: dict, missing: np.ndarray) -> pd.Series:
     """Geometries of one fixed layout, all packed at once; null where a value is missing."""
     table = np.zeros(len(missing), np.dtype([("order", "u1"), ("kind", "<u4"), *layout]))
@@ -305,14 +470,17 @@ def point(x: pd.Series, y: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.BinaryType())
 def line(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    return pd.Series([write_line(np.stack([a, b], axis=1)) for a, b in zip(xs, ys)])
+    counts = np.array([len(a) for a in xs], int)
+    points = np.stack([np.concatenate([np.empty(0), *v]).astype(float) for v in (xs, ys)], axis=1)
+    return pd.Series(_pieces(_LINE_HEAD, points, counts), dtype=object)
 
 
 @F.pandas_udf(T.BinaryType())
 def polygon(xs: pd.Series, ys: pd.Series) -> pd.Series:
     """A polygon of one ring, closed if it is not."""
-    rings = [np.stack([a, b], axis=1).tolist() for a, b in zip(xs, ys)]
-    return pd.Series([write_polygon([r if r[0] == r[-1] else [*r, r[0]]]) for r in rings])
+    rings = [np.array([a, b], float).T for a, b in zip(xs, ys)]
+    rings = [r if (r[0] == r[-1]).all() else np.concatenate([r, r[:1]]) for r in rings]
+    return pd.Series(_pieces(_RING_HEAD, np.concatenate([np.empty((0, 2)), *rings]), np.array([len(r) for r in rings], int)), dtype=object)
 
 
 @F.pandas_udf(T.BinaryType())

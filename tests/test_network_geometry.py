@@ -268,3 +268,17 @@ def test_ranges_reach_the_scan(spark, tmp_path):
 def test_intervals_need_one_way_down(spark):
     with pytest.raises(ValueError):
         intervals.interval_index(spark.createDataFrame([(1, 2), (1, 3)], "fn bigint, tn bigint"))
+
+
+# ---- many rows at once, and tables that grow
+
+
+def test_lines_of_a_batch_are_cut_at_once(monkeypatch):
+    rng, alone = random.Random(4), geometry.cut_line_of
+    lines = [line([(float(rng.randrange(9)), rng.uniform(0, 9)) for _ in range(rng.randrange(2, 9))]) for _ in range(300)]
+    parts = [rng.randrange(2, 12) for _ in lines]
+    want = [alone(g, n) for g, n in zip(lines, parts)]
+    odd = [None, b"", line([(1, 1), (1, 1)]), line([(0, 0), (float("nan"), 1)]), line([(2, 2)]), line([(0, 0), (1, 1)]) + b"x"]
+    assert geometry.cut_lines_of([*lines, *odd], [*parts, *[3] * len(odd)]) == want + [alone(g, 3) for g in odd]
+    monkeypatch.setattr(geometry, "cut_line_of", None)
+    assert geometry.cut_lines_of(lines, parts) == want
