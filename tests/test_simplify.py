@@ -130,3 +130,27 @@ def test_odd_lines(spark):
     for tolerance, points in ((400.0, 2), (0.0, 3)):
         parts = plan.refactor({"lines": lines}, plan.Settings(simplify=tolerance))["parts"]
         assert len(geometry.parse(parts.first().geom)[1]) == points
+
+
+@pytest.mark.parametrize("tolerance", [0.3, 2.0, 6.0])
+def test_a_batch_is_simplified_as_each_alone(monkeypatch, tolerance):
+    rng, geoms, xs, ys = random.Random(6), [], [], []
+    for k in range(400):
+        ring = [(float(rng.randrange(7)), float(rng.randrange(7))) for _ in range(rng.randrange(3, 12))]
+        ends = [v for v in ring if rng.random() < 0.4]
+        geoms.append(geometry.write_polygon([[*ring, ring[0]] if k % 7 else ring]))
+        xs.append(np.array([v[0] for v in ends]) if k % 5 else None)
+        ys.append(np.array([v[1] for v in ends]) if k % 5 else None)
+    want = [simplify.simplified_of(g, set() if x is None else set(zip(x.tolist(), y.tolist())), tolerance) for g, x, y in zip(geoms, xs, ys)]
+    assert simplify.simplified_all(geoms, xs, ys, tolerance) == want
+    square = geometry.write_polygon([[(0.0, 0.0), (2.0, 0.1), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]])
+    monkeypatch.setattr(simplify, "simplified_of", None)
+    made = simplify.simplified_all([square] * 3, [None] * 3, [None] * 3, 0.5)
+    assert [(geometry.parse(g)[1], f) for g, f in made] == [([[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]], [])] * 3
+
+
+def test_lines_of_a_batch_keep_what_each_alone_keeps():
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 3, 5, 20, 70):
+        lines = np.round(rng.uniform(0, 10, (60, size, 2)), 1)
+        assert geometry.kept_alike(lines, 2.0).tolist() == [geometry.kept_vertices(v, 2.0).tolist() for v in lines]
