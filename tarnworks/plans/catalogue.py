@@ -1086,7 +1086,7 @@ def _bent_squares(spark, sf_dir):
     f"WITH {_BENT} SELECT n, round(CAST(1 + sum(CASE WHEN h < 3 THEN 0 WHEN k IN (1, 2) THEN h ELSE -h END) / 20 AS DOUBLE), 6) AS area, CAST(4 + count(*) FILTER (h >= 3) AS BIGINT) AS points FROM b GROUP BY n"
 )
 def simplified_squares(spark, sf_dir):
-    simple = simplify.simplified(_bent_squares(spark, sf_dir), 0.25).withColumn("s", geometry.polygon_summary("geom"))
+    simple = simplify.simplified(staged(_bent_squares(spark, sf_dir), "bent-squares"), 0.25).withColumn("s", geometry.polygon_summary("geom"))
     return simple.select("n", F.round("s.area", 6).alias("area"), "s.points")
 
 
