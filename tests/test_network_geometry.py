@@ -282,3 +282,15 @@ def test_lines_of_a_batch_are_cut_at_once(monkeypatch):
     assert geometry.cut_lines_of([*lines, *odd], [*parts, *[3] * len(odd)]) == want + [alone(g, 3) for g in odd]
     monkeypatch.setattr(geometry, "cut_line_of", None)
     assert geometry.cut_lines_of(lines, parts) == want
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 21])
+def test_holes_find_their_ring_by_few_edges(monkeypatch, pairs):
+    monkeypatch.setattr(dissolve, "PAIRS", pairs)
+    rng = random.Random(pairs)
+    for _ in range(20):
+        boxes = [(rng.randrange(40), rng.randrange(40), rng.choice([1, 3, 9, 30])) for _ in range(rng.randrange(3, 40))]
+        rings = [np.array([(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)], float) for x, y, w in boxes]
+        points = np.array([(rng.randrange(80) / 2, rng.randrange(80) / 2) for _ in range(30)])
+        want = [next((k for k, r in enumerate(rings) if dissolve._inside(*p, r)), -1) for p in points]
+        assert dissolve._first_around(points, rings).tolist() == want
