@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.geometry import cut_line
 from tarnworks.functions.ids import typed, with_prefix
 from tarnworks.operators.relational import left_join
-from tarnworks.session import staged
+from tarnworks.session import by_key, staged
 
 
 def with_network_attributes(divides: DataFrame, network: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def split_long_lines(flowpaths: DataFrame, most: float) -> DataFrame:
 def _within(flowpaths: DataFrame) -> DataFrame:
     """The rows with ``to`` null where it names no row."""
     there = flowpaths.select(F.col("n").alias("w_n"))
-    return flowpaths.join(there, F.col("to") == F.col("w_n"), "left").withColumn("to", F.col("w_n")).drop("w_n")
+    return flowpaths.join(by_key(there), F.col("to") == F.col("w_n"), "left").withColumn("to", F.col("w_n")).drop("w_n")
 
 
 def _rounds(state: DataFrame) -> range:
@@ -94,17 +94,17 @@ def _destinations(table: DataFrame) -> DataFrame:
         if state.where(~F.col("rest")).isEmpty():
             return state.select("n", "at")
         ahead = state.select(F.col("n").alias("a_n"), F.col("at").alias("a_at"), F.col("low").alias("a_low"), F.col("rest").alias("a_rest"))
-        on = state.join(ahead, F.col("at") == F.col("a_n"))
+        on = state.join(by_key(ahead), F.col("at") == F.col("a_n"))
         state = staged(on.select("n", F.col("a_at").alias("at"), F.least("low", "a_low").alias("low"), F.col("a_rest").alias("rest")), "destinations")
     ends = state.select(F.col("n").alias("e_n"), F.when(F.col("rest"), F.col("at")).otherwise(F.col("low")).alias("e_at"))
-    return staged(state.join(ends, F.col("at") == F.col("e_n")).select("n", F.col("e_at").alias("at")), "destinations")
+    return staged(state.join(by_key(ends), F.col("at") == F.col("e_n")).select("n", F.col("e_at").alias("at")), "destinations")
 
 
 def _without_cycles(flowpaths: DataFrame) -> DataFrame:
     """Each cycle is cut behind its smallest row."""
     at = _destinations(flowpaths.withColumn("moves", F.lit(True)))
     ends = at.where(F.col("n") == F.col("at")).select(F.col("n").alias("c_n"))
-    cut = flowpaths.join(ends, F.col("n") == F.col("c_n"), "left")
+    cut = flowpaths.join(by_key(ends), F.col("n") == F.col("c_n"), "left")
     return cut.withColumn("to", F.when(F.col("c_n").isNull(), F.col("to"))).drop("c_n")
 
 
@@ -119,13 +119,13 @@ def collapse_short_lines(flowpaths: DataFrame, least: float, least_main: float |
     table = flowpaths
     if least_main is not None:
         main = main_inflows(total_drainage(flowpaths)).select(F.col("main").alias("m_n"))
-        table = flowpaths.join(main, F.col("n") == F.col("m_n"), "left")
+        table = flowpaths.join(by_key(main), F.col("n") == F.col("m_n"), "left")
         short = F.when(F.col("m_n").isNull(), short).otherwise(F.col("length") < least_main)
     at = _destinations(table.withColumn("moves", short))
     to_at = at.select(F.col("n").alias("t_n"), F.col("at").alias("t_at"))
-    own = flowpaths.join(at.withColumnRenamed("n", "d_n"), F.col("n") == F.col("d_n"))
+    own = flowpaths.join(by_key(at.withColumnRenamed("n", "d_n")), F.col("n") == F.col("d_n"))
     sums = own.groupBy(F.col("at").alias("s_n")).agg(F.sum("area").alias("s_area"), F.count(F.lit(1)).alias("members"))
-    stay = flowpaths.join(sums, F.col("n") == F.col("s_n")).join(to_at, F.col("to") == F.col("t_n"), "left")
+    stay = flowpaths.join(by_key(sums), F.col("n") == F.col("s_n")).join(by_key(to_at), F.col("to") == F.col("t_n"), "left")
     return stay.select("n", F.nullif("t_at", "n").alias("to"), "length", F.col("s_area").alias("area"), "members")
 
 
@@ -135,10 +135,10 @@ def total_drainage(flowpaths: DataFrame) -> DataFrame:
     state = flowpaths.select("n", F.col("to").alias("far"), F.col("area").alias("total"))
     for _ in _rounds(state):
         if state.where("far IS NOT NULL").isEmpty():
-            return flowpaths.join(state.select(F.col("n").alias("t_n"), "total"), F.col("n") == F.col("t_n")).drop("t_n")
+            return flowpaths.join(by_key(state.select(F.col("n").alias("t_n"), "total")), F.col("n") == F.col("t_n")).drop("t_n")
         into = state.where("far IS NOT NULL").groupBy(F.col("far").alias("i_n")).agg(F.sum("total").alias("more"))
         ahead = state.select(F.col("n").alias("a_n"), F.col("far").alias("a_far"))
-        grown = state.join(into, F.col("n") == F.col("i_n"), "left").join(ahead, F.col("far") == F.col("a_n"), "left")
+        grown = state.join(by_key(into), F.col("n") == F.col("i_n"), "left").join(by_key(ahead), F.col("far") == F.col("a_n"), "left")
         state = staged(grown.select("n", F.col("a_far").alias("far"), (F.col("total") + F.coalesce("more", F.lit(0))).alias("total")), "drainage")
     return total_drainage(_without_cycles(flowpaths))
 
@@ -157,18 +157,18 @@ def main_stems(flowpaths: DataFrame) -> DataFrame:
     the line's upper end to the end of the stem. Cycles are cut behind their smallest line.
     """
     drained = staged(total_drainage(flowpaths), "stem-drained")
-    lines = drained.join(flowpaths.select(F.col("n").alias("f_n"), "length"), F.col("n") == F.col("f_n")).drop("f_n")
+    lines = drained.join(by_key(flowpaths.select(F.col("n").alias("f_n"), "length")), F.col("n") == F.col("f_n")).drop("f_n")
     main = main_inflows(drained).select(F.col("main").alias("m_n"))
-    lines = staged(lines.join(main, F.col("n") == F.col("m_n"), "left").withColumn("on", F.col("m_n").isNotNull()).drop("m_n"), "stem-lines")
+    lines = staged(lines.join(by_key(main), F.col("n") == F.col("m_n"), "left").withColumn("on", F.col("m_n").isNotNull()).drop("m_n"), "stem-lines")
     state = lines.select("n", F.when(F.col("on"), F.col("to")).otherwise(F.col("n")).alias("at"), F.col("on").alias("open"), F.col("on").cast("bigint").alias("steps"), F.when(F.col("on"), F.col("length")).otherwise(0.0).alias("passed"))
     state = staged(state, "stem")
     while not state.where("open").isEmpty():
         ahead = state.select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
-        grown = state.join(ahead, F.col("at") == F.col("a_n"))
+        grown = state.join(by_key(ahead), F.col("at") == F.col("a_n"))
         state = staged(grown.select("n", F.col("a_at").alias("at"), F.col("a_open").alias("open"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("passed") + F.col("a_passed")).alias("passed")), "stem")
     ends = lines.select(F.col("n").alias("e_n"), F.col("length").alias("e_length"))
-    found = state.join(ends, F.col("at") == F.col("e_n")).select(F.col("n").alias("s_n"), F.col("at").alias("stem"), (F.col("steps") + 1).alias("place"), (F.col("passed") + F.col("e_length")).alias("reach"))
-    return lines.join(found, F.col("n") == F.col("s_n")).select("n", "to", "length", "area", "stem", "place", "reach")
+    found = state.join(by_key(ends), F.col("at") == F.col("e_n")).select(F.col("n").alias("s_n"), F.col("at").alias("stem"), (F.col("steps") + 1).alias("place"), (F.col("passed") + F.col("e_length")).alias("reach"))
+    return lines.join(by_key(found), F.col("n") == F.col("s_n")).select("n", "to", "length", "area", "stem", "place", "reach")
 
 
 def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataFrame:
@@ -181,7 +181,7 @@ def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataF
     drained = staged(total_drainage(flowpaths), "aggregate-drained")
     step = F.floor(F.col("total") / ideal)
     inflow = drained.where("to IS NOT NULL").groupBy(F.col("to").alias("i_n")).agg(F.max(step).alias("passed"))
-    ends = drained.join(inflow, F.col("n") == F.col("i_n"), "left").withColumn("moves", (step <= F.coalesce("passed", F.lit(0))) & F.col("to").isNotNull())
+    ends = drained.join(by_key(inflow), F.col("n") == F.col("i_n"), "left").withColumn("moves", (step <= F.coalesce("passed", F.lit(0))) & F.col("to").isNotNull())
     at = staged(_destinations(ends.select("n", "to", "moves")), "aggregate-at")
     units = _contracted(drained.select("n", "to", "area", F.lit(1).cast("bigint").alias("members")), at)
     small = units.withColumn("moves", (F.col("area") < least) & F.col("to").isNotNull())
@@ -192,8 +192,8 @@ def aggregate_to_size(flowpaths: DataFrame, ideal: float, least: float) -> DataF
 def _contracted(table: DataFrame, at: DataFrame) -> DataFrame:
     """Rows joined into those they ended up at: n, to (where that row's outflow ended up), area, members."""
     own, there = at.select(F.col("n").alias("o_n"), F.col("at").alias("o_at")), at.select(F.col("n").alias("t_n"), F.col("at").alias("t_at"))
-    sums = table.join(own, F.col("n") == F.col("o_n")).groupBy("o_at").agg(F.sum("area").alias("s_area"), F.sum("members").alias("s_members"))
-    out = table.select("n", "to").join(sums, F.col("n") == F.col("o_at")).join(there, F.col("to") == F.col("t_n"), "left")
+    sums = table.join(by_key(own), F.col("n") == F.col("o_n")).groupBy("o_at").agg(F.sum("area").alias("s_area"), F.sum("members").alias("s_members"))
+    out = table.select("n", "to").join(by_key(sums), F.col("n") == F.col("o_at")).join(by_key(there), F.col("to") == F.col("t_n"), "left")
     return staged(out.select("n", F.nullif("t_at", "n").alias("to"), F.col("s_area").alias("area"), F.col("s_members").alias("members")), "contracted")
 
 
@@ -201,7 +201,7 @@ def placed_at_outlets(flowpaths: DataFrame, outlets: DataFrame) -> DataFrame:
     """n, at: the first of the given outlets, or the terminal, downstream of each line."""
     flowpaths = _within(flowpaths)
     marks = outlets.select(F.col(outlets.columns[0]).alias("m_n"), F.lit(True).alias("mark")).distinct()
-    moving = flowpaths.join(marks, F.col("n") == F.col("m_n"), "left").withColumn("moves", F.col("mark").isNull() & F.col("to").isNotNull())
+    moving = flowpaths.join(by_key(marks), F.col("n") == F.col("m_n"), "left").withColumn("moves", F.col("mark").isNull() & F.col("to").isNotNull())
     return staged(_destinations(moving.select("n", "to", "moves")), "outlets-at")
 
 

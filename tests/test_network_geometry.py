@@ -294,3 +294,11 @@ def test_holes_find_their_ring_by_few_edges(monkeypatch, pairs):
         points = np.array([(rng.randrange(80) / 2, rng.randrange(80) / 2) for _ in range(30)])
         want = [next((k for k, r in enumerate(rings) if dissolve._inside(*p, r)), -1) for p in points]
         assert dissolve._first_around(points, rings).tolist() == want
+
+
+def test_tables_of_lines_are_not_broadcast(spark):
+    frame = spark.createDataFrame([(k, k // 2 if k else None, float(k % 5), k % 3 + 1) for k in range(30)], "n bigint, to bigint, length double, area bigint")
+    edges = frame.select(F.col("n").alias("fn"), F.col("to").alias("tn"))
+    for made in (network.total_drainage(frame), network.main_stems(frame), stems.aggregate_along_stems(frame, 9.0, 3.0, 4.0), intervals.interval_index(edges)):
+        plan_of = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan_of and "Broadcast" not in plan_of
