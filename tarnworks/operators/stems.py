@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.operators.network import _destinations, main_stems
-from tarnworks.session import staged
+from tarnworks.session import by_key, staged
 
 
 def _blocks(lines: DataFrame) -> list[DataFrame]:
@@ -23,7 +23,7 @@ def _blocks(lines: DataFrame) -> list[DataFrame]:
     out = [block]
     while True:
         ahead = block.select(*[F.col(c).alias(c.replace("b_", "a_")) for c in block.columns])
-        both = block.join(ahead, F.col("b_next") == F.col("a_n"))
+        both = block.join(by_key(ahead), F.col("b_next") == F.col("a_n"))
         block = staged(both.select("b_n", F.col("a_next").alias("b_next"), (F.col("b_length") + F.col("a_length")).alias("b_length"), (F.col("b_area") + F.col("a_area")).alias("b_area")), "stem-blocks")
         if block.isEmpty():
             return out
@@ -38,29 +38,29 @@ def stretch_ends(lines: DataFrame, length: float, area: float) -> DataFrame:
     blocks = _blocks(lines)
     state = lines.select("n", F.col("n").alias("at"), F.lit(0.0).alias("sum_length"), F.lit(0.0).alias("sum_area"))
     for block in reversed(blocks):
-        ahead = state.join(block, F.col("at") == F.col("b_n"), "left")
+        ahead = state.join(by_key(block), F.col("at") == F.col("b_n"), "left")
         longer, larger = F.col("sum_length") + F.col("b_length"), F.col("sum_area") + F.col("b_area")
         # past the block, if it is not enough and a line follows
         on = F.coalesce(F.col("b_next").isNotNull() & ((longer < length) | (larger < area)), F.lit(False))
         pick = lambda new, old: F.when(on, new).otherwise(F.col(old)).alias(old)
         state = staged(ahead.select("n", pick(F.col("b_next"), "at"), pick(longer, "sum_length"), pick(larger, "sum_area")), "stem-ends")
     last = lines.select(F.col("n").alias("l_n"), F.col("length").alias("l_length"), F.col("area").alias("l_area"))
-    done = state.join(last, F.col("at") == F.col("l_n"))
+    done = state.join(by_key(last), F.col("at") == F.col("l_n"))
     return staged(done.select("n", F.col("at").alias("end"), (F.col("sum_length") + F.col("l_length")).alias("sum_length"), (F.col("sum_area") + F.col("l_area")).alias("sum_area")), "stem-ends")
 
 
 def _begins(lines: DataFrame, ends: DataFrame) -> DataFrame:
     """n: the lines at which stretches begin, when the first of each stem begins at its top."""
     after = lines.select(F.col("n").alias("t_n"), F.col("next").alias("t_next"))
-    jump = ends.join(after, F.col("end") == F.col("t_n")).select(F.col("n").alias("j_n"), F.col("t_next").alias("j_to")).where("j_to IS NOT NULL")
+    jump = ends.join(by_key(after), F.col("end") == F.col("t_n")).select(F.col("n").alias("j_n"), F.col("t_next").alias("j_to")).where("j_to IS NOT NULL")
     jump = staged(jump, "stem-jumps")
     inner = lines.where("next IS NOT NULL").select(F.col("next").alias("i_n"))
-    marked = staged(lines.join(inner, F.col("n") == F.col("i_n"), "left_anti").select("n"), "stem-begins")
+    marked = staged(lines.join(by_key(inner), F.col("n") == F.col("i_n"), "left_anti").select("n"), "stem-begins")
     while not jump.isEmpty():
-        more = jump.join(marked, F.col("j_n") == F.col("n"), "left_semi").select(F.col("j_to").alias("n"))
+        more = jump.join(by_key(marked), F.col("j_n") == F.col("n"), "left_semi").select(F.col("j_to").alias("n"))
         marked = staged(marked.unionByName(more), "stem-begins")
         ahead = jump.select(F.col("j_n").alias("a_n"), F.col("j_to").alias("a_to"))
-        jump = staged(jump.join(ahead, F.col("j_to") == F.col("a_n")).select("j_n", F.col("a_to").alias("j_to")), "stem-jumps")
+        jump = staged(jump.join(by_key(ahead), F.col("j_to") == F.col("a_n")).select("j_n", F.col("a_to").alias("j_to")), "stem-jumps")
     return marked
 
 
@@ -72,24 +72,24 @@ def placed_along_stems(flowpaths: DataFrame, ideal: float, least_area: float, le
     """
     stems = staged(main_stems(flowpaths).withColumn("area", F.col("area").cast("double")), "stem-units")
     below = stems.select(F.col("n").alias("d_n"), F.col("stem").alias("d_stem"))
-    lines = stems.join(below, F.col("to") == F.col("d_n"), "left").withColumn("next", F.when(F.col("stem") == F.col("d_stem"), F.col("to"))).drop("d_n", "d_stem")
+    lines = stems.join(by_key(below), F.col("to") == F.col("d_n"), "left").withColumn("next", F.when(F.col("stem") == F.col("d_stem"), F.col("to"))).drop("d_n", "d_stem")
     lines = staged(lines, "stem-units")
     ends = stretch_ends(lines, least_length, ideal)
-    begun = ends.join(_begins(lines, ends).select(F.col("n").alias("g_n")), F.col("n") == F.col("g_n"), "left_semi")
+    begun = ends.join(by_key(_begins(lines, ends).select(F.col("n").alias("g_n"))), F.col("n") == F.col("g_n"), "left_semi")
     enough = (F.col("sum_length") >= least_length) & (F.col("sum_area") >= min(ideal, least_area))
     units = begun.where(enough).select(F.col("end").alias("u_n")).distinct()
-    moving = lines.join(units, F.col("n") == F.col("u_n"), "left").withColumn("moves", F.col("u_n").isNull() & F.col("to").isNotNull())
+    moving = lines.join(by_key(units), F.col("n") == F.col("u_n"), "left").withColumn("moves", F.col("u_n").isNull() & F.col("to").isNotNull())
     at = staged(_destinations(moving.select("n", "to", "moves")), "stem-at").select(F.col("n").alias("o_n"), "at")
-    return staged(lines.join(at, F.col("n") == F.col("o_n")).select("n", "to", "length", "area", "stem", "at"), "stem-placed")
+    return staged(lines.join(by_key(at), F.col("n") == F.col("o_n")).select("n", "to", "length", "area", "stem", "at"), "stem-placed")
 
 
 def aggregate_along_stems(flowpaths: DataFrame, ideal: float, least_area: float, least_length: float) -> DataFrame:
     """unit, to_unit, area, length, members: units along main stems, with the length of the stem that they hold."""
     placed = placed_along_stems(flowpaths, ideal, least_area, least_length)
     stem_of = placed.select(F.col("n").alias("z_n"), F.col("stem").alias("z_stem"), F.col("to").alias("z_to"))
-    rows = placed.join(stem_of, F.col("at") == F.col("z_n"))
+    rows = placed.join(by_key(stem_of), F.col("at") == F.col("z_n"))
     sums = rows.groupBy(F.col("at").alias("unit"), "z_to").agg(
         F.sum("area").alias("area"), F.sum(F.when(F.col("stem") == F.col("z_stem"), F.col("length")).otherwise(0.0)).alias("length"), F.count(F.lit(1)).alias("members")
     )
     there = placed.select(F.col("n").alias("t_n"), F.col("at").alias("to_unit"))
-    return sums.join(there, F.col("z_to") == F.col("t_n"), "left").select("unit", "to_unit", "area", "length", "members")
+    return sums.join(by_key(there), F.col("z_to") == F.col("t_n"), "left").select("unit", "to_unit", "area", "length", "members")
