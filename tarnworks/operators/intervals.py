@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnworks.operators.network import _within, _without_cycles, placed_at_outlets, total_drainage
-from tarnworks.session import staged
+from tarnworks.session import by_key, staged
 
 #: Numbers of siblings that one task sums at most, as a power of two.
 STRETCH = 16
@@ -30,7 +30,7 @@ def interval_index(edges: DataFrame) -> DataFrame:
     pairs = staged(edges.select(F.col("fn").cast("bigint").alias("n"), F.col("tn").cast("bigint").alias("to")).where("n IS NOT NULL").distinct(), "interval-edges")
     if not pairs.groupBy("n").count().where("count > 1").isEmpty():
         raise ValueError("a node flows into several")
-    roots = pairs.where("to IS NOT NULL").select(F.col("to").alias("n")).distinct().join(pairs.select("n"), "n", "left_anti")
+    roots = pairs.where("to IS NOT NULL").select(F.col("to").alias("n")).distinct().join(by_key(pairs.select("n")), "n", "left_anti")
     nodes = _without_cycles(_within(pairs.unionByName(roots.withColumn("to", F.lit(None).cast("bigint")))))
     sized = staged(total_drainage(nodes.withColumn("area", F.lit(1).cast("bigint"))).select("n", "to", F.col("total").alias("size")), "interval-sizes")
     # Sizes of the siblings before each: by stretches of numbers, then within them, so that a node with very many inflows is no task's.
@@ -39,15 +39,15 @@ def interval_index(edges: DataFrame) -> DataFrame:
     earlier = F.sum("sizes").over(Window.partitionBy("to").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
     stretches = stretches.select(F.col("to").alias("s_to"), F.col("stretch").alias("s_stretch"), F.coalesce(earlier, F.lit(0)).alias("earlier"))
     inside = F.sum("size").over(Window.partitionBy("to", "stretch").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    behind = sized.withColumn("inside", F.coalesce(inside, F.lit(0))).join(stretches, F.col("to").eqNullSafe(F.col("s_to")) & (F.col("stretch") == F.col("s_stretch")))
+    behind = sized.withColumn("inside", F.coalesce(inside, F.lit(0))).join(by_key(stretches), F.col("to").eqNullSafe(F.col("s_to")) & (F.col("stretch") == F.col("s_stretch")))
     behind = staged(behind.select("n", "to", "size", (F.col("earlier") + F.col("inside") + 1).alias("behind")), "interval-behind")
     state = behind.select("n", F.col("to").alias("far"), F.col("behind").alias("first"))
     while not state.where("far IS NOT NULL").isEmpty():
         ahead = state.select(F.col("n").alias("a_n"), F.col("far").alias("a_far"), F.col("first").alias("a_first"))
-        grown = state.join(ahead, F.col("far") == F.col("a_n"), "left")
+        grown = state.join(by_key(ahead), F.col("far") == F.col("a_n"), "left")
         state = staged(grown.select("n", F.col("a_far").alias("far"), (F.col("first") + F.coalesce("a_first", F.lit(0))).alias("first")), "interval")
     numbers = state.select(F.col("n").alias("i_n"), "first")
-    return behind.join(numbers, F.col("n") == F.col("i_n")).select(F.col("n").alias("node"), "to", "first", (F.col("first") + F.col("size") - 1).alias("last"))
+    return behind.join(by_key(numbers), F.col("n") == F.col("i_n")).select(F.col("n").alias("node"), "to", "first", (F.col("first") + F.col("size") - 1).alias("last"))
 
 
 def write_index(edges: DataFrame, path: str) -> None:
@@ -86,10 +86,10 @@ def upstream(index: DataFrame, outlets: DataFrame, with_sibling: bool = False) -
             below = tree.join(wanted, F.col("n") == F.col("node"), "left_semi").select(F.col("to").alias("node")).where("node IS NOT NULL").distinct()
             starts = staged(below.join(wanted, "node", "left_anti").unionByName(wanted), "interval-starts")
         at = placed_at_outlets(tree, starts)
-        found = at.join(starts, F.col("at") == F.col("node"), "left_semi").select("n")
+        found = at.join(by_key(starts), F.col("at") == F.col("node"), "left_semi").select("n")
         # a node that only stands below an outlet is reached if what it flows into is
-        ahead = tree.join(found.withColumnRenamed("n", "f_n"), F.col("to") == F.col("f_n"), "left_semi").select("n")
-        reached = found.join(starts, F.col("n") == F.col("node"), "left_anti").unionByName(ahead)
+        ahead = tree.join(by_key(found.withColumnRenamed("n", "f_n")), F.col("to") == F.col("f_n"), "left_semi").select("n")
+        reached = found.join(by_key(starts), F.col("n") == F.col("node"), "left_anti").unionByName(ahead)
         return reached.withColumnRenamed("n", "node").unionByName(wanted).distinct()
     known = index.where(F.col("node").isin(some)).select("node", "to", "first", "last").collect() if some else []
     ranges = [(r["first"], r["last"]) for r in known]
