@@ -9,10 +9,11 @@ from __future__ import annotations
 import json
 import math
 import struct
-from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,23 +150,51 @@ def _pieces(head: bytes, points: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [heads[n] + data[e - 16 * n : e] for n, e in zip(counts.tolist(), ends)]
 
 
+def _array(head: bytes, points: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """:func:`_pieces` as an Arrow array, without a value for each in Python."""
+    front = len(head) + 4
+    ends = np.cumsum(front + 16 * counts)
+    size = int(ends[-1]) if len(ends) else 0
+    if size >= 1 << 31:
+        raise OverflowError("geometries of a batch take more than 2 GB")
+    starts = np.concatenate([[0], ends]).astype(np.int32)
+    heads = np.concatenate([np.broadcast_to(np.frombuffer(head, np.uint8), (len(counts), len(head))), counts.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1)
+    at = starts[:-1, None] + np.arange(front)
+    body, data = np.ones(size, bool), np.empty(size, np.uint8)
+    body[at], data[at] = False, heads
+    data[body] = np.ascontiguousarray(points, "<f8").reshape(-1).view(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(starts), pa.py_buffer(data)])
+
+
+def _binary(geoms) -> pa.Array:
+    return geoms.cast(pa.binary()) if isinstance(geoms, pa.Array) else pa.array(list(geoms), pa.binary())
+
+
 def _alike(geoms, head: bytes, least: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
     """Geometries of ``head``, a number of points, ``least`` or more, and the points: places and coordinates of those of as many points; and the places of all others.
 
     What is not finite is among the others. So a batch is worked on by few calls, with the same arithmetic for each geometry.
     """
-    begin, sizes, rest = len(head), defaultdict(list), []
-    for k, g in enumerate(geoms):
-        usual = g is not None and g[:begin] == head and len(g) >= begin + 4 + 16 * least and len(g) == begin + 4 + 16 * int.from_bytes(g[begin : begin + 4], "little")
-        (sizes[len(g)] if usual else rest).append(k)
-    out = []
-    for size, places in sizes.items():
-        data = np.frombuffer(b"".join([geoms[k] for k in places]), np.uint8).reshape(-1, size)
-        xy = np.ascontiguousarray(data[:, begin + 4 :]).view("<f8").reshape(len(places), -1, 2)
-        finite = np.isfinite(xy).all(axis=(1, 2))
-        rest += [k for k, f in zip(places, finite.tolist()) if not f]
-        if finite.any():
-            out.append((np.array(places)[finite], xy[finite]))
+    begin, rest, out = len(head), [], []
+    array = _binary(geoms)
+    _, offsets, data = array.buffers()
+    starts = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1].astype(int) if len(array) else np.zeros(1, int)
+    data = np.frombuffer(data or b"", np.uint8)
+    lengths = np.where(array.is_valid().to_numpy(zero_copy_only=False), np.diff(starts), 0)
+    order = np.argsort(lengths, kind="stable")
+    for places in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
+        size = int(lengths[places[0]])
+        count, odd = divmod(size - begin - 4, 16)
+        if count < least or odd:
+            rest += places.tolist()
+            continue
+        # places of bytes take eight times what the bytes take
+        found = data[starts[places, None] + np.arange(size)] if size <= 1024 else np.stack([data[s : s + size] for s in starts[places].tolist()])
+        xy = np.ascontiguousarray(found[:, begin + 4 :]).view("<f8").reshape(len(places), -1, 2)
+        usual = (found[:, : begin + 4] == np.frombuffer(head + struct.pack("<I", count), np.uint8)).all(axis=1) & np.isfinite(xy).all(axis=(1, 2))
+        rest += places[~usual].tolist()
+        if usual.any():
+            out.append((places[usual], xy[usual]))
     return out, rest
 
 
@@ -256,7 +285,7 @@ def _cut_alike(xy: np.ndarray, at: np.ndarray, parts: int) -> list[bytes]:
 
 def cut_lines_of(geoms, parts) -> list[list[bytes | None]]:
     """:func:`cut_line_of` of each line."""
-    geoms, parts = list(geoms), np.asarray(parts, int)
+    geoms, parts = _binary(geoms), np.asarray(parts, int)
     out: list = [None] * len(geoms)
     alike, rest = _alike(geoms, _LINE_HEAD, 2)
     for places, xy in alike:
@@ -272,17 +301,17 @@ def cut_lines_of(geoms, parts) -> list[list[bytes | None]]:
                 for k, place in enumerate(places[some].tolist()):
                     out[place] = made[k * n : (k + 1) * n]
     for k in rest:
-        out[k] = cut_line_of(geoms[k], int(parts[k]))
+        out[k] = cut_line_of(geoms[k].as_py(), int(parts[k]))
     return out
 
 
-@F.pandas_udf(T.ArrayType(T.BinaryType()))
-def cut_line(geom: pd.Series, parts: pd.Series) -> pd.Series:
-    return pd.Series(cut_lines_of(geom, parts), dtype=object)
+@F.arrow_udf(T.ArrayType(T.BinaryType()))
+def cut_line(geom: pa.Array, parts: pa.Array) -> pa.Array:
+    return pa.array(cut_lines_of(geom, parts.to_numpy(zero_copy_only=False)), pa.list_(pa.binary()))
 
 
-@F.pandas_udf(T.StructType([*(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1", "length")), T.StructField("points", T.LongType())]))
-def line_summary(geom: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(T.StructType([*(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1", "length")), T.StructField("points", T.LongType())]))
+def line_summary(geom: pa.Array) -> pa.Array:
     """Both ends, length and vertices of a line; null for what is none."""
 
     def of(g: bytes | None):
@@ -290,16 +319,15 @@ def line_summary(geom: pd.Series) -> pd.DataFrame:
         return (*lines[0][0][0], *lines[-1][0][-1], lines[-1][1][-1], sum(len(xy) for xy, _ in lines)) if lines else (np.nan,) * 6
 
     found = np.full((len(geom), 6), np.nan)
-    geoms = list(geom)
-    alike, rest = _alike(geoms, _LINE_HEAD, 1)
+    alike, rest = _alike(geom, _LINE_HEAD, 1)
     for places, xy in alike:
         length = _along(xy)[:, -1:]
         row = np.concatenate([xy[:, 0], xy[:, -1], length, np.full((len(xy), 1), float(xy.shape[1]))], axis=1)
         found[places] = np.where(np.isfinite(length), row, np.nan)
     for k in rest:
-        found[k] = of(geoms[k])
-    frame = pd.DataFrame(found, columns=["x0", "y0", "x1", "y1", "length", "points"])
-    return frame.astype({"points": "Int64"})
+        found[k] = of(geom[k].as_py())
+    *columns, points = [pa.array(v, from_pandas=True) for v in found.T]
+    return pa.StructArray.from_arrays([*columns, points.cast(pa.int64())], names=["x0", "y0", "x1", "y1", "length", "points"])
 
 
 def ring_area(ring: np.ndarray) -> float:
@@ -425,18 +453,14 @@ def simple_line_of(data: bytes | None, tolerance: float) -> bytes | None:
 
 
 def simple_line(geom: Column, tolerance: float) -> Column:
-    @F.pandas_udf(T.BinaryType())
-    def convert(series: pd.Series) -> pd.Series:
-        geoms = list(series)
-        out: list = [None] * len(geoms)
+    @F.arrow_udf(T.BinaryType())
+    def convert(geoms: pa.Array) -> pa.Array:
         alike, rest = _alike(geoms, _LINE_HEAD, 1)
-        for places, xy in alike:
-            keep = kept_alike(xy, tolerance)
-            for place, made in zip(places.tolist(), _pieces(_LINE_HEAD, xy[keep], keep.sum(axis=1))):
-                out[place] = made
-        for k in rest:
-            out[k] = simple_line_of(geoms[k], tolerance)
-        return pd.Series(out, dtype=object)
+        kept = [(xy, kept_alike(xy, tolerance)) for _, xy in alike]
+        made = [_array(_LINE_HEAD, xy[keep], keep.sum(axis=1)) for xy, keep in kept]
+        made.append(pa.array([simple_line_of(geoms[k].as_py(), tolerance) for k in rest], pa.binary()))
+        places = np.concatenate([*(at for at, _ in alike), np.array(rest, int)])
+        return pa.concat_arrays(made).take(pa.array(np.argsort(places)))
 
     return convert(geom)
 
@@ -468,11 +492,13 @@ def point(x: pd.Series, y: pd.Series) -> pd.Series:
     return _records([("xy", "<f8", (2,))], {"kind": POINT, "xy": xy}, np.isnan(xy).any(axis=1))
 
 
-@F.pandas_udf(T.BinaryType())
-def line(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    counts = np.array([len(a) for a in xs], int)
-    points = np.stack([np.concatenate([np.empty(0), *v]).astype(float) for v in (xs, ys)], axis=1)
-    return pd.Series(_pieces(_LINE_HEAD, points, counts), dtype=object)
+@F.arrow_udf(T.BinaryType())
+def line(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """A line through the points; null for null, a missing x or y is not finite."""
+    counts = xs.value_lengths()
+    points = np.stack([v.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) for v in (xs, ys)], axis=1)
+    made = _array(_LINE_HEAD, points, counts.fill_null(0).to_numpy())
+    return pc.if_else(xs.is_valid(), made, None) if xs.null_count else made
 
 
 @F.pandas_udf(T.BinaryType())

@@ -5,6 +5,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,54 @@ def test_cut_odd_lines():
         assert geometry.cut_line_of(bad, 2) == [None, None]
 
 
+def test_lines_of_a_batch_are_made_measured_and_thinned_as_each_alone(spark):
+    rng = random.Random(4)
+    found = [[(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(rng.choice([1, 2, 3, 5, 20, 70]))] for _ in range(300)]
+    found[7] = [(1.0, 2.0), (None, 3.0), (4.0, 5.0)]
+    table = spark.createDataFrame([(k, [x for x, _ in v], [y for _, y in v]) for k, v in enumerate(found)] + [(300, None, None), (301, [], [])], "n int, x array<double>, y array<double>")
+    made = table.repartition(3).select("n", geometry.line("x", "y").alias("geom"))
+    simple = geometry.simple_line(F.col("geom"), 2.0)
+    got = made.select("n", "geom", simple.alias("simple"), geometry.line_summary("geom").alias("s"), geometry.line_summary(simple)["points"].alias("points")).orderBy("n").collect()
+    for k, v in enumerate(found):
+        if k != 7:
+            whole, thin = line(v), geometry.simple_line_of(line(v), 2.0)
+            assert (bytes(got[k].geom), bytes(got[k].simple), got[k].points) == (whole, thin, len(geometry.parse(thin)[1]))
+            assert tuple(got[k].s) == (*v[0], *v[-1], pytest.approx(length_of(v)), len(v))
+    assert [bytes(got[k].geom) if got[k].geom is not None else None for k in (300, 301)] == [None, geometry.write_line(np.empty((0, 2)))]
+    for k in (7, 300, 301):
+        assert got[k].simple is None and got[k].points is None and tuple(got[k].s or (None,) * 6) == (None,) * 6
+
+
+def test_lines_of_a_batch_take_no_python_value_each(monkeypatch):
+    # by batch: 2,000 lines of five sizes are neither read nor written one by one
+    counts = np.array([1, 2, 3, 5, 8] * 400)
+    points = np.random.default_rng(2).uniform(0, 9, (counts.sum(), 2))
+    starts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+    xs, ys = (pa.ListArray.from_arrays(starts, pa.array(points[:, k])) for k in (0, 1))
+    simple = []
+    monkeypatch.setattr(geometry.F, "arrow_udf", lambda kind: lambda f: lambda geom: simple.append(f) or geom)
+    geometry.simple_line(None, 2.0)
+    for name in ("_pieces", "simple_line_of", "_measured", "parse"):
+        monkeypatch.setattr(geometry, name, None)
+    made = geometry.line.func(xs, ys)
+    thin = simple[0](made)
+    summary = geometry.line_summary.func(thin)
+    assert made.to_pylist() == [geometry.write_line(p) for p in np.split(points, np.cumsum(counts)[:-1])]
+    assert summary.field("points").to_pylist() == [int(geometry.kept_vertices(p, 2.0).sum()) for p in np.split(points, np.cumsum(counts)[:-1])]
+    assert geometry.line_summary.func(made.slice(3, 9)).equals(geometry.line_summary.func(made).slice(3, 9))
+
+
+def test_alike_lines_are_found_among_odd_ones():
+    head, good = geometry._LINE_HEAD, [line([(k, j) for j in range(n)]) for k, n in enumerate((1, 2, 2, 3, 40))]
+    many = struct.pack("<BII", 1, geometry.MULTILINE, 1) + good[1]
+    odd = [None, b"", good[1][:-3], good[1] + b"\0", head, head + b"\0\0\0\0", many, line([(0, 0), (float("inf"), 1)]), b"\0" + good[1][1:], good[3][:5] + b"\2\0\0\0" + good[3][9:]]
+    geoms = [g for pair in zip(odd, good * 2) for g in pair]
+    alike, rest = geometry._alike(geoms, head, 1)
+    assert sorted(rest) == list(range(0, 20, 2))
+    assert {k: xy.tolist() for places, found in alike for k, xy in zip(places.tolist(), found)} == {k: [list(v) for v in geometry.parse(geoms[k])[1]] for k in range(1, 20, 2)}
+    assert geometry._alike([], head, 1) == ([], [])
+
+
 def test_split_lines_with_geometry(spark):
     table = spark.createDataFrame([(1, 2, 10.0, line([(0, 0), (3, 0), (3, 7)])), (2, None, 2.0, line([(3, 7), (5, 7)])), (3, 2, 9.0, None)], "n bigint, to bigint, length double, geom binary")
     got = network.split_long_lines(table, 4.0)
