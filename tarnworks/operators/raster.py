@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.geometry import MULTIPOLYGON, parse, write_many, write_polygon
 from tarnworks.operators import tiles
 from tarnworks.operators.aggregates import ZONAL, weighted_mode
+from tarnworks.session import by_key
 
 
 def grid_names(spark, names: list[str], layers: list[int]) -> DataFrame:
@@ -164,29 +165,33 @@ def cover(geom: bytes | None, tile: int, size: float) -> list[tuple[int, int, in
 
 
 def overlay(zones: DataFrame, cells: DataFrame, size: float = 1.0, tile: int = 64) -> DataFrame:
-    """The cells' columns, the zones' columns without geom, and coverage, for every cell that a zone covers in part.
+    """The zones' columns without geom, coverage, and the cells' columns, for every cell that a zone covers in part.
 
     Cell (col, row) is the square from (col, row) * size. A zone is cut to pieces by a quad-tree of tiles (``tile`` by
     ``tile`` cells); ranges that it fills are plain sequences, and only tiles on its border are cut to cells. The
-    cells then meet the grid in an equality join. Null and odd geometries cover nothing.
+    cells then meet the grid in an equality join, by shuffle: Spark counts a zone's cells as one row and would broadcast them.
+    Null and odd geometries cover nothing.
     """
 
     @F.pandas_udf("array<struct<x: bigint, y: bigint, span: bigint, piece: binary>>")
     def pieces(geom: pd.Series) -> pd.Series:
         return pd.Series([cover(g, tile, size) for g in geom])
 
-    @F.pandas_udf("array<struct<_col: bigint, _row: bigint, coverage: double>>")
+    @F.pandas_udf("array<struct<_first: bigint, _last: bigint, _row: bigint, coverage: double>>")
     def found(piece: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([covered_cells(g, a, b, tile, size) for g, a, b in zip(piece, x, y)])
+        return pd.Series([[(col, col, row, v) for col, row, v in covered_cells(g, a, b, tile, size)] for g, a, b in zip(piece, x, y)])
 
     zone = [F.col(f"`{c}`") for c in zones.columns if c != "geom"]
     # dealt by tile, so that the pieces of one large zone are many tasks
-    cut = zones.where("geom IS NOT NULL").select(*zone, F.explode(pieces("geom")).alias("_cut")).repartition("_cut.x", "_cut.y")
-    partly = cut.where("_cut.piece IS NOT NULL").select(*zone, F.explode(found("_cut.piece", "_cut.x", "_cut.y")).alias("_cell")).select(*zone, "_cell.*")
+    cut = zones.select(*zone, F.explode(pieces("geom")).alias("_cut")).repartition("_cut.x", "_cut.y")
 
-    def along(c: str) -> Column:
-        return F.explode(F.sequence(F.col(f"_cut.{c}") * tile, (F.col(f"_cut.{c}") + F.col("_cut.span")) * tile - 1))
+    def along(c: str) -> tuple[Column, Column]:
+        return F.col(f"_cut.{c}") * tile, (F.col(f"_cut.{c}") + F.col("_cut.span")) * tile - 1
 
-    filled = cut.where("_cut.piece IS NULL").withColumn("_col", along("x")).withColumn("_row", along("y")).select(*zone, "_col", "_row", F.lit(1.0).alias("coverage"))
-    met = cells.join(partly.unionByName(filled), (F.col("col") == F.col("_col")) & (F.col("row") == F.col("_row")))
+    filled = F.transform(F.sequence(*along("y")), lambda row: F.struct(along("x")[0].alias("_first"), along("x")[1].alias("_last"), row.alias("_row"), F.lit(1.0).alias("coverage")))
+    # runs of cells in a row, of both kinds in one column: two filters of ``cut`` would cut the zones twice
+    runs = cut.select(*zone, F.explode(F.when(F.col("_cut.piece").isNull(), filled).otherwise(found("_cut.piece", "_cut.x", "_cut.y"))).alias("_run"))
+    covered = runs.select(*zone, F.explode(F.sequence("_run._first", "_run._last")).alias("_col"), "_run._row", "_run.coverage")
+    # covered cells are on the left, whose rows a merge join does not hold
+    met = covered.join(by_key(cells), (F.col("col") == F.col("_col")) & (F.col("row") == F.col("_row")))
     return met.drop("_col", "_row")

@@ -482,7 +482,7 @@ def zonal_overlay(spark, sf_dir):
     corners = ((key % 40 + 0.25).cast("double"), (key % 30 + 0.5).cast("double"), (key % 40 + 2.75).cast("double"), (key % 30 + 1.75).cast("double"))
     zones = table(spark, sf_dir, "customer").select(key.alias("zone"), geometry.rectangle(*corners).alias("geom"))
     cells = table(spark, sf_dir, "part").select((F.col("p_partkey") % 50).alias("col"), (F.floor(F.col("p_partkey") / 50) % 40).alias("row")).distinct()
-    return raster.overlay(zones, cells, tile=8).withColumn("coverage", F.round("coverage", 6))
+    return raster.overlay(zones, cells, tile=8).select("zone", "col", "row", F.round("coverage", 6).alias("coverage"))
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.geometry import centroid, simple_line
 from tarnworks.operators import attributes, dissolve, network, raster, stems
 from tarnworks.operators.relational import corrected, left_join
+from tarnworks.session import by_key
 
 Layers = dict[str, DataFrame]
 
@@ -83,7 +84,7 @@ def add_minimal_attributes(layers: Layers, covered: DataFrame, basins: DataFrame
 
 def add_value_attributes(layers: Layers, more: DataFrame) -> Layers:
     """Divide attributes with further columns; a leaf, as reconciling goes on from the minimal attributes."""
-    return layers | {"divide-attributes": left_join(layers["divide-attributes"], more, "divide_id")}
+    return layers | {"divide-attributes": left_join(layers["divide-attributes"], by_key(more), "divide_id")}
 
 
 def add_zonal_attributes(layers: Layers, divides: DataFrame, cells: DataFrame, columns: dict[str, str], size: float = 1.0, tile: int = 64) -> Layers:

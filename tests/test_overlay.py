@@ -5,9 +5,11 @@ import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnworks.functions import geometry
 from tarnworks.operators import raster
+from tarnworks.plans import preparation as plan
 
 
 def star(seed, n, radius, x=0.0, y=0.0, least=0.6):
@@ -90,3 +92,18 @@ def test_overlay_keeps_columns(spark):
     same(got["a", 1], whole(geometry.write_polygon([star(6, 30, 20.0)]), 64, 1.0))
     same(got[None, 3], whole(geometry.write_polygon([star(7, 5, 3.0, 9.0)]), 64, 1.0))
     assert len(got) == 2
+
+
+def test_what_divides_cover_is_not_broadcast(spark):
+    corner = [(F.col("id") % m + d).cast("double") for m, d in ((40, 0.25), (30, 0.5), (40, 9.75), (30, 9.5))]
+    divides = spark.range(60).select(F.col("id").alias("divide_id"), geometry.rectangle(*corner).alias("geom"))
+    cells = spark.range(2500).select((F.col("id") % 50).alias("col"), F.floor(F.col("id") / 50).alias("row"), (F.col("id") % 7).alias("value"))
+    layers = plan.add_zonal_attributes({"divide-attributes": divides.select("divide_id")}, divides, cells, {"mean": "mean", "mode": "mode"}, tile=4)
+    made, covered = layers["divide-attributes"], raster.overlay(divides, cells, tile=4)
+    assert {r.divide_id: (r.x, r.y) for r in made.collect()} == {k: (k % 40 + 5.0, k % 30 + 5.0) for k in range(60)}
+    total = {r.divide_id: r.s for r in covered.groupBy("divide_id").agg(F.sum("coverage").alias("s")).collect()}
+    assert total == {k: pytest.approx(9.5 * 9.0) for k in range(60)}
+    for frame in (made, covered):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    # of a zone, the tiles that it fills and those on its border come from one cut
+    assert covered._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [pieces(") == 1
